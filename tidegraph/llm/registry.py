@@ -6,15 +6,18 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tidegraph.llm import exact_dedup, tokens
+from tidegraph.llm import exact_dedup, mixing, packing, simhash, tokens
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op1_exact_dedup": exact_dedup.op1_exact_dedup,
+        "op3_mixing": mixing.op3_mixing,
+        "op5_packing": packing.op5_packing,
+        "op6_simhash": simhash.op6_simhash,
         "op8_token_counts": tokens.op8_token_counts,
     }
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op1_exact_dedup": exact_dedup.OP1_SQL}
+    return {"op1_exact_dedup": exact_dedup.OP1_SQL, "op3_mixing": mixing.OP3_SQL}
