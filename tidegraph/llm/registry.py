@@ -6,18 +6,26 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tidegraph.llm import exact_dedup, mixing, packing, simhash, tokens
+from tidegraph.llm import chat, exact_dedup, mixing, packing, simhash, tokens, toxicity, warc
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op1_exact_dedup": exact_dedup.op1_exact_dedup,
+        "op2_chat_format": chat.op2_chat_format,
         "op3_mixing": mixing.op3_mixing,
+        "op4_warc": warc.op4_warc,
         "op5_packing": packing.op5_packing,
         "op6_simhash": simhash.op6_simhash,
         "op8_token_counts": tokens.op8_token_counts,
+        "op10_toxicity": toxicity.op10_toxicity,
     }
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op1_exact_dedup": exact_dedup.OP1_SQL, "op3_mixing": mixing.OP3_SQL}
+    return {
+        "op1_exact_dedup": exact_dedup.OP1_SQL,
+        "op2_chat_format": chat.OP2_SQL,
+        "op3_mixing": mixing.OP3_SQL,
+        "op4_warc": warc.OP4_SQL,
+    }
