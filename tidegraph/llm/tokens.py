@@ -12,8 +12,10 @@ from __future__ import annotations
 
 import json
 import os
+import re
 from collections.abc import Callable, Iterable, Iterator
 
+import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -25,7 +27,7 @@ BATCH_BYTES = 256 << 10
 #: Longer texts are cut at safe boundaries into pieces of about this size.
 PIECE_BYTES = 1 << 20
 #: Words that a worker remembers; beyond, it starts anew.
-REMEMBERED = 400_000
+REMEMBERED = 1_000_000
 
 
 def public_vocabulary(name: str = "word_bpe_49k.json") -> str:
@@ -62,11 +64,19 @@ def pieces(text: bytes, most: int = PIECE_BYTES) -> Iterator[bytes]:
 
 
 class Encoder:
-    """Encodes batches with the library that the vocabulary file belongs to."""
+    """Encodes batches with the library that the vocabulary file belongs to.
+
+    value is what is kept of a text's ids: len, or another function of a list.
+    """
+
+    #: Lower-case letters that no normaliser changes, then marks that never join a letter's token.
+    PLAIN = re.compile("[a-z\u00df-\u00f6\u00f8-\u00ff]+([.,;:!?]*)")
+    #: Plain words encoded as one text.
+    TOGETHER = 500
 
     def __init__(self, path: str, value: Callable[[list[int]], object] = len):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
-        self.value, self.known = value, {}
+        self.value, self.known, self.ends = value, {}, None
         if path.endswith(".model"):
             import sentencepiece
 
@@ -78,20 +88,48 @@ class Encoder:
             model = Tokenizer.from_file(path)
             self.words = drops_white_space(path)
             self._ids = lambda batch: [x.ids for x in model.encode_batch_fast(batch, add_special_tokens=False)]
+            suffix = getattr(model.model, "end_of_word_suffix", None)
+            if self.words and suffix:
+                vocabulary = model.get_vocab()
+                self.ends = np.zeros(max(vocabulary.values()) + 1, bool)
+                self.ends[[i for token, i in vocabulary.items() if token.endswith(suffix)]] = True
 
     def encode(self, texts: Iterable[str]) -> Iterator[object]:
         for batch in _by_bytes(texts):
             yield from map(self.value, self._ids(batch))
 
+    def _learn(self, words: list[bytes]) -> None:
+        """Plain words are encoded many to a text, and told apart by the tokens that end a word."""
+        other, plain, parts = [], [], []
+        for word in words:
+            text = word.decode("utf-8", "replace")
+            match = self.PLAIN.fullmatch(text) if self.ends is not None else None
+            if match:
+                plain.append((word, text))
+                parts.append(2 if match[1] else 1)
+            else:
+                other.append((word, text))
+        self.known.update(zip((w for w, _ in other), self.encode(t for _, t in other), strict=True))
+        groups = [range(i, min(i + self.TOGETHER, len(plain))) for i in range(0, len(plain), self.TOGETHER)]
+        joined = (" ".join(plain[i][1] for i in group) for group in groups)
+        encoded = (ids for batch in _by_bytes(joined) for ids in self._ids(batch))
+        for group, ids in zip(groups, encoded, strict=True):
+            stops = np.flatnonzero(self.ends[ids])[np.cumsum(parts[group.start : group.stop]) - 1] + 1
+            start = 0
+            for i, stop in zip(group, stops.tolist(), strict=True):
+                self.known[plain[i][0]] = self.value(ids[start:stop])
+                start = stop
+
     def of_words(self, piece: bytes) -> map:
         """The values of the piece's words, in order."""
         # the special tokens hold "<|" and are case-sensitive; all else is lower-cased anyway
         words = (piece if b"<|" in piece else piece.lower()).split()
-        new = list(dict.fromkeys(w for w in words if w not in self.known))
-        if len(self.known) + len(new) > REMEMBERED:
-            self.known.clear()
-            new = list(dict.fromkeys(words))
-        self.known.update(zip(new, self.encode(w.decode("utf-8", "replace") for w in new), strict=True))
+        new = set(words).difference(self.known)
+        if new:
+            if len(self.known) + len(new) > REMEMBERED:
+                self.known.clear()
+                new = set(words)
+            self._learn(list(new))
         return map(self.known.__getitem__, words)
 
 
