@@ -9,6 +9,12 @@ from pyspark.sql import DataFrame, SparkSession
 from tidegraph.llm import chat, exact_dedup, mixing, packing, simhash, tokens, toxicity, warc
 
 
+def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
+    import corpus_pipeline
+
+    return corpus_pipeline.run(spark, sf_dir)
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op1_exact_dedup": exact_dedup.op1_exact_dedup,
@@ -19,6 +25,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op6_simhash": simhash.op6_simhash,
         "op8_token_counts": tokens.op8_token_counts,
         "op10_toxicity": toxicity.op10_toxicity,
+        "pipeline": pipeline,
     }
 
 

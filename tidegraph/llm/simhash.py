@@ -19,8 +19,7 @@ from itertools import combinations
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, SparkSession
-from pyspark.sql import Window as W
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidegraph.llm.common import content, materialise, table
@@ -51,7 +50,10 @@ def shingle_hashes(text: bytes, words_each: int) -> np.ndarray:
 
 def fingerprint(text: bytes, words_each: int) -> int:
     """Bit i is 1 if it is set in over half the hashes; a text without words has 0."""
-    hashes = shingle_hashes(text, words_each)
+    return majority(shingle_hashes(text, words_each))
+
+
+def majority(hashes: np.ndarray) -> int:
     octets = hashes.astype("<u8").view(np.uint8).reshape(-1, 8)
     if len(hashes) < 200:
         counts = np.unpackbits(octets, axis=1, bitorder="little").sum(axis=0, dtype=np.int64)
@@ -76,17 +78,24 @@ def fingerprints(docs: DataFrame, *, words_each: int = 3, id_col: str = "doc_id"
 
 
 class TrieJoin:
-    """Classes of sorted distinct fingerprints under links of at most budget bits.
+    """Links of at most budget bits between the leaves of a trie of sorted fingerprints.
 
     A node is a range of the sorted values that share the bits above one.
+    Without labels, linked leaves are merged and pairs holds the links of a
+    spanning forest. With labels, leaves of one label count as one class, none
+    are merged, and pairs holds every link between different classes.
     """
 
     BRUTE = 1024
 
-    def __init__(self, values: list[int], budget: int):
-        self.values, self.budget = values, budget
+    def __init__(self, values: list[int], budget: int, labels: list[int] | None = None):
+        self.values, self.budget, self.merge = values, budget, labels is None
         self.array = np.array(values, np.uint64)
         self.parent = list(range(len(values)))
+        self.pairs: list[tuple[int, int]] = []
+        if labels is not None:
+            first: dict[int, int] = {}
+            self.parent = [first.setdefault(label, i) for i, label in enumerate(labels)]
         if values:
             self._within(0, len(values))
 
@@ -96,22 +105,33 @@ class TrieJoin:
             parent[i] = i = parent[parent[i]]
         return i
 
-    def union(self, i: int, j: int) -> None:
-        i, j = self.find(i), self.find(j)
-        if i != j:
-            self.parent[max(i, j)] = min(i, j)
+    def link(self, i: int, j: int) -> None:
+        one, other = self.find(i), self.find(j)
+        if one != other:
+            self.pairs.append((i, j))
+            if self.merge:
+                self.parent[max(one, other)] = min(one, other)
 
     def _split(self, low: int, high: int, bit: int) -> int:
         first = self.values[low] >> (bit + 1) << (bit + 1) | 1 << bit
         return bisect_left(self.values, first, low, high)
 
+    def _one_class(self, low: int, high: int) -> bool:
+        root = self.find(low)
+        return all(self.find(i) == root for i in range(low + 1, high))
+
     def _within(self, low: int, high: int) -> bool:
         """Links below one node; whether they make it one class."""
         if high - low == 1:
             return True
-        if (high - low) ** 2 <= self.BRUTE:
+        same = self.values[low] == self.values[high - 1]
+        if same and self.merge:
+            for i in range(low + 1, high):
+                self.link(low, i)
+            return True
+        if same or (high - low) ** 2 <= self.BRUTE:
             self._brute(low, high, low, high)
-            return all(self.find(i) == self.find(low) for i in range(low + 1, high))
+            return self._one_class(low, high)
         bit = (self.values[low] ^ self.values[high - 1]).bit_length() - 1
         middle = self._split(low, high, bit)
         one = self._within(low, middle) & self._within(middle, high)
@@ -119,23 +139,31 @@ class TrieJoin:
         return one and self.find(low) == self.find(middle)
 
     def _brute(self, a: int, b: int, c: int, d: int) -> None:
-        near = np.bitwise_count(self.array[a:b, None] ^ self.array[None, c:d]) <= self.budget
-        for i, j in zip(*np.nonzero(near), strict=True):
-            self.union(a + int(i), c + int(j))
+        for start in range(a, b, 1024):
+            stop = min(b, start + 1024)
+            near = np.bitwise_count(self.array[start:stop, None] ^ self.array[None, c:d]) <= self.budget
+            for i, j in zip(*np.nonzero(near), strict=True):
+                if start + i < c + j:
+                    self.link(start + int(i), c + int(j))
 
     def _across(self, one: tuple[int, int], other: tuple[int, int], bit: int, used: int, uniform: bool) -> None:
         """Links between two nodes that differ in used bits above bit.
 
-        uniform: each node is one class by itself, so one link is enough.
+        uniform: each node is one class by itself, so no link is needed once
+        they are the same class.
         """
         if used > self.budget or uniform and self.find(one[0]) == self.find(other[0]):
             return
         (a, b), (c, d) = one, other
         values = self.values
-        if (b - a) * (d - c) <= self.BRUTE:
+        down = max((values[a] ^ values[b - 1]).bit_length(), (values[c] ^ values[d - 1]).bit_length()) - 1
+        if down < 0 and self.merge:
+            if (values[a] ^ values[c]).bit_count() <= self.budget:
+                self.link(a, c)
+            return
+        if down < 0 or (b - a) * (d - c) <= self.BRUTE:
             self._brute(a, b, c, d)
             return
-        down = max((values[a] ^ values[b - 1]).bit_length(), (values[c] ^ values[d - 1]).bit_length()) - 1
         used += ((values[a] ^ values[c]) >> (down + 1) & ((1 << (bit - down)) - 1)).bit_count()
         if used > self.budget:
             return
@@ -145,35 +173,69 @@ class TrieJoin:
                 self._across(x, y, down - 1, used + more, uniform)
 
 
-def _joined(budget: int):
-    def links(values: np.ndarray) -> tuple[list[int], list[int]]:
-        join = TrieJoin(np.unique(values.view(np.uint64)).tolist(), budget)
-        roots = [join.find(i) for i in range(len(join.values))]
-        told = [i for i, root in enumerate(roots) if i != root]
-        signed = join.array.view(np.int64)
-        return signed[told].tolist(), signed[[roots[i] for i in told]].tolist()
+Group = dict[str, np.ndarray]
+
+
+def _spanning(budget: int):
+    """Of a group of distinct fingerprints: (fingerprint, least of its class)."""
+
+    def of(group: Group) -> tuple[np.ndarray, np.ndarray]:
+        join = TrieJoin(np.unique(group["_fp"].view(np.uint64)).tolist(), budget)
+        signed, roots = join.array.view(np.int64), np.array([join.find(i) for i in range(len(join.values))])
+        told = np.flatnonzero(roots != np.arange(len(roots)))
+        return signed[told], signed[roots[told]]
+
+    return of
+
+
+def _leaf_pairs(budget: int, choices: list[list[tuple[int, int]]], labelled: bool):
+    """Of a group of rows: linked pairs of _leaf; if labelled, all between labels, each under the first key it has."""
+    masks = np.array([sum(((1 << w) - 1) << f for f, w in parts) for parts in choices], np.uint64)
+
+    def of(group: Group) -> tuple[np.ndarray, np.ndarray]:
+        prints = group["_fp"].view(np.uint64)
+        order = np.lexsort((group["_leaf"], prints))
+        prints, leaves = prints[order], group["_leaf"][order]
+        labels = group["_label"][order].tolist() if labelled else None
+        join = TrieJoin(prints.tolist(), budget, labels)
+        found = np.array(join.pairs, np.int64).reshape(-1, 2)
+        if labelled and len(found):
+            differ = prints[found[:, 0]] ^ prints[found[:, 1]]
+            first = ((differ[:, None] & masks[None, :]) == 0).argmax(axis=1)
+            found = found[first == group["_choice"][0]]
+        return leaves[found[:, 0]], leaves[found[:, 1]]
+
+    return of
+
+
+def _by_key(columns: tuple[str, ...], of):
+    """Applies of to each run of rows with one (_key, _sub); rows arrive ordered by them."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        """Rows arrive ordered by key; a group can reach over batches."""
-        held_key, held = None, []
+        held_key, held, size = None, [], 0
+
+        def close() -> Iterator[tuple[np.ndarray, np.ndarray]]:
+            if size > 1:
+                yield of({c: np.concatenate([h[c] for h in held]) for c in columns})
+
         for batch in batches:
-            keys = np.stack([batch.column(c).to_numpy() for c in ("_key", "_sub")], axis=1)
-            values = batch.column("_fp").to_numpy()
-            if not len(keys):
+            if not batch.num_rows:
                 continue
+            keys = np.stack([batch.column(c).to_numpy() for c in ("_key", "_sub")], axis=1)
+            values = {c: batch.column(c).to_numpy() for c in columns}
             bounds = [0, *(np.flatnonzero((keys[1:] != keys[:-1]).any(axis=1)) + 1).tolist(), len(keys)]
-            a, b = [], []
+            found = []
             for low, high in zip(bounds, bounds[1:], strict=False):
                 key = (keys[low, 0], keys[low, 1])
                 if key != held_key:
-                    if sum(map(len, held)) > 1:
-                        for out, got in zip((a, b), links(np.concatenate(held)), strict=True):
-                            out.extend(got)
-                    held_key, held = key, []
-                held.append(values[low:high])
+                    found.extend(close())
+                    held_key, held, size = key, [], 0
+                held.append({c: v[low:high] for c, v in values.items()})
+                size += high - low
+            if found:
+                yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(x), pa.int64()) for x in zip(*found, strict=True)], ["a", "b"])
+        for a, b in close():
             yield pa.RecordBatch.from_arrays([pa.array(a, pa.int64()), pa.array(b, pa.int64())], ["a", "b"])
-        if sum(map(len, held)) > 1:
-            yield pa.RecordBatch.from_arrays([pa.array(x, pa.int64()) for x in links(np.concatenate(held))], ["a", "b"])
 
     return run
 
@@ -184,19 +246,37 @@ def _blocks(budget: int, blocks: int) -> list[list[tuple[int, int]]]:
     return [[(edges[i], edges[i + 1] - edges[i]) for i in chosen] for chosen in combinations(range(blocks), blocks - budget)]
 
 
-def _gather(fp: Column, parts: list[tuple[int, int]]) -> Column:
-    """The bits of the parts, side by side."""
-    out, at = F.lit(0).cast("long"), 0
-    for first, width in parts:
-        out = out.bitwiseOR(F.shiftleft(F.shiftrightunsigned(fp, first).bitwiseAND(F.lit((1 << width) - 1)), at))
-        at += width
-    return out
+def _mask(parts: list[tuple[int, int]]) -> int:
+    """The bits of the parts, as a signed long."""
+    mask = sum(((1 << width) - 1) << first for first, width in parts)
+    return mask - (1 << BITS) if mask >> (BITS - 1) else mask
 
 
-def _rest(parts: list[tuple[int, int]], most: int) -> list[tuple[int, int]]:
-    """The highest bits outside the parts, at most so many of them."""
+def _beside(parts: list[tuple[int, int]]) -> int:
+    """The first bit that no part holds; parts are whole blocks, so a block begins there."""
     taken = {b for first, width in parts for b in range(first, first + width)}
-    return [(b, 1) for b in range(BITS - 1, -1, -1) if b not in taken][:most]
+    return next(b for b in range(BITS) if b not in taken)
+
+
+def _keyed(prints: DataFrame, *, budget: int, blocks: int, heavy: int) -> DataFrame:
+    """prints once for every key, heavy keys once for every pair of nodes, ordered by key in its partition."""
+    own, choices = prints.columns, _blocks(budget, blocks)
+    depth = min(DEPTH, BITS // blocks)
+    of = lambda values, kind: F.element_at(F.lit(values).cast(f"array<{kind}>"), F.col("_choice") + 1)
+    keyed = prints.select(*own, F.explode(F.lit(list(range(len(choices)))).cast("array<int>")).alias("_choice"))
+    keyed = keyed.withColumn("_key", F.xxhash64("_choice", F.col("_fp").bitwiseAND(of([_mask(c) for c in choices], "long"))))
+    many = keyed.groupBy("_key").agg(F.count("*").alias("_many")).where(F.col("_many") > heavy)
+    keyed = keyed.join(many, "_key", "left")
+    # a heavy row's trie node, and its partners within the budget; the pair is named by both nodes in order
+    node = F.call_function("shiftrightunsigned", F.col("_fp"), of([_beside(c) for c in choices], "int")).bitwiseAND(F.lit((1 << depth) - 1).cast("long"))
+    flips = [0, *(sum(1 << b for b in bits) for n in range(1, min(budget, depth) + 1) for bits in combinations(range(depth), n))]
+    light = F.col("_many").isNull()
+    steps = F.when(light, F.array(F.lit(0).cast("long"))).otherwise(F.lit(flips).cast("array<long>"))
+    keyed = keyed.select("*", node.alias("_node"), F.explode(steps).alias("_flip"))
+    partner = F.col("_node").bitwiseXOR(F.col("_flip"))
+    pair = F.shiftleft(F.least("_node", partner), 32).bitwiseOR(F.greatest("_node", partner))
+    keyed = keyed.select("_key", F.when(light, F.lit(-1).cast("long")).otherwise(pair).alias("_sub"), "_choice", *own)
+    return keyed.repartition("_key", "_sub").sortWithinPartitions("_key", "_sub")
 
 
 def links(distinct: DataFrame, *, budget: int = 2, blocks: int = 4, heavy: int = HEAVY) -> DataFrame:
@@ -204,25 +284,8 @@ def links(distinct: DataFrame, *, budget: int = 2, blocks: int = 4, heavy: int =
 
     Their components are those of all links of at most budget bits.
     """
-    choices = _blocks(budget, blocks)
-    fp = F.col("_fp")
-    keyed = distinct.select(
-        "_fp",
-        F.explode(
-            F.array(*(F.struct(F.xxhash64(F.lit(i), _gather(fp, parts)).alias("_key"), _gather(fp, _rest(parts, DEPTH)).alias("_node")) for i, parts in enumerate(choices)))
-        ).alias("_at"),
-    ).select("_fp", "_at.*")
-    many = keyed.groupBy("_key").agg(F.count("*").alias("_many")).where(F.col("_many") > heavy)
-    keyed = keyed.join(many, "_key", "left")
-    # partners of a node within the budget; the pair is named by both nodes in order
-    flips = [0, *(sum(1 << b for b in bits) for n in range(1, budget + 1) for bits in combinations(range(DEPTH), n))]
-    pairs = F.transform(
-        F.array(*(F.lit(x).cast("long") for x in flips)),
-        lambda x: F.shiftleft(F.least("_node", F.col("_node").bitwiseXOR(x)), 32).bitwiseOR(F.greatest("_node", F.col("_node").bitwiseXOR(x))),
-    )
-    keyed = keyed.select("_key", "_fp", F.explode(F.when(F.col("_many").isNull(), F.array(F.lit(-1).cast("long"))).otherwise(pairs)).alias("_sub"))
-    dealt = keyed.repartition("_key", "_sub").sortWithinPartitions("_key", "_sub")
-    return dealt.mapInArrow(_joined(budget), "a long, b long")
+    keyed = _keyed(distinct, budget=budget, blocks=blocks, heavy=heavy)
+    return keyed.select("_key", "_sub", "_fp").mapInArrow(_by_key(("_fp",), _spanning(budget)), "a long, b long")
 
 
 def classes(docs: DataFrame, *, words_each: int = 3, budget: int = 2, blocks: int = 4, heavy: int = HEAVY, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
