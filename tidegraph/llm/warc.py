@@ -44,7 +44,7 @@ def records(pages: DataFrame, *, least_bytes: int = 0, id_col: str = "page_id",
 
     Of equal payloads of at least least_bytes, the one with the smallest id is
     a response and the others are revisits of it; if several rows have that
-    id, one is the response. Null ids count only where a payload has no other.
+    id, one is the response. Only payloads that occur more than once are ordered. Null ids count only where a payload has no other.
     A null payload is empty; a null url is an empty one, and line breaks in a
     url are taken out.
     """
@@ -56,9 +56,11 @@ def records(pages: DataFrame, *, least_bytes: int = 0, id_col: str = "page_id",
         F.octet_length(html).cast("long").alias("_bytes"),
         F.unhex(F.sha2(html.cast("binary"), 256)).alias("_same"),
     )
-    ids = rows.select("_id", "_same").groupBy("_same").agg(F.min("_id").alias("_first"))
-    rows = rows.withColumn("_copy", F.row_number().over(W.partitionBy("_same", "_id").orderBy("_url")))
-    rows = rows.join(ids, "_same")
+    # written first, so that its size is known: Spark broadcasts it if small, and shuffles pages only if not
+    same = materialise(rows.groupBy("_same").agg(F.min("_id").alias("_first"), F.count("*").alias("_n")).where("_n > 1").drop("_n"), "same")
+    alone = rows.join(same, "_same", "left_anti").withColumns({"_first": F.col("_id"), "_copy": F.lit(1)})
+    among = rows.join(same, "_same").withColumn("_copy", F.row_number().over(W.partitionBy("_same", "_id").orderBy("_url")))
+    rows = alone.unionByName(among)
     response = (F.col("_bytes") < least_bytes) | (F.col("_id").eqNullSafe(F.col("_first")) & (F.col("_copy") == 1))
     end = F.lit("\r\n")
     http = F.concat(F.lit("HTTP/1.1 200 OK\r\nContent-Type: text/html; charset=utf-8\r\nContent-Length: "), F.col("_bytes").cast("string"), F.lit("\r\n\r\n"))
