@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tidegraph.llm import chat, exact_dedup, mixing, packing, simhash, tokens, toxicity, warc
+from tidegraph.llm import audio, chat, exact_dedup, mixing, packing, quality, simhash, tokens, toxicity, warc
 
 
 def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -23,7 +23,9 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op4_warc": warc.op4_warc,
         "op5_packing": packing.op5_packing,
         "op6_simhash": simhash.op6_simhash,
+        "op7_chroma": audio.op7_chroma,
         "op8_token_counts": tokens.op8_token_counts,
+        "op9_quality": quality.op9_quality,
         "op10_toxicity": toxicity.op10_toxicity,
         "pipeline": pipeline,
     }
