@@ -27,8 +27,8 @@ WIDTHS = (2, 4, 8, 12)
 SPAN = max(WIDTHS)
 #: Where a filter's log ratio changes its two bits.
 STEPS = (-0.25, 0.0, 0.25)
-#: Bits of an integer that have to agree for a vote; fewer find noisier copies and more chance hits.
-KEY_BITS = 0xFFFFFFFF
+#: Successive integers that have to agree for a vote: one alone is met by chance too often to search many recordings.
+RUN = 2
 VOTES = 4
 MOST_ERRORS = 0.2
 QUERY_STEP = 50
@@ -125,7 +125,7 @@ def aligned(prints: DataFrame, *, query_step: int = QUERY_STEP, votes: int = VOT
     Recordings with equal codes are a class, named by its least id. The
     classes with a member whose id query_step divides are queries, against
     all classes: n_links counts the others that align with at least votes
-    agreeing integers at one offset and at most most_errors of bits differing
+    agreeing pairs of successive integers at one offset and at most most_errors of bits differing
     there. The best has the fewest errors, then the most votes, then the least
     class and offset; other classes have nulls. Recordings without codes are
     a class without links. A null id is a query never, and a class name only
@@ -136,7 +136,9 @@ def aligned(prints: DataFrame, *, query_step: int = QUERY_STEP, votes: int = VOT
         prints.groupBy("_digest").agg(F.min("_id").alias("_class"), F.max(F.coalesce(F.col("_id") % query_step == 0, F.lit(False))).alias("_asked"), F.first("_codes").alias("_codes")),
         "classes",
     )
-    places = groups.select("_digest", "_asked", F.posexplode("_codes").alias("_at", "_code")).withColumn("_key", F.col("_code").bitwiseAND(F.lit(KEY_BITS)))
+    # xxhash64 of each run of successive integers
+    runs = F.zip_with("_codes", F.slice("_codes", RUN, F.greatest(F.size("_codes"), F.lit(1))), lambda x, y: F.when(y.isNotNull(), F.xxhash64(x, y)))
+    places = groups.select("_digest", "_asked", F.posexplode(runs).alias("_at", "_key")).where("_key IS NOT NULL")
     asked = places.where("_asked").select(F.col("_digest").alias("_query"), F.col("_at").alias("_from"), "_key")
     hits = asked.join(places.select(F.col("_digest").alias("_other"), "_at", "_key"), "_key").where("_query != _other")
     offsets = hits.groupBy("_query", "_other", (F.col("_at") - F.col("_from")).alias("_offset")).agg(F.count("*").alias("_votes")).where(F.col("_votes") >= votes)

@@ -12,6 +12,7 @@ from __future__ import annotations
 
 import re
 import zlib
+from array import array
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -20,7 +21,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidegraph.llm.common import content, table
+from tidegraph.llm.common import release, table
 
 #: Rows of the embedding table, and their width.
 ROWS, WIDTH = 1 << 17, 8
@@ -32,7 +33,7 @@ THRESHOLD = 0.3
 #: Words that one window averages.
 WINDOW = 16
 #: Words whose score a worker remembers.
-REMEMBERED = 500_000
+REMEMBERED = 200_000
 
 _LETTERS = re.compile(r"[^\W\d_]+")
 
@@ -87,11 +88,14 @@ class _Sample:
 
     def __init__(self, texts: list[str]):
         numbers: dict[str, int] = {}
-        self.docs = [np.array([numbers.setdefault(w, len(numbers)) for w in words_of(t)], np.int64) for t in texts]
-        own = [subwords(w) for w in numbers]
-        self.sizes = np.array([len(x) for x in own], np.int64)
-        self.starts = np.concatenate([[0], np.cumsum(self.sizes)[:-1]]).astype(np.int64)
-        self.rows = np.fromiter((r for x in own for r in x), np.int64)
+        self.docs = [np.fromiter((numbers.setdefault(w, len(numbers)) for w in words_of(t)), np.int32) for t in texts]
+        rows, sizes = array("i"), array("q")
+        for word in numbers:
+            own = subwords(word)
+            rows.extend(own)
+            sizes.append(len(own))
+        self.sizes, self.rows = np.array(sizes), np.array(rows)
+        self.starts = np.cumsum(self.sizes) - self.sizes
 
     def bag(self, words: np.ndarray, places: int = 0) -> tuple[np.ndarray, np.ndarray]:
         """Rows and their shares in the average over the distinct words, or over so many places."""
@@ -123,18 +127,20 @@ def train(texts: list[str], labels: list[int], *, toxic_share: float | None = No
     table_ = dice.uniform(-0.1, 0.1, (ROWS, WIDTH)).astype(np.float32)
     out, bias = dice.normal(0, 1.0, (WIDTH, 2)).astype(np.float32), np.zeros(2, np.float32)
     past, past_out, past_bias = np.full(ROWS, 1e-6, np.float32), np.full_like(out, 1e-6), np.full_like(bias, 1e-6)
-    whole = {i: sample.bag(sample.docs[i]) for i in kept}
+    windows: dict[int, tuple[np.ndarray, np.ndarray]] = {}
+    # a small sample is gone over more often
+    whole_epochs = max(whole_epochs, min(40, 340 * batch // len(kept)))
+    epochs = max(epochs, min(40, 600 * batch // len(kept)))
     for epoch in range(whole_epochs + epochs):
         if epoch >= whole_epochs:
             scores = sample.scores(table_ @ (out[:, 1] - out[:, 0]))
-            whole = {}
             for i in kept:
                 at, _ = strongest(scores[sample.docs[i]])
-                whole[i] = sample.bag(sample.docs[i][at : at + WINDOW], WINDOW)
+                windows[i] = sample.bag(sample.docs[i][at : at + WINDOW], WINDOW)
         order = dice.permutation(kept)
         for at in range(0, len(order), batch):
             chosen = order[at : at + batch]
-            bags = [whole[i] for i in chosen]
+            bags = [windows[i] if windows else sample.bag(sample.docs[i]) for i in chosen]
             sizes = np.array([len(b[0]) for b in bags])
             rows, shares = np.concatenate([b[0] for b in bags]), np.concatenate([b[1] for b in bags])
             starts = np.concatenate([[0], np.cumsum(sizes)[:-1]])
@@ -148,7 +154,7 @@ def train(texts: list[str], labels: list[int], *, toxic_share: float | None = No
             past_out += g_out**2
             past_bias += g_bias**2
             out -= rate * 0.2 * g_out / np.sqrt(past_out)
-            bias -= rate * 0.2 * g_bias / np.sqrt(past_bias)
+            bias -= rate * 2 * g_bias / np.sqrt(past_bias)
             unique, where = np.unique(rows, return_inverse=True)
             step = np.repeat(back, sizes, axis=0) * shares[:, None]
             summed = np.stack([np.bincount(where, weights=step[:, k], minlength=len(unique)) for k in range(WIDTH)], axis=1).astype(np.float32)
@@ -217,6 +223,7 @@ def score(docs: DataFrame, model: Model, *, text_col: str = "text") -> DataFrame
             texts = batch.column(text_col).cast(pa.binary())
             scores = [scorer((x.as_py() or b"").decode("utf-8", "replace")) for x in texts]
             yield batch.append_column("_tg_score", pa.array(scores, pa.float64()))
+        release()
 
     return docs.mapInArrow(run, docs.withColumn("_tg_score", F.lit(0.0)).schema)
 
