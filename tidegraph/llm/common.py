@@ -2,57 +2,25 @@
 
 from __future__ import annotations
 
-import tempfile
-import uuid
+import ctypes
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tidegraph.shared import forget, materialise, new_folder, shared_folder  # noqa: F401
+
 #: A word is a run of anything but ASCII white space; bytes.split() follows the same rule.
 WORD = r"[^\x20\x09-\x0D]+"
 
-_written: list[str] = []
-
-
-def shared_folder(spark: SparkSession) -> str:
-    """The folder of spark.checkpoint.dir, which driver and executors share.
-
-    Only where the setting is absent (tests in local mode) a temporary folder
-    is made and set, because then all tasks run on this machine.
-    """
-    found = spark.conf.get("spark.checkpoint.dir", None)
-    if found:
-        return found.rstrip("/")
-    if not spark.sparkContext.master.startswith("local"):
-        raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
-    made = "file://" + tempfile.mkdtemp(prefix="tidegraph-")
-    spark.conf.set("spark.checkpoint.dir", made)
-    return made
-
-
-def new_folder(spark: SparkSession, name: str) -> str:
-    path = f"{shared_folder(spark)}/tidegraph-{name}-{uuid.uuid4().hex}"
-    _written.append(path)
-    return path
-
-
-def materialise(df: DataFrame, name: str) -> DataFrame:
-    """Write df as Parquet in the shared folder and read it back.
-
-    Cuts the lineage, survives lost executors, and lets several readers share
-    one computation. forget() removes the files.
-    """
-    path = new_folder(df.sparkSession, name)
-    df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
-
 
-def forget(spark: SparkSession) -> None:
-    """Delete what materialise() wrote; results read from it can't be read afterwards."""
-    jvm, conf = spark.sparkContext._jvm, spark.sparkContext._jsc.hadoopConfiguration()
-    while _written:
-        path = jvm.org.apache.hadoop.fs.Path(_written.pop())
-        path.getFileSystem(conf).delete(path, True)
+def release() -> None:
+    """Give a Python worker's free memory back to the system, since workers live on between tasks."""
+    pa.default_memory_pool().release_unused()
+    try:
+        ctypes.CDLL("libc.so.6").malloc_trim(0)
+    except (OSError, AttributeError):
+        pass  # not glibc
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:

@@ -25,7 +25,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from tidegraph.llm.common import content, table
+from tidegraph.llm.common import content, release, table
 
 #: A null id is below every other.
 NULL_ID = -(1 << 63)
@@ -173,6 +173,7 @@ def _before(budget: int):
                 [pa.array(what, pa.binary()), *(pa.array(x, pa.int64()) for x in (best, rows, ties))],
                 ["_content", "_best", "_rows", "_ties"],
             )
+        release()
 
     return fold
 
@@ -188,6 +189,7 @@ def _after(budget: int):
                 [pa.array(digests, pa.binary()), *(pa.array(x, pa.int64()) for x in (best, rows, ties))],
                 ["_digest", "_best", "_rows", "_ties"],
             )
+        release()
 
     return fold
 

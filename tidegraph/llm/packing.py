@@ -22,8 +22,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidegraph.llm.common import content, materialise, table
-from tidegraph.llm.tokens import encoder, pieces, public_vocabulary
+from tidegraph.llm.common import content, materialise, release, table
+from tidegraph.llm.tokens import encoder, public_vocabulary
 
 CAPACITY = 4096
 END_ID = 2
@@ -42,11 +42,10 @@ def _cut(path: str, capacity: int, end_id: int, with_ids: bool):
         of = encoder(path, as_bytes)
         for batch in batches:
             rows, starts, lengths, crcs, totals, ids = [], [], [], [], [], []
-            for row, text in enumerate(batch.column("_content")):
-                if of.words:
-                    encoded = b"".join(b"".join(of.of_words(piece)) for piece in pieces(text.as_py())) + end
-                else:
-                    encoded = b"".join(of.encode([text.as_py().decode("utf-8", "replace")])) + end
+            texts = (x.as_py() for x in batch.column("_content"))
+            parts = of.by_words(texts) if of.words else ([ids] for ids in of.encode(t.decode("utf-8", "replace") for t in texts))
+            for row, part in enumerate(parts):
+                encoded = b"".join(part) + end
                 for at in range(0, len(encoded), 4 * capacity):
                     piece = encoded[at : at + 4 * capacity]
                     rows.append(row)
@@ -62,6 +61,7 @@ def _cut(path: str, capacity: int, end_id: int, with_ids: bool):
                 columns.append(pa.array(ids, pa.binary()))
                 names.append("ids")
             yield pa.RecordBatch.from_arrays(columns, names)
+        release()
 
     return cut
 

@@ -22,7 +22,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidegraph.llm.common import content, materialise, table
+from tidegraph.llm.common import content, materialise, release, table
 from tidegraph.llm.components import components
 
 BITS = 64
@@ -67,6 +67,7 @@ def _fingerprints(words_each: int):
         for batch in batches:
             found = [fingerprint(x.as_py(), words_each) for x in batch.column("_content")]
             yield pa.RecordBatch.from_arrays([batch.column("_id"), pa.array(found, pa.int64())], ["_id", "_fp"])
+        release()
 
     return run
 
@@ -236,6 +237,7 @@ def _by_key(columns: tuple[str, ...], of):
                 yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(x), pa.int64()) for x in zip(*found, strict=True)], ["a", "b"])
         for a, b in close():
             yield pa.RecordBatch.from_arrays([pa.array(a, pa.int64()), pa.array(b, pa.int64())], ["a", "b"])
+        release()
 
     return run
 

@@ -14,20 +14,21 @@ import json
 import os
 import re
 from collections.abc import Callable, Iterable, Iterator
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidegraph.llm.common import content, table
+from tidegraph.llm.common import content, release, table
 
 #: Bytes of text that are encoded in one call.
 BATCH_BYTES = 256 << 10
 #: Longer texts are cut at safe boundaries into pieces of about this size.
 PIECE_BYTES = 1 << 20
 #: Words that a worker remembers; beyond, it starts anew.
-REMEMBERED = 1_000_000
+REMEMBERED = 700_000
 
 
 def public_vocabulary(name: str = "word_bpe_49k.json") -> str:
@@ -66,7 +67,8 @@ def pieces(text: bytes, most: int = PIECE_BYTES) -> Iterator[bytes]:
 class Encoder:
     """Encodes batches with the library that the vocabulary file belongs to.
 
-    value is what is kept of a text's ids: len, or another function of a list.
+    value is what is kept of a list of ids: len, or another function by which
+    concatenated lists have added values.
     """
 
     #: Lower-case letters that no normaliser changes, then marks that never join a letter's token.
@@ -98,39 +100,66 @@ class Encoder:
         for batch in _by_bytes(texts):
             yield from map(self.value, self._ids(batch))
 
-    def _learn(self, words: list[bytes]) -> None:
-        """Plain words are encoded many to a text, and told apart by the tokens that end a word."""
-        other, plain, parts = [], [], []
+    def _learn(self, words: Iterable[bytes]) -> None:
+        """Plain words are encoded many to a text, without their marks, and told apart by the tokens that end a word."""
+        known, other, plain, marked = self.known, {}, {}, []
         for word in words:
             text = word.decode("utf-8", "replace")
             match = self.PLAIN.fullmatch(text) if self.ends is not None else None
-            if match:
-                plain.append((word, text))
-                parts.append(2 if match[1] else 1)
+            if not match:
+                other[word] = text
+            elif marks := match[1]:
+                base, end = word[: -len(marks)], marks.encode()
+                marked.append((word, base, end))
+                if base not in known:
+                    plain[base] = text[: -len(marks)]
+                if end not in known:
+                    other[end] = marks
             else:
-                other.append((word, text))
-        self.known.update(zip((w for w, _ in other), self.encode(t for _, t in other), strict=True))
-        groups = [range(i, min(i + self.TOGETHER, len(plain))) for i in range(0, len(plain), self.TOGETHER)]
-        joined = (" ".join(plain[i][1] for i in group) for group in groups)
-        encoded = (ids for batch in _by_bytes(joined) for ids in self._ids(batch))
-        for group, ids in zip(groups, encoded, strict=True):
-            stops = np.flatnonzero(self.ends[ids])[np.cumsum(parts[group.start : group.stop]) - 1] + 1
-            start = 0
-            for i, stop in zip(group, stops.tolist(), strict=True):
-                self.known[plain[i][0]] = self.value(ids[start:stop])
+                plain[word] = text
+        known.update(zip(other, self.encode(other.values()), strict=True))
+        keys, texts = list(plain), list(plain.values())
+        starts = range(0, len(keys), self.TOGETHER)
+        encoded = (ids for batch in _by_bytes(" ".join(texts[i : i + self.TOGETHER]) for i in starts) for ids in self._ids(batch))
+        for first, ids in zip(starts, encoded, strict=True):
+            start, group = 0, keys[first : first + self.TOGETHER]
+            for key, stop in zip(group, (np.flatnonzero(self.ends[ids]) + 1).tolist(), strict=True):
+                known[key] = self.value(ids[start:stop])
                 start = stop
+        for word, base, end in marked:
+            known[word] = known[base] + known[end]
 
-    def of_words(self, piece: bytes) -> map:
-        """The values of the piece's words, in order."""
+    def _split(self, piece: bytes) -> list[bytes]:
         # the special tokens hold "<|" and are case-sensitive; all else is lower-cased anyway
-        words = (piece if b"<|" in piece else piece.lower()).split()
-        new = set(words).difference(self.known)
+        return (piece if b"<|" in piece else piece.lower()).split()
+
+    def _values(self, texts: list[bytes]) -> Iterator[map]:
+        split = [self._split(t) for t in texts]
+        new = set().union(*split).difference(self.known)
         if new:
             if len(self.known) + len(new) > REMEMBERED:
                 self.known.clear()
-                new = set(words)
-            self._learn(list(new))
-        return map(self.known.__getitem__, words)
+                new = set().union(*split)
+            self._learn(new)
+        for words in split:
+            yield map(self.known.__getitem__, words)
+
+    def by_words(self, texts: Iterable[bytes]) -> Iterator[Iterable]:
+        """For each text the values of its words in order, to be used up before the next.
+
+        Texts are taken in groups of about PIECE_BYTES; longer ones in pieces.
+        """
+        group, size = [], 0
+        for text in texts:
+            if group and size + len(text) > PIECE_BYTES:
+                yield from self._values(group)
+                group, size = [], 0
+            if len(text) > PIECE_BYTES:
+                yield chain.from_iterable(values for piece in pieces(text) for values in self._values([piece]))
+            else:
+                group.append(text)
+                size += len(text)
+        yield from self._values(group)
 
 
 def drops_white_space(path: str) -> bool:
@@ -170,10 +199,11 @@ def _counts(path: str):
         for batch in batches:
             texts = batch.column("_content")
             if of.words:
-                lengths = [sum(sum(of.of_words(piece)) for piece in pieces(x.as_py())) for x in texts]
+                lengths = list(map(sum, of.by_words(x.as_py() for x in texts)))
             else:
                 lengths = list(of.encode(x.as_py().decode("utf-8", "replace") for x in texts))
             yield pa.RecordBatch.from_arrays([batch.column("_id"), batch.column("_bytes"), pa.array(lengths, pa.int64())], ["_id", "_bytes", "_tokens"])
+        release()
 
     return count
 
