@@ -43,12 +43,11 @@ def words_of(text: str) -> list[str]:
 
 
 def subwords(word: str) -> list[int]:
-    """Rows of the table: the word and its n-grams; of very long words the first 60 letters' n-grams."""
-    marked = f"<{word[:60]}>".encode("utf-32-le")
-    size = len(marked)
-    grams = [marked[i : i + 4 * n] for n in (3, 4, 5) for i in range(0, size - 4 * n + 1, 4)]
-    grams.append(b"=" + word.encode())
-    return [zlib.crc32(g) % ROWS for g in grams]
+    """Rows of the table: all n-grams of the word, and the word itself."""
+    marked = f"<{word}>".encode("utf-32-le")
+    rows = [zlib.crc32(marked[i : i + 4 * n]) % ROWS for n in (3, 4, 5) for i in range(0, len(marked) - 4 * n + 1, 4)]
+    rows.append(zlib.crc32(b"=" + word.encode()) % ROWS)
+    return rows
 
 
 @dataclass
