@@ -53,7 +53,7 @@ def labellers() -> dict[str, Column]:
         "word_length": bad((F.col("words") > 4) & ((letters > 20) | (letters < 2))),
         "sentences": vote((F.col("words") > 30) & ((F.col("stops") == 0) | (per_stop > 100)), per_stop.between(2, 40) & (share("capitals", characters) < 0.15) & (share("repeats", words) < 0.05)),
         "prose": vote(F.col("words") < 1, (share("separators", words) < 0.05) & (share("signs", characters) < 0.02) & ((F.col("words") <= 4) | (share("capitals", characters) < 0.2)) & (share("repeats", words) < 0.05)),
-        "plain": vote(F.col("words") < 1, (share("signs", characters) < 0.02) & (share("digits", characters) < 0.4) & (share("repeats", words) < 0.08) & letters.between(2, 15)),
+        "plain": vote(F.col("words") < 1, (share("signs", characters) < 0.02) & (share("digits", characters) < 0.4) & ((F.col("words") <= 4) | (share("capitals", characters) < 0.3)) & (share("repeats", words) < 0.08) & letters.between(2, 15)),
     }
 
 
