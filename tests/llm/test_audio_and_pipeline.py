@@ -55,6 +55,46 @@ def test_alignment_finds_copies_shifts_and_nothing_else(spark):
     assert audio.aligned(audio.fingerprints(sounds.limit(0), id_col="id", sound_col="sound")).count() == 0
 
 
+def test_noisy_copies_align_as_by_brute_force(spark):
+    dice = np.random.default_rng(5)
+    base = dice.integers(0, 1 << 32, 52)
+    rows = [(100, base.tolist())]
+    for i in range(40):
+        # 3 to 8 % of bits wrong, so that runs of equal integers are seldom
+        wrong = (dice.random((52, 32)) < 0.03 + 0.05 * i / 40) @ (1 << np.arange(32))
+        rows.append((1 + i, (base ^ wrong)[i % 5 :].tolist()))
+    rows.append((41, [int(x) ^ (i % 2) for i, x in enumerate(base)]))
+    rows += [(60 + i, dice.integers(0, 1 << 32, 52).tolist()) for i in range(20)]
+    got = {r._id: r for r in audio.aligned(spark.createDataFrame(rows, "_id long, _codes array<long>"), query_step=100).collect()}
+    want = set()
+    for name, other in rows[1:]:
+        for offset in range(-51, 52):
+            x, y = base[max(0, -offset) :], np.array(other)[max(0, offset) :]
+            size = min(len(x), len(y))
+            differ = np.bitwise_count(x[:size] ^ y[:size])
+            if (differ == 0).sum() >= 4 and differ.sum() <= 0.2 * 32 * size:
+                want.add(name)
+    assert 41 in want and len(want) > 20
+    assert got[100].n_links == len(want)
+    assert (got[100].best_class, got[100].best_votes, got[100].best_offset) == (41, 26, 0)
+
+
+def test_votes_are_the_same_in_parts():
+    dice = np.random.default_rng(6)
+    one, two = dice.integers(0, 6, 70), dice.integers(0, 6, 90)
+    starts, starts2 = np.array([0, 0, 30, 70]), np.array([0, 40, 41, 41, 90])
+    want = {}
+    for i, j in ((i, j) for i in range(3) for j in range(4)):
+        for x in range(starts[i], starts[i + 1]):
+            for y in range(starts2[j], starts2[j + 1]):
+                if one[x] == two[y]:
+                    key = (i, j, int(y - starts2[j] - x + starts[i]))
+                    want[key] = want.get(key, 0) + 1
+    for at_once in (1, 50, 10**6):
+        got = {tuple(x[:3]): x[3] for part in audio.offset_votes(one, starts, two, starts2, 3, at_once) for x in zip(*(c.tolist() for c in part), strict=True)}
+        assert got == {k: n for k, n in want.items() if n >= 3}
+
+
 def test_rendered_vectors_are_audible():
     samples, rate = audio.samples_of(audio.render([0.1, -0.2, None, 0.3] * 16))
     assert rate == audio.RATE and len(samples) == 63 * audio.HOP - 15 * audio.HOP

@@ -4,8 +4,10 @@ A recording's frames are folded to twelve pitch classes. Over the picture of
 pitch classes and time, sixteen difference filters of four shapes and four
 widths are read off an integral image, each quantised to two bits in Gray
 code, so every frame becomes one 32-bit integer. Two recordings are aligned by
-a histogram of the offsets at which parts of their integers agree; at the best
-offset, the share of differing bits tells how alike they are.
+a histogram of the offsets at which their integers agree; at an offset with
+enough votes, the share of differing bits tells how alike they are. Queries
+and recordings meet in cells, a block of queries and a slice of recordings
+each, whose votes are counted in one task, so chance votes are no rows.
 """
 
 from __future__ import annotations
@@ -27,11 +29,11 @@ WIDTHS = (2, 4, 8, 12)
 SPAN = max(WIDTHS)
 #: Where a filter's log ratio changes its two bits.
 STEPS = (-0.25, 0.0, 0.25)
-#: Successive integers that have to agree for a vote: one alone is met by chance too often to search many recordings.
-RUN = 2
 VOTES = 4
 MOST_ERRORS = 0.2
 QUERY_STEP = 50
+#: Queries and recordings of one cell, and votes that it counts at once.
+QUERIES, SLICE, AT_ONCE = 20_000, 5_000, 2_000_000
 
 
 def samples_of(sound: bytes | None) -> tuple[np.ndarray, int]:
@@ -119,14 +121,81 @@ def fingerprints(recordings: DataFrame, *, id_col: str, sound_col: str) -> DataF
     return rows.mapInArrow(_fingerprinted, "_id long, _codes array<long>")
 
 
+def _lists(column: pa.ChunkedArray) -> tuple[np.ndarray, np.ndarray]:
+    """The integers of all lists, and where each list starts, the end last."""
+    lists = column.combine_chunks()
+    values = lists.flatten().to_numpy(zero_copy_only=False)
+    return values, np.concatenate([[0], np.cumsum(lists.value_lengths().to_numpy(zero_copy_only=False))]).astype(np.int64)
+
+
+def offset_votes(one: np.ndarray, starts: np.ndarray, two: np.ndarray, starts2: np.ndarray, votes: int, at_once: int = AT_ONCE) -> Iterator[tuple[np.ndarray, ...]]:
+    """(list of one, list of two, offset, votes) of at least votes equal integers, each list of two in one part, in order."""
+    owner, owner2 = np.repeat(np.arange(len(starts) - 1), np.diff(starts)), np.repeat(np.arange(len(starts2) - 1), np.diff(starts2))
+    place, place2 = np.arange(len(one)) - starts[owner], np.arange(len(two)) - starts2[owner2]
+    order = one.argsort(kind="stable")
+    ranked = one[order]
+    low, high = np.searchsorted(ranked, two), np.searchsorted(ranked, two, "right")
+    ends = np.cumsum(high - low)
+    reach = int(np.diff(starts).max(initial=0))
+    wide = reach + int(np.diff(starts2).max(initial=0)) + 1
+    held, held_n, at = np.empty(0, np.int64), np.empty(0, np.int64), 0
+    while at < len(two):
+        done = int(ends[at - 1]) if at else 0
+        stop = max(at + 1, int(np.searchsorted(ends, done + at_once, "right")))
+        counts = (high - low)[at:stop]
+        of = np.repeat(np.arange(at, stop), counts)
+        hit = order[low[of] + np.arange(len(of)) - np.repeat(np.cumsum(counts) - counts, counts)]
+        keys, n = np.unique((owner2[of] * (len(starts) - 1) + owner[hit]) * wide + place2[of] - place[hit] + reach, return_counts=True)
+        if len(held):
+            keys, where = np.unique(np.concatenate([held, keys]), return_inverse=True)
+            n = np.bincount(where, weights=np.concatenate([held_n, n])).astype(np.int64)
+        # a list that goes on in the next part isn't counted to its end
+        goes_on = keys // (wide * (len(starts) - 1)) == owner2[stop] if stop < len(two) else np.zeros(len(keys), bool)
+        held, held_n = keys[goes_on], n[goes_on]
+        told = ~goes_on & (n >= votes)
+        pair = keys[told] // wide
+        yield pair % (len(starts) - 1), pair // (len(starts) - 1), keys[told] % wide - reach, n[told]
+        at = stop
+
+
+def _cell(votes: int, most_errors: float):
+    """Of a block of queries and a slice of recordings: each pair's alignment."""
+
+    def run(asked: pa.Table, others: pa.Table) -> pa.Table:
+        found: list[tuple[str, int, int, int, float]] = []
+        if asked.num_rows and others.num_rows:
+            (one, starts), (two, starts2) = _lists(asked["_codes"]), _lists(others["_codes"])
+            names, names2, classes = asked["_digest"].to_pylist(), others["_digest"].to_pylist(), others["_class"].to_pylist()
+            for queries, matches, offsets, n in offset_votes(one, starts, two, starts2, votes):
+                best: dict[tuple[int, int], tuple[tuple[int, int, int], float]] = {}
+                for q, m, offset, count in zip(queries.tolist(), matches.tolist(), offsets.tolist(), n.tolist(), strict=True):
+                    if names[q] == names2[m]:
+                        continue
+                    rank = (count, -abs(offset), offset)
+                    if (q, m) in best and best[q, m][0] > rank:
+                        continue
+                    x, y = one[starts[q] + max(0, -offset) : starts[q + 1]], two[starts2[m] + max(0, offset) : starts2[m + 1]]
+                    size = min(len(x), len(y))
+                    errors = int(np.bitwise_count(x[:size] ^ y[:size]).sum()) / (32 * size)
+                    if errors <= most_errors:
+                        best[q, m] = rank, errors
+                found.extend((names[q], classes[m], count, offset, errors) for (q, m), ((count, _, offset), errors) in best.items())
+        columns = list(zip(*found, strict=True)) or [()] * 5
+        kinds = {"_query": pa.string(), "_match": pa.int64(), "_votes": pa.int64(), "_offset": pa.int64(), "_errors": pa.float64()}
+        return pa.table({name: pa.array(x, kind) for (name, kind), x in zip(kinds.items(), columns, strict=True)})
+
+    return run
+
+
 def aligned(prints: DataFrame, *, query_step: int = QUERY_STEP, votes: int = VOTES, most_errors: float = MOST_ERRORS) -> DataFrame:
     """Per recording: _id, _class, n_codes, n_links, and its class's best alignment.
 
     Recordings with equal codes are a class, named by its least id. The
     classes with a member whose id query_step divides are queries, against
     all classes: n_links counts the others that align with at least votes
-    agreeing pairs of successive integers at one offset and at most most_errors of bits differing
-    there. The best has the fewest errors, then the most votes, then the least
+    agreeing integers at one offset and at most most_errors of bits differing
+    there; of several such offsets the one with the most votes is taken, then
+    the nearest to zero. The best has the fewest errors, then the most votes, then the least
     class and offset; other classes have nulls. Recordings without codes are
     a class without links. A null id is a query never, and a class name only
     if the class has no other.
@@ -136,20 +205,14 @@ def aligned(prints: DataFrame, *, query_step: int = QUERY_STEP, votes: int = VOT
         prints.groupBy("_digest").agg(F.min("_id").alias("_class"), F.max(F.coalesce(F.col("_id") % query_step == 0, F.lit(False))).alias("_asked"), F.first("_codes").alias("_codes")),
         "classes",
     )
-    # xxhash64 of each run of successive integers
-    runs = F.zip_with("_codes", F.slice("_codes", RUN, F.greatest(F.size("_codes"), F.lit(1))), lambda x, y: F.when(y.isNotNull(), F.xxhash64(x, y)))
-    places = groups.select("_digest", "_asked", F.posexplode(runs).alias("_at", "_key")).where("_key IS NOT NULL")
-    asked = places.where("_asked").select(F.col("_digest").alias("_query"), F.col("_at").alias("_from"), "_key")
-    hits = asked.join(places.select(F.col("_digest").alias("_other"), "_at", "_key"), "_key").where("_query != _other")
-    offsets = hits.groupBy("_query", "_other", (F.col("_at") - F.col("_from")).alias("_offset")).agg(F.count("*").alias("_votes")).where(F.col("_votes") >= votes)
-    best = offsets.groupBy("_query", "_other").agg(F.max(F.struct("_votes", (-F.abs("_offset")).alias("n"), "_offset")).alias("_b")).select("_query", "_other", "_b._votes", "_b._offset")
-    one = groups.select(F.col("_digest").alias("_query"), F.col("_codes").alias("_one"))
-    other = groups.select(F.col("_digest").alias("_other"), F.col("_codes").alias("_two"), F.col("_class").alias("_match"))
-    pairs = best.join(one, "_query").join(other, "_other")
-    start, start2 = F.greatest(F.lit(0), -F.col("_offset")), F.greatest(F.lit(0), F.col("_offset"))
-    size = F.least(F.size("_one") - start, F.size("_two") - start2)
-    differ = F.zip_with(F.slice("_one", start + 1, size), F.slice("_two", start2 + 1, size), lambda x, y: F.bit_count(x.bitwiseXOR(y)))
-    pairs = pairs.withColumn("_errors", F.aggregate(differ, F.lit(0), lambda a, x: a + x) / (32 * size)).where(F.col("_errors") <= most_errors)
+    n_queries, n_groups = groups.agg(F.count_if("_asked"), F.count("*")).first()
+    n_blocks, n_slices = max(1, -(-n_queries // QUERIES)), max(1, -(-n_groups // SLICE))
+    part = lambda n, seed: F.pmod(F.xxhash64(F.lit(seed), "_digest"), F.lit(n)).cast("int")
+    every = lambda n: F.explode(F.lit(list(range(n))).cast("array<int>"))
+    asked = groups.where("_asked").select("_digest", "_codes", part(n_blocks, 1).alias("_block"), every(n_slices).alias("_slice"))
+    others = groups.select("_digest", "_class", "_codes", part(n_slices, 2).alias("_slice"), every(n_blocks).alias("_block"))
+    cells = asked.groupBy("_block", "_slice").cogroup(others.groupBy("_block", "_slice"))
+    pairs = cells.applyInArrow(_cell(votes, most_errors), "_query string, _match long, _votes long, _offset long, _errors double")
     order = F.struct("_errors", (-F.col("_votes")).alias("v"), "_match", "_offset")
     found = pairs.groupBy(F.col("_query").alias("_digest")).agg(F.count("*").alias("_links"), F.min(order).alias("_best"))
     classes = groups.select("_digest", "_class").join(found, "_digest", "left")
