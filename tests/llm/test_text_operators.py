@@ -290,3 +290,16 @@ def test_quality_keeps_prose_and_drops_junk(spark):
     assert sum(kept[i] == bool(i % 5) for i in range(2, 300)) >= 290
     assert kept[902] and kept[None] and not kept[900]
     assert quality.quality(docs_of(spark, [])).count() == 0
+
+
+def test_a_word_counts_once_in_each_window():
+    scores = np.zeros(400)
+    scores[::10], scores[205] = 5, 4
+    assert toxicity.strongest(scores)[1] * 16 == 9
+    dice = np.random.default_rng(4)
+    for size in (1, 5, 15, 16, 17, 60):
+        for _ in range(20):
+            scores = dice.integers(-5, 6, size).astype(float)
+            want = [sum(set(scores[at : at + 16].tolist())) / 16 for at in range(max(1, size - 15))]
+            at, got = toxicity.strongest(scores)
+            assert np.isclose(got, max(want)) and np.isclose(want[at], got)

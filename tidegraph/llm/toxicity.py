@@ -63,21 +63,22 @@ class Model:
 def strongest(scores: np.ndarray, width: int = WINDOW) -> tuple[int, float]:
     """Start and value of the run of width words with the largest average.
 
-    A word that comes again within width words counts once, and its other
-    places as zero, so a text that repeats one word isn't taken for a strong
-    one; places beyond a short text's end are zero too. Words are told apart
-    by their scores.
+    A word counts once in each window that it is in, so a text that repeats
+    one word isn't taken for a strong one; places beyond a short text's end are
+    zero. Words are told apart by their scores.
     """
     if not len(scores):
         return 0, 0.0
     order = scores.argsort(kind="stable")
-    again = (scores[order[1:]] == scores[order[:-1]]) & (order[1:] - order[:-1] < width)
-    once = scores.copy()
-    once[order[1:][again]] = 0
-    if len(scores) <= width:
-        return 0, float(once.sum()) / width
-    sums = np.concatenate([[0.0], np.cumsum(once, dtype=np.float64)])
-    averages = (sums[width:] - sums[:-width]) / width
+    before = np.full(len(scores), -1)
+    again = scores[order[1:]] == scores[order[:-1]]
+    before[order[1:][again]] = order[:-1][again]
+    # a place counts in the windows that begin after the word's place before
+    places, last = np.arange(len(scores)), max(0, len(scores) - width)
+    first, end = np.maximum(np.maximum(before, places - width) + 1, 0), np.minimum(places, last) + 1
+    counted = first < end
+    changes = np.bincount(first[counted], weights=scores[counted], minlength=last + 2) - np.bincount(end[counted], weights=scores[counted], minlength=last + 2)
+    averages = np.cumsum(changes)[: last + 1] / width
     at = int(averages.argmax())
     return at, float(averages[at])
 
