@@ -158,3 +158,41 @@ def test_similar_groups_decide_by_shingles(spark, task_work):
     # the row without text or id is like the empty one, which has an id and stays
     assert None not in ids
     assert similar.drop_near_duplicates(frame(spark, [])).count() == 0
+
+
+def far_bits(one, other):
+    one, other = (simhash.fingerprint(" ".join(sorted(set(x.split()))).encode(), 1) for x in (one, other))
+    return ((one ^ other) % (1 << 64)).bit_count()
+
+
+def test_links_beyond_the_budget_are_found(spark):
+    dice = random.Random(8)
+    word = lambda: f"w{dice.randrange(10**9)}"
+    rows, far = [], 0
+    for i in range(40):
+        base = [word() for _ in range(200)]
+        ends = [base[:-20] + [word() for _ in range(20)], base[:-24] + [word() for _ in range(24)]]
+        rows += [(3 * i + j, " ".join(x)) for j, x in enumerate([base, *ends])]
+        far += far_bits(rows[-3][1], rows[-2][1]) > similar.BUDGET
+    assert far >= 10
+    want = {i for i in range(120) if i % 3 != 1}
+    assert {r.doc_id for r in similar.drop_near_duplicates(frame(spark, rows)).collect()} == want
+    # frequent shingles that are dealt into parts
+    rows += [(1000 + i, " ".join(["all of them have this line too", *(word() for _ in range(5))])) for i in range(60)]
+    rows += [(2000, "all of them have this line too yes"), (2001, "all of them have this line too yes yes"), (2002, "all of them have this line too yes yes yes")]
+    got = {r.doc_id for r in similar.drop_near_duplicates(frame(spark, rows), heavy=20, budget=1, blocks=3).collect()}
+    assert got == want | {*range(1000, 1060), 2000, 2001, 2002} - {i for i, _ in rows if i in linked(rows)}
+
+
+def linked(rows):
+    """Rows that share 0.8 of their shingles with one of a lesser id, by brute force."""
+    sets = [(i, set(simhash.shingle_hashes(x.encode(), 5).tolist())) for i, x in rows]
+    return {j for n, (j, y) in enumerate(sets) for i, x in sets[:n] if x and len(x & y) >= 0.8 * len(x | y)}
+
+
+def test_bitmaps_rule_out_no_link():
+    dice = np.random.default_rng(9)
+    for n, m, both in ((1, 1, 1), (5, 300, 5), (100, 130, 90), (1000, 900, 850)):
+        shared = dice.integers(-(1 << 62), 1 << 62, both)
+        one, other = (np.unique(np.concatenate([shared, dice.integers(-(1 << 62), 1 << 62, k - both)])) for k in (n, m))
+        assert similar.apart(similar.bitmap(one), similar.bitmap(other)) <= n + m - 2 * both

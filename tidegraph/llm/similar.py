@@ -11,7 +11,14 @@ whose comparison fits a bound of work is compared in one task, by counting
 shared shingles over postings, and gives a spanning forest of links. Larger
 classes are done in a distributed way: the forest is checked and merged, then
 the tries are joined again, giving only pairs between parts of a class that
-are still apart; each of them is checked, so no link is lost.
+are still apart, each of which is checked.
+
+Links of more bits are found by a prefix filter over all texts. In one order
+of all shingles, frequent ones last, two sets that are similar enough share one
+of each one's first fifth, so texts meet under those. Only pairs whose texts
+are still in different groups are looked at, and all of these, so the groups
+are those of all links at the similarity, whatever the budget and the bound of
+work.
 """
 
 from __future__ import annotations
@@ -28,8 +35,13 @@ from tidegraph.llm.common import content, materialise, release
 from tidegraph.llm.components import components
 
 WORDS_EACH, SIMILARITY = 5, 0.8
-#: Bits by which candidates may differ; 99 in 100 pairs at the similarity are within 7, nearly all within 8.
+#: Bits by which candidates of the tries may differ. Scattered changes of long texts are mostly within 8, but half of the
+#: pairs at 0.82 whose last words changed are not; those are left to the prefix filter.
 BUDGET, BLOCKS = 8, 10
+#: Texts that tell which shingles are frequent, and how many of these are told, each found at least so often.
+SAMPLE, FREQUENT, OFTEN = 5_000, 100_000, 4
+#: Pairs of rows under one shingle that are compared at once.
+AT_ONCE = 4_000_000
 #: Members times shingles of a class that one task compares.
 TASK_WORK = 4_000_000_000
 
@@ -153,6 +165,149 @@ def _spread_links(prints: DataFrame, forest: DataFrame, classes: DataFrame, sets
     return first.unionByName(_checked(between, sets, similarity))
 
 
+def _frequent(rows: DataFrame, texts: int, words_each: int) -> tuple[np.ndarray, np.ndarray]:
+    """Frequent shingles in order and how many texts have them, told from some texts. They decide only about the order of shingles."""
+    step = max(1, texts // SAMPLE)
+    some = rows.where(F.pmod(F.xxhash64("_leaf"), F.lit(step)) == 0).mapInArrow(_shingles(words_each), "_leaf long, _set array<long>")
+    counts = some.select(F.explode("_set").alias("_key")).groupBy("_key").agg(F.count("*").alias("_n")).where(F.col("_n") >= OFTEN)
+    found = counts.orderBy(F.desc("_n"), "_key").limit(FREQUENT).toPandas().sort_values("_key")
+    return found["_key"].to_numpy(np.int64), found["_n"].to_numpy(np.int64) * step
+
+
+def prefix(own: np.ndarray, frequent: np.ndarray, counts: np.ndarray, similarity: float) -> np.ndarray:
+    """The first of a set's shingles by frequency, then value; a set that is similar enough has one of them among its own first."""
+    if len(frequent) and len(own):
+        at = np.minimum(np.searchsorted(frequent, own), len(frequent) - 1)
+        own = own[np.lexsort((own, np.where(frequent[at] == own, counts[at], 0)))]
+    return own[: len(own) - int(np.ceil(similarity * len(own) - 1e-9)) + 1]
+
+
+def bitmap(own: np.ndarray) -> bytes:
+    """The parity of a set's shingles in each of as many places as it has shingles, at least 64, rounded up to a power of two."""
+    width = max(64, 1 << (max(1, len(own)) - 1).bit_length())
+    return np.packbits(np.bincount(own & (width - 1), minlength=width) & 1).tobytes()
+
+
+def apart(one: bytes, other: bytes) -> int:
+    """At most the number of shingles that only one of two sets has, told from bitmaps; the wider is folded."""
+    x, y = np.frombuffer(one, np.uint8), np.frombuffer(other, np.uint8)
+    size = min(len(x), len(y))
+    x, y = (np.bitwise_xor.reduce(z.reshape(-1, size), axis=0) for z in (x, y))
+    return int(np.bitwise_count(x ^ y).sum())
+
+
+def _within(similarity: float):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            one, other, sizes = (batch.column(c).to_pylist() for c in ("_one", "_other", "_sizes"))
+            keep = [apart(x, y) <= (1 - similarity) / (1 + similarity) * n + 1e-9 for x, y, n in zip(one, other, sizes, strict=True)]
+            yield batch.select(["a", "b"]).filter(pa.array(keep, pa.bool_()))
+        release()
+
+    return run
+
+
+def _prefixes(words_each: int, similarity: float, frequent: np.ndarray, counts: np.ndarray, heavy: int):
+    """Each text's first shingles, for each the number of parts into which its rows are dealt, and the bitmap of all."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            keys, parts, sizes, bits = [], [], [], []
+            for text in batch.column("_content"):
+                own = np.sort(np.unique(simhash.shingle_hashes(text.as_py(), words_each)).view(np.int64))
+                keys.append(prefix(own, frequent, counts, similarity))
+                at = np.minimum(np.searchsorted(frequent, keys[-1]), max(0, len(frequent) - 1))
+                many = np.where(frequent[at] == keys[-1], counts[at], 0) if len(frequent) else np.zeros(len(keys[-1]), np.int64)
+                parts.append((1 + many // heavy).astype(np.int32) if (many >= heavy).any() else None)
+                sizes.append(len(own))
+                bits.append(bitmap(own))
+            columns = [batch.column("_leaf"), pa.array(sizes, pa.int32()), pa.array(keys, pa.list_(pa.int64())), pa.array(parts, pa.list_(pa.int32())), pa.array(bits, pa.binary())]
+            yield pa.RecordBatch.from_arrays(columns, ["_leaf", "_size", "_keys", "_parts", "_bits"])
+        release()
+
+    return run
+
+
+def _met(similarity: float):
+    """Pairs of different labels under one (_key, _sub) that can be similar enough; rows arrive ordered by them."""
+    names = ("_key", "_sub", "_leaf", "_label", "_size", "_pos")
+
+    def pairs(group: list[np.ndarray]) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+        _, _, leaf, label, size, pos = group
+        step = max(1, AT_ONCE // len(leaf))
+        for at in range(0, len(leaf), step):
+            to = slice(at, at + step)
+            # the first shingle that two texts share leaves at most these for both
+            most = np.minimum((size - pos)[to, None], (size - pos)[None, :])
+            near = (label[to, None] < label[None, :]) & (most >= similarity / (1 + similarity) * (size[to, None] + size[None, :]) - 1e-9)
+            i, j = np.nonzero(near)
+            yield np.minimum(leaf[to][i], leaf[j]), np.maximum(leaf[to][i], leaf[j])
+
+    def batch_of(found: list[tuple[np.ndarray, np.ndarray]]) -> pa.RecordBatch:
+        return pa.RecordBatch.from_arrays([pa.array(np.concatenate(x), pa.int64()) for x in zip(*found, strict=True)], ["a", "b"])
+
+    def told(rows: list[np.ndarray], bounds: np.ndarray) -> Iterator[pa.RecordBatch]:
+        found, size = [], 0
+        for low, high in zip(bounds[:-1][np.diff(bounds) > 1].tolist(), bounds[1:][np.diff(bounds) > 1].tolist(), strict=True):
+            group = [x[low:high] for x in rows]
+            if (group[3] == group[3][0]).all():
+                continue
+            for a, b in pairs(group):
+                if len(a):
+                    found.append((a, b))
+                    size += len(a)
+                if size > AT_ONCE:
+                    yield batch_of(found)
+                    found, size = [], 0
+        if found:
+            yield batch_of(found)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: list[list[np.ndarray]] = []
+        for batch in batches:
+            if not batch.num_rows:
+                continue
+            rows = [batch.column(c).to_numpy(zero_copy_only=False) for c in names]
+            if held and (rows[0][-1], rows[1][-1]) == (held[0][0][0], held[0][1][0]):
+                held.append(rows)  # all of one key
+                continue
+            rows = [np.concatenate(x) for x in zip(*held, rows, strict=True)]
+            bounds = np.concatenate([[0], np.flatnonzero((rows[0][1:] != rows[0][:-1]) | (rows[1][1:] != rows[1][:-1])) + 1])
+            yield from told(rows, bounds)
+            held = [[x[bounds[-1] :] for x in rows]]
+        if held:
+            rows = [np.concatenate(x) for x in zip(*held, strict=True)]
+            yield from told(rows, np.array([0, len(rows[0])]))
+        release()
+
+    return run
+
+
+def _far_links(rows: DataFrame, groups: DataFrame, texts: int, similarity: float, words_each: int, heavy: int) -> DataFrame:
+    """Links (a, b) between different groups (vertex, root), by a prefix filter; a text of no group is one by itself."""
+    frequent, counts = _frequent(rows, texts, words_each)
+    firsts = rows.mapInArrow(_prefixes(words_each, similarity, frequent, counts, heavy), "_leaf long, _size int, _keys array<long>, _parts array<int>, _bits binary")
+    firsts = materialise(firsts, "firsts")
+    bits = firsts.select("_leaf", "_size", "_bits").dropDuplicates(["_leaf"])
+    firsts = firsts.drop("_bits").join(groups.withColumnRenamed("vertex", "_leaf"), "_leaf", "left").withColumn("_label", F.coalesce("root", "_leaf"))
+    keyed = firsts.select("_leaf", "_label", "_size", "_parts", F.posexplode("_keys").alias("_pos", "_key"))
+    # rows of a frequent shingle are dealt into parts, which meet by twos
+    parts = F.coalesce(F.get("_parts", F.col("_pos")), F.lit(1))
+    part = F.pmod(F.xxhash64("_leaf"), parts).cast("int")
+    subs = F.transform(F.sequence(F.lit(0), parts - 1), lambda x: F.least(x, part) * parts + F.greatest(x, part))
+    keyed = keyed.select("_key", F.explode(F.when(parts == 1, F.array(F.lit(0))).otherwise(subs)).alias("_sub"), "_leaf", "_label", "_size", "_pos")
+    keyed = keyed.repartition("_key", "_sub").sortWithinPartitions("_key", "_sub")
+    pairs = materialise(keyed.mapInArrow(_met(similarity), "a long, b long").distinct(), "far-pairs")
+    # bitmaps rule out most pairs that met by chance, so few sets travel
+    pairs = pairs.join(bits.select(F.col("_leaf").alias("a"), F.col("_size").alias("m"), F.col("_bits").alias("_one")), "a")
+    pairs = pairs.join(bits.select(F.col("_leaf").alias("b"), F.col("_size").alias("n"), F.col("_bits").alias("_other")), "b")
+    pairs = pairs.select("a", "b", "_one", "_other", (F.col("m") + F.col("n")).alias("_sizes"))
+    pairs = materialise(pairs.mapInArrow(_within(similarity), "a long, b long"), "far-within")
+    leaves = materialise(pairs.select(F.explode(F.array("a", "b")).alias("_leaf")).distinct(), "far")
+    sets = rows.join(leaves, "_leaf", "left_semi").mapInArrow(_shingles(words_each), "_leaf long, _set array<long>").dropDuplicates(["_leaf"])
+    return _checked(pairs, materialise(sets, "far-shingles"), similarity)
+
+
 def similar_groups(docs: DataFrame, *, similarity: float = SIMILARITY, words_each: int = WORDS_EACH, budget: int = BUDGET, blocks: int = BLOCKS, heavy: int = simhash.HEAVY, task_work: int = TASK_WORK, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """(_leaf, _root): rows that are linked to another, by a hash of id and text; _root is one leaf of the group.
 
@@ -175,7 +330,12 @@ def similar_groups(docs: DataFrame, *, similarity: float = SIMILARITY, words_eac
     if not large.isEmpty():
         rest = sets.join(large, "_class")
         found = found.unionByName(_spread_links(prints, forest, rest.select("_leaf", "_class"), rest.select("_leaf", "_set"), similarity, budget, blocks, heavy))
-    return components(found).select(F.col("vertex").alias("_leaf"), F.col("root").alias("_root"))
+    found = materialise(found, "near-links")
+    groups = materialise(components(found), "near-groups")
+    far = materialise(_far_links(rows, groups, prints.count(), similarity, words_each, heavy), "far-links")
+    if not far.isEmpty():
+        groups = components(found.unionByName(far))
+    return groups.select(F.col("vertex").alias("_leaf"), F.col("root").alias("_root"))
 
 
 def drop_near_duplicates(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", **options) -> DataFrame:
