@@ -196,3 +196,25 @@ def test_bitmaps_rule_out_no_link():
         shared = dice.integers(-(1 << 62), 1 << 62, both)
         one, other = (np.unique(np.concatenate([shared, dice.integers(-(1 << 62), 1 << 62, k - both)])) for k in (n, m))
         assert similar.apart(similar.bitmap(one), similar.bitmap(other)) <= n + m - 2 * both
+
+
+@pytest.mark.parametrize("task_work", [0, similar.TASK_WORK])
+def test_bound_of_work_changes_no_link(spark, task_work):
+    dice = random.Random(11)
+    word = lambda: f"w{dice.randrange(10**9)}"
+    rows, bridged = [], 0
+    for _ in range(400):
+        base = [word() for _ in range(200)]
+        end, middle = base[:-20] + [word() for _ in range(20)], base[:-10]
+        # words halfway between both, in an order that shares no shingle
+        middle += end[-10:]
+        dice.shuffle(middle)
+        one, other, between = " ".join(base), " ".join(end), " ".join(middle)
+        if 9 <= far_bits(one, other) <= 12 and max(far_bits(one, between), far_bits(between, other)) <= 8:
+            rows += [(len(rows) + i, x) for i, x in enumerate((one, other, between))]
+            bridged += 1
+        if bridged == 8:
+            break
+    assert bridged == 8
+    kept = {r.doc_id for r in similar.drop_near_duplicates(frame(spark, rows), task_work=task_work).collect()}
+    assert kept == {i for i in range(24) if i % 3 != 1}
