@@ -1,9 +1,11 @@
+import random
+
 import pytest
 from pyspark.sql import functions as F
 
 from tidegraph.operators import paths, patterns
 from tidegraph.plans.structured import Compare, DateTime, Request, first_variable, literal, run
-from tidegraph.sources.star import Graph
+from tidegraph.sources.star import Graph, Part
 
 
 @pytest.fixture(scope="module")
@@ -26,8 +28,14 @@ def test_match_joins_on_shared_variables(small):
     assert rows(found, "x", "y", "z") == [("a", "b", "c"), ("b", "c", "a"), ("b", "c", "d"), ("c", "a", "b")]
     assert rows(patterns.match(small, [("?x", "likes", "?x")])) == [("b",)]
     assert rows(patterns.match(small, [("?x", "p", "?y"), ("?x", "likes", "d")]), "x", "y") == [("a", "b")]
+
+
+def test_unconnected_patterns_need_a_small_side(small, monkeypatch):
+    unconnected = [("?x", "p", "?y"), ("?u", "likes", "?v")]
+    assert len(rows(patterns.match(small, unconnected), "x", "y", "u", "v")) == 8
+    monkeypatch.setattr(patterns, "PRODUCT", 1)
     with pytest.raises(ValueError):
-        patterns.match(small, [("?x", "p", "?y"), ("?u", "likes", "?v")])
+        patterns.match(small, unconnected)
 
 
 def test_optional_keeps_rows_and_filters_inside(small):
@@ -43,6 +51,47 @@ def test_minus_and_not_exists_differ_without_shared_variables(small):
     assert rows(patterns.minus(left, patterns.match(small, [("?x", "likes", "?v")]).select("x")), "x", "y") == [("c", "a"), ("c", "d")]
 
 
+def test_minus_counts_only_variables_that_both_bind(spark):
+    left = spark.createDataFrame([(1, None), (1, 2), (None, None), (3, 4)], "a int, b int")
+    right = spark.createDataFrame([(1, 2), (None, 4), (None, None)], "a int, b int")
+    # (1, unbound) is compatible with (1, 2) and shares a; (3, 4) with (unbound, 4) by b; without a bound variable nothing goes
+    assert rows(patterns.minus(left, right), "a", "b") == [(None, None)]
+    assert rows(patterns.minus(left, right.where("a IS NULL")), "a", "b") == [(1, 2), (1, None), (None, None)]
+    assert rows(patterns.minus(left, right, always_bound=True), "a", "b") == [(1, None), (3, 4), (None, None)]
+
+
+def typed_graph(spark, folder):
+    spark.createDataFrame([(i, i % 5) for i in range(1000)], "k long, owner int").write.parquet(f"{folder}/things")
+    spark.createDataFrame([(i, f"o{i}") for i in range(5)], "k int, name string").write.parquet(f"{folder}/owners")
+    things, owners = spark.read.parquet(f"{folder}/things"), spark.read.parquet(f"{folder}/owners")
+    g = Graph(spark)
+    g.add("OWNED_BY", Part(things, "THING", "k", "OWNER", "owner"), Part(owners.withColumn("boss", F.lit(0)), "OWNER", "k", "OWNER", "boss"))
+    g.add("MADE", Part(things, "THING", "k", "THING", "owner"))
+    g.tables["OWNER"] = (owners, "k", {"name": "name"})
+    g.entities["OWNER"] = owners.select(F.concat(F.lit("OWNER/"), F.col("k").cast("string")).alias("id"), "name")
+    return g
+
+
+def plan_of(df):
+    return df._jdf.queryExecution().executedPlan().toString()
+
+
+def test_constants_reach_the_scan_and_types_leave_parts_out(spark, tmp_path):
+    g = typed_graph(spark, tmp_path)
+    found = patterns.match(g, [("?t", "OWNED_BY", "OWNER/3")])
+    assert "EqualTo(owner,3)" in plan_of(found)
+    assert len(rows(found, "t")) == 200
+    found = patterns.match(g, [("THING/7", "OWNED_BY", "?o")], properties={"o": (["OWNER"], ["name"])})
+    assert "EqualTo(k,7)" in plan_of(found) and rows(found, "o", "o_name") == [("OWNER/2", "o2")]
+    # ?t is a THING in the second pattern, so owners of owners aren't read, and the join is on numbers
+    found = patterns.match(g, [("?t", "OWNED_BY", "?o"), ("?t", "MADE", "?m")])
+    assert "owners" not in plan_of(found) and "concat" not in plan_of(found).split("Join")[-1]
+    assert found.count() == 1000 and set(found.columns) == {"t", "o", "m"}
+    assert rows(patterns.match(g, [("?x", "OWNED_BY", "?x")]), "x") == [("OWNER/0",)]
+    for nothing in ([("?t", "OWNED_BY", "OWNER/x")], [("?t", "OWNED_BY", "OTHER/3")], [("?t", "OWNED_BY", "?o"), ("?o", "MADE", "?m")], [("?t", "OWNED_BY", "OWNER/03")]):
+        assert patterns.match(g, nothing).count() == 0
+
+
 def test_compatible_join_with_unbound_variables(spark):
     left = spark.createDataFrame([("1", "a"), ("2", None)], "l string, k string")
     right = spark.createDataFrame([("a", "x"), ("b", "y"), (None, "z")], "k string, r string")
@@ -69,6 +118,18 @@ def test_aggregates_over_nothing_and_over_unbound(small):
     assert tuple(got) == (None, 6)
 
 
+def test_closure_equals_brute_force(spark):
+    dice = random.Random(5)
+    for size, count in ((12, 18), (30, 25)):
+        pairs = {(dice.randrange(size), dice.randrange(size)) for _ in range(count)}
+        want, grown = set(), set(pairs)
+        while grown != want:
+            want, grown = grown, grown | {(a, d) for a, b in grown for c, d in pairs if b == c}
+        edges = spark.createDataFrame(sorted(pairs), "src int, dst int")
+        assert {tuple(r) for r in paths.one_or_more(edges).collect()} == want
+    assert paths.one_or_more(edges.limit(0)).count() == 0
+
+
 def test_paths_end_on_cycles(small):
     edges = small.scan("p")
     plus = rows(paths.one_or_more(edges), "src", "dst")

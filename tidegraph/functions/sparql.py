@@ -94,10 +94,76 @@ def timezone_of(lexical: Column | str) -> Column:
     return F.regexp_extract(_c(lexical), r"(Z|[+-]\d{2}:\d{2})$", 1)
 
 
+#: What a backslash and a letter stand for in the text of a literal.
+ESCAPES = {"t": "\t", "b": "\b", "n": "\n", "r": "\r", "f": "\f", '"': '"', "'": "'", "\\": "\\"}
+
+
+def unescape(s: Column | str) -> Column:
+    """N-Triples escapes, those of code points included, replaced by what they stand for."""
+    text = _c(s)
+
+    def plain(token: Column) -> Column:
+        code = F.decode(F.unhex(F.lpad(F.substring(token, 3, 8), 8, "0")), "UTF-32")
+        out = F.when(token.rlike(r"^\\[uU]"), code)
+        for letter, stands_for in ESCAPES.items():
+            out = out.when(token == "\\" + letter, stands_for)
+        return out.otherwise(token)
+
+    tokens = F.regexp_extract_all(text, F.lit(r"\\u[0-9A-Fa-f]{4}|\\U[0-9A-Fa-f]{8}|(?s:\\.)|[^\\]++"), F.lit(0))
+    return F.when(text.contains("\\"), F.array_join(F.transform(tokens, plain), "")).otherwise(text)
+
+
+def escape(s: Column | str) -> Column:
+    """The text of a literal in canonical N-Triples, where only four characters are escaped."""
+    out = _c(s)
+    for one, other in (("\\", "\\\\"), ('"', '\\"'), ("\n", "\\n"), ("\r", "\\r")):
+        out = F.replace(out, F.lit(one), F.lit(other))
+    return out
+
+
+def canonical(term: Column | str) -> Column:
+    """A term in canonical N-Triples: no escapes but the four of literals, language tags in small letters, xsd:string left out."""
+    t = _c(term)
+    suffix = F.regexp_extract(t, _LITERAL, 2)
+    suffix = F.when(suffix == f"^^<{XSD}string>", "").when(suffix.startswith("@"), F.lower(suffix)).otherwise(unescape(suffix))
+    literal = F.concat(F.lit('"'), escape(unescape(F.regexp_extract(t, _LITERAL, 1))), F.lit('"'), suffix)
+    return F.when(t.startswith('"'), literal).when(t.startswith("<"), unescape(t)).otherwise(t)
+
+
+_LITERAL = r'(?s)^"(.*)"(@[A-Za-z0-9-]+|\^\^<[^>]*>)?$'
+
+
 def lexical(term: Column | str) -> Column:
-    """STR of a term in N-Triples form; a blank node has none."""
+    """STR of a term in N-Triples form, without its escapes; a blank node has none."""
     t = _c(term)
-    return F.when(t.startswith("<"), F.regexp_extract(t, r"^<(.*)>$", 1)).when(t.startswith('"'), F.regexp_extract(t, r'(?s)^"(.*)"(?:@[A-Za-z0-9-]+|\^\^<[^>]*>)?$', 1))
+    return F.when(t.startswith("<"), unescape(F.regexp_extract(t, r"^<(.*)>$", 1))).when(t.startswith('"'), unescape(F.regexp_extract(t, _LITERAL, 1)))
+
+
+def iri(s: Column | str, base: str = "") -> Column:
+    """IRI of a text; one without a scheme is resolved against base, which is put before it."""
+    text = _c(s)
+    whole = F.when(text.rlike(r"^[A-Za-z][A-Za-z0-9+.-]*:"), text).otherwise(F.concat(F.lit(base), text))
+    return F.when(~whole.rlike(r'[<>"{}|^`\\\x00-\x20]'), F.concat(F.lit("<"), whole, F.lit(">")))
+
+
+def bnode(s: Column | str) -> Column:
+    """BNODE of a text: the same blank node for the same text."""
+    return F.concat(F.lit("_:b"), F.substring(F.sha2(_c(s), 256), 1, 32))
+
+
+def str_dt(s: Column | str, datatype_iri: str) -> Column:
+    return canonical(F.concat(F.lit('"'), escape(s), F.lit(f'"^^<{datatype_iri}>')))
+
+
+def str_lang(s: Column | str, tag: Column | str) -> Column:
+    """STRLANG; a tag that is none gives unbound. tag is text or a column."""
+    tag = F.lit(tag) if isinstance(tag, str) else tag
+    return F.when(tag.rlike(r"^[A-Za-z]+(-[A-Za-z0-9]+)*$"), F.concat(F.lit('"'), escape(s), F.lit('"@'), F.lower(tag)))
+
+
+def same_term(a: Column | str, b: Column | str) -> Column:
+    """Terms are one if their canonical texts are."""
+    return canonical(a) == canonical(b)
 
 
 def lang(term: Column | str) -> Column:

@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
+from tidegraph.operators import temporal
 from tidegraph.sources.star import Graph
 
 
@@ -43,12 +44,48 @@ def metadata(events: DataFrame) -> DataFrame:
     return touched.groupBy("id").agg(F.max("commit_seq").alias("last_commit"), F.count("*").alias("events"))
 
 
-def detail(state: DataFrame, events: DataFrame, properties: DataFrame) -> DataFrame:
-    """One row per entity of properties (id, ...): its properties, degrees now, and events ever."""
-    out = state.groupBy(F.col("src").alias("id")).agg(F.count("*").alias("out_edges"))
-    into = state.groupBy(F.col("dst").alias("id")).agg(F.count("*").alias("in_edges"))
-    found = properties.join(out, "id", "left").join(into, "id", "left").join(metadata(events), "id", "left")
-    return found.na.fill(0, ["out_edges", "in_edges", "events"])
+def _listed(rows: DataFrame, name: str, order: list[str], most: int) -> DataFrame:
+    """(id, name, name_total): each id's first most rows by order as a sorted array, and how many there are; ranked with a group limit below the shuffle."""
+    others = [c for c in rows.columns if c != "id"]
+    totals = rows.groupBy("id").agg(F.count("*").alias(f"{name}_total"))
+    first = rows.withColumn("_rank", F.row_number().over(W.partitionBy("id").orderBy(*order))).where(F.col("_rank") <= most)
+    lists = first.groupBy("id").agg(F.array_sort(F.collect_list(F.struct("_rank", *others))).alias("_rows"))
+    return totals.join(lists.select("id", F.transform("_rows", lambda r: F.struct(*(r[c].alias(c) for c in others))).alias(name)), "id")
+
+
+def detail(events: DataFrame, properties: DataFrame, *, commit_seq: int | None = None, valid_time: object = None, observations: DataFrame | None = None, most: int = 1000) -> DataFrame:
+    """One row per entity of properties (id, ...), as of a commit and valid time.
+
+    Its properties and metadata, its out- and in-edges of that state, the
+    history of the events that touch it, and its observations (id, at, text).
+    Lists hold the first most rows, edges by relation, other end and edge_id,
+    history and observations oldest first; the totals count all.
+    """
+    if not 1 <= most <= 10_000:
+        raise ValueError("most must be from 1 to 10000")
+    seen = temporal.snapshot(events, commit_seq=commit_seq, valid_time=valid_time)
+    now = temporal.state(events, commit_seq=commit_seq, valid_time=valid_time)
+    wanted = properties.select("id").distinct()
+    ends = (("out", "src", "dst"), ("in", "dst", "src"))
+    of = lambda df, a: df.join(wanted.select(F.col("id").alias(a)), a, "left_semi")
+    found = properties.join(metadata(seen).join(wanted, "id", "left_semi"), "id", "left").na.fill(0, ["events"])
+    for name, a, b in ends:
+        edges = of(now, a).select(F.col(a).alias("id"), "relation", F.col(b).alias("other"), "edge_id")
+        found = found.join(_listed(edges, f"{name}_edges", ["relation", "other", "edge_id"], most), "id", "left")
+    touched = [of(seen, a).select(F.col(a).alias("id"), F.lit(name).alias("direction"), "commit_seq", "event_ord", "op", "relation", F.col(b).alias("other"), "edge_id") for name, a, b in ends]
+    found = found.join(_listed(touched[0].unionByName(touched[1]), "history", ["commit_seq", "event_ord", "edge_id", "direction"], most), "id", "left")
+    names = ["out_edges", "in_edges", "history"]
+    if observations is not None:
+        found = found.join(_listed(observations.select("id", "at", "text"), "observations", ["at", "text"], most), "id", "left")
+        names.append("observations")
+    return found.na.fill(0, [f"{n}_total" for n in names])
+
+
+def why(events: DataFrame, evidence: DataFrame, *, most: int = 1000) -> DataFrame:
+    """Per edge: the events that made it what it is, oldest first, and the evidence (edge_id, episode, text) for it; lists as in detail()."""
+    lineage = _listed(events.select(F.col("edge_id").alias("id"), "commit_seq", "event_ord", "op", "valid_from"), "lineage", ["commit_seq", "event_ord"], most)
+    grounds = _listed(evidence.select(F.col("edge_id").alias("id"), "episode", "text"), "evidence", ["episode", "text"], most)
+    return lineage.join(grounds, "id", "left").na.fill(0, ["evidence_total"]).withColumnRenamed("id", "edge_id")
 
 
 def summary(graph: Graph) -> DataFrame:

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from dataclasses import dataclass, field
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -87,6 +88,52 @@ def edge_counts(graph: Graph, ontology: Ontology) -> DataFrame:
     return counts.join(F.broadcast(names), "relation", "right").na.fill(0, ["edge_count"])
 
 
+def view(graph: Graph, ontology: Ontology, *, counts: bool = False) -> DataFrame:
+    """Types with their parents, and relations with domains, ranges and limits; with the number of edges if asked for."""
+    kinds = [("type", n, parent, None, None, None) for n, parent in sorted(ontology.types.items())]
+    relations = [("relation", n, None, sorted(r.domains), sorted(r.ranges), r.max_count) for n, r in sorted(ontology.relations.items())]
+    out = graph.spark.createDataFrame([*kinds, *relations], "family string, name string, parent string, domains array<string>, ranges array<string>, max_count int").withColumn("version", F.lit(ontology.version))
+    if not counts:
+        return out
+    return out.join(edge_counts(graph, ontology).withColumnRenamed("relation", "name"), "name", "left")
+
+
+def _failures(values: DataFrame, constraint: str, wrong: Column) -> DataFrame:
+    return values.where(F.coalesce(wrong, F.lit(False))).select(F.col("id").alias("focus"), F.lit(constraint).alias("constraint"), F.col("value").cast("string").alias("value"))
+
+
+@dataclass(frozen=True)
+class Shape:
+    """Constraints on one property of the entities of a type; what is None is not asked for."""
+
+    kind: str
+    property: str
+    min_count: int | None = None
+    datatype: str | None = None
+    pattern: str | None = None
+    min_value: float | None = None
+    max_value: float | None = None
+    one_of: tuple | None = None
+
+
+def check_shapes(graph: Graph, shapes: list[Shape]) -> DataFrame:
+    """(focus, constraint, value) of every property value that breaks a shape; a missing value breaks min_count only."""
+    found = []
+    for s in shapes:
+        own = graph.entities[s.kind].select("id", F.col(s.property).alias("value"))
+        value, name = F.col("value"), f"{s.kind}.{s.property}"
+        checks = {
+            "minCount": value.isNull() if s.min_count else None,
+            "datatype": value.isNotNull() & value.cast("string").try_cast(s.datatype).isNull() if s.datatype else None,
+            "pattern": ~value.cast("string").rlike(s.pattern) if s.pattern else None,
+            "minInclusive": value < s.min_value if s.min_value is not None else None,
+            "maxInclusive": value > s.max_value if s.max_value is not None else None,
+            "in": ~value.isin(list(s.one_of)) if s.one_of else None,
+        }
+        found.extend(_failures(own, f"{name} {kind}", wrong) for kind, wrong in checks.items() if wrong is not None)
+    return reduce(lambda a, b: a.unionByName(b), found)
+
+
 def conformance(edges: DataFrame, rules: DataFrame) -> DataFrame:
     """Sources with more edges of a relation than it allows; reads the whole snapshot and blocks no write."""
     limits = rules.where("max_count IS NOT NULL").select("relation", "max_count").distinct()
@@ -104,14 +151,32 @@ def normalised(column: str | Column) -> Column:
     return F.lower(F.regexp_replace(F.trim(F.col(column) if isinstance(column, str) else column), r"[^0-9A-Za-z]+", " "))
 
 
+def _shortened(column: str, most: int) -> Column:
+    """The text and all that is left of it after taking out up to most characters."""
+
+    def shorter(texts: Column) -> Column:
+        each = F.transform(texts, lambda t: F.transform(F.sequence(F.lit(1), F.greatest(F.length(t), F.lit(1))), lambda i: F.concat(F.substring(t, F.lit(1), i - 1), t.substr(i + 1, F.length(t)))))
+        return F.array_distinct(F.concat(texts, F.flatten(each)))
+
+    out = F.array(F.col(column))
+    for _ in range(most):
+        out = shorter(out)
+    return out
+
+
 def resolve(mentions: DataFrame, names: DataFrame, most: int = 2) -> DataFrame:
-    """Each mention's entity by normalised name; those without one by edit distance among names of the same first letter and like length."""
-    m = mentions.select("mention", normalised("mention").alias("_key"))
+    """Each mention's entity by normalised name; those without one by the least edit distance up to most.
+
+    Two texts within that distance have a text in common after taking up to so
+    many characters out of each, so they meet by an equality, whichever
+    characters are wrong, the first included. Names are looked up by all that
+    is left of them, so most should stay small.
+    """
+    m = mentions.select("mention", normalised("mention").alias("_key")).distinct()
     n = names.select("id", normalised("name").alias("_key"))
     exact = m.join(n, "_key").groupBy("mention").agg(F.min("id").alias("id")).withColumn("distance", F.lit(0))
-    rest = m.join(exact, "mention", "left_anti").withColumn("_size", F.explode(F.sequence(F.length("_key") - most, F.length("_key") + most)))
-    block = [F.substring("_key", 1, 1).alias("_first")]
-    near = rest.select("mention", F.col("_key").alias("_m"), "_size", *block).join(n.select("id", F.col("_key").alias("_n"), F.length("_key").alias("_size"), *block), ["_first", "_size"])
+    rest = m.join(exact, "mention", "left_anti").select("mention", F.col("_key").alias("_m"), F.explode(_shortened("_key", most)).alias("_short"))
+    near = rest.join(n.select("id", F.col("_key").alias("_n"), F.explode(_shortened("_key", most)).alias("_short")), "_short").drop("_short").distinct()
     near = near.withColumn("distance", F.levenshtein("_m", "_n")).where(F.col("distance") <= most)
     best = near.groupBy("mention").agg(F.min(F.struct("distance", "id")).alias("_b")).select("mention", "_b.id", "_b.distance")
     return exact.unionByName(best)

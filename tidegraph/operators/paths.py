@@ -1,13 +1,15 @@
 """Property paths.
 
 Fixed steps are joins. Closures have set semantics and end on cycles: with one
-end bound the frontier is widened step by step; with both ends free the
-relation is squared, so the rounds grow with the logarithm of the depth. Each
+end bound the frontier is widened step by step; with both ends free powers of
+the relation are joined, so the rounds grow with the logarithm of the depth. Each
 round is written to the shared folder, which cuts the lineage.
 """
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -49,29 +51,51 @@ def zero_or_one(edges: DataFrame) -> DataFrame:
 
 
 def one_or_more(edges: DataFrame) -> DataFrame:
-    """All pairs that a path of at least one edge connects."""
-    reach = materialise(edges.select("src", "dst").distinct(), "closure")
-    size = reach.count()
+    """All pairs that a path of at least one edge connects.
+
+    In round i, power has the pairs that 2^i edges connect and reach those of
+    fewer; joining the two gives the pairs of up to 2^(i+1) - 1 edges, and only
+    those that reach lacks are written. So a pair of a tree is made once, and
+    rounds grow with the logarithm of the depth. Pairs at a longest distance
+    have others at each shorter one, so a round without new pairs is the last.
+    """
+    power = materialise(edges.select("src", "dst").distinct(), "closure")
+    reach = [power]
+    power = materialise(sequence(power, power).distinct(), "power")
     while True:
-        wider = materialise(reach.unionByName(sequence(reach, reach)).distinct(), "closure")
-        now = wider.count()
-        if now == size:
-            return wider
-        reach, size = wider, now
+        known = reduce(lambda a, b: a.unionByName(b), reach)
+        new = power.unionByName(sequence(power, known)).distinct().join(known, ["src", "dst"], "left_anti")
+        new = materialise(new, "closure")
+        if new.isEmpty():
+            return known
+        reach.append(new)
+        power = materialise(sequence(power, power).distinct(), "power")
 
 
 def zero_or_more(edges: DataFrame) -> DataFrame:
     return one_or_more(edges).unionByName(zero_length(edges)).distinct()
 
 
+#: Rounds whose pairs are read as separate files before they are written as one.
+KEPT_APART = 16
+
+
 def reachable(edges: DataFrame, seeds: DataFrame, *, include_seeds: bool = False) -> DataFrame:
-    """(seed, dst) for nodes that a path leads to from each seed (a column src)."""
+    """(seed, dst) for nodes that a path leads to from each seed (a column src).
+
+    Each round writes only what it finds; what was found before is read.
+    """
     step = edges.select(F.col("src").alias("_at"), F.col("dst").alias("_to")).distinct()
     start = seeds.select(F.col("src").alias("seed")).distinct()
-    seen = materialise(start.join(step, F.col("seed") == F.col("_at")).select("seed", F.col("_to").alias("dst")).distinct(), "reach")
-    frontier = seen
+    frontier = materialise(start.join(step, F.col("seed") == F.col("_at")).select("seed", F.col("_to").alias("dst")).distinct(), "frontier")
+    found = [frontier]
     while not frontier.isEmpty():
-        found = frontier.join(step, F.col("dst") == F.col("_at")).select("seed", F.col("_to").alias("dst")).distinct()
-        frontier = materialise(found.join(seen, ["seed", "dst"], "left_anti"), "frontier")
-        seen = materialise(seen.unionByName(frontier), "reach")
+        seen = reduce(lambda a, b: a.unionByName(b), found)
+        if len(found) > KEPT_APART:
+            seen = materialise(seen, "reach")
+            found = [seen]
+        new = frontier.join(step, F.col("dst") == F.col("_at")).select("seed", F.col("_to").alias("dst")).distinct()
+        frontier = materialise(new.join(seen, ["seed", "dst"], "left_anti"), "frontier")
+        found.append(frontier)
+    seen = reduce(lambda a, b: a.unionByName(b), found)
     return seen.unionByName(start.select("seed", F.col("seed").alias("dst"))).distinct() if include_seeds else seen

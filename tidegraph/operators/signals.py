@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
+from dataclasses import dataclass
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
@@ -77,9 +79,16 @@ def grades(documents: DataFrame, labels: DataFrame) -> DataFrame:
     return labels.join(documents.select("doc_id", "source"), "doc_id").select(F.col("source").alias("query"), F.concat(F.lit("DOCUMENT/"), F.col("doc_id").cast("string")).alias("target"), grade.alias("grade"))
 
 
-def feedback_summary(feedback: DataFrame) -> DataFrame:
-    """Raw and deduplicated events by grade."""
-    return feedback.groupBy("grade").agg(F.count("*").alias("raw"), F.countDistinct("query", "target").alias("deduplicated"))
+def feedback_summary(feedback: DataFrame, *, by: Sequence[str] = ("grade",)) -> DataFrame:
+    """Raw and deduplicated events by grade, or by grade and split where feedback has one."""
+    return feedback.groupBy(*by).agg(F.count("*").alias("raw"), F.countDistinct("query", "target").alias("deduplicated"))
+
+
+def planner_examples(feed: DataFrame, kind: str, split: int | Column) -> DataFrame:
+    """What a planner learns from: traces of one kind at or before split that have a payload, each with its request."""
+    found = feed.where((F.col("kind") == kind) & (F.col("seq") <= split) & F.col("payload").isNotNull())
+    request = F.col("request_id") if "request_id" in feed.columns else F.col("seq").cast("string")
+    return found.select("seq", request.alias("request_id"), "payload")
 
 
 def numbered_runs(manifests: DataFrame) -> DataFrame:
@@ -88,9 +97,63 @@ def numbered_runs(manifests: DataFrame) -> DataFrame:
 
 
 def registry(runs: DataFrame, promotions: DataFrame) -> DataFrame:
-    """Runs with the effective promotion, the last one of each kind."""
+    """Runs with the effective promotion, the last one of each kind; newest first."""
     current = promotions.groupBy("kind").agg(F.max(F.struct("at", "run")).alias("_c")).select("kind", F.col("_c.run").alias("current"))
-    return runs.join(current, "kind", "left").withColumn("promoted", F.coalesce(F.col("run") == F.col("current"), F.lit(False))).drop("current")
+    return runs.join(current, "kind", "left").withColumn("promoted", F.coalesce(F.col("run") == F.col("current"), F.lit(False))).drop("current").orderBy("kind", F.desc("run"))
+
+
+def promote(runs: DataFrame, promotions: DataFrame, kind: str, run: int, at: int, *, expected: int | None) -> DataFrame:
+    """The promotions with one more, if the run exists and expected is what is current now; a replay adds nothing."""
+    current = registry(runs, promotions).where((F.col("kind") == kind) & F.col("promoted")).select("run").first()
+    if current and current.run == run:
+        return promotions
+    if (current.run if current else None) != expected:
+        raise ValueError(f"{kind} has run {current.run if current else None} promoted, not {expected}")
+    if runs.where((F.col("kind") == kind) & (F.col("run") == run)).isEmpty():
+        raise ValueError(f"{kind} has no run {run}")
+    return promotions.unionByName(promotions.sparkSession.createDataFrame([(kind, run, at)], "kind string, run int, at long").select(*(F.col(c).cast(promotions.schema[c].dataType) for c in ("kind", "run", "at"))).select(*promotions.columns))
+
+
+def fact_scores(predicted: DataFrame, truth: DataFrame, on: Sequence[str], by: Sequence[str] = ()) -> DataFrame:
+    """Precision, recall and F1 of predicted facts, over all or by columns that facts have; equal facts count once."""
+    one, other = predicted.select(*by, *on).distinct().withColumn("_p", F.lit(1)), truth.select(*by, *on).distinct().withColumn("_t", F.lit(1))
+    both = one.join(other, [*by, *on], "full").groupBy(*by).agg(F.count("_p").alias("predicted"), F.count("_t").alias("true"), F.count_if(F.col("_p").isNotNull() & F.col("_t").isNotNull()).alias("hits"))
+    both = both.withColumns({"precision": F.try_divide("hits", "predicted"), "recall": F.try_divide("hits", "true")})
+    return both.withColumn("f1", F.coalesce(F.try_divide(2 * F.col("hits"), F.col("predicted") + F.col("true")), F.lit(0.0)))
+
+
+def slot_exactness(predicted: DataFrame, truth: DataFrame, key: str, slots: Sequence[str]) -> DataFrame:
+    """How many requests have all slots right, null being right only for null; a request without a prediction is wrong."""
+    own = predicted.select(key, F.struct(*slots).alias("_p"))
+    right = reduce(lambda a, b: a & b, (F.col(f"_p.{s}").eqNullSafe(F.col(s)) for s in slots)) & F.col("_p").isNotNull()
+    return truth.join(own, key, "left").agg(F.count("*").alias("requests"), F.count_if(right).alias("exact"), F.try_divide(F.count_if(right), F.count("*")).alias("exactness"))
+
+
+@dataclass(frozen=True)
+class Tick:
+    """What a training tick did: its best candidate, that one's score on the training slice and held out, and whether it is promoted."""
+
+    candidate: str
+    train_score: float
+    held_score: float
+    champion_score: float
+    promoted: bool
+
+
+def train_tick(feed: DataFrame, candidates: dict[str, Callable[[DataFrame], DataFrame]], metric: Callable[[DataFrame], float], split: int, *, champion: Callable[[DataFrame], DataFrame], margin: float = 0.0, most: int = 32) -> Tick:
+    """A bounded search on signals at or before split, gated on those after it.
+
+    Each candidate maps signals to predictions, which metric scores by a Spark
+    job; the best on the training slice (ties: the first by name) is promoted
+    if it beats the champion by over margin on the held-out signals.
+    """
+    if not 1 <= len(candidates) <= most:
+        raise ValueError(f"from 1 to {most} candidates")
+    train, held = feed.where(F.col("seq") <= split), feed.where(F.col("seq") > split)
+    scores = {name: metric(predict(train)) for name, predict in sorted(candidates.items())}
+    best = max(scores, key=lambda n: scores[n])
+    reached, now = metric(candidates[best](held)), metric(champion(held))
+    return Tick(best, scores[best], reached, now, reached > now + margin)
 
 
 def registry_gc(listed: DataFrame, keep: int) -> DataFrame:
@@ -113,16 +176,34 @@ def cadence(feed: DataFrame, trained: DataFrame) -> DataFrame:
     return now.join(trained, "kind", "left").withColumn("due", F.coalesce(F.col("signals") >= 2 * F.col("signals_at_run"), F.lit(True)))
 
 
-def probes(edges: DataFrame) -> DataFrame:
-    """Questions with executed answers: what does src lead to by relation."""
-    return edges.groupBy("src", "relation").agg(F.countDistinct("dst").alias("answers"), F.min("dst").alias("first_answer"))
+def probes(edges: DataFrame, most: int) -> DataFrame:
+    """Questions with executed answers: what src leads to by relation, for the first most by a hash, the same on every run.
+
+    answers comes from the edges as they are; verified says that asking for
+    each answer by itself finds as many.
+    """
+    asked = edges.select("src", "relation").distinct().withColumn("_order", F.md5(F.concat("src", F.lit("|"), "relation").cast("binary"))).orderBy("_order").limit(most).drop("_order")
+    answers = edges.select("src", "relation", "dst").join(asked, ["src", "relation"], "left_semi").distinct()
+    found = answers.groupBy("src", "relation").agg(F.count("*").alias("answers"), F.min("dst").alias("first_answer"))
+    again = edges.join(answers, ["src", "relation", "dst"], "left_semi").groupBy("src", "relation").agg(F.countDistinct("dst").alias("_again"))
+    return found.join(again, ["src", "relation"]).withColumn("verified", F.col("answers") == F.col("_again")).drop("_again")
+
+
+#: The most queries of one comparison of rankings.
+QUERIES = 1000
+
 
+def retrieval(vectors: DataFrame, queries: DataFrame, dims: int, most: int = 10) -> DataFrame:
+    """(query_id, hits): how many of each query's most nearest vectors, itself left out, have its label.
 
-def ranking_metrics(vectors: DataFrame, centres: DataFrame, dims: int, most: int = 10) -> DataFrame:
-    """Precision at most of nearest centres' members: each vector is ranked against a fixed small set of centres."""
-    part = F.slice("embedding", 1, dims)
-    dot = F.aggregate(F.zip_with(part, F.slice("centre", 1, dims), lambda a, b: a.cast("double") * b), F.lit(0.0), lambda s, x: s + x)
-    # one row for each label: bounded by the number of classes
-    scored = vectors.crossJoin(F.broadcast(centres)).withColumn("score", dot)
-    best = scored.groupBy("vec_id").agg(F.max(F.struct("score", "centre_label")).alias("_b"), F.first("label").alias("label"))
-    return best.groupBy("label").agg(F.count("*").alias("n"), F.sum((F.col("_b.centre_label") == F.col("label")).cast("long")).alias("hits"))
+    queries is a list that a request gives, at most QUERIES of them, which is
+    checked, and so small enough to go to every task; each task ranks its own
+    vectors, and a group limit lets only the nearest of each task travel.
+    """
+    if queries.limit(QUERIES + 1).count() > QUERIES:
+        raise ValueError(f"over {QUERIES} queries")
+    asked = queries.select(F.col("vec_id").alias("query_id"), F.col("label").alias("query_label"), F.slice("embedding", 1, dims).alias("_q"))
+    dot = F.aggregate(F.zip_with(F.slice("embedding", 1, dims), "_q", lambda a, b: a.cast("double") * b), F.lit(0.0), lambda s, x: s + x)
+    scored = vectors.join(F.broadcast(asked), F.col("vec_id") != F.col("query_id")).select("query_id", "query_label", "vec_id", "label", F.round(dot, 6).alias("score"))
+    ranked = scored.withColumn("_rank", F.row_number().over(W.partitionBy("query_id").orderBy(F.desc("score"), "vec_id"))).where(F.col("_rank") <= most)
+    return ranked.groupBy("query_id").agg(F.count_if(F.col("label") == F.col("query_label")).alias("hits"))

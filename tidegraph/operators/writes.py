@@ -7,11 +7,13 @@ events to append or a report, and the caller decides where Parquet is written.
 from __future__ import annotations
 
 from collections.abc import Sequence
+from dataclasses import dataclass
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tidegraph.operators.temporal import fold
+from tidegraph.operators.temporal import last_events
 
 EVENT_COLUMNS = ["edge_id", "src", "relation", "dst", "commit_seq", "valid_from", "op", "event_ord", "quantity"]
 
@@ -21,6 +23,40 @@ def append(events: DataFrame, path: str) -> None:
     events.write.mode("append").partitionBy("relation").parquet(path)
 
 
+@dataclass(frozen=True)
+class Ack:
+    """What a commit reports: its sequence, operations appended, edges left out as unchanged, whether nothing was to be done, whether all was there."""
+
+    commit_seq: int
+    op_count: int
+    skipped_edges: int
+    no_op: bool
+    idempotent_replay: bool
+
+
+def commit(events: DataFrame, log: DataFrame, path: str, *, key: Sequence[str] = ("edge_id", "commit_seq", "op"), skip_unchanged: bool = False) -> Ack:
+    """Appends the events that the log lacks to path, and says what was done.
+
+    With skip_unchanged, assertions of edges that the log's state has with the
+    same content are left out. An event of a known key with other content
+    raises, since a key is bound to its content.
+    """
+    if not conflicts(events, log, key).isEmpty():
+        raise ValueError("a key of the log comes again with other content")
+    # what the log has is read before anything is appended, since path may be the log
+    fresh = new_events(events, log, key)
+    wanted = skip_current(fresh, log) if skip_unchanged else fresh
+    wanted = wanted.persist()
+    try:
+        given, lacking, appended = events.dropDuplicates(list(key)).count(), fresh.count(), wanted.count()
+        head = max(x or 0 for x in (log.agg(F.max("commit_seq")).first()[0], wanted.agg(F.max("commit_seq")).first()[0]))
+        if appended:
+            append(wanted, path)
+    finally:
+        wanted.unpersist()
+    return Ack(head, appended, lacking - appended, appended == 0, given > 0 and lacking == 0)
+
+
 def retract(state: DataFrame, edges: DataFrame, commit_seq: int | Column) -> DataFrame:
     """Retractions of the state's edges that edges names by edge_id."""
     found = state.join(edges.select("edge_id").distinct(), "edge_id", "left_semi")
@@ -33,34 +69,80 @@ def retract_entities(state: DataFrame, ids: DataFrame, commit_seq: int | Column)
     return retract(state, by("src").unionByName(by("dst")), commit_seq)
 
 
-def fingerprint(columns: Sequence[str]) -> Column:
-    return F.xxhash64(*columns)
+def _same(columns: Sequence[str], one: str, other: str) -> Column:
+    """Column by column, null being equal to null only."""
+    return reduce(lambda a, b: a & b, (F.col(f"{one}.{c}").eqNullSafe(F.col(f"{other}.{c}")) for c in columns), F.lit(True))
 
 
 def diff(current: DataFrame, payload: DataFrame, key: str, columns: Sequence[str]) -> DataFrame:
     """(key, change): added, changed, removed or unchanged, by one full outer join on the key."""
-    old = current.select(F.col(key), fingerprint(columns).alias("_old"))
-    new = payload.select(F.col(key), fingerprint(columns).alias("_new"))
-    change = F.when(F.col("_old").isNull(), "added").when(F.col("_new").isNull(), "removed").when(F.col("_old") != F.col("_new"), "changed").otherwise("unchanged")
+    old = current.select(F.col(key), F.struct(*columns).alias("_old"))
+    new = payload.select(F.col(key), F.struct(*columns).alias("_new"))
+    change = F.when(F.col("_old").isNull(), "added").when(F.col("_new").isNull(), "removed").when(~_same(columns, "_old", "_new"), "changed").otherwise("unchanged")
     return old.join(new, key, "full").select(key, change.alias("change"))
 
 
+@dataclass(frozen=True)
+class Reload:
+    """The events of a cutover, how many edges it changes, and the commit to go back to."""
+
+    events: DataFrame
+    counts: dict[str, int]
+    prior_commit_seq: int
+
+
+def reload(log: DataFrame, payload: DataFrame, columns: Sequence[str], *, graph_id: str, confirm: str | None = None, dry_run: bool = False, observed_at: object = None) -> Reload:
+    """The one commit after which the state equals payload: what is there is asserted, what is absent is retracted.
+
+    payload has the log's columns but for commit_seq, event_ord and op; columns
+    are those whose change counts. confirm must be graph_id unless it is a dry
+    run, which gives no events. Reading at prior_commit_seq gives the state
+    before. A second reload of the same payload has no events.
+    """
+    if not dry_run and confirm != graph_id:
+        raise ValueError(f"confirm must be {graph_id}")
+    prior = log.agg(F.max("commit_seq")).first()[0] or 0
+    state = last_events(log).where("op = 'assert'")
+    change = diff(state, payload, "edge_id", columns)
+    counts = {"added": 0, "changed": 0, "removed": 0, "unchanged": 0} | {r.change: r.n for r in change.groupBy("change").agg(F.count("*").alias("n")).collect()}
+    marks = {"commit_seq": F.lit(prior + 1).cast("long"), "event_ord": F.lit(0)}
+    upserts = payload.join(change.where("change IN ('added', 'changed')"), "edge_id", "left_semi").withColumns(marks | {"op": F.lit("assert")})
+    if observed_at is not None and "valid_from" in log.columns:
+        upserts = upserts.withColumn("valid_from", F.lit(observed_at).cast("timestamp_ntz"))
+    gone = state.join(change.where("change = 'removed'"), "edge_id", "left_semi").withColumns(marks | {"op": F.lit("retract")})
+    events = upserts.select(*log.columns).unionByName(gone.select(*log.columns))
+    return Reload(events.limit(0) if dry_run else events, counts, prior)
+
+
 def branch(trunk: DataFrame, own: DataFrame, fork_seq: int | Column) -> DataFrame:
     """A branch reads its parent up to the fork and its own commits; nothing is copied."""
     return trunk.where(F.col("commit_seq") <= fork_seq).unionByName(own)
 
 
-def merge(trunk: DataFrame, own: DataFrame, fork_seq: int | Column, commit_seq: int | Column) -> DataFrame:
-    """The branch's commits since the fork as one commit on the parent: the last event of each edge."""
-    others = [c for c in own.columns if c != "edge_id"]
-    last = own.where(F.col("commit_seq") > fork_seq).groupBy("edge_id").agg(F.max(F.struct("commit_seq", "event_ord", *(c for c in others if c not in ("commit_seq", "event_ord")))).alias("_e"))
-    replayed = last.select("edge_id", *(F.col(f"_e.{c}").alias(c) for c in others))
-    return trunk.unionByName(replayed.withColumns({"commit_seq": F.lit(commit_seq).cast("long"), "event_ord": F.lit(0)}))
+def merge(trunk: DataFrame, own: DataFrame, fork_seq: int | Column, commit_seq: int | Column, *, rules: DataFrame | None = None) -> DataFrame:
+    """The branch's commits since the fork as one commit on the parent: the last event of each edge.
+
+    With rules, edges that the ontology does not allow raise before anything
+    is merged.
+    """
+    replayed = last_events(own.where(F.col("commit_seq") > fork_seq))
+    if rules is not None and not violations(replayed, rules).isEmpty():
+        raise ValueError("the branch has edges that the ontology does not allow")
+    return trunk.unionByName(replayed.withColumns({"commit_seq": F.lit(commit_seq).cast("long"), "event_ord": F.lit(0)}).select(*trunk.columns))
+
 
+def compact(events: DataFrame, *, horizon: int | None = None) -> DataFrame:
+    """The log in the order of its edges, to be written to few files that prune well.
 
-def compact(events: DataFrame) -> DataFrame:
-    """The log folded to the events that still count."""
-    return fold(events)
+    Every event stays, so each read at an earlier commit or time and every
+    history is what it was. With a horizon, of the commits up to there only
+    each edge's last event stays: reads at the horizon or later are what they
+    were, earlier ones are given up.
+    """
+    if horizon is not None:
+        old = last_events(events.where(F.col("commit_seq") <= horizon)).select(*events.columns)
+        events = old.unionByName(events.where(F.col("commit_seq") > horizon))
+    return events.repartitionByRange("edge_id").sortWithinPartitions("edge_id", "commit_seq", "event_ord")
 
 
 def new_events(events: DataFrame, known: DataFrame, key: Sequence[str]) -> DataFrame:
@@ -68,8 +150,38 @@ def new_events(events: DataFrame, known: DataFrame, key: Sequence[str]) -> DataF
     return events.join(known.select(*key).distinct(), list(key), "left_anti").dropDuplicates(list(key))
 
 
+def conflicts(events: DataFrame, known: DataFrame, key: Sequence[str]) -> DataFrame:
+    """Events whose key the log has with other content."""
+    content = [c for c in events.columns if c not in key]
+    old = known.select(*key, F.struct(*content).alias("_old"))
+    return events.select(*key, F.struct(*content).alias("_new")).join(old, list(key)).where(~_same(content, "_new", "_old")).select(*key, "_new.*")
+
+
+def skip_current(events: DataFrame, log: DataFrame, columns: Sequence[str] = ("src", "relation", "dst", "quantity")) -> DataFrame:
+    """Assertions that would change nothing are left out: the state has the edge with the same columns."""
+    columns = [c for c in columns if c in events.columns]
+    now = last_events(log).where("op = 'assert'").select("edge_id", F.struct(*columns).alias("_old"))
+    both = events.withColumn("_new", F.struct(*columns)).join(now, "edge_id", "left")
+    return both.where(~((F.col("op") == "assert") & F.col("_old").isNotNull() & _same(columns, "_new", "_old"))).select(*events.columns)
+
+
+def _kind(end: str) -> Column:
+    return F.split(end, "/", 2)[0]
+
+
+def _with_rules(events: DataFrame, relations: DataFrame) -> DataFrame:
+    """Each event once, with the domains and ranges of its relation: a row of rules for a relation, however many it allows."""
+    rules = relations.groupBy("relation").agg(F.collect_set("domain").alias("_domains"), F.collect_set("range").alias("_ranges"))
+    wrong = F.col("_domains").isNull() | ~F.array_contains("_domains", _kind("src")) | ~F.array_contains("_ranges", _kind("dst"))
+    return events.join(rules, "relation", "left").withColumn("_wrong", F.coalesce(wrong, F.lit(True)))
+
+
+def violations(events: DataFrame, relations: DataFrame) -> DataFrame:
+    """Events whose relation or ends the ontology (relation, domain, range) does not know."""
+    return _with_rules(events, relations).where("_wrong").select(*events.columns)
+
+
 def dry_run(events: DataFrame, relations: DataFrame) -> DataFrame:
-    """What a commit would do: operations, distinct edges, and rows whose relation or ends the ontology doesn't know."""
-    checked = events.join(relations.select("relation", "domain", "range"), "relation", "left")
-    wrong = F.col("domain").isNull() | (F.split("src", "/")[0] != F.col("domain")) | (F.split("dst", "/")[0] != F.col("range"))
-    return checked.agg(F.count("*").alias("op_count"), F.countDistinct("edge_id").alias("edges"), F.coalesce(F.sum(F.coalesce(wrong, F.lit(True)).cast("long")), F.lit(0)).alias("violations"))
+    """What a commit would do: operations, distinct edges, and events whose relation or ends the ontology doesn't know."""
+    checked = _with_rules(events, relations)
+    return checked.agg(F.count("*").alias("op_count"), F.countDistinct("edge_id").alias("edges"), F.count_if("_wrong").alias("violations"))

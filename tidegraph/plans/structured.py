@@ -14,6 +14,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tidegraph.operators import patterns as P
+from tidegraph.operators.ontology import Ontology, subclasses
 from tidegraph.operators.temporal import bucket
 from tidegraph.sources.star import Graph
 
@@ -62,6 +63,8 @@ class Request:
     limit: int | None = None
     offset: int = 0
     max_solutions: int | None = None
+    #: An ontology by which a type stands for all types below it.
+    reason: Ontology | None = None
 
 
 def first_variable(patterns: Sequence[P.Pattern]) -> str:
@@ -90,9 +93,9 @@ _SUMMED = {"count": lambda c: F.count(c), "sum": lambda c: F.sum(F.col(c).cast("
 
 
 def run(graph: Graph, request: Request) -> DataFrame:
-    out = P.match(graph, request.patterns, request.keep)
-    for variable, (kind, fields) in request.properties.items():
-        out = P.with_properties(graph, out, variable, kind, fields)
+    below = subclasses(request.reason) if request.reason else {}
+    kinds = {v: ([k for k in sorted(below.get(kind, {kind})) if k in graph.entities], fields) for v, (kind, fields) in request.properties.items()}
+    out = P.match(graph, request.patterns, request.keep, kinds)
     default = first_variable(request.patterns)
     conditions = [*request.filters, *(COMPARISONS[c.op](F.col(f"{c.variable or default}_{c.field}"), literal(c.value)) for c in request.where)]
     for condition in conditions:

@@ -5,13 +5,19 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-_IRI, _BLANK = r"<[^<>\"{}|^`\\\x00-\x20]*>", r"_:[^\s<>\"]+?"
-_LITERAL = r"\"(?:[^\"\\\n\r]|\\.)*\"(?:@[A-Za-z]+(?:-[A-Za-z0-9]+)*|\^\^<[^>]*>)?"
+from tidegraph.functions.sparql import canonical
+
+_IRI, _BLANK = r"<(?:[^<>\"{}|^`\\\x00-\x20]|\\[uU][0-9A-Fa-f]{4,8})*+>", r"_:[^\s<>\"]+?"
+# possessive throughout: a pattern that could go back would need a stack frame for each character
+_LITERAL = r"\"[^\"\\\n\r]*+(?:\\.[^\"\\\n\r]*+)*+\"(?:@[A-Za-z]++(?:-[A-Za-z0-9]++)*+|\^\^<[^>]*+>)?"
 STATEMENT = rf"^\s*({_IRI}|{_BLANK})\s*({_IRI})\s*({_IRI}|{_BLANK}|{_LITERAL})\s*({_IRI}|{_BLANK})?\s*\.\s*(?:#.*)?$"
 
 
 def parse(lines: DataFrame, *, strict: bool = False, scope: str | None = None, graph_uri: str | None = None) -> DataFrame:
-    """Quads s, p, o, g in canonical text from a column value; blank and comment lines are skipped.
+    """Quads s, p, o, g in canonical N-Triples text from a column value; blank and comment lines are skipped.
+
+    Escapes of code points are replaced, language tags are in small letters, so
+    equal terms have equal texts.
 
     A line that is no statement is dropped, or raises if strict. scope
     prefixes blank-node labels, so that labels of different documents differ.
@@ -26,7 +32,7 @@ def parse(lines: DataFrame, *, strict: bool = False, scope: str | None = None, g
         return c if scope is None else F.when(c.startswith("_:"), F.concat(F.lit("_:"), F.substring(F.sha2(F.lit(scope), 256), 1, 12), F.lit("_"), c.substr(F.lit(3), F.length(c)))).otherwise(c)
 
     g = F.nullif(part(4), F.lit(""))
-    return lines.select(scoped(part(1)).alias("s"), part(2).alias("p"), scoped(part(3)).alias("o"), scoped(F.coalesce(g, F.lit(f"<{graph_uri}>")) if graph_uri else g).alias("g"))
+    return lines.select(scoped(canonical(part(1))).alias("s"), canonical(part(2)).alias("p"), scoped(canonical(part(3))).alias("o"), scoped(F.coalesce(canonical(g), F.lit(f"<{graph_uri}>")) if graph_uri else canonical(g)).alias("g"))
 
 
 def read(spark: SparkSession, path: str, **options) -> DataFrame:

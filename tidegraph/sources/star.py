@@ -7,67 +7,102 @@ relation works like partition pruning; nothing is copied or unioned up front.
 from __future__ import annotations
 
 from dataclasses import dataclass, field
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 
+#: Steps of the chain NEXT.
+CHAIN = 160
+
+
 def entity(kind: str, key: str | Column) -> Column:
     """An entity's id: its type and key."""
     return F.concat(F.lit(f"{kind}/"), (F.col(key) if isinstance(key, str) else key).cast("string"))
 
 
+@dataclass(frozen=True)
+class Part:
+    """Rows of one table that are edges: the types of both ends, and the columns that hold their keys."""
+
+    rows: DataFrame
+    src_kind: str
+    src_key: str
+    dst_kind: str
+    dst_key: str
+    #: column of the edge -> column of rows
+    more: tuple[tuple[str, str], ...] = ()
+
+    def edges(self) -> DataFrame:
+        """(src, dst, ...) with ids as text."""
+        return self.rows.select(entity(self.src_kind, self.src_key).alias("src"), entity(self.dst_kind, self.dst_key).alias("dst"), *(F.col(c).alias(n) for n, c in self.more))
+
+
 @dataclass
 class Graph:
-    """Edges by relation (src, dst and the edge's own columns) and entities by type (id and typed properties)."""
+    """Edges by relation (src, dst and the edge's own columns) and entities by type (id and typed properties).
+
+    A relation is a frame with ids as text, or parts with types and native
+    keys. Patterns on parts filter and join native keys and drop parts whose
+    types don't fit; ids become text in what they return.
+    """
 
     spark: SparkSession
     edges: dict[str, DataFrame] = field(default_factory=dict)
     entities: dict[str, DataFrame] = field(default_factory=dict)
+    parts: dict[str, list[Part]] = field(default_factory=dict)
+    #: type -> (table, key column, property -> column)
+    tables: dict[str, tuple[DataFrame, str, dict[str, str]]] = field(default_factory=dict)
 
     def scan(self, relation: str) -> DataFrame:
         return self.edges[relation]
 
+    def add(self, relation: str, *parts: Part) -> None:
+        self.parts[relation] = list(parts)
+        frames = [p.edges() for p in parts]
+        self.edges[relation] = reduce(lambda a, b: a.unionByName(b), frames)
+
+    def keys(self, relation: str) -> DataFrame:
+        """(src, dst) as native keys, for a relation whose ends have one type each."""
+        (part,) = self.parts[relation]
+        return part.rows.select(F.col(part.src_key).cast("long").alias("src"), F.col(part.dst_key).cast("long").alias("dst"))
+
+    def named(self, relation: str, pairs: DataFrame) -> DataFrame:
+        """Native pairs of keys() with ids as text."""
+        (part,) = self.parts[relation]
+        return pairs.select(entity(part.src_kind, "src").alias("src"), entity(part.dst_kind, "dst").alias("dst"))
+
     def all_edges(self, relations: list[str] | None = None) -> DataFrame:
         """(src, relation, dst) of the relations named, or of all."""
         frames = [self.edges[r].select("src", F.lit(r).alias("relation"), "dst") for r in relations or sorted(self.edges)]
-        out = frames[0]
-        for frame in frames[1:]:
-            out = out.unionByName(frame)
-        return out
+        return reduce(lambda a, b: a.unionByName(b), frames)
 
     def all_entities(self) -> DataFrame:
         frames = [df.select(F.lit(kind).alias("type"), "id") for kind, df in sorted(self.entities.items())]
-        out = frames[0]
-        for frame in frames[1:]:
-            out = out.unionByName(frame)
-        return out
-
-
-def _props(df: DataFrame, kind: str, key: str) -> DataFrame:
-    """The remaining columns as properties, without the table's prefix."""
-    return df.select(entity(kind, key).alias("id"), *(F.col(c).alias(c.split("_", 1)[1] if key.split("_")[0] == c.split("_")[0] else c) for c in df.columns))
+        return reduce(lambda a, b: a.unionByName(b), frames)
 
 
 def graph(spark: SparkSession, sf_dir: str) -> Graph:
     t = {n: spark.read.parquet(f"{sf_dir}/{n}.parquet") for n in ("region", "nation", "customer", "supplier", "part", "orders", "lineitem", "events")}
     g = Graph(spark)
     for kind, name, key in (("REGION", "region", "r_regionkey"), ("NATION", "nation", "n_nationkey"), ("CUSTOMER", "customer", "c_custkey"), ("SUPPLIER", "supplier", "s_suppkey"), ("PART", "part", "p_partkey"), ("ORDER", "orders", "o_orderkey")):
-        g.entities[kind] = _props(t[name], kind, key)
-
-    def edge(df: DataFrame, src: Column, dst: Column, *more: Column) -> DataFrame:
-        return df.select(src.alias("src"), dst.alias("dst"), *more)
-
-    g.edges["IN_REGION"] = edge(t["nation"], entity("NATION", "n_nationkey"), entity("REGION", "n_regionkey"))
-    g.edges["IN_NATION"] = edge(t["customer"], entity("CUSTOMER", "c_custkey"), entity("NATION", "c_nationkey")).unionByName(edge(t["supplier"], entity("SUPPLIER", "s_suppkey"), entity("NATION", "s_nationkey")))
-    g.edges["PLACED"] = edge(t["orders"], entity("CUSTOMER", "o_custkey"), entity("ORDER", "o_orderkey"), F.col("o_orderdate").alias("valid_from"))
-    g.edges["CONTAINS"] = edge(t["lineitem"], entity("ORDER", "l_orderkey"), entity("PART", "l_partkey"), F.col("l_quantity").alias("quantity"), F.col("l_extendedprice").alias("price"), F.col("l_discount").alias("discount"), F.col("l_shipdate").alias("valid_from"))
-    g.edges["SUPPLIES"] = edge(t["lineitem"].select("l_suppkey", "l_partkey").distinct(), entity("SUPPLIER", "l_suppkey"), entity("PART", "l_partkey"))
-    g.edges["HAS_STATE"] = edge(t["events"], entity("USER", "user_id"), entity("STATE", "event_type"), F.col("ts").alias("valid_from"), "event_id", "value")
-    g.edges["DOUBLES"] = edge(t["nation"], entity("NATION", "n_nationkey"), entity("NATION", (2 * F.col("n_nationkey")) % 25))
+        # properties without the table's prefix
+        fields = {c.split("_", 1)[1] if key.split("_")[0] == c.split("_")[0] else c: c for c in t[name].columns}
+        g.tables[kind] = (t[name], key, fields)
+        g.entities[kind] = t[name].select(entity(kind, key).alias("id"), *(F.col(c).alias(n) for n, c in fields.items()))
+
+    g.add("IN_REGION", Part(t["nation"], "NATION", "n_nationkey", "REGION", "n_regionkey"))
+    g.add("IN_NATION", Part(t["customer"], "CUSTOMER", "c_custkey", "NATION", "c_nationkey"), Part(t["supplier"], "SUPPLIER", "s_suppkey", "NATION", "s_nationkey"))
+    g.add("PLACED", Part(t["orders"], "CUSTOMER", "o_custkey", "ORDER", "o_orderkey", (("valid_from", "o_orderdate"),)))
+    g.add("CONTAINS", Part(t["lineitem"], "ORDER", "l_orderkey", "PART", "l_partkey", (("quantity", "l_quantity"), ("price", "l_extendedprice"), ("discount", "l_discount"), ("valid_from", "l_shipdate"))))
+    g.add("SUPPLIES", Part(t["lineitem"].select("l_suppkey", "l_partkey").distinct(), "SUPPLIER", "l_suppkey", "PART", "l_partkey"))
+    g.add("HAS_STATE", Part(t["events"], "USER", "user_id", "STATE", "event_type", (("valid_from", "ts"), ("event_id", "event_id"), ("value", "value"))))
+    g.add("DOUBLES", Part(t["nation"].select("n_nationkey", ((2 * F.col("n_nationkey")) % 25).alias("double")), "NATION", "n_nationkey", "NATION", "double"))
     half = F.floor(F.col("p_partkey") / 2).cast("long")
-    g.edges["PARENT"] = edge(t["part"].where("p_partkey > 0"), entity("PART", "p_partkey"), entity("PART", half))
-    g.edges["NEXT"] = edge(t["nation"], entity("STEP", "n_nationkey"), entity("STEP", F.col("n_nationkey") + 1))
+    g.add("PARENT", Part(t["part"].where("p_partkey > 0").select("p_partkey", half.alias("parent")), "PART", "p_partkey", "PART", "parent"))
+    # a chain over the first part keys, deeper than a usual limit of recursion
+    g.add("NEXT", Part(t["part"].where(F.col("p_partkey") <= CHAIN).select("p_partkey", (F.col("p_partkey") + 1).alias("next")), "STEP", "p_partkey", "STEP", "next"))
     return g
 
 

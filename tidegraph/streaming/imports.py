@@ -1,49 +1,112 @@
-"""Durable imports: files of NDJSON streamed into the event log, each once."""
+"""Durable imports: files of NDJSON streamed into the event log, each once; signals and state kept up by streams."""
 
 from __future__ import annotations
 
 import time
+from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
+from tidegraph.operators.temporal import last_events
 from tidegraph.sources import ndjson
 
+#: What an import writes, each in a folder of its own with a folder for every batch.
+FAMILIES = {"edges": ndjson.triplets, "entities": ndjson.entities, "rejected": ndjson.rejected}
 
-def start_import(spark: SparkSession, source: str, target: str, checkpoint: str, *, files_per_trigger: int = 100) -> StreamingQuery:
-    """Appends the triplets of all files not imported yet, then ends.
+
+@dataclass
+class ImportJob:
+    """A running or ended import; the folders under target are its result."""
+
+    query: StreamingQuery
+    target: str
+    cancelled: bool = False
+
+
+def start_import(spark: SparkSession, source: str, target: str, checkpoint: str, *, files_per_trigger: int = 100, strict: bool = False, observed_at: str | None = None) -> ImportJob:
+    """Imports all files not imported yet, then ends: triplets, entities and lines that are neither, under target.
 
     The checkpoint makes it durable: after a stop or failure the same call
-    goes on where it was, and files that are in target are not read again.
+    goes on where it was, and files that are in target are not read again. A
+    batch replaces its own folders, so one that runs again adds nothing. strict
+    fails on the first line that is malformed or neither a triplet nor an
+    entity, and keeps nothing of its batch. observed_at is a time in ISO form;
+    without it, the time of the import.
     """
-    lines = spark.readStream.schema(ndjson.SCHEMA).option("maxFilesPerTrigger", files_per_trigger).json(source)
-    rows = ndjson.triplets(lines).withColumn("observed_at", F.current_timestamp())
-    return rows.writeStream.format("parquet").option("path", target).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
+    lines = spark.readStream.schema(ndjson.SCHEMA).option("maxFilesPerTrigger", files_per_trigger).option("mode", "FAILFAST" if strict else "PERMISSIVE").json(source)
+    at = F.lit(observed_at).cast("timestamp") if observed_at else F.current_timestamp()
+
+    def write(batch: DataFrame, number: int) -> None:
+        batch = batch.persist()
+        try:
+            if strict and not ndjson.rejected(batch).isEmpty():
+                raise ValueError("a line is neither a triplet nor an entity")
+            for name, of in FAMILIES.items():
+                of(batch).withColumn("observed_at", at).write.mode("overwrite").parquet(f"{target}/{name}/batch={number}")
+        finally:
+            batch.unpersist()
+
+    return ImportJob(lines.writeStream.foreachBatch(write).option("checkpointLocation", checkpoint).trigger(availableNow=True).start(), target)
+
+
+def imported(spark: SparkSession, target: str, family: str = "edges") -> DataFrame:
+    """What has been imported so far of a family: edges, entities or rejected."""
+    return spark.read.parquet(f"{target}/{family}").drop("batch")
+
+
+def counts(spark: SparkSession, target: str) -> dict[str, int]:
+    """Lines by family, those that are malformed told apart from those that are neither triplet nor entity."""
+    found = {name: imported(spark, target, name).count() for name in ("edges", "entities")}
+    bad = imported(spark, target, "rejected").agg(F.count_if("malformed"), F.count_if(~F.col("malformed"))).first()
+    return found | {"malformed": bad[0], "unknown": bad[1]}
 
 
-def status(query: StreamingQuery) -> str:
-    """running, succeeded, or failed; a cancelled query counts as succeeded as far as it came."""
-    if query.isActive:
+def status(job: ImportJob) -> str:
+    """running, succeeded, failed, or cancelled."""
+    if job.query.isActive:
         return "running"
-    return "failed" if query.exception() else "succeeded"
+    if job.query.exception():
+        return "failed"
+    return "cancelled" if job.cancelled else "succeeded"
 
 
-def wait(query: StreamingQuery, seconds: float | None = None) -> str:
+def wait(job: ImportJob, seconds: float | None = None) -> str:
     """Waits for the end, raising what the query raised, or TimeoutError."""
     if seconds is None:
-        query.awaitTermination()
-    elif not query.awaitTermination(seconds):
+        job.query.awaitTermination()
+    elif not job.query.awaitTermination(seconds):
         raise TimeoutError(f"the import still runs after {seconds} s")
-    return status(query)
+    return status(job)
 
 
-def cancel(query: StreamingQuery) -> None:
-    query.stop()
-    while query.isActive:
+def cancel(job: ImportJob) -> None:
+    """Stops a running import; whole batches stay, and the same call of start_import() goes on after them."""
+    job.cancelled = job.query.isActive
+    job.query.stop()
+    while job.query.isActive:
         time.sleep(0.05)
 
 
+def start_fold(events: DataFrame, target: str, checkpoint: str) -> StreamingQuery:
+    """Keeps the state of a stream of events: each batch writes the last event of the edges that it changed.
+
+    The last events live in the stream's own state store, so a batch costs
+    what changed and not what there is. folded() reads the state.
+    """
+
+    def write(batch: DataFrame, number: int) -> None:
+        batch.write.mode("overwrite").parquet(f"{target}/batch={number}")
+
+    return last_events(events).writeStream.outputMode("update").foreachBatch(write).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
+
+
+def folded(spark: SparkSession, target: str) -> DataFrame:
+    """The state that start_fold() has kept: of each edge the last event, if that is an assertion."""
+    return last_events(spark.read.parquet(target).drop("batch")).where("op = 'assert'")
+
+
 def unique_signals(stream: DataFrame, delay: str = "1 hour") -> DataFrame:
     """Signals without replays: the state of a seq is kept for the watermark's delay only."""
     return stream.withWatermark("ts", delay).dropDuplicatesWithinWatermark(["seq"])
@@ -58,3 +121,10 @@ def require_seq(published: int, wanted: int | None) -> int:
     if wanted is not None and published < wanted:
         raise NotYetVisible(f"published up to {published}, asked for {wanted}")
     return published
+
+
+def read_seq(head: int, published: int, *, consistency: str = "eventual", min_indexed_seq: int | None = None) -> int:
+    """The commit at which a read pins its snapshot: the head if strong, else what is published, never below the floor."""
+    if consistency not in ("eventual", "strong"):
+        raise ValueError(f"no consistency {consistency}")
+    return require_seq(head if consistency == "strong" else published, min_indexed_seq)
