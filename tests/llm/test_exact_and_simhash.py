@@ -113,11 +113,8 @@ def test_simhash_components_equal_brute_force(spark, heavy):
 def test_trie_join_equals_all_pairs(budget):
     dice = np.random.default_rng(budget)
     centres = dice.integers(0, 2**63, 12, dtype=np.uint64)
-    values = sorted(int(c) ^ sum(1 << int(b) for b in dice.integers(0, 64, dice.integers(0, 6))) for c in centres for _ in range(40))
-    labels = dice.integers(0, 30, len(values)).tolist()
+    values = sorted({int(c) ^ sum(1 << int(b) for b in dice.integers(0, 64, dice.integers(0, 6))) for c in centres for _ in range(40)})
     pairs = {(i, j) for i in range(len(values)) for j in range(i + 1, len(values)) if (values[i] ^ values[j]).bit_count() <= budget}
-    between = simhash.TrieJoin(values, budget, labels)
-    assert {tuple(sorted(p)) for p in between.pairs} == {(i, j) for i, j in pairs if labels[i] != labels[j]}
     forest = simhash.TrieJoin(values, budget)
     assert {tuple(sorted(p)) for p in forest.pairs} <= pairs
     assert all(forest.find(i) == forest.find(j) for i, j in pairs)
@@ -131,8 +128,7 @@ def test_components_of_chain_and_star(spark):
     assert components(spark.createDataFrame([], "a long, b long")).count() == 0
 
 
-@pytest.mark.parametrize("task_work", [similar.TASK_WORK, 0])
-def test_similar_groups_decide_by_shingles(spark, task_work):
+def test_similar_groups_decide_by_shingles(spark):
     dice = random.Random(5)
     words = [f"word{i}" for i in range(1000)]
     rows, families = [], []
@@ -150,7 +146,7 @@ def test_similar_groups_decide_by_shingles(spark, task_work):
         families.append(family)
     rows += [(None, None), (len(rows), ""), (len(rows) + 1, "short text"), (len(rows) + 2, "short text here")]
     docs = frame(spark, rows)
-    kept = similar.drop_near_duplicates(docs, task_work=task_work)
+    kept = similar.drop_near_duplicates(docs)
     assert kept.columns == docs.columns
     ids = {r.doc_id for r in kept.collect()}
     gone = {i for family in families for i in family[1:]}
@@ -198,8 +194,7 @@ def test_bitmaps_rule_out_no_link():
         assert similar.apart(similar.bitmap(one), similar.bitmap(other)) <= n + m - 2 * both
 
 
-@pytest.mark.parametrize("task_work", [0, similar.TASK_WORK])
-def test_bound_of_work_changes_no_link(spark, task_work):
+def test_a_bridge_that_is_not_similar_hides_no_link(spark):
     dice = random.Random(11)
     word = lambda: f"w{dice.randrange(10**9)}"
     rows, bridged = [], 0
@@ -216,5 +211,33 @@ def test_bound_of_work_changes_no_link(spark, task_work):
         if bridged == 8:
             break
     assert bridged == 8
-    kept = {r.doc_id for r in similar.drop_near_duplicates(frame(spark, rows), task_work=task_work).collect()}
-    assert kept == {i for i in range(24) if i % 3 != 1}
+    for budget, blocks in ((similar.BUDGET, similar.BLOCKS), (8, 10)):
+        kept = {r.doc_id for r in similar.drop_near_duplicates(frame(spark, rows), budget=budget, blocks=blocks).collect()}
+        assert kept == {i for i in range(24) if i % 3 != 1}
+
+
+def test_near_duplicates_of_odd_tables(spark):
+    text = " ".join(f"w{i}" for i in range(60))
+    rows = [(5, text, "a", 1), (5, text, "b", 2), (2, text + " more", "c", 3), (None, text, "d", 4), (9, "other", None, 5), (8, None, "e", 6), (7, " \n", "f", 7)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, _who string, _WHO_ int")
+    kept = similar.drop_near_duplicates(docs)
+    assert kept.columns == docs.columns
+    # repeated ids and texts go together, texts without words are alike, the least id stays
+    assert {tuple(r)[2:] for r in kept.collect()} == {("c", 3), (None, 5), ("f", 7)}
+    groups = sorted((r.doc_id is None, r.doc_id or 0, r.group) for r in similar.similar_groups(docs).collect())
+    assert groups == [(False, 2, 2), (False, 5, 2), (False, 5, 2), (False, 7, 7), (False, 8, 7), (True, 0, 2)]
+    for function in (similar.similar_groups, similar.drop_near_duplicates):
+        assert function(docs.limit(0)).count() == 0
+
+
+def test_shared_rows_of_keys_over_batches():
+    import pyarrow as pa
+
+    dice = random.Random(2)
+    rows = sorted((dice.randrange(40), dice.choice([-1, -1, -1, 0]), i) for i in range(60))
+    seen = [(k, s) for k, s, _ in rows]
+    want = [r for r in rows if r[1] >= 0 or seen.count(r[:2]) > 1]
+    for size in (1, 2, 3, 7, 60):
+        batches = (pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in zip(*rows[i : i + size], strict=True)], ["_key", "_salt", "_leaf"]) for i in range(0, 60, size))
+        got = [tuple(r.values()) for batch in similar._shared(batches) for r in batch.to_pylist()]
+        assert got == want

@@ -23,6 +23,14 @@ def release() -> None:
         pass  # not glibc
 
 
+def unused(docs: DataFrame, name: str) -> str:
+    """A column name that docs does not have."""
+    taken = {c.lower() for c in docs.columns}
+    while name.lower() in taken:
+        name += "_"
+    return name
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 

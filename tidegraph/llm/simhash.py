@@ -79,24 +79,19 @@ def fingerprints(docs: DataFrame, *, words_each: int = 3, id_col: str = "doc_id"
 
 
 class TrieJoin:
-    """Links of at most budget bits between the leaves of a trie of sorted fingerprints.
+    """Links of at most budget bits between the leaves of a trie of sorted fingerprints without repeats.
 
     A node is a range of the sorted values that share the bits above one.
-    Without labels, linked leaves are merged and pairs holds the links of a
-    spanning forest. With labels, leaves of one label count as one class, none
-    are merged, and pairs holds every link between different classes.
+    Linked leaves are merged, and pairs holds the links of a spanning forest.
     """
 
     BRUTE = 1024
 
-    def __init__(self, values: list[int], budget: int, labels: list[int] | None = None):
-        self.values, self.budget, self.merge = values, budget, labels is None
+    def __init__(self, values: list[int], budget: int):
+        self.values, self.budget = values, budget
         self.array = np.array(values, np.uint64)
         self.parent = list(range(len(values)))
         self.pairs: list[tuple[int, int]] = []
-        if labels is not None:
-            first: dict[int, int] = {}
-            self.parent = [first.setdefault(label, i) for i, label in enumerate(labels)]
         if values:
             self._within(0, len(values))
 
@@ -110,8 +105,7 @@ class TrieJoin:
         one, other = self.find(i), self.find(j)
         if one != other:
             self.pairs.append((i, j))
-            if self.merge:
-                self.parent[max(one, other)] = min(one, other)
+            self.parent[max(one, other)] = min(one, other)
 
     def _split(self, low: int, high: int, bit: int) -> int:
         first = self.values[low] >> (bit + 1) << (bit + 1) | 1 << bit
@@ -125,12 +119,7 @@ class TrieJoin:
         """Links below one node; whether they make it one class."""
         if high - low == 1:
             return True
-        same = self.values[low] == self.values[high - 1]
-        if same and self.merge:
-            for i in range(low + 1, high):
-                self.link(low, i)
-            return True
-        if same or (high - low) ** 2 <= self.BRUTE:
+        if (high - low) ** 2 <= self.BRUTE:
             self._brute(low, high, low, high)
             return self._one_class(low, high)
         bit = (self.values[low] ^ self.values[high - 1]).bit_length() - 1
@@ -158,11 +147,7 @@ class TrieJoin:
         (a, b), (c, d) = one, other
         values = self.values
         down = max((values[a] ^ values[b - 1]).bit_length(), (values[c] ^ values[d - 1]).bit_length()) - 1
-        if down < 0 and self.merge:
-            if (values[a] ^ values[c]).bit_count() <= self.budget:
-                self.link(a, c)
-            return
-        if down < 0 or (b - a) * (d - c) <= self.BRUTE:
+        if (b - a) * (d - c) <= self.BRUTE:
             self._brute(a, b, c, d)
             return
         used += ((values[a] ^ values[c]) >> (down + 1) & ((1 << (bit - down)) - 1)).bit_count()
@@ -177,11 +162,14 @@ class TrieJoin:
 Group = dict[str, np.ndarray]
 
 
-def _spanning(budget: int):
-    """Of a group of distinct fingerprints: (fingerprint, least of its class)."""
+def _spanning(budget: int, direct: bool):
+    """Of a group of distinct fingerprints: (fingerprint, least of its class), or if direct, pairs that are linked themselves."""
 
     def of(group: Group) -> tuple[np.ndarray, np.ndarray]:
         join = TrieJoin(np.unique(group["_fp"].view(np.uint64)).tolist(), budget)
+        if direct:
+            found = np.array(join.pairs, np.int64).reshape(-1, 2)
+            return join.array.view(np.int64)[found[:, 0]], join.array.view(np.int64)[found[:, 1]]
         signed, roots = join.array.view(np.int64), np.array([join.find(i) for i in range(len(join.values))])
         told = np.flatnonzero(roots != np.arange(len(roots)))
         return signed[told], signed[roots[told]]
@@ -189,26 +177,6 @@ def _spanning(budget: int):
     return of
 
 
-def _leaf_pairs(budget: int, choices: list[list[tuple[int, int]]], labelled: bool):
-    """Of a group of rows: linked pairs of _leaf; if labelled, all between labels, each under the first key it has."""
-    masks = np.array([sum(((1 << w) - 1) << f for f, w in parts) for parts in choices], np.uint64)
-
-    def of(group: Group) -> tuple[np.ndarray, np.ndarray]:
-        prints = group["_fp"].view(np.uint64)
-        order = np.lexsort((group["_leaf"], prints))
-        prints, leaves = prints[order], group["_leaf"][order]
-        labels = group["_label"][order].tolist() if labelled else None
-        join = TrieJoin(prints.tolist(), budget, labels)
-        found = np.array(join.pairs, np.int64).reshape(-1, 2)
-        if labelled and len(found):
-            differ = prints[found[:, 0]] ^ prints[found[:, 1]]
-            first = ((differ[:, None] & masks[None, :]) == 0).argmax(axis=1)
-            found = found[first == group["_choice"][0]]
-        return leaves[found[:, 0]], leaves[found[:, 1]]
-
-    return of
-
-
 def _by_key(columns: tuple[str, ...], of):
     """Applies of to each run of rows with one (_key, _sub); rows arrive ordered by them."""
 
@@ -281,13 +249,15 @@ def _keyed(prints: DataFrame, *, budget: int, blocks: int, heavy: int) -> DataFr
     return keyed.repartition("_key", "_sub").sortWithinPartitions("_key", "_sub")
 
 
-def links(distinct: DataFrame, *, budget: int = 2, blocks: int = 4, heavy: int = HEAVY) -> DataFrame:
+def links(distinct: DataFrame, *, budget: int = 2, blocks: int = 4, heavy: int = HEAVY, direct: bool = False) -> DataFrame:
     """Edges (a, b) of a spanning forest of every group, of (_fp) without repeats.
 
-    Their components are those of all links of at most budget bits.
+    Their components are those of all links of at most budget bits. direct
+    says that both ends of each edge are linked themselves; otherwise an edge
+    leads to the least of its class.
     """
     keyed = _keyed(distinct, budget=budget, blocks=blocks, heavy=heavy)
-    return keyed.select("_key", "_sub", "_fp").mapInArrow(_by_key(("_fp",), _spanning(budget)), "a long, b long")
+    return keyed.select("_key", "_sub", "_fp").mapInArrow(_by_key(("_fp",), _spanning(budget, direct)), "a long, b long")
 
 
 def classes(docs: DataFrame, *, words_each: int = 3, budget: int = 2, blocks: int = 4, heavy: int = HEAVY, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:

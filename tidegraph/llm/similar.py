@@ -1,24 +1,24 @@
-"""Near-duplicate texts: SimHash candidates, decided by exact similarity of shingles.
-
-A document's fingerprint is the SimHash of its distinct words, a change of few
-words being a change of few bits there, whatever the shingles. Fingerprints
-within the budget are candidates; two candidates are linked if the Jaccard
-similarity of their sets of five-word shingles is at least 0.8.
-
-No group emits all its pairs. Each key's trie join gives a spanning forest of
-candidates, and the forest's components are classes of candidates. A class
-whose comparison fits a bound of work is compared in one task, by counting
-shared shingles over postings, and gives a spanning forest of links. Larger
-classes are done in a distributed way: the forest is checked and merged, then
-the tries are joined again, giving only pairs between parts of a class that
-are still apart, each of which is checked.
-
-Links of more bits are found by a prefix filter over all texts. In one order
-of all shingles, frequent ones last, two sets that are similar enough share one
-of each one's first fifth, so texts meet under those. Only pairs whose texts
-are still in different groups are looked at, and all of these, so the groups
-are those of all links at the similarity, whatever the budget and the bound of
-work.
+"""Near-duplicate texts: SimHash tries give the close ones, a prefix filter the rest, exact similarity decides.
+
+Two texts are linked if the Jaccard similarity of their sets of five-word
+shingles is at least 0.8. One pass over the texts writes, for each, the SimHash
+of its distinct words (a change of few words is a change of few bits there), its
+rarest shingles and a bitmap of all. Then:
+
+1. Fingerprints within a small budget of bits are joined by operator 6's tries,
+   which give a spanning forest and not all pairs. Texts of one fingerprint
+   hang on one of them. Every edge of this forest is checked, and those that
+   hold give groups.
+2. Links of more bits, and links within a class whose forest did not hold, are
+   found by a prefix filter. In one order of all shingles, frequent ones last,
+   two sets that are similar enough share one of each one's first fifth, so
+   texts meet under those. Only shingles under which two groups meet are looked
+   at, and there all pairs of texts of different groups; sizes, places and
+   bitmaps rule out most, and what is left is checked.
+
+So the groups are those of all links, whatever the budget is. A row's number,
+given when the pass is written, names it; texts are found again by a digest of
+128 bits of id and text.
 """
 
 from __future__ import annotations
@@ -31,144 +31,73 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tidegraph.llm import simhash
-from tidegraph.llm.common import content, materialise, release
+from tidegraph.llm.common import content, materialise, release, unused
 from tidegraph.llm.components import components
 
 WORDS_EACH, SIMILARITY = 5, 0.8
-#: Bits by which candidates of the tries may differ. Scattered changes of long texts are mostly within 8, but half of the
-#: pairs at 0.82 whose last words changed are not; those are left to the prefix filter.
-BUDGET, BLOCKS = 8, 10
+#: Bits by which fingerprints that the tries join may differ. Texts with more between them are left to the prefix filter.
+BUDGET, BLOCKS = 3, 5
 #: Texts that tell which shingles are frequent, and how many of these are told, each found at least so often.
 SAMPLE, FREQUENT, OFTEN = 5_000, 100_000, 4
+#: Rows under one shingle, beyond which it is dealt into parts that meet by twos.
+HEAVY = 20_000
 #: Pairs of rows under one shingle that are compared at once.
 AT_ONCE = 4_000_000
-#: Members times shingles of a class that one task compares.
-TASK_WORK = 4_000_000_000
+#: Words whose hash a worker remembers.
+REMEMBERED = 500_000
 
+_ODD = (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9)
 
-def _prints(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    import xxhash
 
-    for batch in batches:
-        found = []
-        for text in batch.column("_content"):
-            words = sorted(set(text.as_py().lower().split()))
-            found.append(simhash.majority(np.array([xxhash.xxh64_intdigest(w, simhash.SEED) for w in words], np.uint64)))
-        yield pa.RecordBatch.from_arrays([batch.column("_leaf"), pa.array(found, pa.int64())], ["_leaf", "_fp"])
-    release()
+def _mixed(x: np.ndarray) -> np.ndarray:
+    x = (x ^ x >> np.uint64(31)) * np.uint64(_ODD[1])
+    x = (x ^ x >> np.uint64(29)) * np.uint64(_ODD[2])
+    return x ^ x >> np.uint64(32)
 
 
-def _shingles(words_each: int):
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            sets = [np.unique(simhash.shingle_hashes(x.as_py(), words_each)).view(np.int64) for x in batch.column("_content")]
-            yield pa.RecordBatch.from_arrays([batch.column("_leaf"), pa.array(sets, pa.list_(pa.int64()))], ["_leaf", "_set"])
-        release()
-
-    return run
+class Shingler:
+    """Hashes of a text's words and of its shingles; each word is hashed once."""
 
+    def __init__(self, words_each: int):
+        self.words_each, self.known = words_each, {}
 
-def _jaccard(similarity: float):
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            keep = []
-            for one, other in zip(batch.column("_one"), batch.column("_other"), strict=True):
-                one, other = one.values.to_numpy(zero_copy_only=False), other.values.to_numpy(zero_copy_only=False)
-                both = len(np.intersect1d(one, other, assume_unique=True))
-                union = len(one) + len(other) - both
-                keep.append(both >= similarity * union)
-            yield batch.select(["a", "b"]).filter(pa.array(keep, pa.bool_()))
-        release()
+    def words(self, text: bytes) -> np.ndarray:
+        import xxhash
 
-    return run
+        words = text.lower().split()
+        new = set(words).difference(self.known)
+        if len(self.known) + len(new) > REMEMBERED:
+            self.known.clear()
+            new = set(words)
+        self.known.update((w, xxhash.xxh64_intdigest(w, simhash.SEED)) for w in new)
+        return np.fromiter(map(self.known.__getitem__, words), np.uint64, len(words))
 
+    def shingles(self, words: np.ndarray) -> np.ndarray:
+        """The set of shingles as sorted signed longs. Fewer words than a shingle has are one; a text without words has one of its own."""
+        each = min(self.words_each, len(words))
+        if not each:
+            return np.zeros(1, np.int64)
+        hashed = np.zeros(len(words) - each + 1, np.uint64)
+        for i in range(each):
+            hashed = _mixed(hashed * np.uint64(_ODD[0]) + words[i : len(words) - each + 1 + i])
+        return np.unique(hashed.view(np.int64))
 
-def _checked(pairs: DataFrame, sets: DataFrame, similarity: float) -> DataFrame:
-    pairs = pairs.distinct().join(sets.select(F.col("_leaf").alias("a"), F.col("_set").alias("_one")), "a")
-    pairs = pairs.join(sets.select(F.col("_leaf").alias("b"), F.col("_set").alias("_other")), "b")
-    return pairs.select("a", "b", "_one", "_other").mapInArrow(_jaccard(similarity), "a long, b long")
-
-
-def link_class(sets: list[np.ndarray], similarity: float) -> list[tuple[int, int]]:
-    """A spanning forest of the links between sets, each sorted and without repeats."""
-    sizes = np.array([len(x) for x in sets])
-    owners = np.repeat(np.arange(len(sets)), sizes)
-    values, owner_of = np.concatenate(sets), owners
-    order = values.argsort(kind="stable")
-    values, owner_of = values[order], owner_of[order]
-    starts = np.flatnonzero(np.concatenate([np.ones(min(1, len(values)), bool), values[1:] != values[:-1]]))
-    stops = np.concatenate([starts[1:], [len(values)]])
-    distinct = values[starts]
-    parent = list(range(len(sets)))
-
-    def find(i: int) -> int:
-        while parent[i] != i:
-            parent[i] = i = parent[parent[i]]
-        return i
-
-    found = []
-    for i, own in enumerate(sets):
-        if not len(own):
-            # sets without shingles are alike
-            near = np.flatnonzero(sizes[:i] == 0)[:1]
-        else:
-            places = np.searchsorted(distinct, own)
-            shared = np.zeros(len(sets), np.int64)
-            for low, high in zip(starts[places].tolist(), stops[places].tolist(), strict=True):
-                shared[owner_of[low:high]] += 1
-            near = np.flatnonzero(shared[:i] >= similarity * (len(own) + sizes[:i] - shared[:i]))
-        for j in near.tolist():
-            one, other = find(i), find(j)
-            if one != other:
-                parent[max(one, other)] = min(one, other)
-                found.append((i, j))
-    return found
-
-
-def _class_links(similarity: float):
-    """Rows arrive ordered by _class; a class can reach over batches."""
 
+def _shingled(words_each: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held_class, leaves, sets = None, [], []
-
-        def close() -> tuple[list[int], list[int]]:
-            pairs = link_class(sets, similarity) if len(sets) > 1 else []
-            return [leaves[i] for i, _ in pairs], [leaves[j] for _, j in pairs]
-
+        of = Shingler(words_each)
         for batch in batches:
-            a, b = [], []
-            for name, leaf, own in zip(batch.column("_class").to_pylist(), batch.column("_leaf").to_pylist(), batch.column("_set"), strict=True):
-                if name != held_class:
-                    for out, got in zip((a, b), close(), strict=True):
-                        out.extend(got)
-                    held_class, leaves, sets = name, [], []
-                leaves.append(leaf)
-                sets.append(np.array(own.values.to_numpy(zero_copy_only=False)))
-            yield pa.RecordBatch.from_arrays([pa.array(a, pa.int64()), pa.array(b, pa.int64())], ["a", "b"])
-        a, b = close()
-        yield pa.RecordBatch.from_arrays([pa.array(a, pa.int64()), pa.array(b, pa.int64())], ["a", "b"])
+            sets = [of.shingles(of.words(x.as_py())) for x in batch.column("_content")]
+            yield pa.RecordBatch.from_arrays([batch.column("_leaf"), pa.array(sets, pa.list_(pa.int64()))], ["_leaf", "_set"])
         release()
 
     return run
 
 
-def _spread_links(prints: DataFrame, forest: DataFrame, classes: DataFrame, sets: DataFrame, similarity: float, budget: int, blocks: int, heavy: int) -> DataFrame:
-    """The links within classes (_leaf, _class) that are too large for a task."""
-    forest = forest.join(classes.select(F.col("_leaf").alias("a")), "a", "left_semi")
-    first = materialise(_checked(forest, sets, similarity), "links")
-    labels = classes.join(components(first).select(F.col("vertex").alias("_leaf"), F.col("root").alias("_part")), "_leaf", "left")
-    labels = labels.select("_leaf", "_class", F.coalesce("_part", "_leaf").alias("_label"))
-    split = labels.groupBy("_class").agg(F.min("_label").alias("x"), F.max("_label").alias("y")).where("x != y").select("_class")
-    again = materialise(prints.join(labels.join(split, "_class").select("_leaf", "_label"), "_leaf"), "parts")
-    keyed = simhash._keyed(again, budget=budget, blocks=blocks, heavy=heavy).select("_key", "_sub", "_choice", "_fp", "_leaf", "_label")
-    between = keyed.mapInArrow(simhash._by_key(("_choice", "_fp", "_leaf", "_label"), simhash._leaf_pairs(budget, simhash._blocks(budget, blocks), True)), "a long, b long")
-    return first.unionByName(_checked(between, sets, similarity))
-
-
 def _frequent(rows: DataFrame, texts: int, words_each: int) -> tuple[np.ndarray, np.ndarray]:
     """Frequent shingles in order and how many texts have them, told from some texts. They decide only about the order of shingles."""
     step = max(1, texts // SAMPLE)
-    some = rows.where(F.pmod(F.xxhash64("_leaf"), F.lit(step)) == 0).mapInArrow(_shingles(words_each), "_leaf long, _set array<long>")
+    some = rows.where(F.pmod(F.xxhash64("_who"), F.lit(step)) == 0).select(F.lit(0).cast("long").alias("_leaf"), "_content").mapInArrow(_shingled(words_each), "_leaf long, _set array<long>")
     counts = some.select(F.explode("_set").alias("_key")).groupBy("_key").agg(F.count("*").alias("_n")).where(F.col("_n") >= OFTEN)
     found = counts.orderBy(F.desc("_n"), "_key").limit(FREQUENT).toPandas().sort_values("_key")
     return found["_key"].to_numpy(np.int64), found["_n"].to_numpy(np.int64) * step
@@ -196,38 +125,108 @@ def apart(one: bytes, other: bytes) -> int:
     return int(np.bitwise_count(x ^ y).sum())
 
 
-def _within(similarity: float):
+def _sketched(words_each: int, similarity: float, frequent: np.ndarray, counts: np.ndarray, heavy: int):
+    """Each text's fingerprint, number of shingles, first shingles, how many parts the rows of each are dealt into (null: all one), bitmap of all."""
+    kinds = {"_fp": pa.int64(), "_size": pa.int32(), "_keys": pa.list_(pa.int64()), "_salts": pa.list_(pa.int32()), "_bits": pa.binary()}
+
+    def salts(keys: np.ndarray) -> np.ndarray | None:
+        if not len(frequent):
+            return None
+        at = np.minimum(np.searchsorted(frequent, keys), len(frequent) - 1)
+        many = np.where(frequent[at] == keys, counts[at], 0)
+        return (1 + many // heavy).astype(np.int32) if (many >= heavy).any() else None
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        of = Shingler(words_each)
         for batch in batches:
-            one, other, sizes = (batch.column(c).to_pylist() for c in ("_one", "_other", "_sizes"))
-            keep = [apart(x, y) <= (1 - similarity) / (1 + similarity) * n + 1e-9 for x, y, n in zip(one, other, sizes, strict=True)]
-            yield batch.select(["a", "b"]).filter(pa.array(keep, pa.bool_()))
+            rows = []
+            for text in batch.column("_content"):
+                words = of.words(text.as_py())
+                own = of.shingles(words)
+                keys = prefix(own, frequent, counts, similarity)
+                rows.append((simhash.majority(np.unique(words)), len(own), keys, salts(keys), bitmap(own)))
+            columns = [pa.array(x, kind) for x, kind in zip(zip(*rows, strict=True) if rows else [()] * len(kinds), kinds.values(), strict=True)]
+            yield pa.RecordBatch.from_arrays([batch.column("_id"), batch.column("_who"), *columns], ["_id", "_who", *kinds])
         release()
 
     return run
 
 
-def _prefixes(words_each: int, similarity: float, frequent: np.ndarray, counts: np.ndarray, heavy: int):
-    """Each text's first shingles, for each the number of parts into which its rows are dealt, and the bitmap of all."""
+def _sketches(rows: DataFrame, texts: int, similarity: float, words_each: int, heavy: int) -> DataFrame:
+    """_leaf, _id, _who, _fp, _size, _keys, _salts, _bits of every row (_id, _who, _content)."""
+    frequent, counts = _frequent(rows, texts, words_each)
+    kind = rows.schema["_id"].dataType.simpleString()
+    found = rows.mapInArrow(_sketched(words_each, similarity, frequent, counts, heavy), f"_id {kind}, _who binary, _fp long, _size int, _keys array<long>, _salts array<int>, _bits binary")
+    # written at once, so the numbers stay what they are
+    return materialise(found.select(F.monotonically_increasing_id().alias("_leaf"), "*"), "sketches")
+
+
+def _jaccard(similarity: float):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            keep = []
+            for one, other in zip(batch.column("_one"), batch.column("_other"), strict=True):
+                one, other = one.values.to_numpy(zero_copy_only=False), other.values.to_numpy(zero_copy_only=False)
+                both = len(np.intersect1d(one, other, assume_unique=True))
+                keep.append(both >= similarity * (len(one) + len(other) - both))
+            yield batch.select(["a", "b"]).filter(pa.array(keep, pa.bool_()))
+        release()
+
+    return run
+
 
+def _within(similarity: float):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            keys, parts, sizes, bits = [], [], [], []
-            for text in batch.column("_content"):
-                own = np.sort(np.unique(simhash.shingle_hashes(text.as_py(), words_each)).view(np.int64))
-                keys.append(prefix(own, frequent, counts, similarity))
-                at = np.minimum(np.searchsorted(frequent, keys[-1]), max(0, len(frequent) - 1))
-                many = np.where(frequent[at] == keys[-1], counts[at], 0) if len(frequent) else np.zeros(len(keys[-1]), np.int64)
-                parts.append((1 + many // heavy).astype(np.int32) if (many >= heavy).any() else None)
-                sizes.append(len(own))
-                bits.append(bitmap(own))
-            columns = [batch.column("_leaf"), pa.array(sizes, pa.int32()), pa.array(keys, pa.list_(pa.int64())), pa.array(parts, pa.list_(pa.int32())), pa.array(bits, pa.binary())]
-            yield pa.RecordBatch.from_arrays(columns, ["_leaf", "_size", "_keys", "_parts", "_bits"])
+            one, other, sizes = (batch.column(c).to_pylist() for c in ("_one", "_other", "_sizes"))
+            keep = [apart(x, y) <= (1 - similarity) / (1 + similarity) * n + 1e-9 for x, y, n in zip(one, other, sizes, strict=True)]
+            yield batch.select(["a", "b"]).filter(pa.array(keep, pa.bool_()))
         release()
 
     return run
 
 
+def _checked(pairs: DataFrame, sketches: DataFrame, rows: DataFrame, similarity: float, words_each: int) -> DataFrame:
+    """The pairs (a, b) that are similar enough. Bitmaps rule out most others, so the sets of few texts travel."""
+    of = lambda end, set_: sketches.select(F.col("_leaf").alias(end), F.col("_size").alias(f"_n{end}"), F.col("_bits").alias(set_))
+    near = pairs.join(of("a", "_one"), "a").join(of("b", "_other"), "b").select("a", "b", "_one", "_other", (F.col("_na") + F.col("_nb")).alias("_sizes"))
+    near = materialise(near.mapInArrow(_within(similarity), "a long, b long"), "within")
+    wanted = near.select(F.explode(F.array("a", "b")).alias("_leaf")).distinct()
+    wanted = materialise(sketches.select("_leaf", "_who").join(wanted, "_leaf", "left_semi"), "wanted")
+    sets = materialise(rows.select("_who", "_content").join(wanted, "_who").select("_leaf", "_content").mapInArrow(_shingled(words_each), "_leaf long, _set array<long>").dropDuplicates(["_leaf"]), "shingles")
+    full = near.join(sets.select(F.col("_leaf").alias("a"), F.col("_set").alias("_one")), "a").join(sets.select(F.col("_leaf").alias("b"), F.col("_set").alias("_other")), "b")
+    return full.select("a", "b", "_one", "_other").mapInArrow(_jaccard(similarity), "a long, b long")
+
+
+def _forest(sketches: DataFrame, budget: int, blocks: int, heavy: int) -> DataFrame:
+    """Pairs (a, b) of a spanning forest of all rows within the budget of bits."""
+    each = materialise(sketches.groupBy("_fp").agg(F.min("_leaf").alias("_rep"), F.count("*").alias("_n")), "prints")
+    near = simhash.links(each.select("_fp"), budget=budget, blocks=blocks, heavy=heavy, direct=True)
+    of = lambda end: each.select(F.col("_fp").alias(end), F.col("_rep").alias(f"_{end}"))
+    near = near.distinct().join(of("a"), "a").join(of("b"), "b").select(F.col("_a").alias("a"), F.col("_b").alias("b"))
+    same = sketches.select("_fp", "_leaf").join(each.where("_n > 1").select("_fp", "_rep"), "_fp").where("_leaf != _rep")
+    return near.unionByName(same.select(F.col("_rep").alias("a"), F.col("_leaf").alias("b")))
+
+
+def _shared(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The rows whose _key another row has, and all rows of keys that are dealt into parts; rows arrive ordered by key and salt."""
+    held, told = None, False
+    for batch in batches:
+        if not batch.num_rows:
+            continue
+        if held is not None:
+            batch = pa.Table.from_batches([held, batch]).combine_chunks().to_batches()[0]
+        keys, salts = batch.column("_key").to_numpy(), batch.column("_salt").to_numpy()
+        same = (keys[1:] == keys[:-1]) & (salts[1:] == salts[:-1])
+        keep = np.append(False, same) | np.append(same, False) | (salts >= 0)
+        keep[0] &= not told
+        told = bool(keep[-1]) or (told and batch.num_rows == 1)
+        yield batch.filter(pa.array(keep))
+        # the last row may be met again by the next batch
+        held = batch.slice(batch.num_rows - 1)
+    release()
+
+
 def _met(similarity: float):
     """Pairs of different labels under one (_key, _sub) that can be similar enough; rows arrive ordered by them."""
     names = ("_key", "_sub", "_leaf", "_label", "_size", "_pos")
@@ -283,70 +282,68 @@ def _met(similarity: float):
     return run
 
 
-def _far_links(rows: DataFrame, groups: DataFrame, texts: int, similarity: float, words_each: int, heavy: int) -> DataFrame:
-    """Links (a, b) between different groups (vertex, root), by a prefix filter; a text of no group is one by itself."""
-    frequent, counts = _frequent(rows, texts, words_each)
-    firsts = rows.mapInArrow(_prefixes(words_each, similarity, frequent, counts, heavy), "_leaf long, _size int, _keys array<long>, _parts array<int>, _bits binary")
-    firsts = materialise(firsts, "firsts")
-    bits = firsts.select("_leaf", "_size", "_bits").dropDuplicates(["_leaf"])
-    firsts = firsts.drop("_bits").join(groups.withColumnRenamed("vertex", "_leaf"), "_leaf", "left").withColumn("_label", F.coalesce("root", "_leaf"))
-    keyed = firsts.select("_leaf", "_label", "_size", "_parts", F.posexplode("_keys").alias("_pos", "_key"))
-    # rows of a frequent shingle are dealt into parts, which meet by twos
-    parts = F.coalesce(F.get("_parts", F.col("_pos")), F.lit(1))
-    part = F.pmod(F.xxhash64("_leaf"), parts).cast("int")
-    subs = F.transform(F.sequence(F.lit(0), parts - 1), lambda x: F.least(x, part) * parts + F.greatest(x, part))
-    keyed = keyed.select("_key", F.explode(F.when(parts == 1, F.array(F.lit(0))).otherwise(subs)).alias("_sub"), "_leaf", "_label", "_size", "_pos")
-    keyed = keyed.repartition("_key", "_sub").sortWithinPartitions("_key", "_sub")
-    pairs = materialise(keyed.mapInArrow(_met(similarity), "a long, b long").distinct(), "far-pairs")
-    # bitmaps rule out most pairs that met by chance, so few sets travel
-    pairs = pairs.join(bits.select(F.col("_leaf").alias("a"), F.col("_size").alias("m"), F.col("_bits").alias("_one")), "a")
-    pairs = pairs.join(bits.select(F.col("_leaf").alias("b"), F.col("_size").alias("n"), F.col("_bits").alias("_other")), "b")
-    pairs = pairs.select("a", "b", "_one", "_other", (F.col("m") + F.col("n")).alias("_sizes"))
-    pairs = materialise(pairs.mapInArrow(_within(similarity), "a long, b long"), "far-within")
-    leaves = materialise(pairs.select(F.explode(F.array("a", "b")).alias("_leaf")).distinct(), "far")
-    sets = rows.join(leaves, "_leaf", "left_semi").mapInArrow(_shingles(words_each), "_leaf long, _set array<long>").dropDuplicates(["_leaf"])
-    return _checked(pairs, materialise(sets, "far-shingles"), similarity)
-
-
-def similar_groups(docs: DataFrame, *, similarity: float = SIMILARITY, words_each: int = WORDS_EACH, budget: int = BUDGET, blocks: int = BLOCKS, heavy: int = simhash.HEAVY, task_work: int = TASK_WORK, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """(_leaf, _root): rows that are linked to another, by a hash of id and text; _root is one leaf of the group.
-
-    Texts of fewer than five words have one shingle, all their words; texts
-    without words are alike. Rows that repeat both id and text are one leaf.
-    """
-    leaf = F.xxhash64(F.col(id_col), F.col(text_col)).alias("_leaf")
-    rows = docs.select(leaf, content(text_col).alias("_content"))
-    prints = materialise(rows.mapInArrow(_prints, "_leaf long, _fp long").distinct(), "prints")
-    keyed = simhash._keyed(prints, budget=budget, blocks=blocks, heavy=heavy).select("_key", "_sub", "_fp", "_leaf")
-    pairs = keyed.mapInArrow(simhash._by_key(("_fp", "_leaf"), simhash._leaf_pairs(budget, simhash._blocks(budget, blocks), False)), "a long, b long")
-    forest = materialise(pairs, "forest")
-    classes = components(forest).select(F.col("vertex").alias("_leaf"), F.col("root").alias("_class"))
-    shingled = rows.join(classes.select("_leaf"), "_leaf", "left_semi").mapInArrow(_shingles(words_each), "_leaf long, _set array<long>")
-    sets = materialise(shingled.dropDuplicates(["_leaf"]).join(classes, "_leaf"), "shingles")
-    work = sets.groupBy("_class").agg((F.count("*") * F.sum(F.size("_set"))).alias("_work"))
-    large = materialise(work.where(F.col("_work") > task_work).select("_class"), "large")
-    small = sets.join(large, "_class", "left_anti").select("_class", "_leaf", "_set").repartition("_class").sortWithinPartitions("_class", "_leaf")
-    found = small.mapInArrow(_class_links(similarity), "a long, b long")
-    if not large.isEmpty():
-        rest = sets.join(large, "_class")
-        found = found.unionByName(_spread_links(prints, forest, rest.select("_leaf", "_class"), rest.select("_leaf", "_set"), similarity, budget, blocks, heavy))
-    found = materialise(found, "near-links")
+def _meetings(sketches: DataFrame, groups: DataFrame, similarity: float, heavy: int) -> DataFrame:
+    """Pairs (a, b) of different groups (vertex, root) that the prefix filter leaves; a text of no group is one by itself."""
+    keyed = sketches.select("_leaf", "_size", "_salts", F.posexplode("_keys").alias("_pos", "_key"))
+    salt = F.when(F.get("_salts", F.col("_pos")) > 1, F.pmod(F.xxhash64("_leaf"), F.get("_salts", F.col("_pos")))).otherwise(-1).cast("int")
+    keyed = keyed.select("_key", salt.alias("_salt"), "_leaf", "_size", "_pos")
+    shared = keyed.repartition("_key", "_salt").sortWithinPartitions("_key", "_salt").mapInArrow(_shared, keyed.schema)
+    shared = materialise(shared.drop("_salt"), "shared")
+    labelled = shared.join(groups.withColumnRenamed("vertex", "_leaf"), "_leaf", "left").withColumn("_label", F.coalesce("root", "_leaf")).drop("root")
+    # how many rows a shingle has, and whether groups meet there at all; combined before the shuffle
+    live = labelled.groupBy("_key").agg(F.count("*").alias("_n"), F.min("_label").alias("_x"), F.max("_label").alias("_y")).where("_x != _y")
+    rows = labelled.join(live.select("_key", (1 + F.floor(F.col("_n") / heavy)).cast("int").alias("_parts")), "_key")
+    part = F.pmod(F.xxhash64("_leaf"), F.col("_parts")).cast("int")
+    subs = F.transform(F.sequence(F.lit(0), F.col("_parts") - 1), lambda x: F.least(x, part) * F.col("_parts") + F.greatest(x, part))
+    rows = rows.select("_key", F.explode(F.when(F.col("_parts") == 1, F.array(F.lit(0))).otherwise(subs)).alias("_sub"), "_leaf", "_label", "_size", "_pos")
+    rows = rows.repartition("_key", "_sub").sortWithinPartitions("_key", "_sub")
+    return rows.mapInArrow(_met(similarity), "a long, b long").distinct()
+
+
+def _who(id_col: str, text_col: str):
+    """128 bits of id and text; nulls differ from empty ones."""
+    of = lambda c: F.coalesce(F.concat(F.lit("="), F.col(c).cast("string")), F.lit("-"))
+    return F.unhex(F.md5(F.concat(of(id_col), F.lit("\0"), of(text_col)).cast("binary")))
+
+
+def _grouped(docs: DataFrame, *, similarity: float = SIMILARITY, words_each: int = WORDS_EACH, budget: int = BUDGET, blocks: int = BLOCKS, heavy: int = HEAVY, id_col: str, text_col: str) -> DataFrame:
+    """(_id, _who, _leaf, _root) of all rows that are linked to another."""
+    rows = docs.select(F.col(id_col).alias("_id"), _who(id_col, text_col).alias("_who"), content(text_col).alias("_content"))
+    sketches = _sketches(rows, docs.count(), similarity, words_each, heavy)
+    found = materialise(_checked(_forest(sketches, budget, blocks, simhash.HEAVY), sketches, rows, similarity, words_each), "near-links")
     groups = materialise(components(found), "near-groups")
-    far = materialise(_far_links(rows, groups, prints.count(), similarity, words_each, heavy), "far-links")
+    met = materialise(_meetings(sketches, groups, similarity, heavy), "meetings")
+    far = materialise(_checked(met, sketches, rows, similarity, words_each), "far-links")
     if not far.isEmpty():
         groups = components(found.unionByName(far))
-    return groups.select(F.col("vertex").alias("_leaf"), F.col("root").alias("_root"))
+    return sketches.select("_leaf", "_id", "_who").join(groups.select(F.col("vertex").alias("_leaf"), F.col("root").alias("_root")), "_leaf")
+
+
+def similar_groups(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", **options) -> DataFrame:
+    """(id, group): the rows that are linked to another; group is the least id of the rows that links reach.
+
+    Texts of fewer than five words have one shingle, all their words; null
+    texts and texts without words are alike. Repeated rows come back each. A
+    null id names a group only if the group has no other. An empty table gives
+    no rows. Whole texts count, however long; other columns, whatever their
+    names, are not read.
+    """
+    found = _grouped(docs, id_col=id_col, text_col=text_col, **options)
+    least = found.groupBy("_root").agg(F.min("_id").alias("_least"))
+    return found.join(least, "_root").select(F.col("_id").alias(id_col), F.col("_least").alias("group"))
 
 
 def drop_near_duplicates(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", **options) -> DataFrame:
     """One document of each group, that with the least id (null last), and all documents without links.
 
-    All columns stay; repeated rows stay or go together. Texts travel only for
-    candidates; the result is docs less the rows that go, found by a hash.
+    All columns stay as they are, whatever their names; rows that repeat both
+    id and text stay or go together. Null texts and texts without words are
+    alike, so one of them stays. An empty table stays empty. Whole texts
+    count, however long. Texts travel only for candidates; the result is docs
+    less the rows that go, which are found by 128 bits of id and text.
     """
-    groups = materialise(similar_groups(docs, id_col=id_col, text_col=text_col, **options), "groups")
-    leaf = F.xxhash64(F.col(id_col), F.col(text_col))
-    ids = docs.select(leaf.alias("_leaf"), F.col(id_col).alias("_id")).join(groups, "_leaf")
-    kept = ids.groupBy("_root").agg(F.min(F.struct(F.col("_id").isNull().alias("n"), F.col("_id").alias("i"), F.col("_leaf").alias("l")))["l"].alias("_kept"))
-    gone = groups.join(kept, "_root").where("_leaf != _kept").select(F.col("_leaf").alias("_tg_leaf"))
-    return docs.withColumn("_tg_leaf", leaf).join(gone, "_tg_leaf", "left_anti").select(*docs.columns)
+    found = materialise(_grouped(docs, id_col=id_col, text_col=text_col, **options), "groups")
+    kept = found.groupBy("_root").agg(F.min(F.struct(F.col("_id").isNull().alias("n"), F.col("_id").alias("i"), F.col("_who").alias("w")))["w"].alias("_kept"))
+    name = unused(docs, "_who")
+    gone = found.join(kept, "_root").where("_who != _kept").select(F.col("_who").alias(name)).distinct()
+    return docs.withColumn(name, _who(id_col, text_col)).join(gone, name, "left_anti").drop(name)
