@@ -13,7 +13,7 @@ from functools import reduce
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidegraph.shared import materialise
+from tidegraph.shared import materialise, settled
 
 
 def inverse(edges: DataFrame) -> DataFrame:
@@ -59,17 +59,19 @@ def one_or_more(edges: DataFrame) -> DataFrame:
     rounds grow with the logarithm of the depth. Pairs at a longest distance
     have others at each shorter one, so a round without new pairs is the last.
     """
-    power = materialise(edges.select("src", "dst").distinct(), "closure")
-    reach = [power]
-    power = materialise(sequence(power, power).distinct(), "power")
-    while True:
-        known = reduce(lambda a, b: a.unionByName(b), reach)
-        new = power.unionByName(sequence(power, known)).distinct().join(known, ["src", "dst"], "left_anti")
-        new = materialise(new, "closure")
-        if new.isEmpty():
-            return known
-        reach.append(new)
-        power = materialise(sequence(power, power).distinct(), "power")
+
+    def build() -> DataFrame:
+        power = materialise(edges.select("src", "dst").distinct(), "closure")
+        reach = [power]
+        while True:
+            power = materialise(sequence(power, power).distinct(), "power")
+            known = reduce(lambda a, b: a.unionByName(b), reach)
+            new = materialise(power.unionByName(sequence(power, known)).distinct().join(known, ["src", "dst"], "left_anti"), "closure")
+            if new.isEmpty():
+                return known
+            reach.append(new)
+
+    return settled(edges.sparkSession, "closure", build)
 
 
 def zero_or_more(edges: DataFrame) -> DataFrame:

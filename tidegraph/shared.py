@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -43,9 +44,25 @@ def materialise(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
-def forget(spark: SparkSession) -> None:
-    """Delete what materialise() wrote; results read from it can't be read afterwards."""
+def _delete(spark: SparkSession, paths: list[str]) -> None:
     jvm, conf = spark.sparkContext._jvm, spark.sparkContext._jsc.hadoopConfiguration()
-    while _written:
-        path = jvm.org.apache.hadoop.fs.Path(_written.pop())
+    for name in paths:
+        path = jvm.org.apache.hadoop.fs.Path(name)
         path.getFileSystem(conf).delete(path, True)
+
+
+def settled(spark: SparkSession, name: str, build: Callable[[], DataFrame]) -> DataFrame:
+    """What build() gives, written as by materialise(); all that was written on the way is deleted, since nothing reads it any more."""
+    path, mark = new_folder(spark, name), len(_written)
+    df = build()
+    df.write.parquet(path)
+    on_the_way = _written[mark:]
+    del _written[mark:]
+    _delete(spark, on_the_way)
+    return spark.read.schema(df.schema).parquet(path)
+
+
+def forget(spark: SparkSession) -> None:
+    """Delete what materialise() wrote; results read from it can't be read afterwards."""
+    _delete(spark, _written)
+    _written.clear()
