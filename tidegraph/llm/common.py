@@ -4,11 +4,12 @@ from __future__ import annotations
 
 import ctypes
 
+import pandas as pd
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidegraph.shared import forget, materialise, new_folder, shared_folder  # noqa: F401
+from tidegraph.shared import forget, materialise, new_folder, settled, shared_folder  # noqa: F401
 
 #: A word is a run of anything but ASCII white space; bytes.split() follows the same rule.
 WORD = r"[^\x20\x09-\x0D]+"
@@ -31,6 +32,22 @@ def unused(docs: DataFrame, name: str) -> str:
     return name
 
 
+def bounded_sample(rows: DataFrame, taken: DataFrame, key: str, column: str, most_bytes: int) -> pd.DataFrame:
+    """The rows' column for the keys that are taken, with what taken says of them, in the order of the keys.
+
+    taken (key, _bytes, ...) has been limited to a few thousand rows. Keys are
+    taken in their order as long as their bytes add up to at most most_bytes,
+    so what reaches the driver is bounded; of rows with one key, one comes.
+    """
+    wanted = taken.toPandas().sort_values(key).reset_index(drop=True)
+    wanted = wanted[wanted["_bytes"].cumsum() <= most_bytes]
+    kind = taken.select(key).schema
+    keys = rows.sparkSession.createDataFrame([(k,) for k in wanted[key].tolist()], kind)
+    # as few keys as taken has, so the small side is bounded
+    got = rows.select(key, column).join(F.broadcast(keys), key).groupBy(key).agg(F.min(column).alias(column)).toPandas()
+    return got.merge(wanted, on=key).sort_values(key).reset_index(drop=True)
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
