@@ -1,9 +1,9 @@
 """WARC archives: writing, normalising monolithic gzip, reading by offset.
 
 Spark's text sink writes records as whole-file gzip streams, which can only be
-read from the start. The normaliser inflates each stream once, rewrites every
-record as a gzip member of its own and writes a sidecar index of offsets next
-to the archive; with it a record is read by one seek.
+read from the start. The normaliser inflates each stream once, block by block,
+rewrites every record as a gzip member of its own and writes a sidecar index of
+offsets next to the archive; with it a record is read by one seek.
 """
 
 from __future__ import annotations
@@ -46,7 +46,8 @@ def records(pages: DataFrame, *, least_bytes: int = 0, id_col: str = "page_id",
     a response and the others are revisits of it; if several rows have that
     id, one is the response. Only payloads that occur more than once are ordered. Null ids count only where a payload has no other.
     A null payload is empty; a null url is an empty one, and line breaks in a
-    url are taken out.
+    url are taken out. An empty table gives no records; whole payloads are
+    written, however long; other columns, whatever their names, are not read.
     """
     html = F.coalesce(F.col(text_col), F.lit(""))
     rows = pages.select(
@@ -81,15 +82,27 @@ def write_archives(found: DataFrame, folder: str) -> None:
     found.write.option("lineSep", "\r\n\r\n").option("compression", "gzip").text(folder)
 
 
-def inflate(blocks: Iterable[bytes]) -> Iterator[bytes]:
-    """The contents of a gzip stream of one or more members, piece by piece."""
-    stream = zlib.decompressobj(31)
+def inflate(blocks: Iterable[bytes], most: int = 1 << 20) -> Iterator[bytes]:
+    """The contents of a gzip stream of one or more members, in pieces of at most most bytes.
+
+    Raises if the stream is cut, also where that is between two records.
+    """
+    stream = None
     for block in blocks:
         while block:
-            yield stream.decompress(block)
-            block = stream.unused_data
-            if stream.eof:
+            if stream is None:
                 stream = zlib.decompressobj(31)
+            yield stream.decompress(block, most)
+            block = stream.unconsumed_tail
+            if stream.eof:
+                block, stream = stream.unused_data, None
+    while stream is not None:
+        rest = stream.decompress(stream.unconsumed_tail, most)
+        if stream.eof:
+            stream = None
+        elif not rest:
+            raise ValueError("the gzip stream is cut")
+        yield rest
 
 
 def split_records(pieces: Iterable[bytes]) -> Iterator[tuple[dict[str, str], bytes]]:
@@ -129,32 +142,50 @@ def _open(path: str):
     return fs.FileSystem.from_uri(path)
 
 
-def _normalised(folder: str):
+def _blocks(path: str, size: int = 1 << 20) -> Iterator[bytes]:
+    store, base = _open(path)
+    with store.open_input_stream(base, compression=None) as file:
+        while block := file.read(size):
+            yield block
+
+
+def _put(store, draft: str, target: str) -> None:
+    """A task that runs again replaces a file by the same bytes."""
+    from pyarrow import fs
+
+    if store.get_file_info(target).type != fs.FileType.NotFound:
+        store.delete_file(target)
+    store.move(draft, target)
+
+
+def _normalised(folder: str, entries: int = 10_000):
+    names = ["archive", "offset", "length", "record_id", "record_type"]
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for path, whole in zip(batch.column("path").to_pylist(), batch.column("content"), strict=True):
+            for path in batch.column("path").to_pylist():
                 name = path.rsplit("/", 1)[-1].split(".")[0] + ".warc.gz"
                 store, base = _open(folder)
                 draft = f"{base}/.{name}.{uuid.uuid4().hex}"
                 index, at = [], 0
-                view = whole.as_buffer()
-                blocks = (view.slice(i, min(1 << 20, view.size - i)).to_pybytes() for i in range(0, view.size, 1 << 20))
-                with store.open_output_stream(draft) as out:
-                    for headers, record in split_records(inflate(blocks)):
+                with store.open_output_stream(draft) as out, store.open_output_stream(f"{draft}.idx") as lines:
+                    for headers, record in split_records(inflate(_blocks(path))):
                         packed = member(record)
                         out.write(packed)
                         index.append((at, len(packed), headers["warc-record-id"], headers["warc-type"]))
+                        lines.write(("\t".join(map(str, index[-1])) + "\n").encode())
                         at += len(packed)
-                with store.open_output_stream(f"{draft}.idx") as out:
-                    out.write("".join("\t".join(map(str, x)) + "\n" for x in index).encode())
-                # a task that runs again replaces the same names by the same bytes
-                store.move(draft, f"{base}/{name}")
-                store.move(f"{draft}.idx", f"{base}/{name}.idx")
-                columns = list(zip(*index, strict=True)) or [(), (), (), ()]
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array([f"{folder}/{name}"] * len(index), pa.string()), *(pa.array(c, t) for c, t in zip(columns, (pa.int64(), pa.int64(), pa.string(), pa.string()), strict=True))],
-                    ["archive", "offset", "length", "record_id", "record_type"],
-                )
+                        if len(index) >= entries:
+                            yield batch_of(name, index)
+                            index = []
+                _put(store, draft, f"{base}/{name}")
+                _put(store, f"{draft}.idx", f"{base}/{name}.idx")
+                yield batch_of(name, index)
+
+    def batch_of(name: str, index: list[tuple]) -> pa.RecordBatch:
+        columns = list(zip(*index, strict=True)) or [(), (), (), ()]
+        kinds = (pa.int64(), pa.int64(), pa.string(), pa.string())
+        return pa.RecordBatch.from_arrays([pa.array([f"{folder}/{name}"] * len(index), pa.string()), *(pa.array(c, t) for c, t in zip(columns, kinds, strict=True))], names)
 
     return run
 
@@ -162,15 +193,16 @@ def _normalised(folder: str):
 def normalise(spark: SparkSession, source: str, target: str) -> DataFrame:
     """Rewrites every gzip archive in source to target, a record a member; returns the index.
 
-    One task holds one compressed archive; its contents pass through in
-    pieces. target is a folder that pyarrow's file systems can write (file,
-    hdfs, s3, gs). Beside each archive its index is written as name.idx, with
-    offset, length, record id and type in each line.
+    Archives are read as streams, so they can be of any size: a task holds a
+    block of an archive and one record. source and target are folders of file
+    systems that pyarrow knows (file, hdfs, s3, gs). Beside each archive its
+    index is written as name.idx, with offset, length, record id and type in
+    each line. An archive that is cut raises.
     """
     store, base = _open(target)
     store.create_dir(base, recursive=True)
-    # "*" leaves out Spark's marker files, which have no gzip suffix
-    files = spark.read.format("binaryFile").option("pathGlobFilter", "*.gz").load(source).select("path", "content")
+    # only paths and lengths are read here, by which Spark deals the archives out; "*" leaves out marker files, which have no gzip suffix
+    files = spark.read.format("binaryFile").option("pathGlobFilter", "*.gz").load(source).select("path")
     return materialise(files.mapInArrow(_normalised(target), INDEX), "warc-index")
 
 
