@@ -1,8 +1,9 @@
 """Packing token sequences by minimum bin slack.
 
 Documents are encoded where they lie; each is cut into full windows and one
-remainder, and from there on only lengths travel, never tokens. Pieces are
-dealt out by a hash into bins of bounded size. In a bin, each window starts
+remainder, and from there on only lengths travel; tokens follow at the end, if
+they are wanted. Pieces are numbered when they are written, and dealt out by a
+hash of their number into bins of bounded size, however alike they are. In a bin, each window starts
 with the longest piece left; a subset-sum over the multiset of remaining
 lengths, kept as the bits of one integer, finds the fill closest to the
 capacity, and tracking back gives how many pieces of each length to take.
@@ -43,7 +44,7 @@ def _cut(path: str, capacity: int, end_id: int, with_ids: bool):
         for batch in batches:
             rows, starts, lengths, crcs, totals, ids = [], [], [], [], [], []
             texts = (x.as_py() for x in batch.column("_content"))
-            parts = of.by_words(texts) if of.words else ([ids] for ids in of.encode(t.decode("utf-8", "replace") for t in texts))
+            parts = (of.by_words if of.words else of.whole)(texts)
             for row, part in enumerate(parts):
                 encoded = b"".join(part) + end
                 for at in range(0, len(encoded), 4 * capacity):
@@ -117,7 +118,7 @@ def minimum_bin_slack(lengths: dict[int, int], capacity: int) -> Iterator[list[t
 
 def _pack(capacity: int, bins: int):
     def pack(pdf: pd.DataFrame) -> pd.DataFrame:
-        pdf = pdf.sort_values(["length", "_id", "start", "ids_crc32", "doc_tokens"], kind="stable").reset_index(drop=True)
+        pdf = pdf.sort_values(["length", "_id", "start", "ids_crc32", "doc_tokens", "_piece"], kind="stable").reset_index(drop=True)
         lengths = pdf["length"].to_numpy()
         values, first, counts = np.unique(lengths, return_index=True, return_counts=True)
         following = dict(zip(values.tolist(), first.tolist(), strict=True))
@@ -135,23 +136,37 @@ def _pack(capacity: int, bins: int):
     return pack
 
 
-def pack(docs: DataFrame, *, capacity: int = CAPACITY, bin_pieces: int = BIN_PIECES, id_col: str = "doc_id", text_col: str = "text", **encoding) -> DataFrame:
-    """Per piece: id, start, length, ids_crc32, doc_tokens, sequence_id, offset.
+def pack(docs: DataFrame, *, capacity: int = CAPACITY, bin_pieces: int = BIN_PIECES, with_ids: bool = False, id_col: str = "doc_id", text_col: str = "text", **encoding) -> DataFrame:
+    """Per piece: id, start, length, ids_crc32, doc_tokens, sequence_id, offset; with_ids adds ids, little-endian unsigned 32-bit.
 
     A document is its ids and the end id, so a null or empty text is one piece
     of length 1. Pieces are laid out from offset 0 without gaps; no sequence
     is longer than capacity. Null ids stay null; repeated rows are packed each
-    by itself; an empty table gives no rows; other columns are not read. What
-    is short of capacity is padding, unless the length is a power of two.
+    by itself, in as many bins as there are; an empty table gives no rows;
+    texts are cut at capacity, so very long ones are many pieces; other
+    columns, whatever their names, are not read. What is short of capacity is
+    padding, unless the length is a power of two.
     """
-    cut = materialise(token_pieces(docs, capacity=capacity, id_col=id_col, text_col=text_col, **encoding), "pieces")
+    found = token_pieces(docs, capacity=capacity, with_ids=with_ids, id_col=id_col, text_col=text_col, **encoding)
+    cut = materialise(found.withColumn("_piece", F.monotonically_increasing_id()), "pieces")
     bins = max(1, math.ceil(cut.count() / bin_pieces))
-    lean = [c for c in cut.columns if c != "ids"]
-    dealt = cut.select(*lean, F.pmod(F.xxhash64(*lean), F.lit(bins)).alias("_bin"))
+    dealt = cut.select("_id", "start", "length", "ids_crc32", "doc_tokens", "_piece", F.pmod(F.xxhash64("_piece"), F.lit(bins)).alias("_bin"))
     kind = cut.schema["_id"].dataType.simpleString()
-    schema = f"_id {kind}, start long, length long, ids_crc32 long, doc_tokens long, _bin long, sequence_id long, offset long"
+    schema = f"_id {kind}, start long, length long, ids_crc32 long, doc_tokens long, _piece long, _bin long, sequence_id long, offset long"
     packed = dealt.groupBy("_bin").applyInPandas(_pack(capacity, bins), schema)
-    return packed.select(F.col("_id").alias(id_col), "start", "length", "ids_crc32", "doc_tokens", "sequence_id", "offset")
+    names = ["start", "length", "ids_crc32", "doc_tokens", "sequence_id", "offset"]
+    if with_ids:
+        packed = packed.join(cut.select("_piece", "ids"), "_piece")
+        names.append("ids")
+    return packed.select(F.col("_id").alias(id_col), *names)
+
+
+def sequences(packed: DataFrame) -> DataFrame:
+    """Of pack(with_ids=True): (sequence_id, length, ids, starts), a sequence's ids in order and where its pieces begin; padding is left to the reader."""
+    pieces = F.array_sort(F.collect_list(F.struct("offset", "length", "ids")))
+    whole = packed.groupBy("sequence_id").agg(F.sum("length").alias("length"), pieces.alias("_p"))
+    # at most capacity pieces to a sequence
+    return whole.select("sequence_id", "length", F.aggregate("_p", F.lit(b""), lambda done, p: F.concat(done, p["ids"])).alias("ids"), F.col("_p.offset").alias("starts"))
 
 
 def op5_packing(spark: SparkSession, sf_dir: str) -> DataFrame:

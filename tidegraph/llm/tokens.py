@@ -4,7 +4,10 @@ An Arrow function receives batches of UTF-8 texts. For vocabularies that drop
 white space, ASCII white space is a safe boundary: no token reaches across it.
 There, texts are cut into words, the words not met before are encoded in
 batches balanced by bytes, and a text's length is the sum over its words. For
-other vocabularies whole texts are encoded in batches balanced by bytes.
+byte-level and sentencepiece vocabularies a space between two ASCII letters or
+digits is one, if the rules of the file say so; long texts are cut there and
+encoded in batches balanced by bytes. Whether a boundary is safe, and whether
+letters are lower-cased, is read from the file and not assumed.
 Only lengths (or ids, for packing) are kept, never the library's encodings.
 """
 
@@ -41,7 +44,7 @@ def _by_bytes(items: Iterable[str], most: int = BATCH_BYTES) -> Iterator[list[st
     batch, size = [], 0
     for item in items:
         batch.append(item)
-        size += len(item)
+        size += len(item) if item.isascii() else len(item.encode())
         if size >= most:
             yield batch
             batch, size = [], 0
@@ -49,6 +52,22 @@ def _by_bytes(items: Iterable[str], most: int = BATCH_BYTES) -> Iterator[list[st
         yield batch
 
 
+#: A space between two ASCII letters or digits, where a long text can be cut.
+_BETWEEN = re.compile(rb"(?<=[A-Za-z0-9]) (?=[A-Za-z0-9])")
+
+
+def safe_pieces(text: bytes, keep_space: bool, most: int = PIECE_BYTES) -> Iterator[bytes]:
+    """The text cut at spaces between ASCII letters or digits into pieces of about most bytes; the space begins the next piece or goes."""
+    start = 0
+    while len(text) - start > most:
+        match = _BETWEEN.search(text, start + most)
+        if not match:
+            break
+        yield text[start : match.start()]
+        start = match.start() if keep_space else match.end()
+    yield text[start:]
+
+
 def pieces(text: bytes, most: int = PIECE_BYTES) -> Iterator[bytes]:
     """The text cut at ASCII white space into pieces of about most bytes.
 
@@ -78,17 +97,27 @@ class Encoder:
 
     def __init__(self, path: str, value: Callable[[list[int]], object] = len):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
-        self.value, self.known, self.ends = value, {}, None
+        self.value, self.known, self.ends, self.lower, self.specials = value, {}, None, False, []
+        #: Whether a long text can be cut at spaces: None if not, else whether the space stays.
+        self.cut: bool | None = None
         if path.endswith(".model"):
             import sentencepiece
 
             model = sentencepiece.SentencePieceProcessor(model_file=path)
             self.words, self._ids = False, lambda batch: model.encode(batch, num_threads=1)
+            # no piece reaches from a word over its end, and each text begins like a word after a space
+            inside = any("\u2581" in model.id_to_piece(i).lstrip("\u2581") for i in range(model.vocab_size()))
+            self.cut = False if not inside and model.encode("x", out_type=str)[0].startswith("\u2581") else None
         else:
             from tokenizers import Tokenizer
 
             model = Tokenizer.from_file(path)
-            self.words = drops_white_space(path)
+            with open(path, encoding="utf-8") as file:
+                rules = json.load(file)
+            self.words, self.lower = drops_white_space(rules), lower_cases(rules)
+            self.specials = [x["content"].lower().encode() for x in rules["added_tokens"]]
+            # a byte-level splitter begins a word with the space before it
+            self.cut = True if cuts_before_spaces(rules) else None
             self._ids = lambda batch: [x.ids for x in model.encode_batch_fast(batch, add_special_tokens=False)]
             suffix = getattr(model.model, "end_of_word_suffix", None)
             if self.words and suffix:
@@ -100,6 +129,27 @@ class Encoder:
         for batch in _by_bytes(texts):
             yield from map(self.value, self._ids(batch))
 
+    def whole(self, texts: Iterable[bytes]) -> Iterator[list]:
+        """For each text the values of its pieces in order, for vocabularies that are not encoded by words."""
+
+        def cut(text: bytes) -> list[str]:
+            found = safe_pieces(text, self.cut) if self.cut is not None and len(text) > PIECE_BYTES else [text]
+            return [x.decode("utf-8", "replace") for x in found]
+
+        group, size = [], 0
+        for text in texts:
+            group.append(cut(text))
+            size += len(text)
+            if size > PIECE_BYTES:
+                yield from self._of(group)
+                group, size = [], 0
+        yield from self._of(group)
+
+    def _of(self, group: list[list[str]]) -> Iterator[list]:
+        values = self.encode(chain.from_iterable(group))
+        for own in group:
+            yield [next(values) for _ in own]
+
     def _learn(self, words: Iterable[bytes]) -> None:
         """Plain words are encoded many to a text, without their marks, and told apart by the tokens that end a word."""
         known, other, plain, marked = self.known, {}, {}, []
@@ -130,8 +180,11 @@ class Encoder:
             known[word] = known[base] + known[end]
 
     def _split(self, piece: bytes) -> list[bytes]:
-        # the special tokens hold "<|" and are case-sensitive; all else is lower-cased anyway
-        return (piece if b"<|" in piece else piece.lower()).split()
+        if not self.lower:
+            return piece.split()
+        # lower-casing first makes one word of several, but must not make a special token
+        low = piece.lower()
+        return (piece if any(s in low for s in self.specials) else low).split()
 
     def _values(self, texts: list[bytes]) -> Iterator[map]:
         split = [self._split(t) for t in texts]
@@ -162,24 +215,37 @@ class Encoder:
         yield from self._values(group)
 
 
-def drops_white_space(path: str) -> bool:
-    """Whether the file's rules make ASCII white space a safe boundary.
+def _normalisers(rules: dict) -> set[str]:
+    normal = rules.get("normalizer") or {}
+    return {x["type"] for x in normal.get("normalizers", [normal]) if x}
+
+
+def lower_cases(rules: dict) -> bool:
+    return "Lowercase" in _normalisers(rules)
+
+
+def drops_white_space(rules: dict) -> bool:
+    """Whether a file's rules make ASCII white space a safe boundary.
 
     They do if the first splitter keeps only matches of a pattern of which no
     alternative matches white space, and the normaliser works within words.
     """
-    with open(path, encoding="utf-8") as file:
-        rules = json.load(file)
     splitters = (rules.get("pre_tokenizer") or {}).get("pretokenizers") or []
     if not splitters or splitters[0].get("type") != "Split":
         return False
     split = splitters[0]
     pattern = split["pattern"].get("Regex", " ")
-    normal = rules.get("normalizer") or {}
-    kinds = {x["type"] for x in normal.get("normalizers", [normal]) if x}
-    plain = not any(x["content"].strip() != x["content"] or x["lstrip"] or x["rstrip"] for x in rules["added_tokens"])
+    plain = not any(x["content"].split() != [x["content"]] or x["lstrip"] or x["rstrip"] for x in rules["added_tokens"])
     keeps_words = split["behavior"] == "Removed" and split["invert"] and " " not in pattern and r"\s" not in pattern.replace(r"[^\s", "[^")
-    return bool(plain and keeps_words and kinds <= {"NFC", "NFD", "NFKC", "NFKD", "Lowercase", "Replace"})
+    return bool(plain and keeps_words and _normalisers(rules) <= {"NFC", "NFD", "NFKC", "NFKD", "Lowercase", "Replace"})
+
+
+def cuts_before_spaces(rules: dict) -> bool:
+    """Whether a word always begins at a space between two letters or digits: the usual byte-level splitter, and special tokens without spaces."""
+    splitter = rules.get("pre_tokenizer") or {}
+    usual = splitter.get("type") == "ByteLevel" and splitter.get("use_regex", True) and not splitter.get("add_prefix_space", False)
+    plain = not any(" " in x["content"] or x["lstrip"] or x["rstrip"] for x in rules["added_tokens"])
+    return bool(usual and plain and _normalisers(rules) <= {"NFC", "NFD", "NFKC", "NFKD"})
 
 
 _encoders: dict[tuple[str, str], Encoder] = {}
@@ -198,10 +264,7 @@ def _counts(path: str):
         of = encoder(path)
         for batch in batches:
             texts = batch.column("_content")
-            if of.words:
-                lengths = list(map(sum, of.by_words(x.as_py() for x in texts)))
-            else:
-                lengths = list(of.encode(x.as_py().decode("utf-8", "replace") for x in texts))
+            lengths = list(map(sum, (of.by_words if of.words else of.whole)(x.as_py() for x in texts)))
             yield pa.RecordBatch.from_arrays([batch.column("_id"), batch.column("_bytes"), pa.array(lengths, pa.int64())], ["_id", "_bytes", "_tokens"])
         release()
 
@@ -215,7 +278,7 @@ def token_counts(docs: DataFrame, *, vocabulary: str | None = None, limit: int =
     padding; special strings inside texts as the library treats them by
     default. A null text is empty: 0 bytes, 0 tokens. A null id stays null,
     repeated rows are counted each, an empty table gives no rows, other
-    columns are not read. One narrow stage, no shuffle.
+    columns, whatever their names, are not read. One narrow stage, no shuffle.
     """
     rows = docs.select(F.col(id_col).alias("_id"), content(text_col).alias("_content"))
     rows = rows.withColumn("_bytes", F.octet_length("_content").cast("long"))
