@@ -1,19 +1,18 @@
 """Quality classifier from a weak-label model.
 
-Heuristic labellers vote good, bad or nothing on each document. They overlap
-and err, so expectation-maximisation estimates each one's accuracy and how
-often it votes, with the share of good documents, from votes alone. Equal vote
+Heuristic labellers vote good, bad or nothing on each document, each by one
+kind of evidence of its own, so they overlap and contradict one another.
+Expectation-maximisation estimates how often each one casts each vote on good
+and on bad documents, and the share of good ones, from votes alone. Equal vote
 patterns have equal posteriors, so EM runs on counts of patterns, of which
 there are at most 3 to the number of labellers, whatever the corpus. The
-posteriors then train a linear scorer over hashed words and word pairs, which
-also ranks documents on which no labeller votes.
+posteriors of a sample train a linear scorer over hashed words, word shapes and
+pairs of neighbours, and the scorer decides which documents are kept.
 """
 
 from __future__ import annotations
 
 import re
-import zlib
-from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -22,87 +21,125 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidegraph.llm.common import content, materialise, table
+from tidegraph.llm.common import bounded_sample, content, materialise, release, table
 
 BAD, NONE, GOOD = -1, 0, 1
-#: Columns of the scorer's weight table.
-ROWS = 1 << 16
-#: The bound of the scorer's training sample, in documents and in bytes of one text.
-SAMPLE, MOST_BYTES = 4000, 1 << 18
+#: Rows of the scorer's weight table.
+ROWS = 1 << 17
+#: The bound of the scorer's training sample, in documents and in bytes of one text and of all.
+SAMPLE, MOST_BYTES, TOTAL_BYTES = 4000, 1 << 18, 32 << 20
 THRESHOLD = 0.5
+#: Words that a worker remembers, over all its tasks; beyond, it starts anew.
+REMEMBERED = 300_000
 
-
-#: What is counted of each text; words and characters without white space.
-COUNTS = ("words", "characters", "signs", "capitals", "digits", "separators", "stops", "repeats")
-_PLAIN_SIGNS = frozenset(".,;:!?'\"()-")
+#: What is counted of each text; words, and characters without white space.
+COUNTS = ("words", "characters", "signs", "capitals", "digits", "separators", "stops", "repeats", "distinct")
 
 
 def labellers() -> dict[str, Column]:
     """Votes over the columns of COUNTS: 1 good, -1 bad, 0 none."""
     words, characters = F.greatest(F.col("words"), F.lit(1)), F.greatest(F.col("characters"), F.lit(1))
     share = lambda name, of: F.col(name) / of
-    vote = lambda bad, good: F.when(bad, BAD).when(good, GOOD).otherwise(NONE)
+    some, many = F.col("words") > 4, F.col("words") >= 20
     letters, per_stop = characters / words, words / F.greatest(F.col("stops"), F.lit(1))
     bad = lambda when: F.when(when, BAD).otherwise(NONE)
+    vote = lambda wrong, right: F.when(wrong, BAD).when(right, GOOD).otherwise(NONE)
     return {
         "signs": bad(share("signs", characters) > 0.03),
-        "capitals": bad((F.col("words") > 4) & (share("capitals", characters) > 0.3)),
-        "digits": bad((F.col("words") > 4) & (share("digits", characters) > 0.4)),
-        "separators": bad((F.col("words") > 4) & (share("separators", words) > 0.1)),
-        "repetition": bad((F.col("words") > 4) & (share("repeats", words) > 0.1)),
-        "word_length": bad((F.col("words") > 4) & ((letters > 20) | (letters < 2))),
-        "sentences": vote((F.col("words") > 30) & ((F.col("stops") == 0) | (per_stop > 100)), per_stop.between(2, 40) & (share("capitals", characters) < 0.15) & (share("repeats", words) < 0.05)),
-        "prose": vote(F.col("words") < 1, (share("separators", words) < 0.05) & (share("signs", characters) < 0.02) & ((F.col("words") <= 4) | (share("capitals", characters) < 0.2)) & (share("repeats", words) < 0.05)),
-        "plain": vote(F.col("words") < 1, (share("signs", characters) < 0.02) & (share("digits", characters) < 0.4) & ((F.col("words") <= 4) | (share("capitals", characters) < 0.3)) & (share("repeats", words) < 0.08) & letters.between(2, 15)),
+        "capitals": bad(some & (share("capitals", characters) > 0.3)),
+        "separators": bad(some & (share("separators", words) > 0.1)),
+        "repetition": bad(some & (share("repeats", words) > 0.1)),
+        "word_length": bad((F.col("words") < 1) | some & ((letters > 20) | (letters < 2))),
+        "sentences": vote(many & ((F.col("stops") == 0) | (per_stop > 100)), per_stop.between(2, 40)),
+        "plain": vote(share("signs", characters) + share("digits", characters) > 0.4, share("signs", characters) + share("digits", characters) < 0.01),
+        "small_letters": vote(some & (share("capitals", characters) > 0.6), share("capitals", characters).between(0.001, 0.12)),
+        "variety": vote(many & (share("distinct", words) < 0.1), many & share("distinct", words).between(0.25, 0.98)),
     }
 
 
-class WordCounts:
-    """The counts of each word, remembered, and their sums over a text."""
+_PLAIN_SIGNS = frozenset(".,;:!?'\"()-")
+_CLASSES = bytes.maketrans(bytes(range(256)), bytes(97 if 97 <= b <= 122 else 65 if 65 <= b <= 90 else 48 if 48 <= b <= 57 else 46 if chr(b) in _PLAIN_SIGNS else 35 for b in range(256)))
+_SHAPES = bytes.maketrans(bytes(range(256)), bytes(97 if 97 <= b <= 122 or b >= 128 else 65 if 65 <= b <= 90 else 48 if 48 <= b <= 57 else b for b in range(256)))
+_RUNS = re.compile(rb"(.)\1+", re.DOTALL)
+_MIX = np.uint64(0x9E3779B97F4A7C15)
+
+
+def _row(hashed: np.ndarray) -> np.ndarray:
+    return ((hashed ^ hashed >> np.uint64(29)) * _MIX >> np.uint64(64 - (ROWS - 1).bit_length())).astype(np.int64)
 
-    REMEMBERED = 300_000
+
+def counts_of(word: bytes) -> tuple[int, ...]:
+    """A word's share of the first seven COUNTS."""
+    if word.isascii():
+        kinds = word.translate(_CLASSES)
+        capitals, digits = kinds.count(b"A"), kinds.count(b"0")
+        length, alphanumeric, signs = len(word), capitals + digits + kinds.count(b"a"), kinds.count(b"#")
+    else:
+        text = word.decode("utf-8", "replace")
+        known = [c for c in text if c.isalnum()]
+        capitals, digits = sum(c.isupper() for c in known), sum(c.isdigit() for c in known)
+        length, alphanumeric, signs = len(text), len(known), sum(not c.isalnum() and c not in _PLAIN_SIGNS for c in text)
+    ends = word.rstrip(b"\"')")[-1:] in (b".", b"!", b"?") and alphanumeric > 0
+    return 1, length, signs, capitals, digits, not alphanumeric, ends
+
+
+class Words:
+    """What a worker knows of words: their counts, and hashes of the word in small letters and of its shape."""
 
     def __init__(self):
         self._reset()
 
     def _reset(self) -> None:
         self.known: dict[bytes, int] = {}
-        self.rows = np.zeros((1024, 7), np.int64)
-
-    @staticmethod
-    def of(word: str) -> tuple[int, ...]:
-        alphanumeric = [c for c in word if c.isalnum()]
-        signs = sum(not c.isalnum() and c not in _PLAIN_SIGNS for c in word)
-        ends = word.rstrip("\"')")[-1:] in (".", "!", "?")
-        return (1, len(word), signs, sum(c.isupper() for c in alphanumeric), sum(c.isdigit() for c in alphanumeric), not alphanumeric, bool(ends and alphanumeric))
+        self.counts = np.zeros((1024, 7), np.int32)
+        self.hashes = np.zeros((1024, 2), np.uint64)
 
     def _learn(self, words: list[bytes]) -> None:
-        need = len(self.known) + len(words)
-        if need > len(self.rows):
-            self.rows = np.concatenate([self.rows, np.zeros((max(need, 2 * len(self.rows)) - len(self.rows), 7), np.int64)])
-        for word in words:
-            self.rows[len(self.known)] = self.of(word.decode("utf-8", "replace"))
-            self.known[word] = len(self.known)
-
-    def __call__(self, text: bytes) -> list[int]:
+        import xxhash
+
+        start, need = len(self.known), len(self.known) + len(words)
+        if need > len(self.counts):
+            more = max(need, 2 * len(self.counts)) - len(self.counts)
+            self.counts, self.hashes = (np.concatenate([x, np.zeros((more, x.shape[1]), x.dtype)]) for x in (self.counts, self.hashes))
+        self.counts[start:need] = [counts_of(w) for w in words]
+        hashed = xxhash.xxh64_intdigest
+        # runs of one kind of character are one
+        self.hashes[start:need] = [(hashed(w.lower(), 1), hashed(_RUNS.sub(rb"\1+", w.translate(_SHAPES)), 2)) for w in words]
+        self.known.update(zip(words, range(start, need), strict=True))
+
+    def numbers(self, text: bytes) -> np.ndarray:
+        """The number of each word of the text, in order."""
         words = text.split()
-        if not words:
-            return [0] * len(COUNTS)
         new = set(words).difference(self.known)
         if new:
-            if len(self.known) + len(new) > self.REMEMBERED:
+            if len(self.known) + len(new) > REMEMBERED:
                 self._reset()
                 new = set(words)
             self._learn(list(new))
-        numbers = np.fromiter(map(self.known.__getitem__, words), np.int64, len(words))
-        return [*self.rows[numbers].sum(axis=0).tolist(), int((numbers[1:] == numbers[:-1]).sum())]
+        return np.fromiter(map(self.known.__getitem__, words), np.int64, len(words))
+
+    def count(self, numbers: np.ndarray) -> list[int]:
+        if not len(numbers):
+            return [0] * len(COUNTS)
+        return [*self.counts[numbers].sum(axis=0, dtype=np.int64).tolist(), int((numbers[1:] == numbers[:-1]).sum()), len(np.unique(numbers))]
+
+    def rows(self, numbers: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Rows of the weight table: of each word and its shape; of each pair of words, and of their shapes with whether words come again."""
+        word, shape = self.hashes[numbers, 0], self.hashes[numbers, 1]
+        again = (numbers[1:] == numbers[:-1]).astype(np.uint64)
+        again[1:] += np.uint64(2) * (numbers[2:] == numbers[:-2]).astype(np.uint64)
+        pairs = np.concatenate([_row(word[:-1] * np.uint64(3) + word[1:]), _row(shape[:-1] * np.uint64(5) + shape[1:] * np.uint64(7) + again)])
+        return np.concatenate([_row(word), _row(shape)]), pairs
+
+
+_words: list[Words] = []
 
 
-def _counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    count = WordCounts()
-    for batch in batches:
-        found = np.array([count(x.as_py()) for x in batch.column("_content")], np.int64).reshape(-1, len(COUNTS))
-        yield pa.RecordBatch.from_arrays([batch.column("_id"), batch.column("_hash"), *(pa.array(found[:, i]) for i in range(len(COUNTS)))], ["_id", "_hash", *COUNTS])
+def remembered() -> Words:
+    """The memory of this worker process, kept between tasks."""
+    if not _words:
+        _words.append(Words())
+    return _words[0]
 
 
 @dataclass
@@ -128,10 +165,13 @@ class LabelModel:
         return dict(zip(self.names, (right / np.maximum(voting, 1e-12)).round(6).tolist(), strict=True))
 
 
+#: Where EM starts, for every labeller: a bad vote is rare on good documents, a good one common on both.
+START = ((0.3, 0.2, 0.5), (0.02, 0.18, 0.8))
+
+
 def expectation_maximisation(names: list[str], votes: np.ndarray, counts: np.ndarray, *, rounds: int = 200, good: float = 0.8, smoothing: float = 0.5, tolerance: float = 1e-9) -> LabelModel:
-    """From distinct vote patterns and their counts; starts with labellers that are right 8 times in 10."""
-    start = np.array([[0.8, 0.5, 0.2], [0.2, 0.5, 0.8]])
-    model = LabelModel(names, np.repeat((start / start.sum(axis=1, keepdims=True))[None], len(names), axis=0), good)
+    """From distinct vote patterns and their counts."""
+    model = LabelModel(names, np.repeat(np.array(START)[None], len(names), axis=0), good)
     if not counts.sum():
         return model
     for _ in range(rounds):
@@ -150,75 +190,88 @@ def expectation_maximisation(names: list[str], votes: np.ndarray, counts: np.nda
     return model
 
 
-_KINDS = bytes.maketrans(bytes(range(256)), bytes(97 if 97 <= b <= 122 or b >= 128 else 65 if 65 <= b <= 90 else 48 if 48 <= b <= 57 else b for b in range(256)))
-_RUNS = re.compile(rb"(.)\1+", re.DOTALL)
-
-
-def features(word: bytes) -> tuple[int, int]:
-    """Rows of the weight table: the word in small letters, and its shape, runs of one kind of character being one."""
-    return zlib.crc32(b"w" + word.lower()) % ROWS, zlib.crc32(b"s" + _RUNS.sub(rb"\1+", word.translate(_KINDS))[:40]) % ROWS
-
-
-def hashed(text: bytes) -> tuple[np.ndarray, np.ndarray]:
-    """Rows of the weight table and their shares in the average over the text's words."""
-    words = text.split()
-    counts: Counter = Counter()
-    for word, n in Counter(words).items():
-        for row in features(word):
-            counts[row] += n / len(words)
-    return np.fromiter(counts, np.int64, len(counts)), np.fromiter(counts.values(), np.float64, len(counts))
-
-
+@dataclass
 class Scorer:
-    """A linear scorer; each word adds one number, which is remembered."""
+    """A linear scorer: the mean weight of a text's words and shapes, and that of its pairs."""
 
-    REMEMBERED = 500_000
+    weights: np.ndarray
+    bias: float
 
-    def __init__(self, weights: np.ndarray, bias: float):
-        self.weights, self.bias, self.known = weights, bias, {}
-
-    def __call__(self, text: bytes) -> float:
-        words = text.split()
-        new = set(words).difference(self.known)
-        if new:
-            if len(self.known) + len(new) > self.REMEMBERED:
-                self.known.clear()
-                new = set(words)
-            for word in new:
-                a, b = features(word)
-                self.known[word] = float(self.weights[a] + self.weights[b])
-        z = self.bias + (sum(map(self.known.__getitem__, words)) / len(words) if words else 0.0)
+    def __call__(self, words: Words, numbers: np.ndarray) -> float:
+        """In 0..1; a text without words has 0."""
+        if not len(numbers):
+            return 0.0
+        single, pairs = words.rows(numbers)
+        z = self.bias + self.weights[single].sum(dtype=np.float64) / len(numbers) + (self.weights[pairs].sum(dtype=np.float64) / (len(numbers) - 1) if len(pairs) else 0.0)
         return float(1 / (1 + np.exp(-min(max(z, -500), 500))))
 
 
 def train(texts: list[bytes], targets: np.ndarray, *, epochs: int = 8, rate: float = 0.5, decay: float = 1e-5, seed: int = 3) -> Scorer:
-    """Logistic regression on soft targets by Adagrad."""
+    """Logistic regression on soft targets by Adagrad; texts without words are left out."""
+    words, rows, kept = Words(), [], []
+    for text, target in zip(texts, targets, strict=True):
+        numbers = words.numbers(text)
+        if not len(numbers):
+            continue
+        single, pairs = words.rows(numbers)
+        index, where = np.unique(np.concatenate([single, pairs]), return_inverse=True)
+        shares = np.concatenate([np.full(len(single), 1 / len(numbers)), np.full(len(pairs), 1 / max(1, len(numbers) - 1))])
+        rows.append((index, np.bincount(where, weights=shares)))
+        kept.append(target)
     weights, past, bias = np.zeros(ROWS), np.full(ROWS, 1e-6), 0.0
-    rows = [hashed(t) for t in texts]
     dice, past_bias = np.random.default_rng(seed), 1e-6
     for _ in range(epochs):
         for i in dice.permutation(len(rows)):
             index, values = rows[i]
             p = 1 / (1 + np.exp(-np.clip(bias + weights[index] @ values, -500, 500)))
-            error = p - targets[i]
+            error = p - kept[i]
             step = error * values + decay * weights[index]
             past[index] += step**2
             weights[index] -= rate * step / np.sqrt(past[index])
             past_bias += error**2
             bias -= rate * error / np.sqrt(past_bias)
-    return Scorer(weights, bias)
+    return Scorer(weights.astype(np.float32), bias)
+
+
+def _counted(scorer: Scorer | None):
+    """_id, the counts, and the score if there is a scorer: one look at each text."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        words = remembered()
+        for batch in batches:
+            found, scores = [], []
+            for text in batch.column("_content"):
+                numbers = words.numbers(text.as_py())
+                found.append(words.count(numbers))
+                if scorer:
+                    scores.append(scorer(words, numbers))
+            columns = np.array(found, np.int64).reshape(-1, len(COUNTS))
+            out = [*(c for c in batch.columns[:-1]), *(pa.array(columns[:, i]) for i in range(len(COUNTS)))]
+            if scorer:
+                out.append(pa.array(scores, pa.float64()))
+            yield pa.RecordBatch.from_arrays(out, [*batch.schema.names[:-1], *COUNTS, *(["_score"] if scorer else [])])
+        release()
+
+    return run
+
+
+def _voted(docs: DataFrame, scorer: Scorer | None, own: dict[str, Column] | None, keep: list[str], id_col: str, text_col: str) -> DataFrame:
+    """keep of _id, _hash (of the text) and _bytes, a column of votes for each labeller, and _score if there is a scorer; one narrow pass."""
+    text = content(text_col)
+    rows = docs.select(F.col(id_col).alias("_id"), F.xxhash64(text).alias("_hash"), F.octet_length(text).alias("_bytes"), text.alias("_content")).select(*keep, "_content")
+    kinds = ", ".join(f"{c} {rows.schema[c].dataType.simpleString()}" for c in keep)
+    counted = rows.mapInArrow(_counted(scorer), f"{kinds}, " + ", ".join(f"{c} long" for c in COUNTS) + (", _score double" if scorer else ""))
+    return counted.select(*keep, *(v.cast("int").alias(n) for n, v in (own or labellers()).items()), *(["_score"] if scorer else []))
 
 
 def votes(docs: DataFrame, own: dict[str, Column] | None = None, *, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """_id, _hash (of id and text) and a column for each labeller; a null text is empty."""
-    rows = docs.select(F.col(id_col).alias("_id"), F.xxhash64(F.col(id_col), F.col(text_col)).alias("_hash"), content(text_col).alias("_content"))
-    counts = rows.mapInArrow(_counted, f"_id {rows.schema['_id'].dataType.simpleString()}, _hash long, " + ", ".join(f"{c} long" for c in COUNTS))
-    return counts.select("_id", "_hash", *(v.cast("int").alias(n) for n, v in (own or labellers()).items()))
+    """_id and a column of votes for each labeller; a null text is empty."""
+    return _voted(docs, None, own, ["_id"], id_col, text_col)
 
 
 def label_model(voted: DataFrame) -> LabelModel:
     """EM over the counts of vote patterns, which Spark counts over all documents."""
-    names = [c for c in voted.columns if c not in ("_id", "_hash")]
+    names = [c for c in voted.columns if not c.startswith("_")]
     if len(names) > 12:
         raise ValueError("at most 12 labellers, so that patterns stay few")
     patterns = voted.groupBy(*names).count().orderBy(*names).collect()
@@ -235,47 +288,36 @@ def _posterior(model: LabelModel) -> Column:
     return 1 / (1 + F.exp(-odds))
 
 
-def fit_scorer(docs: DataFrame, chances: DataFrame, *, sample: int = SAMPLE, most_bytes: int = MOST_BYTES, id_col: str = "doc_id", text_col: str = "text") -> Scorer:
-    """Trains on the first rows by a hash of id and text, half of them likely bad as far as there are such.
+def fit_scorer(docs: DataFrame, voted: DataFrame, model: LabelModel, *, sample: int = SAMPLE, most_bytes: int = MOST_BYTES, total_bytes: int = TOTAL_BYTES, text_col: str = "text") -> Scorer:
+    """Trains on the first texts by a hash, half of them likely bad as far as there are such.
 
-    chances has _hash and _posterior of every row; texts of over most_bytes
-    leave the sample.
+    voted has _hash, _bytes and the votes of every row. Texts of over
+    most_bytes leave the sample, and it ends where its texts have total_bytes.
     """
-    first = lambda d: d.orderBy("_hash").limit(sample // 2)
-    distinct = chances.select("_hash", "_posterior")
-    taken = first(distinct.where("_posterior < 0.5")).unionByName(first(distinct.where("_posterior >= 0.5"))).groupBy("_hash").agg(F.min("_posterior").alias("_p"))
-    rows = docs.where(F.coalesce(F.octet_length(F.col(text_col)), F.lit(0)) <= most_bytes)
-    # at most as many hashes as the sample has rows, so the small side is bounded
-    keyed = rows.select(F.xxhash64(F.col(id_col), F.col(text_col)).alias("_hash"), content(text_col).alias("_content")).join(F.broadcast(taken), "_hash")
-    got = keyed.groupBy("_hash").agg(F.first("_content").alias("_content"), F.first("_p").alias("_p")).toPandas().sort_values("_hash")
+    chances = voted.where(F.col("_bytes").between(1, most_bytes)).select("_hash", "_bytes", _posterior(model).alias("_p"))
+    first = lambda d: d.groupBy("_hash").agg(F.min("_p").alias("_p"), F.max("_bytes").alias("_bytes")).orderBy("_hash").limit(sample // 2)
+    taken = first(chances.where("_p < 0.5")).unionByName(first(chances.where("_p >= 0.5")))
+    text = content(text_col)
+    got = bounded_sample(docs.select(F.xxhash64(text).alias("_hash"), text.alias("_content")), taken, "_hash", "_content", total_bytes)
     return train([bytes(x) for x in got["_content"]], got["_p"].to_numpy())
 
 
 def quality(docs: DataFrame, own: dict[str, Column] | None = None, *, threshold: float = THRESHOLD, id_col: str = "doc_id", text_col: str = "text", **options) -> DataFrame:
-    """For every row: id, n_votes, posterior (of the label model), score (of the scorer), keep.
-
-    keep is posterior >= threshold where any labeller votes, else score >=
-    threshold. A null or empty text has no words and the votes that follow
-    from that. Repeated rows come back each. An empty table gives no rows:
-    the models are then their starting values. Texts are read three times and
-    never shuffled but for the training sample.
+    """For every row: id, n_votes, posterior (of the label model), score (of the scorer), keep (score >= threshold).
+
+    A null or empty text has no words, the votes that follow from that, and
+    the score 0. Repeated rows come back each, a null id stays null. An empty
+    table gives no rows: the models are then their starting values. Whole
+    texts count, however long, one at a time; other columns, whatever their
+    names, are not read. The counts for EM and the result each take one pass
+    over the texts, without a shuffle.
     """
-    voted = materialise(votes(docs, own, id_col=id_col, text_col=text_col), "votes")
+    voted = materialise(_voted(docs, None, own, ["_hash", "_bytes"], id_col, text_col), "votes")
     model = label_model(voted)
+    scorer = fit_scorer(docs, voted, model, text_col=text_col, **options)
+    found = _voted(docs, scorer, own, ["_id"], id_col, text_col)
     cast = sum((F.abs(F.col(n)) for n in model.names), F.lit(0)).cast("long")
-    chances = voted.select("_hash", cast.alias("_votes"), _posterior(model).alias("_posterior"))
-    scorer = fit_scorer(docs, chances, id_col=id_col, text_col=text_col, **options)
-    lean = docs.select(F.col(id_col).alias("_id"), F.xxhash64(F.col(id_col), F.col(text_col)).alias("_hash"), content(text_col).alias("_content"))
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            scores = [scorer(x.as_py()) for x in batch.column("_content")]
-            yield batch.select(["_id", "_hash"]).append_column("_score", pa.array(scores, pa.float64()))
-
-    kind = lean.schema["_id"].dataType.simpleString()
-    scored = lean.mapInArrow(run, f"_id {kind}, _hash long, _score double").join(chances.dropDuplicates(["_hash"]), "_hash")
-    keep = F.when(F.col("_votes") > 0, F.col("_posterior") >= threshold).otherwise(F.col("_score") >= threshold)
-    return scored.select(F.col("_id").alias(id_col), F.col("_votes").alias("n_votes"), F.col("_posterior").alias("posterior"), F.col("_score").alias("score"), keep.alias("keep"))
+    return found.select(F.col("_id").alias(id_col), cast.alias("n_votes"), _posterior(model).alias("posterior"), F.col("_score").alias("score"), (F.col("_score") >= threshold).alias("keep"))
 
 
 def op9_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
