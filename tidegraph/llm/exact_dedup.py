@@ -25,7 +25,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from tidegraph.llm.common import content, release, table
+from tidegraph.llm.common import content, release, table, unused
 
 #: A null id is below every other.
 NULL_ID = -(1 << 63)
@@ -216,8 +216,9 @@ def exact_groups(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "te
     Texts are equal when their UTF-8 bytes are; a null text is empty. The row
     with the largest id stays. A null id is below all others, and keep_id is
     null where a group has no id. If several rows carry a group's largest id,
-    exactly one of them is kept. An empty table gives no rows. Other columns,
-    whatever their names, are neither read nor returned.
+    exactly one of them is kept. An empty table gives no rows. Whole texts are
+    compared, however long; one that is longer than a table is a table's only
+    entry. Other columns, whatever their names, are neither read nor returned.
     """
     groups = distinct_contents(docs, id_col=id_col, text_col=text_col, table_bytes=table_bytes)
     rows = docs.select(F.coalesce(F.col(id_col).cast("long"), F.lit(NULL_ID)).alias("_id"), _digest(text_col).alias("_digest"))
@@ -232,18 +233,21 @@ def exact_groups(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "te
 
 
 def drop_exact_duplicates(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", table_bytes: int = TABLE_BYTES) -> DataFrame:
-    """The rows that exact_groups() keeps, with all their columns.
+    """The rows that exact_groups() keeps, with all their columns, whatever their names.
 
-    Joins on (digest, id), which is as even as the ids are, however many
-    copies a text has; the window reuses the join's partitioning.
+    Texts, nulls and ids count as there: a null text is empty, a null id is
+    below all others, of rows that repeat a group's largest id and text one stays,
+    any of them. Whole texts are compared, however long; an empty table stays empty. Joins on (digest, id),
+    which is as even as the ids are, however many copies a text has; the
+    window reuses the join's partitioning.
     """
     groups = distinct_contents(docs, id_col=id_col, text_col=text_col, table_bytes=table_bytes)
-    key = {"_tg_digest": F.col("_digest"), "_tg_id": F.col("_best")}
-    groups = groups.select(*(c.alias(n) for n, c in key.items()))
-    rows = docs.withColumns({"_tg_digest": _digest(text_col), "_tg_id": F.coalesce(F.col(id_col).cast("long"), F.lit(NULL_ID))})
-    kept = rows.join(groups, list(key), "left_semi")
-    one = W.partitionBy(*key).orderBy("_tg_id")
-    return kept.withColumn("_tg_copy", F.row_number().over(one)).where("_tg_copy = 1").select(*docs.columns)
+    digest, id_, copy = (unused(docs, n) for n in ("_digest", "_id", "_copy"))
+    groups = groups.select(F.col("_digest").alias(digest), F.col("_best").alias(id_))
+    rows = docs.withColumns({digest: _digest(text_col), id_: F.coalesce(F.col(id_col).cast("long"), F.lit(NULL_ID))})
+    kept = rows.join(groups, [digest, id_], "left_semi")
+    one = W.partitionBy(digest, id_).orderBy(id_)
+    return kept.withColumn(copy, F.row_number().over(one)).where(F.col(copy) == 1).select(*(F.col(f"`{c}`") for c in docs.columns))
 
 
 def op1_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:

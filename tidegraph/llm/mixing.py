@@ -114,7 +114,9 @@ def mix_plan(docs: DataFrame, *, id_col="doc_id", text_col="text", source_col="s
     source without words has target 0 and takes nothing. An empty table gives
     no rows. A source's taken words differ from its target by at most half the
     size of one document. weight_col multiplies a row's expected copies (null:
-    1); it should average 1 over a source's words.
+    1), which are then unequal within a source; it should average 1 over a
+    source's words. Whole texts are counted, however long; other columns,
+    whatever their names, are not read.
     """
     sizes = materialise(docs.select(*(c.alias(n) for n, c in _prepared(docs, seed, id_col, text_col, source_col, weight_col).items())), "sizes")
     return choose(sizes, sizes, order=("_id", "_size"), **options).select(
@@ -130,7 +132,10 @@ def mix(docs: DataFrame, *, id_col="doc_id", text_col="text", source_col="source
     """The documents of the mix, each as often as mix_plan() takes it, with all their columns.
 
     Texts are never shuffled but for the few rows of the edge buckets.
-    Documents without words are in the mix as often as their rank says.
+    Documents without words are in the mix as often as their rank says. Rows
+    that repeat id and text share a rank, and where only some of them fit,
+    other columns do not say which. Columns keep their names, whatever these
+    are; an empty table stays empty.
     """
     made = _prepared(docs, seed, id_col, text_col, source_col, weight_col)
     sizes = materialise(docs.select(*(c.alias(n) for n, c in made.items())), "sizes")

@@ -10,7 +10,9 @@ one number, which a worker computes once and remembers.
 
 from __future__ import annotations
 
+import hashlib
 import re
+import struct
 import zlib
 from array import array
 from collections.abc import Iterator
@@ -21,12 +23,12 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidegraph.llm.common import release, table
+from tidegraph.llm.common import bounded_sample, release, table, unused
 
 #: Rows of the embedding table, and their width.
 ROWS, WIDTH = 1 << 17, 8
-#: The bound of the training sample: labelled rows of each class, and bytes of one text.
-PER_CLASS, MOST_BYTES = 2000, 1 << 18
+#: The bound of the training sample: labelled rows of each class, and bytes of one text and of all.
+PER_CLASS, MOST_BYTES, TOTAL_BYTES = 2000, 1 << 18, 64 << 20
 #: The part of rows that no training sees: crc32 of the id as text, modulo 4, is this.
 HELD_OUT = 2
 THRESHOLD = 0.3
@@ -195,37 +197,50 @@ def held_out(id_col: str = "doc_id") -> Column:
     return F.pmod(F.crc32(F.coalesce(F.col(id_col).cast("string"), F.lit("")).cast("binary")), F.lit(4)) == HELD_OUT
 
 
-def fit(docs: DataFrame, labels: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", label_col: str = "toxic", per_class: int = PER_CLASS, most_bytes: int = MOST_BYTES, **options) -> Model:
+def fit(docs: DataFrame, labels: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", label_col: str = "toxic", per_class: int = PER_CLASS, most_bytes: int = MOST_BYTES, total_bytes: int = TOTAL_BYTES, **options) -> Model:
     """Trains on at most per_class labelled rows of each class, none of them held out.
 
     The sample is the first rows by a hash of the id. A document with several
     labels has the largest; null labels and texts of over most_bytes are left
-    out. Without labels of both classes all scores are alike.
+    out, and the sample ends where its texts have total_bytes. Without labels
+    of both classes all scores are alike.
     """
     known = labels.select(F.col(id_col).alias("_id"), F.col(label_col).cast("int").alias("_y")).where("_id IS NOT NULL AND _y IS NOT NULL")
     known = known.where(~held_out("_id")).groupBy("_id").agg(F.max("_y").alias("_y"))
     share = known.agg(F.avg((F.col("_y") > 0).cast("double"))).first()[0]
-    order = (F.xxhash64("_id"), "_id")
-    taken = known.where("_y > 0").orderBy(*order).limit(per_class).unionByName(known.where("_y <= 0").orderBy(*order).limit(per_class))
     texts = docs.select(F.col(id_col).alias("_id"), F.col(text_col).alias("_text")).where(F.octet_length("_text") <= most_bytes)
+    first = lambda d: d.orderBy(F.xxhash64("_id"), "_id").limit(per_class)
     # at most 2 x per_class ids, so the small side is bounded
-    rows = texts.join(F.broadcast(taken), "_id").groupBy("_id").agg(F.min("_text").alias("_text"), F.max("_y").alias("_y")).toPandas()
-    rows = rows.sort_values("_id")
+    wanted = F.broadcast(first(known.where("_y > 0")).unionByName(first(known.where("_y <= 0"))))
+    taken = texts.join(wanted, "_id").groupBy(F.xxhash64("_id").alias("_key")).agg(F.max("_y").alias("_y"), F.max(F.octet_length("_text")).alias("_bytes"))
+    rows = bounded_sample(texts.select(F.xxhash64("_id").alias("_key"), "_text"), taken, "_key", "_text", total_bytes)
     return train(rows["_text"].tolist(), [int(y > 0) for y in rows["_y"]], toxic_share=share, **options)
 
 
-def score(docs: DataFrame, model: Model, *, text_col: str = "text") -> DataFrame:
-    """docs with _tg_score added, by an Arrow function over whole texts; null texts are empty."""
+_scorers: dict[str, Scorer] = {}
+
+
+def scorer_of(model: Model) -> Scorer:
+    """This worker's scorer of a model, whose memory lasts over its tasks; one of another model takes its place."""
+    name = hashlib.sha256(model.weights.tobytes() + struct.pack("<d", model.bias)).hexdigest()
+    if name not in _scorers:
+        _scorers.clear()
+        _scorers[name] = Scorer(model)
+    return _scorers[name]
+
+
+def score(docs: DataFrame, model: Model, *, into: str, text_col: str = "text") -> DataFrame:
+    """docs with a column into added, by an Arrow function over whole texts; null texts are empty."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        scorer = Scorer(model)
+        scorer = scorer_of(model)
         for batch in batches:
             texts = batch.column(text_col).cast(pa.binary())
             scores = [scorer((x.as_py() or b"").decode("utf-8", "replace")) for x in texts]
-            yield batch.append_column("_tg_score", pa.array(scores, pa.float64()))
+            yield batch.append_column(into, pa.array(scores, pa.float64()))
         release()
 
-    return docs.mapInArrow(run, docs.withColumn("_tg_score", F.lit(0.0)).schema)
+    return docs.mapInArrow(run, docs.withColumn(into, F.lit(0.0)).schema)
 
 
 def toxicity(docs: DataFrame, labels: DataFrame, *, threshold: float = THRESHOLD, id_col: str = "doc_id", text_col: str = "text", **options) -> DataFrame:
@@ -233,17 +248,23 @@ def toxicity(docs: DataFrame, labels: DataFrame, *, threshold: float = THRESHOLD
 
     Only the text enters a score. A null or empty text has the score of no
     words. A null id is not held out unless the empty string's crc32 says so.
-    Repeated rows are scored each; an empty table gives no rows.
+    Repeated rows are scored each; an empty table gives no rows. Whole texts
+    count, however long; other columns, whatever their names, are not read.
     """
     model = fit(docs, labels, id_col=id_col, text_col=text_col, **options)
-    scored = score(docs.select(F.col(id_col), F.col(text_col)), model, text_col=text_col)
-    return scored.select(id_col, held_out(id_col).alias("held_out"), F.col("_tg_score").alias("score"), (F.col("_tg_score") >= threshold).cast("int").alias("predicted"))
+    scored = score(docs.select(F.col(id_col).alias("_id"), F.col(text_col).alias("_text")), model, into="_score", text_col="_text")
+    return scored.select(F.col("_id").alias(id_col), held_out("_id").alias("held_out"), F.col("_score").alias("score"), (F.col("_score") >= threshold).cast("int").alias("predicted"))
 
 
 def drop_toxic(docs: DataFrame, labels: DataFrame, *, threshold: float = THRESHOLD, text_col: str = "text", **options) -> DataFrame:
-    """The rows that score below threshold, with all their columns."""
-    model = fit(docs, labels, text_col=text_col, **options)
-    return score(docs, model, text_col=text_col).where(F.col("_tg_score") < threshold).select(*docs.columns)
+    """The rows that score below threshold, with all their columns, whatever their names.
+
+    A null or empty text has the score of no words; repeated rows stay or go
+    together, since only the text enters a score; an empty table stays empty.
+    Whole texts count, however long.
+    """
+    model, name = fit(docs, labels, text_col=text_col, **options), unused(docs, "_score")
+    return score(docs, model, into=name, text_col=text_col).where(F.col(name) < threshold).drop(name)
 
 
 def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
