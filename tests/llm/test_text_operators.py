@@ -1,8 +1,12 @@
 import base64
 import gzip
 import hashlib
+import json
+import os
 import random
 import re
+import subprocess
+import sys
 import zlib
 from collections import defaultdict
 
@@ -65,6 +69,51 @@ def test_pieces_of_long_texts_give_the_same_ids(monkeypatch):
     assert b"".join(b"".join(v) for v in of.by_words([text.encode()])) == packing.as_bytes(library().encode(text, add_special_tokens=False).ids)
 
 
+@pytest.mark.parametrize("name", ["byte_bpe_50k.json", "piece_bpe_32k.model"])
+def test_long_texts_are_cut_where_no_token_reaches_over(monkeypatch, name):
+    monkeypatch.setattr(tokens, "PIECE_BYTES", 40)
+    text = (" ".join(t for t in ODD if t) + " plain words  with two spaces, 10 20 km ") * 3
+    of = tokens.Encoder(tokens.public_vocabulary(name), packing.as_bytes)
+    assert of.cut is not None and len(list(tokens.safe_pieces(text.encode(), of.cut, 40))) > 5
+    if name.endswith(".json"):
+        from tokenizers import Tokenizer
+
+        want = Tokenizer.from_file(tokens.public_vocabulary(name)).encode(text, add_special_tokens=False).ids
+    else:
+        import sentencepiece
+
+        want = sentencepiece.SentencePieceProcessor(model_file=tokens.public_vocabulary(name)).encode(text)
+    assert [b"".join(v) for v in of.whole([text.encode(), b"", text.encode()])] == [packing.as_bytes(want), b"", packing.as_bytes(want)]
+
+
+def test_a_cased_vocabulary_keeps_case(spark, tmp_path):
+    with open(tokens.public_vocabulary(), encoding="utf-8") as file:
+        rules = json.load(file)
+    rules["normalizer"] = {"type": "NFC"}
+    path = f"{tmp_path}/cased.json"
+    with open(path, "w", encoding="utf-8") as file:
+        json.dump(rules, file)
+    from tokenizers import Tokenizer
+
+    model = Tokenizer.from_file(path)
+    assert len(model.encode("HELLO There", add_special_tokens=False).ids) != len(library().encode("HELLO There", add_special_tokens=False).ids)
+    rows = [(i, t, "s") for i, t in enumerate([*ODD, "HELLO There hello there"])]
+    got = {r.doc_id: r.n_tokens for r in tokens.token_counts(docs_of(spark, rows), vocabulary=path).collect()}
+    assert got == {i: len(model.encode(t or "", add_special_tokens=False).ids) for i, t, _ in rows}
+
+
+def test_equal_rows_are_packed_in_several_bins_and_ids_come_back(spark):
+    rows = [(1, "one two three four five", "s")] * 600 + [(2, "six " * 9000, "s"), (3, None, "s")]
+    packed = packing.pack(docs_of(spark, rows), bin_pieces=200, with_ids=True).cache()
+    got = packed.collect()
+    assert len({r.sequence_id % 4 for r in got}) == 4 and len(got) == 604
+    assert all(zlib.crc32(bytes(r.ids)) == r.ids_crc32 and len(r.ids) == 4 * r.length for r in got)
+    whole = {r.sequence_id: r for r in packing.sequences(packed).collect()}
+    for r in got:
+        assert bytes(whole[r.sequence_id].ids)[4 * r.offset : 4 * (r.offset + r.length)] == bytes(r.ids)
+    assert all(len(r.ids) == 4 * r.length <= 4 * packing.CAPACITY and len(r.starts) == len(set(r.starts)) for r in whole.values())
+
+
 def test_packing_covers_every_id_once(spark):
     model, dice = library(), random.Random(2)
     rows = [(i, " ".join(dice.choices(["alpha", "beta,", "gamma", "Δ"], k=dice.choice([0, 5, 300, 2000, 9000]))), "s") for i in range(120)] + [(500, None, "s"), (None, "one two", "s"), (7, "again", "s")]
@@ -148,6 +197,26 @@ def test_mixing_meets_targets(spark):
     del source_of
 
 
+def test_unequal_odds_give_each_document_its_share(spark):
+    """400 sources are 400 draws of the same 30 documents; each is taken as often as its weight says."""
+    dice = random.Random(4)
+    weights = [dice.choice([0.25, 0.5, 1.0, 1.6, 2.2]) for _ in range(30)]
+    weights = [w * 30 / sum(weights) for w in weights]
+    rows = [(s * 30 + i, " ".join(["w"] * 10), f"s{s}", weights[i]) for s in range(400) for i in range(30)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, source string, w double")
+    taken = defaultdict(int)
+    for r in mixing.mix_plan(docs, weights=(1,), share=0.6, weight_col="w").collect():
+        taken[r.doc_id % 30] += r.taken // 10
+    for i, w in enumerate(weights):
+        whole, rest = divmod(min(0.6 * w, 2.0), 1)
+        spread = (rest * (1 - rest) / 400) ** 0.5
+        assert abs(taken[i] / 400 - whole - rest) <= 4 * spread + 0.02
+    by_source = defaultdict(int)
+    for r in mixing.mix_plan(docs, weights=(1,), share=0.6, weight_col="w", seed="other").collect():
+        by_source[r.doc_id // 30] += r.taken
+    assert all(abs(n - 180) <= 5 for n in by_source.values())
+
+
 def test_chat_round_trip(spark):
     marks = "</s>[INST] ok [/INST]"
     turns = [(1, 0, "user", marks), (1, 1, "assistant", marks), (1, 2, "assistant", "[\\INST] \\ <\\\\s> </s"), (2, 0, "[ROLE] x", "a [/TEXT] b"), (2, 1, None, None), (2, 1, "assistant", None), (None, 0, "user", "né"), (None, 0, "user", "né"), (3, None, "assistant", "x" * 100_000)]
@@ -171,11 +240,56 @@ def test_chat_round_trip(spark):
     assert chat.read_back(chat.format_chats(rows.limit(0))).count() == 0
 
 
+def chat_batches(rows, size):
+    for i in range(0, len(rows), size):
+        conversations, roles, texts = zip(*rows[i : i + size], strict=True)
+        yield pa.RecordBatch.from_arrays([pa.array(conversations, pa.int64()), pa.array(roles, pa.string()), pa.array(texts, pa.string())], ["_conv", "_role", "_text"])
+
+
+def test_chats_do_not_depend_on_batches():
+    dice = random.Random(3)
+    texts = [None, "", "é</s>[INST] ok [/INST]", "x\\" * 5 + "</s>"]
+    rows = [(c, dice.choice(["user", "assistant", "[ROLE] é", None]), dice.choice([*texts, "long " * dice.randrange(5000)])) for c in (None, -7, *range(1, 9)) for _ in range(dice.randrange(1, 6))]
+    for part_bytes in (1, 300, 5000, 1 << 24):
+        found = [[r for b in chat._formatted(part_bytes)(chat_batches(rows, size)) for r in b.to_pylist()] for size in (1, 2, 7, 1000)]
+        assert all(f == found[0] for f in found)
+        for r in found[0]:
+            said = [t for role, t in chat.parse(r["text"]) if role == "assistant"]
+            assert [chat.unescape(r["text"][a:b]) for a, b in zip(r["loss_starts"], r["loss_ends"], strict=True)] == said
+        got = defaultdict(list)
+        for r in found[0]:
+            got[r["_conv"]].extend(chat.parse(r["text"]))
+        want = defaultdict(list)
+        for c, role, text in rows:
+            want[c].append((role or "", text or ""))
+        assert got == want
+
+
+def test_turns_of_100_mb_cost_a_few_times_their_size():
+    code = """
+import resource
+import pyarrow as pa
+from tidegraph.llm import chat
+peak = lambda: resource.getrusage(resource.RUSAGE_SELF).ru_maxrss / 1024
+def batches():
+    for _ in range(4):
+        yield pa.RecordBatch.from_arrays([pa.array([1]), pa.array(["user"]), pa.array(["word é " * 12_500_000])], ["_conv", "_role", "_text"])
+before, size = peak(), 0
+for batch in chat._formatted(chat.PART_BYTES)(batches()):
+    size += len(batch.column("text")[0].as_buffer())
+assert size > 400e6
+print(peak() - before)
+"""
+    grown = float(subprocess.run([sys.executable, "-c", code], capture_output=True, text=True, check=True).stdout.split()[-1])
+    assert grown < 800
+
+
 def test_formatted_turns_hold_no_bare_mark():
     texts = ["<s>", "[INST]", "[\\INST]", "[[INST]]", "<<s>>", "[/TEXT]", "\\", "[ROLE"]
-    out, bounds, starts, ends = chat.format_turns(pa.array(["user"] * len(texts)), pa.array(texts))
+    done = chat.format_turns(pa.array(["user"] * len(texts)), pa.array(texts))
+    whole = done.buffer.to_pybytes().decode()
     for i, text in enumerate(texts):
-        own = out[starts[i] : ends[i]].tobytes().decode()
+        own = whole[done.text_start[i] : done.text_end[i]]
         assert not re.search(r"</?s>|\[/?(INST|ROLE|TEXT)\]", own)
         assert chat.unescape(own) == text
 
@@ -215,6 +329,20 @@ def test_warc_least_bytes_and_broken_archives(spark):
     assert [r for _, r in warc.split_records(warc.inflate(blocks))] == [record] * 3
     with pytest.raises(ValueError):
         list(warc.split_records([record[:-6]]))
+    # cut between two records: nothing is missing but the end of the stream
+    with pytest.raises(ValueError, match="cut"):
+        list(warc.inflate([gzip.compress(record)[:-8]]))
+    bomb = gzip.compress(b"\0" * (50 << 20))
+    pieces = [len(p) for p in warc.inflate([bomb])]
+    assert max(pieces) <= 1 << 20 and sum(pieces) == 50 << 20
+
+
+def test_a_normaliser_that_runs_again_replaces_its_files(spark):
+    plain, target = new_folder(spark, "plain"), new_folder(spark, "again")
+    warc.write_archives(warc.records(spark.createDataFrame([(i, "u", f"page {i}" * 50) for i in range(40)], "page_id long, url string, html string")), plain)
+    one, other = (sorted(map(tuple, warc.normalise(spark, plain, target).collect())) for _ in range(2))
+    assert one == other and len(one) == 40
+    assert warc.read_archives(warc.normalise(spark, plain, target)).count() == 40
 
 
 def toxic_rows(count=1200):
@@ -292,6 +420,37 @@ def test_quality_keeps_prose_and_drops_junk(spark):
     assert quality.quality(docs_of(spark, [])).count() == 0
 
 
+def test_word_counts_of_ascii_words_equal_the_general_rule():
+    dice = random.Random(1)
+    for _ in range(300):
+        word = "".join(dice.choices("aZ9.,!?'\"()-$&|_\x1c", k=dice.randrange(1, 9)))
+        known = [c for c in word if c.isalnum()]
+        signs = sum(not c.isalnum() and c not in ".,;:!?'\"()-" for c in word)
+        ends = word.rstrip("\"')")[-1:] in (".", "!", "?") and bool(known)
+        assert quality.counts_of(word.encode()) == (1, len(word), signs, sum(c.isupper() for c in known), sum(c.isdigit() for c in known), not known, ends)
+
+
+@pytest.mark.skipif(not os.path.isdir("/root/testdata/sf0.01"), reason="needs the test tables")
+def test_quality_of_labelled_rows_by_labeller_model_and_scorer(spark):
+    """No label trains anything, so all labelled rows are held out. Labellers contradict one another; model and scorer beat them all."""
+    docs, labels = (spark.read.parquet(f"/root/testdata/sf0.01/{n}.parquet") for n in ("documents", "labels"))
+    truth = {r.doc_id: r.quality for r in labels.collect()}
+    voted = [r for r in quality.votes(docs).collect() if r._id in truth]
+    names = list(quality.labellers())
+    assert sum(len({r[n] for n in names} - {0}) == 2 for r in voted) > 20
+    right = {}
+    for n in names:
+        cast = [(r[n] > 0) == bool(truth[r._id]) for r in voted if r[n]]
+        if cast:
+            right[n] = (sum(cast) / len(cast), len(cast))
+    got = [r for r in quality.quality(docs).collect() if r.doc_id in truth]
+    share = lambda says: sum(says(r) == bool(truth[r.doc_id]) for r in got) / len(got)
+    model, scorer = share(lambda r: r.posterior >= 0.5), share(lambda r: r.score >= 0.5)
+    print(right, model, scorer)
+    assert model >= 0.95 and scorer >= 0.95
+    assert all(scorer >= accuracy for accuracy, cast in right.values() if cast > 0.5 * len(got))
+
+
 def test_a_word_counts_once_in_each_window():
     scores = np.zeros(400)
     scores[::10], scores[205] = 5, 4

@@ -22,7 +22,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidegraph.llm.common import content, materialise, release, table
+from tidegraph.llm.common import content, materialise, release, settled, table
 from tidegraph.llm.components import components
 
 BITS = 64
@@ -263,13 +263,16 @@ def links(distinct: DataFrame, *, budget: int = 2, blocks: int = 4, heavy: int =
 def classes(docs: DataFrame, *, words_each: int = 3, budget: int = 2, blocks: int = 4, heavy: int = HEAVY, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """(_id, _fp, _component): fingerprints of all rows and the least id reachable over links."""
     prints = materialise(fingerprints(docs, words_each=words_each, id_col=id_col, text_col=text_col), "fingerprints")
-    distinct = materialise(prints.groupBy("_fp").agg(F.min("_id").alias("_least")), "distinct")
-    roots = components(links(distinct.select("_fp"), budget=budget, blocks=blocks, heavy=heavy))
-    linked = distinct.join(roots, F.col("_fp") == F.col("vertex"))
-    least = linked.groupBy("root").agg(F.min("_least").alias("_component"))
-    found = distinct.join(roots.join(least, "root").select(F.col("vertex").alias("_fp"), "_component"), "_fp", "left")
-    found = found.select("_fp", F.coalesce("_component", "_least").alias("_component"))
-    return prints.join(found, "_fp")
+
+    def build() -> DataFrame:
+        distinct = materialise(prints.groupBy("_fp").agg(F.min("_id").alias("_least")), "distinct")
+        roots = components(links(distinct.select("_fp"), budget=budget, blocks=blocks, heavy=heavy))
+        linked = distinct.join(roots, F.col("_fp") == F.col("vertex"))
+        least = linked.groupBy("root").agg(F.min("_least").alias("_component"))
+        found = distinct.join(roots.join(least, "root").select(F.col("vertex").alias("_fp"), "_component"), "_fp", "left")
+        return found.select("_fp", F.coalesce("_component", "_least").alias("_component"))
+
+    return prints.join(settled(docs.sparkSession, "classes", build), "_fp")
 
 
 def near_duplicates(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", **options) -> DataFrame:

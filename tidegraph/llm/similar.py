@@ -12,9 +12,10 @@ rarest shingles and a bitmap of all. Then:
 2. Links of more bits, and links within a class whose forest did not hold, are
    found by a prefix filter. In one order of all shingles, frequent ones last,
    two sets that are similar enough share one of each one's first fifth, so
-   texts meet under those. Only shingles under which two groups meet are looked
-   at, and there all pairs of texts of different groups; sizes, places and
-   bitmaps rule out most, and what is left is checked.
+   texts meet under those. First each shingle's first text is held against the
+   others there, which joins up families of copies. Then, where texts of two
+   groups still meet, all pairs of different groups are looked at; sizes,
+   places and bitmaps rule out most, and what is left is checked.
 
 So the groups are those of all links, whatever the budget is. A row's number,
 given when the pass is written, names it; texts are found again by a digest of
@@ -31,7 +32,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tidegraph.llm import simhash
-from tidegraph.llm.common import content, materialise, release, unused
+from tidegraph.llm.common import content, materialise, release, settled, unused
 from tidegraph.llm.components import components
 
 WORDS_EACH, SIMILARITY = 5, 0.8
@@ -227,42 +228,63 @@ def _shared(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     release()
 
 
-def _met(similarity: float):
-    """Pairs of different labels under one (_key, _sub) that can be similar enough; rows arrive ordered by them."""
-    names = ("_key", "_sub", "_leaf", "_label", "_size", "_pos")
+def can_be_similar(sizes: np.ndarray, places: np.ndarray, sizes2: np.ndarray, places2: np.ndarray, similarity: float) -> np.ndarray:
+    """Whether sets that share the shingles at these places of their order can be similar enough."""
+    # the first shingle that two texts share leaves at most these for both
+    most = np.minimum(sizes - places, sizes2 - places2)
+    return most >= similarity / (1 + similarity) * (sizes + sizes2) - 1e-9
+
+
+Rows = list[np.ndarray]
+
+
+def _star(group: Rows, bounds: np.ndarray, similarity: float) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """Of each key, its first row with the rows of other labels."""
+    leaf, label, size, pos = group[2:]
+    first, rows = np.repeat(bounds[:-1], np.diff(bounds)), np.arange(len(leaf))
+    near = (label[first] != label[rows]) & can_be_similar(size[first], pos[first], size, pos, similarity)
+    yield leaf[first[near]], leaf[near]
 
-    def pairs(group: list[np.ndarray]) -> Iterator[tuple[np.ndarray, np.ndarray]]:
-        _, _, leaf, label, size, pos = group
+
+def _all_pairs(group: Rows, bounds: np.ndarray, similarity: float) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """Of each key, all pairs of rows of different labels, so many at once."""
+    for low, high in zip(bounds[:-1][np.diff(bounds) > 1].tolist(), bounds[1:][np.diff(bounds) > 1].tolist(), strict=True):
+        leaf, label, size, pos = (x[low:high] for x in group[2:])
+        if (label == label[0]).all():
+            continue
         step = max(1, AT_ONCE // len(leaf))
         for at in range(0, len(leaf), step):
             to = slice(at, at + step)
-            # the first shingle that two texts share leaves at most these for both
-            most = np.minimum((size - pos)[to, None], (size - pos)[None, :])
-            near = (label[to, None] < label[None, :]) & (most >= similarity / (1 + similarity) * (size[to, None] + size[None, :]) - 1e-9)
+            near = (label[to, None] < label[None, :]) & can_be_similar(size[to, None], pos[to, None], size[None, :], pos[None, :], similarity)
             i, j = np.nonzero(near)
-            yield np.minimum(leaf[to][i], leaf[j]), np.maximum(leaf[to][i], leaf[j])
+            yield leaf[to][i], leaf[j]
 
-    def batch_of(found: list[tuple[np.ndarray, np.ndarray]]) -> pa.RecordBatch:
-        return pa.RecordBatch.from_arrays([pa.array(np.concatenate(x), pa.int64()) for x in zip(*found, strict=True)], ["a", "b"])
 
-    def told(rows: list[np.ndarray], bounds: np.ndarray) -> Iterator[pa.RecordBatch]:
+def _met(pairs_of, similarity: float):
+    """Pairs under one (_key, _sub), the lesser leaf first; rows arrive ordered by them."""
+    names = ("_key", "_sub", "_leaf", "_label", "_size", "_pos")
+
+    def told(rows: Rows, bounds: np.ndarray) -> Iterator[pa.RecordBatch]:
         found, size = [], 0
-        for low, high in zip(bounds[:-1][np.diff(bounds) > 1].tolist(), bounds[1:][np.diff(bounds) > 1].tolist(), strict=True):
-            group = [x[low:high] for x in rows]
-            if (group[3] == group[3][0]).all():
-                continue
-            for a, b in pairs(group):
-                if len(a):
-                    found.append((a, b))
-                    size += len(a)
-                if size > AT_ONCE:
-                    yield batch_of(found)
-                    found, size = [], 0
-        if found:
+        for one, other in pairs_of(rows, bounds, similarity):
+            found.append((np.minimum(one, other), np.maximum(one, other)))
+            size += len(one)
+            if size > AT_ONCE:
+                yield batch_of(found)
+                found, size = [], 0
+        if size:
             yield batch_of(found)
 
+    def batch_of(found: list[tuple[np.ndarray, np.ndarray]]) -> pa.RecordBatch:
+        # texts meet under many keys, so a pair is here again and again
+        a, b = (np.concatenate(x) for x in zip(*found, strict=True))
+        order = np.lexsort((b, a))
+        a, b = a[order], b[order]
+        new = np.append(True, (a[1:] != a[:-1]) | (b[1:] != b[:-1]))
+        return pa.RecordBatch.from_arrays([pa.array(a[new]), pa.array(b[new])], ["a", "b"])
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held: list[list[np.ndarray]] = []
+        held: list[Rows] = []
         for batch in batches:
             if not batch.num_rows:
                 continue
@@ -272,7 +294,7 @@ def _met(similarity: float):
                 continue
             rows = [np.concatenate(x) for x in zip(*held, rows, strict=True)]
             bounds = np.concatenate([[0], np.flatnonzero((rows[0][1:] != rows[0][:-1]) | (rows[1][1:] != rows[1][:-1])) + 1])
-            yield from told(rows, bounds)
+            yield from told([x[: bounds[-1]] for x in rows], bounds)
             held = [[x[bounds[-1] :] for x in rows]]
         if held:
             rows = [np.concatenate(x) for x in zip(*held, strict=True)]
@@ -282,13 +304,16 @@ def _met(similarity: float):
     return run
 
 
-def _meetings(sketches: DataFrame, groups: DataFrame, similarity: float, heavy: int) -> DataFrame:
-    """Pairs (a, b) of different groups (vertex, root) that the prefix filter leaves; a text of no group is one by itself."""
+def _shared_keys(sketches: DataFrame) -> DataFrame:
+    """_key, _leaf, _size, _pos of the first shingles that several texts have."""
     keyed = sketches.select("_leaf", "_size", "_salts", F.posexplode("_keys").alias("_pos", "_key"))
     salt = F.when(F.get("_salts", F.col("_pos")) > 1, F.pmod(F.xxhash64("_leaf"), F.get("_salts", F.col("_pos")))).otherwise(-1).cast("int")
     keyed = keyed.select("_key", salt.alias("_salt"), "_leaf", "_size", "_pos")
-    shared = keyed.repartition("_key", "_salt").sortWithinPartitions("_key", "_salt").mapInArrow(_shared, keyed.schema)
-    shared = materialise(shared.drop("_salt"), "shared")
+    return keyed.repartition("_key", "_salt").sortWithinPartitions("_key", "_salt").mapInArrow(_shared, keyed.schema).drop("_salt")
+
+
+def _meetings(shared: DataFrame, groups: DataFrame, pairs_of, similarity: float, heavy: int) -> DataFrame:
+    """Pairs (a, b) of different groups (vertex, root) that meet under a shingle and can be similar enough; a text of no group is one by itself."""
     labelled = shared.join(groups.withColumnRenamed("vertex", "_leaf"), "_leaf", "left").withColumn("_label", F.coalesce("root", "_leaf")).drop("root")
     # how many rows a shingle has, and whether groups meet there at all; combined before the shuffle
     live = labelled.groupBy("_key").agg(F.count("*").alias("_n"), F.min("_label").alias("_x"), F.max("_label").alias("_y")).where("_x != _y")
@@ -296,8 +321,8 @@ def _meetings(sketches: DataFrame, groups: DataFrame, similarity: float, heavy:
     part = F.pmod(F.xxhash64("_leaf"), F.col("_parts")).cast("int")
     subs = F.transform(F.sequence(F.lit(0), F.col("_parts") - 1), lambda x: F.least(x, part) * F.col("_parts") + F.greatest(x, part))
     rows = rows.select("_key", F.explode(F.when(F.col("_parts") == 1, F.array(F.lit(0))).otherwise(subs)).alias("_sub"), "_leaf", "_label", "_size", "_pos")
-    rows = rows.repartition("_key", "_sub").sortWithinPartitions("_key", "_sub")
-    return rows.mapInArrow(_met(similarity), "a long, b long").distinct()
+    rows = rows.repartition("_key", "_sub").sortWithinPartitions("_key", "_sub", "_leaf")
+    return rows.mapInArrow(_met(pairs_of, similarity), "a long, b long").distinct()
 
 
 def _who(id_col: str, text_col: str):
@@ -308,14 +333,21 @@ def _who(id_col: str, text_col: str):
 
 def _grouped(docs: DataFrame, *, similarity: float = SIMILARITY, words_each: int = WORDS_EACH, budget: int = BUDGET, blocks: int = BLOCKS, heavy: int = HEAVY, id_col: str, text_col: str) -> DataFrame:
     """(_id, _who, _leaf, _root) of all rows that are linked to another."""
+    return settled(docs.sparkSession, "groups", lambda: _linked(docs, similarity, words_each, budget, blocks, heavy, id_col, text_col))
+
+
+def _linked(docs: DataFrame, similarity: float, words_each: int, budget: int, blocks: int, heavy: int, id_col: str, text_col: str) -> DataFrame:
     rows = docs.select(F.col(id_col).alias("_id"), _who(id_col, text_col).alias("_who"), content(text_col).alias("_content"))
     sketches = _sketches(rows, docs.count(), similarity, words_each, heavy)
     found = materialise(_checked(_forest(sketches, budget, blocks, simhash.HEAVY), sketches, rows, similarity, words_each), "near-links")
-    groups = materialise(components(found), "near-groups")
-    met = materialise(_meetings(sketches, groups, similarity, heavy), "meetings")
-    far = materialise(_checked(met, sketches, rows, similarity, words_each), "far-links")
-    if not far.isEmpty():
-        groups = components(found.unionByName(far))
+    shared = materialise(_shared_keys(sketches), "shared")
+    groups = components(found)
+    for pairs_of in (_star, _all_pairs):
+        met = materialise(_meetings(shared, groups, pairs_of, similarity, heavy), "meetings")
+        far = materialise(_checked(met, sketches, rows, similarity, words_each), "far-links")
+        if not far.isEmpty():
+            found = found.unionByName(far)
+            groups = components(found)
     return sketches.select("_leaf", "_id", "_who").join(groups.select(F.col("vertex").alias("_leaf"), F.col("root").alias("_root")), "_leaf")
 
 
@@ -342,7 +374,7 @@ def drop_near_duplicates(docs: DataFrame, *, id_col: str = "doc_id", text_col: s
     count, however long. Texts travel only for candidates; the result is docs
     less the rows that go, which are found by 128 bits of id and text.
     """
-    found = materialise(_grouped(docs, id_col=id_col, text_col=text_col, **options), "groups")
+    found = _grouped(docs, id_col=id_col, text_col=text_col, **options)
     kept = found.groupBy("_root").agg(F.min(F.struct(F.col("_id").isNull().alias("n"), F.col("_id").alias("i"), F.col("_who").alias("w")))["w"].alias("_kept"))
     name = unused(docs, "_who")
     gone = found.join(kept, "_root").where("_who != _kept").select(F.col("_who").alias(name)).distinct()
