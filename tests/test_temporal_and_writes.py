@@ -51,6 +51,19 @@ def test_transitions_and_as_of_join(spark):
     assert {r.n: r.dst for r in joined.collect()} == {1: "x", 2: "y", 3: None}
 
 
+def test_buckets_of_a_hot_key_change_nothing(spark):
+    dice = random.Random(7)
+    rows = [(dice.choice("aab"), day(1) + dt.timedelta(hours=dice.randrange(400)), dice.choice("xyz"), i) for i in range(120)]
+    states = spark.createDataFrame(rows, "src string, valid_from timestamp_ntz, dst string, n int")
+    plain, dealt = (sorted(map(tuple, temporal.transitions(states, tie="n", bucket_unit=u).collect()), key=str) for u in (None, "day"))
+    assert plain == dealt and len(plain) == 120
+    assert sum(r[-1] is None for r in plain) == 2 and sum(r[-2] is None for r in plain) == 2
+    left = states.select("src", F.col("valid_from").alias("at"), "n")
+    right = states.where("n % 4 = 0").withColumn("dst", F.when(F.col("n") % 3 > 0, F.col("dst")))
+    one, other = (sorted(map(tuple, temporal.as_of_join(left, right, "src", "at", "valid_from", "dst", bucket_unit=u).collect()), key=str) for u in (None, "day"))
+    assert one == other and any(r[-1] for r in one)
+
+
 def test_retract_by_edge_and_by_entity(spark, log):
     state = temporal.fold(log)
     after = log.unionByName(writes.retract(state, spark.createDataFrame([("e2",)], "edge_id string"), 9).select(*log.columns))

@@ -10,6 +10,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
+from tidegraph.operators import temporal, writes
+
 
 def signals(events: DataFrame) -> DataFrame:
     """The events table as an append-only feed: seq, kind, payload."""
@@ -39,16 +41,20 @@ def ingest(new: DataFrame, known: DataFrame, excluded: Sequence[str]) -> DataFra
     return fresh.withColumn("trainable", ~F.col("kind").isin(list(excluded)))
 
 
+#: Signals of one bucket of seq, by which a user with very many is dealt over several tasks.
+SEQ_BUCKET = 1 << 20
+
+
 def suggestions(feed: DataFrame, shown: str, adopted: str, split: int | Column) -> DataFrame:
     """Each user's shown signals at or before split, labelled by whether the user adopts next."""
-    following = F.lead("kind").over(W.partitionBy("user_id").orderBy("seq"))
-    return feed.where(F.col("seq") <= split).withColumn("label", (following == adopted)).where(F.col("kind") == shown).select("seq", "user_id", F.coalesce("label", F.lit(False)).alias("label"))
+    seen = temporal.next_after(feed.where(F.col("seq") <= split), "user_id", ["seq"], F.col("kind"), "_following", F.floor(F.col("seq") / SEQ_BUCKET))
+    return seen.where(F.col("kind") == shown).select("seq", "user_id", F.coalesce(F.col("_following") == adopted, F.lit(False)).alias("label"))
 
 
 def preference_pairs(feed: DataFrame, good: str, bad: str, split: int | Column) -> DataFrame:
     """Per user, each good signal with the last bad one before it: one ordered pass, not a product of good and bad."""
-    before = W.partitionBy("user_id").orderBy("seq").rowsBetween(W.unboundedPreceding, -1)
-    seen = feed.where(F.col("seq") <= split).withColumn("rejected", F.last(F.when(F.col("kind") == bad, F.col("seq")), ignorenulls=True).over(before))
+    rejected = F.when(F.col("kind") == bad, F.col("seq"))
+    seen = temporal.last_before(feed.where(F.col("seq") <= split), "user_id", ["seq"], rejected, "rejected", F.floor(F.col("seq") / SEQ_BUCKET))
     return seen.where((F.col("kind") == good) & F.col("rejected").isNotNull()).select("user_id", F.col("seq").alias("chosen"), "rejected")
 
 
@@ -73,6 +79,33 @@ def anchored(facts: DataFrame, turns: DataFrame) -> DataFrame:
     return facts.join(text, "conv_id").where(F.instr("_text", F.col("evidence")) > 0).drop("_text")
 
 
+@dataclass(frozen=True)
+class Observation:
+    """What an observation did: the branch's events, facts without their evidence in the text, events that break the ontology, the log afterwards, whether it was merged."""
+
+    branch: DataFrame
+    unanchored: DataFrame
+    broken: DataFrame
+    log: DataFrame
+    merged: bool
+
+
+def observe(log: DataFrame, facts: DataFrame, turns: DataFrame, rules: DataFrame, *, auto_merge: bool = True) -> Observation:
+    """Facts (conv_id, evidence, and the log's columns but commit_seq, event_ord and op) of an episode, on a branch of the log.
+
+    Facts whose evidence the episode's text does not hold are left out. The
+    rest are one commit on a branch that forks at the log's head; if none of
+    them breaks the ontology's rules and auto_merge says so, it is merged.
+    """
+    head = log.agg(F.max("commit_seq")).first()[0] or 0
+    kept = anchored(facts, turns)
+    unanchored = facts.join(kept.select("conv_id", "evidence").distinct(), ["conv_id", "evidence"], "left_anti")
+    own = kept.withColumns({"commit_seq": F.lit(head + 1).cast("long"), "event_ord": F.lit(0), "op": F.lit("assert")}).select(*log.columns)
+    broken = writes.violations(own, rules)
+    merged = auto_merge and broken.isEmpty()
+    return Observation(own, unanchored, broken, writes.merge(log, own, head, head + 1) if merged else log, merged)
+
+
 def grades(documents: DataFrame, labels: DataFrame) -> DataFrame:
     """qrels: 3 good, 1 partial, 0 bad."""
     grade = F.when((F.col("quality") == 1) & (F.col("toxic") == 0), 3).when(F.col("quality") == 1, 1).otherwise(0)

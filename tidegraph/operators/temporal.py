@@ -8,6 +8,8 @@ with partial combining, so a hot edge costs a row per task.
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
@@ -54,11 +56,47 @@ def history(events: DataFrame) -> DataFrame:
     return events.withColumn("place", F.row_number().over(order))
 
 
-def transitions(states: DataFrame, entity: str = "src", state: str = "dst", at: str = "valid_from", tie: str | None = None) -> DataFrame:
-    """Each entity's states in order with the time until the next one, in microseconds (null for the last), and the state before."""
-    order = W.partitionBy(entity).orderBy(at, *([tie] if tie else []))
-    until = F.lead(at).over(order)
-    return states.withColumns({"previous": F.lag(state).over(order), "dwell_micros": F.timestamp_diff("MICROSECOND", F.col(at), until)})
+def last_before(rows: DataFrame, key: str, order: Sequence[str], value: Column, name: str, bucket: Column | None = None) -> DataFrame:
+    """rows with a column name: the last value that is not null among the key's rows before this one.
+
+    bucket grows with order. With it, rows are ordered within buckets of a key
+    only, each bucket leaves its last value, and these are ordered by key; so
+    the rows of a hot key are dealt over as many tasks as it has buckets. Rows
+    with a null key are then ordered within their bucket alone.
+    """
+    if bucket is None:
+        return rows.withColumn(name, F.last(value, ignorenulls=True).over(W.partitionBy(key).orderBy(*order).rowsBetween(W.unboundedPreceding, -1)))
+    # one shuffle, which order within buckets, what they leave and the join of both share
+    rows = rows.withColumn("_bucket", bucket).repartition(key, "_bucket")
+    inside = F.last(value, ignorenulls=True).over(W.partitionBy(key, "_bucket").orderBy(*order).rowsBetween(W.unboundedPreceding, -1))
+    left = rows.groupBy(key, "_bucket").agg(F.max(F.when(value.isNotNull(), F.struct(*order, value.alias("_v")))).alias("_l"))
+    before = F.last("_l", ignorenulls=True).over(W.partitionBy(key).orderBy("_bucket").rowsBetween(W.unboundedPreceding, -1))
+    carried = left.select(key, "_bucket", before.alias("_l")).select(key, "_bucket", F.col("_l._v").alias("_carried"))
+    return rows.withColumn("_inside", inside).join(carried, [key, "_bucket"], "left").withColumn(name, F.coalesce("_inside", "_carried")).drop("_bucket", "_inside", "_carried")
+
+
+def next_after(rows: DataFrame, key: str, order: Sequence[str], value: Column, name: str, bucket: Column | None = None) -> DataFrame:
+    """rows with a column name: the value of the key's next row, null for the last; bucket as in last_before()."""
+    if bucket is None:
+        return rows.withColumn(name, F.lead(value).over(W.partitionBy(key).orderBy(*order)))
+    # one shuffle, which order within buckets, what they leave and the join of both share
+    rows = rows.withColumn("_bucket", bucket).repartition(key, "_bucket")
+    inside = F.lead(F.struct(value.alias("_v"))).over(W.partitionBy(key, "_bucket").orderBy(*order))
+    first = rows.groupBy(key, "_bucket").agg(F.min(F.struct(*order, value.alias("_v"))).alias("_f"))
+    following = first.select(key, "_bucket", F.lead("_f").over(W.partitionBy(key).orderBy("_bucket")).alias("_f")).select(key, "_bucket", F.col("_f._v").alias("_next"))
+    found = F.when(F.col("_inside").isNotNull(), F.col("_inside._v")).otherwise(F.col("_next"))
+    return rows.withColumn("_inside", inside).join(following, [key, "_bucket"], "left").withColumn(name, found).drop("_bucket", "_inside", "_next")
+
+
+def transitions(states: DataFrame, entity: str = "src", state: str = "dst", at: str = "valid_from", tie: str | None = None, *, bucket_unit: str | None = None) -> DataFrame:
+    """Each entity's states in order with the time until the next one, in microseconds (null for the last), and the state before.
+
+    bucket_unit (day, week, month ...) deals an entity with very many states over
+    several tasks.
+    """
+    order, unit = [at, *([tie] if tie else [])], bucket(bucket_unit, at) if bucket_unit else None
+    found = last_before(next_after(states, entity, order, F.col(at), "_until", unit), entity, order, F.struct(F.col(state).alias("_s")), "_previous", unit)
+    return found.withColumns({"previous": F.col("_previous._s"), "dwell_micros": F.timestamp_diff("MICROSECOND", F.col(at), F.col("_until"))}).drop("_until", "_previous")
 
 
 def latest(states: DataFrame, entity: str = "src", state: str = "dst", at: str = "valid_from", as_of: object = None) -> DataFrame:
@@ -105,17 +143,18 @@ def range_join(left: DataFrame, right: DataFrame, value: str, low: str, high: st
     return left.withColumn("_bucket", bucket_of(value)).join(intervals, "_bucket").where(F.col(value).between(F.col(low), F.col(high))).drop("_bucket")
 
 
-def as_of_join(left: DataFrame, right: DataFrame, on: str, left_at: str, right_at: str, value: str) -> DataFrame:
-    """For each row of left, right's last value at or before its time.
+def as_of_join(left: DataFrame, right: DataFrame, on: str, left_at: str, right_at: str, value: str, *, bucket_unit: str | None = None) -> DataFrame:
+    """For each row of left, right's last value at or before its time; of values at one time, the largest.
 
     Both sides go through one shuffle by key: a union, ordered by time with
-    right's rows first, and the last value so far.
+    right's rows first, and the last value so far. bucket_unit deals a key with
+    very many rows over several tasks.
     """
-    r = right.select(F.col(on), F.col(right_at).alias("_at"), F.lit(0).alias("_side"), F.col(value).alias(value), F.lit(None).cast(left.select(F.struct("*")).schema[0].dataType).alias("_row"))
-    rows = left.select(F.col(on), F.col(left_at).alias("_at"), F.lit(1).alias("_side"), F.lit(None).cast(right.schema[value].dataType).alias(value), F.struct("*").alias("_row"))
-    order = W.partitionBy(on).orderBy("_at", "_side").rowsBetween(W.unboundedPreceding, 0)
-    both = r.unionByName(rows).withColumn(value, F.last(value, ignorenulls=True).over(order))
-    return both.where("_side = 1").select("_row.*", value)
+    own = left.select(F.struct("*")).schema[0].dataType
+    r = right.select(F.col(on), F.col(right_at).alias("_at"), F.lit(0).alias("_side"), F.col(value).alias("_value"), F.lit(None).cast(own).alias("_row"))
+    rows = left.select(F.col(on), F.col(left_at).alias("_at"), F.lit(1).alias("_side"), F.lit(None).cast(right.schema[value].dataType).alias("_value"), F.struct("*").alias("_row"))
+    both = last_before(r.unionByName(rows), on, ["_at", "_side", "_value"], F.col("_value"), "_found", bucket(bucket_unit, "_at") if bucket_unit else None)
+    return both.where("_side = 1").select("_row.*", F.col("_found").alias(value))
 
 
 def bucket(unit: str, column: str | Column) -> Column:

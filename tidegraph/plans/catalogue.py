@@ -267,6 +267,38 @@ def reason_subclasses(g: Graph) -> DataFrame:
     return run(g, Request(patterns=[("?p", "IN_NATION", "?n")], properties={"p": ("PARTY", ["acctbal"])}, where=[Compare("acctbal", "gt", 9000)], select=["p", "n", "p_acctbal"], reason=_PARTIES))
 
 
+@on_graph("SELECT id, name FROM (SELECT 'CUSTOMER/' || c_custkey AS id, c_name AS name FROM customer) WHERE id > 'CUSTOMER/15' ORDER BY id LIMIT 51")
+def keyset_page(g: Graph) -> DataFrame:
+    """The next fifty by key, and one more that tells that there are others."""
+    return P.after(g.entities["CUSTOMER"].select("id", "name"), "id", "CUSTOMER/15", 50)
+
+
+_TERMS = """SELECT n_nationkey AS k, CASE n_nationkey % 5 WHEN 1 THEN '_:b' || n_nationkey WHEN 2 THEN '<http://ex/' || n_nationkey || '>' WHEN 3 THEN '"' || n_nationkey || '"^^<http://www.w3.org/2001/XMLSchema#integer>' WHEN 4 THEN '"' || n_name || '"@en' END AS t FROM nation"""
+
+
+def _terms(g: Graph) -> DataFrame:
+    """Unbound, blank nodes, IRIs, numbers and tagged texts in one column."""
+    k, key = F.col("nationkey") % 5, F.col("nationkey").cast("string")
+    term = F.when(k == 1, F.concat(F.lit("_:b"), key)).when(k == 2, F.concat(F.lit("<http://ex/"), key, F.lit(">"))).when(k == 3, F.concat(F.lit('"'), key, F.lit(f'"^^<{S.XSD}integer>'))).when(k == 4, F.concat(F.lit('"'), "name", F.lit('"@en')))
+    return g.entities["NATION"].select(F.col("nationkey").alias("k"), term.alias("t"))
+
+
+@on_graph(f"SELECT t FROM ({_TERMS}) ORDER BY CASE k % 5 WHEN 0 THEN 0 WHEN 1 THEN 1 WHEN 2 THEN 2 ELSE 3 END, CASE WHEN k % 5 = 3 THEN k END NULLS LAST, t LIMIT 18")
+def sparql_order_terms(g: Graph) -> DataFrame:
+    """Unbound, then blank nodes, IRIs and literals; numbers by value, before texts."""
+    return P.page(_terms(g).select("t"), S.term_order("t"), 18)
+
+
+@on_graph(f"""SELECT k, k % 5 = 2 AS iri, k % 5 = 1 AS blank, k % 5 >= 3 AS literal, k % 5 = 3 AS "numeric", CASE k % 5 WHEN 3 THEN '' WHEN 4 THEN 'en' END AS lang,
+CASE k % 5 WHEN 3 THEN 'http://www.w3.org/2001/XMLSchema#integer' WHEN 4 THEN 'http://www.w3.org/1999/02/22-rdf-syntax-ns#langString' END AS datatype, k % 5 <> 4 AS same FROM ({_TERMS}) WHERE t IS NOT NULL""")
+def fn_term_tests(g: Graph) -> DataFrame:
+    """What a term is; a text in other letters is another term."""
+    terms = _terms(g).where("t IS NOT NULL")
+    other = F.when(S.is_literal("t"), F.lower("t")).otherwise(F.col("t"))
+    other = F.when(S.is_numeric("t"), F.col("t")).otherwise(other)
+    return terms.select("k", S.is_iri("t").alias("iri"), S.is_blank("t").alias("blank"), S.is_literal("t").alias("literal"), F.coalesce(S.is_numeric("t"), F.lit(False)).alias("numeric"), S.lang("t").alias("lang"), S.datatype("t").alias("datatype"), S.same_term("t", other).alias("same"))
+
+
 @on_graph("SELECT DISTINCT 'USER/' || user_id AS u, 'STATE/' || event_type AS s FROM events")
 def sparql_distinct(g: Graph) -> DataFrame:
     return P.match(g, [("?u", "HAS_STATE", "?s")]).distinct()
@@ -458,7 +490,7 @@ def edge_history(spark: SparkSession, sf_dir: str) -> DataFrame:
 @on_graph("""SELECT 'USER/' || user_id AS src, 'STATE/' || event_type AS dst, ts AS valid_from, event_id,
 'STATE/' || lag(event_type) OVER w AS previous, date_diff('microsecond', ts, lead(ts) OVER w) AS dwell_micros FROM events WINDOW w AS (PARTITION BY user_id ORDER BY ts, event_id)""")
 def transitions_dwell(g: Graph) -> DataFrame:
-    return T.transitions(g.scan("HAS_STATE"), tie="event_id").select("src", "dst", "valid_from", "event_id", "previous", "dwell_micros")
+    return T.transitions(g.scan("HAS_STATE"), tie="event_id", bucket_unit="week").select("src", "dst", "valid_from", "event_id", "previous", "dwell_micros")
 
 
 @on_graph("SELECT 'USER/' || user_id AS src, 'STATE/' || arg_max(event_type, ts) AS dst, max(ts) AS valid_from FROM events GROUP BY 1")
@@ -477,7 +509,7 @@ def asof_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Each purchase with the value of its user's last click."""
     e = spark.read.parquet(f"{sf_dir}/events.parquet")
     clicks = e.where("event_type = 'click'").withColumnRenamed("value", "last_click")
-    return T.as_of_join(e.where("event_type = 'purchase'").select("event_id", "user_id", "ts"), clicks, "user_id", "ts", "ts", "last_click").select("event_id", "user_id", "last_click")
+    return T.as_of_join(e.where("event_type = 'purchase'").select("event_id", "user_id", "ts"), clicks, "user_id", "ts", "ts", "last_click", bucket_unit="week").select("event_id", "user_id", "last_click")
 
 
 @query(_EVENTS.replace("FROM ev)", "FROM ev WHERE valid_from <= TIMESTAMP '1999-06-30')") + "SELECT edge_id, src, dst FROM cur WHERE valid_from + to_days(quantity) > TIMESTAMP '1999-06-30'")
@@ -659,6 +691,30 @@ def commit_ack(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.createDataFrame([(a.commit_seq, a.op_count, a.skipped_edges, a.no_op, a.idempotent_replay) for a in (first, again)], "commit_seq long, op_count long, skipped_edges long, no_op boolean, idempotent_replay boolean")
 
 
+@query("""WITH t AS (SELECT conv_id, min(turn) AS turn, arg_min(text, turn) AS text FROM conversations GROUP BY 1)
+SELECT 'EPISODE/' || conv_id AS src, 'TURN/' || length(text) AS dst, count(*) OVER () AS facts FROM t WHERE conv_id % 3 > 0""")
+def observe_merge(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A fact for each conversation, a third of them with evidence that is not in the text; the rest is clean and merged."""
+    turns = spark.read.parquet(f"{sf_dir}/conversations.parquet")
+    first = turns.groupBy("conv_id").agg(F.min_by("text", "turn").alias("text"))
+    src, dst = F.concat(F.lit("EPISODE/"), F.col("conv_id").cast("string")), F.concat(F.lit("TURN/"), F.length("text").cast("string"))
+    facts = first.select("conv_id", F.when(F.col("conv_id") % 3 > 0, F.substring("text", 1, 20)).otherwise("nobody said so").alias("evidence"), src.alias("edge_id"), src.alias("src"), F.lit("BEGINS").alias("relation"), dst.alias("dst"))
+    log = spark.createDataFrame([], "edge_id string, src string, relation string, dst string, commit_seq long, event_ord int, op string")
+    rules = O.as_table(spark, O.Ontology(relations={"BEGINS": O.Relation(frozenset({"EPISODE"}), frozenset({"TURN"}))}))
+    done = SIG.observe(log, facts, turns, rules)
+    state = T.fold(done.log if done.merged else log)
+    return state.select("src", "dst").crossJoin(F.broadcast(done.branch.agg(F.count("*").alias("facts"))))
+
+
+@query(_EVENTS.replace("FROM ev)", "FROM ev WHERE commit_seq <= 120)") + "SELECT 'eventual' AS consistency, count(*) AS edges FROM cur UNION ALL SELECT 'strong', count(*) FROM (SELECT edge_id, arg_max(op, commit_seq) AS op FROM ev GROUP BY 1) WHERE op = 'assert'")
+def read_consistency(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """An eventual read sees what is published, up to commit 120; a strong one all commits."""
+    log = edge_events(spark, sf_dir)
+    head = log.agg(F.max("commit_seq")).first()[0]
+    counts = [(c, T.state(log, commit_seq=imports.read_seq(head, 120, consistency=c)).count()) for c in ("eventual", "strong")]
+    return spark.createDataFrame(counts, "consistency string, edges long")
+
+
 @query(_EVENTS + "SELECT edge_id, src, dst FROM cur")
 def commit_append(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Two appends to a log of Parquet, and its state read with the relation's folder alone."""
@@ -685,6 +741,15 @@ def rdf_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rdf.read(spark, path, strict=True)
 
 
+@query("SELECT 2 * count(*) AS statements, 2 * count(*) AS subjects, 2 * count(DISTINCT n_regionkey) AS objects FROM nation")
+def rdf_blank_nodes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same labels in two documents are different nodes, and in one document the same."""
+    n = graph(spark, sf_dir).entities["NATION"]
+    lines = n.select(F.concat(F.lit("_:n"), F.col("nationkey").cast("string"), F.lit(" <http://ex/in> _:r"), F.col("regionkey").cast("string"), F.lit(" .")).alias("value"))
+    both = rdf.parse(lines, scope="one").unionByName(rdf.parse(lines, scope="two"))
+    return both.agg(F.count("*").alias("statements"), F.countDistinct("s").alias("subjects"), F.countDistinct("o").alias("objects"))
+
+
 @query("""SELECT (SELECT count(*) FROM lineitem) + (SELECT count(*) FROM nation) AS statements, (SELECT count(*) FROM lineitem) + (SELECT count(*) FROM nation) AS resource_triples,
 0::BIGINT AS literal_triples, (SELECT count(*) FROM lineitem) - (SELECT count(*) FROM (SELECT DISTINCT l_orderkey, l_partkey FROM lineitem)) AS duplicates, 2::BIGINT AS predicates""")
 def rdf_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -842,6 +907,26 @@ def ontology_counts(g: Graph) -> DataFrame:
     return O.edge_counts(g, O.STAR)
 
 
+@query("SELECT * FROM (VALUES ('define what is', false, 1, 'ok'), ('define a type', true, 2, 'ok'), ('narrow a domain', false, 1, 'refused'), ('evolve a range', true, 2, 'ok')) v(step, changed, version, outcome)")
+def ontology_define(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Additive changes raise the version, the same definition changes nothing, narrower ones are refused."""
+    nation = frozenset({"NATION"})
+    steps = [
+        ("define what is", O.define, O.STAR),
+        ("define a type", O.define, O.Ontology(types={"CITY": None})),
+        ("narrow a domain", O.define, O.Ontology(relations={"IN_NATION": O.Relation(frozenset({"CUSTOMER"}), nation, 1)})),
+        ("evolve a range", O.evolve, O.Ontology(relations={"IN_REGION": O.Relation(nation, frozenset({"CONTINENT"}), 1)})),
+    ]
+    found = []
+    for name, change, wanted in steps:
+        try:
+            after, changed = change(O.STAR, wanted)
+            found.append((name, changed, after.version, "ok"))
+        except O.RestrictiveChange:
+            found.append((name, False, O.STAR.version, "refused"))
+    return spark.createDataFrame(found, "step string, changed boolean, version int, outcome string")
+
+
 @on_graph("SELECT 'ORDER/' || l_orderkey AS src, 'CONTAINS' AS relation, count(*) AS n, 5 AS max_count FROM lineitem GROUP BY 1 HAVING count(*) > 5")
 def conformance_maxcount(g: Graph) -> DataFrame:
     return O.conformance(g.all_edges(), O.as_table(g.spark, O.STAR)).select("src", "relation", "n", "max_count")
@@ -885,6 +970,32 @@ def signals_range(spark: SparkSession, sf_dir: str) -> DataFrame:
     return SIG.read_range(_feed(spark, sf_dir), 100, 499).select("seq", "kind", "payload")
 
 
+@query("""SELECT 'suggestion_shown' AS kind, '{"event_id":' || event_id || ',"user_id":' || user_id || '}' AS payload FROM events WHERE event_type = 'view' UNION ALL
+SELECT 'suggestion_adopted', '{"event_id":' || event_id || ',"user_id":' || user_id || '}' FROM events WHERE event_type = 'purchase'""")
+def suggestion_signals(spark: SparkSession, sf_dir: str) -> DataFrame:
+    e = spark.read.parquet(f"{sf_dir}/events.parquet")
+    return SIG.wrap(e.where("event_type = 'view'"), "suggestion_shown", ["event_id", "user_id"]).unionByName(SIG.wrap(e.where("event_type = 'purchase'"), "suggestion_adopted", ["event_id", "user_id"]))
+
+
+@query("SELECT 'external_planner_trace' AS kind, 'a' || event_id AS request_id, 't' || user_id AS snapshot_token FROM events")
+def planner_trace(spark: SparkSession, sf_dir: str) -> DataFrame:
+    e = spark.read.parquet(f"{sf_dir}/events.parquet")
+    asks = e.select(F.concat(F.lit("a"), F.col("event_id").cast("string")).alias("ask_id"), F.concat(F.lit("t"), F.col("user_id").cast("string")).alias("snapshot_token"), "value")
+    return SIG.planner_trace(asks).select("kind", "request_id", "snapshot_token")
+
+
+@query("SELECT event_id AS seq FROM events")
+def stream_unique_signals(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every signal is sent twice in a stream, and kept once."""
+    source, target, checkpoint = (new_folder(spark, n) for n in ("signals", "kept", "stream"))
+    feed = _feed(spark, sf_dir).select("seq", F.col("ts").cast("timestamp").alias("ts"))
+    for _ in range(2):
+        feed.write.mode("append").parquet(source)
+    stream = imports.unique_signals(spark.readStream.schema(feed.schema).parquet(source))
+    stream.writeStream.format("parquet").option("path", target).option("checkpointLocation", checkpoint).trigger(availableNow=True).start().awaitTermination()
+    return spark.read.parquet(target).select("seq")
+
+
 @query("SELECT event_type AS kind, count(*) AS accepted, CASE WHEN event_type IN ('error', 'signup') THEN 0 ELSE count(*) END AS trainable FROM events GROUP BY event_type")
 def ingest_signals(spark: SparkSession, sf_dir: str) -> DataFrame:
     feed = _feed(spark, sf_dir)
