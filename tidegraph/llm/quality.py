@@ -37,7 +37,12 @@ COUNTS = ("words", "characters", "signs", "capitals", "digits", "separators", "s
 
 
 def labellers() -> dict[str, Column]:
-    """Votes over the columns of COUNTS: 1 good, -1 bad, 0 none."""
+    """Votes over the columns of COUNTS: 1 good, -1 bad, 0 none.
+
+    For each kind of junk there is one that only votes bad, and one that votes
+    on the same evidence by another bound, and good without it. On most junk
+    these two stand against the good votes of all others.
+    """
     words, characters = F.greatest(F.col("words"), F.lit(1)), F.greatest(F.col("characters"), F.lit(1))
     share = lambda name, of: F.col(name) / of
     some, many = F.col("words") > 4, F.col("words") >= 20
@@ -51,9 +56,10 @@ def labellers() -> dict[str, Column]:
         "repetition": bad(some & (share("repeats", words) > 0.1)),
         "word_length": bad((F.col("words") < 1) | some & ((letters > 20) | (letters < 2))),
         "sentences": vote(many & ((F.col("stops") == 0) | (per_stop > 100)), per_stop.between(2, 40)),
-        "plain": vote(share("signs", characters) + share("digits", characters) > 0.4, share("signs", characters) + share("digits", characters) < 0.01),
-        "small_letters": vote(some & (share("capitals", characters) > 0.6), share("capitals", characters).between(0.001, 0.12)),
-        "variety": vote(many & (share("distinct", words) < 0.1), many & share("distinct", words).between(0.25, 0.98)),
+        "plain": vote(share("signs", characters) > 0.06, share("signs", characters) < 0.005),
+        "small_letters": vote(some & (share("capitals", characters) > 0.25), share("capitals", characters).between(0.001, 0.12)),
+        "worded": vote(some & (share("separators", words) > 0.06), some & (share("separators", words) < 0.01)),
+        "variety": vote(many & (share("distinct", words) < 0.2), many & share("distinct", words).between(0.3, 0.98)),
     }
 
 
@@ -166,11 +172,17 @@ class LabelModel:
 
 
 #: Where EM starts, for every labeller: a bad vote is rare on good documents, a good one common on both.
-START = ((0.3, 0.2, 0.5), (0.02, 0.18, 0.8))
+START = ((0.3, 0.2, 0.5), (0.005, 0.195, 0.8))
 
 
 def expectation_maximisation(names: list[str], votes: np.ndarray, counts: np.ndarray, *, rounds: int = 200, good: float = 0.8, smoothing: float = 0.5, tolerance: float = 1e-9) -> LabelModel:
-    """From distinct vote patterns and their counts."""
+    """From distinct vote patterns and their counts.
+
+    A labeller that casts votes of both kinds is as likely to be silent on
+    good documents as on bad ones, so its silence says nothing. That of one
+    which only ever votes bad is its way to vote good.
+    """
+    both = [bool(counts[votes[:, i] == GOOD].sum() and counts[votes[:, i] == BAD].sum()) or not counts[votes[:, i] == BAD].sum() for i in range(len(names))]
     model = LabelModel(names, np.repeat(np.array(START)[None], len(names), axis=0), good)
     if not counts.sum():
         return model
@@ -182,6 +194,10 @@ def expectation_maximisation(names: list[str], votes: np.ndarray, counts: np.nda
         tables[:, 0, 0] += smoothing
         tables[:, 1, 2] += smoothing
         tables /= tables.sum(axis=2, keepdims=True)
+        silent = np.array([counts[votes[:, i] == NONE].sum() + smoothing for i in range(len(names))]) / (counts.sum() + 2 * smoothing)
+        for i in np.flatnonzero(both):
+            tables[i, :, 1] = silent[i]
+            tables[i][:, [0, 2]] *= (1 - silent[i]) / tables[i][:, [0, 2]].sum(axis=1, keepdims=True)
         share = float(np.clip((p * counts).sum() / counts.sum(), 1e-4, 1 - 1e-4))
         moved = max(np.abs(tables - model.table).max(), abs(share - model.good))
         model = LabelModel(names, tables, share)
