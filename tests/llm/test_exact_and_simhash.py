@@ -194,6 +194,17 @@ def test_bitmaps_rule_out_no_link():
         assert similar.apart(similar.bitmap(one), similar.bitmap(other)) <= n + m - 2 * both
 
 
+def test_bitmaps_of_many_rows_equal_those_of_two():
+    dice = np.random.default_rng(4)
+    sets = [np.unique(dice.integers(-(1 << 62), 1 << 62, n)) for n in (1, 60, 64, 65, 100, 130, 129, 300, 1000)]
+    bits = np.empty(len(sets), object)
+    bits[:] = [similar.bitmap(x) for x in sets]
+    one, other = (x.ravel() for x in np.meshgrid(np.arange(9), np.arange(9)))
+    for most in (0, 30, 60, 150):
+        want = [similar.apart(bits[i], bits[j]) <= most for i, j in zip(one, other, strict=True)]
+        assert similar.Bitmaps(bits).within(one, other, np.full(81, most)).tolist() == want
+
+
 def test_a_bridge_that_is_not_similar_hides_no_link(spark):
     dice = random.Random(11)
     word = lambda: f"w{dice.randrange(10**9)}"

@@ -238,31 +238,69 @@ def can_be_similar(sizes: np.ndarray, places: np.ndarray, sizes2: np.ndarray, pl
 Rows = list[np.ndarray]
 
 
-def _star(group: Rows, bounds: np.ndarray, similarity: float) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+class Bitmaps:
+    """Bitmaps of many rows, each folded to any narrower width as it is asked for."""
+
+    def __init__(self, bitmaps: np.ndarray):
+        self.widths = np.array([len(x) for x in bitmaps])
+        self.own, self.folded = bitmaps, {}
+
+    def _at(self, width: int) -> np.ndarray:
+        """Rows of 64-bit words; those of narrower bitmaps are zero and not to be used."""
+        if width not in self.folded:
+            out = np.zeros((len(self.own), width // 8), np.uint64)
+            for wide in np.unique(self.widths[self.widths >= width]).tolist():
+                rows = np.flatnonzero(self.widths == wide)
+                whole = np.frombuffer(b"".join(self.own[rows]), np.uint64).reshape(len(rows), wide // width, width // 8)
+                out[rows] = np.bitwise_xor.reduce(whole, axis=1)
+            self.folded[width] = out
+        return self.folded[width]
+
+    def within(self, one: np.ndarray, other: np.ndarray, most: np.ndarray) -> np.ndarray:
+        """Whether rows one and other differ in at most so many places, as apart() tells it."""
+        keep, widths = np.zeros(len(one), bool), np.minimum(self.widths[one], self.widths[other])
+        for width in np.unique(widths).tolist():
+            words, pairs = self._at(width), np.flatnonzero(widths == width)
+            for at in range(0, len(pairs), max(1, AT_ONCE // width)):
+                some = pairs[at : at + max(1, AT_ONCE // width)]
+                keep[some] = np.bitwise_count(words[one[some]] ^ words[other[some]]).sum(axis=1) <= most[some]
+        return keep
+
+
+def _plausible(rows: Rows, bitmaps: Bitmaps, one: np.ndarray, other: np.ndarray, similarity: float) -> tuple[np.ndarray, np.ndarray]:
+    """Leaves of those pairs of rows that their bitmaps leave."""
+    leaf, size = rows[2], rows[4]
+    keep = bitmaps.within(one, other, (1 - similarity) / (1 + similarity) * (size[one] + size[other]) + 1e-9)
+    return leaf[one[keep]], leaf[other[keep]]
+
+
+def _star(rows: Rows, bounds: np.ndarray, similarity: float) -> Iterator[tuple[np.ndarray, np.ndarray]]:
     """Of each key, its first row with the rows of other labels."""
-    leaf, label, size, pos = group[2:]
-    first, rows = np.repeat(bounds[:-1], np.diff(bounds)), np.arange(len(leaf))
-    near = (label[first] != label[rows]) & can_be_similar(size[first], pos[first], size, pos, similarity)
-    yield leaf[first[near]], leaf[near]
+    leaf, label, size, pos, bits = rows[2:]
+    first, each = np.repeat(bounds[:-1], np.diff(bounds)), np.arange(len(leaf))
+    near = np.flatnonzero((label[first] != label[each]) & can_be_similar(size[first], pos[first], size, pos, similarity))
+    yield _plausible(rows, Bitmaps(bits), first[near], near, similarity)
 
 
-def _all_pairs(group: Rows, bounds: np.ndarray, similarity: float) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+def _all_pairs(rows: Rows, bounds: np.ndarray, similarity: float) -> Iterator[tuple[np.ndarray, np.ndarray]]:
     """Of each key, all pairs of rows of different labels, so many at once."""
+    label, size, pos, bits = rows[3:]
+    bitmaps = Bitmaps(bits)
     for low, high in zip(bounds[:-1][np.diff(bounds) > 1].tolist(), bounds[1:][np.diff(bounds) > 1].tolist(), strict=True):
-        leaf, label, size, pos = (x[low:high] for x in group[2:])
-        if (label == label[0]).all():
+        own = slice(low, high)
+        if (label[own] == label[low]).all():
             continue
-        step = max(1, AT_ONCE // len(leaf))
-        for at in range(0, len(leaf), step):
-            to = slice(at, at + step)
-            near = (label[to, None] < label[None, :]) & can_be_similar(size[to, None], pos[to, None], size[None, :], pos[None, :], similarity)
+        step = max(1, AT_ONCE // (high - low))
+        for at in range(low, high, step):
+            to = slice(at, min(high, at + step))
+            near = (label[to, None] < label[None, own]) & can_be_similar(size[to, None], pos[to, None], size[None, own], pos[None, own], similarity)
             i, j = np.nonzero(near)
-            yield leaf[to][i], leaf[j]
+            yield _plausible(rows, bitmaps, at + i, low + j, similarity)
 
 
 def _met(pairs_of, similarity: float):
     """Pairs under one (_key, _sub), the lesser leaf first; rows arrive ordered by them."""
-    names = ("_key", "_sub", "_leaf", "_label", "_size", "_pos")
+    names = ("_key", "_sub", "_leaf", "_label", "_size", "_pos", "_bits")
 
     def told(rows: Rows, bounds: np.ndarray) -> Iterator[pa.RecordBatch]:
         found, size = [], 0
@@ -312,15 +350,19 @@ def _shared_keys(sketches: DataFrame) -> DataFrame:
     return keyed.repartition("_key", "_salt").sortWithinPartitions("_key", "_salt").mapInArrow(_shared, keyed.schema).drop("_salt")
 
 
-def _meetings(shared: DataFrame, groups: DataFrame, pairs_of, similarity: float, heavy: int) -> DataFrame:
-    """Pairs (a, b) of different groups (vertex, root) that meet under a shingle and can be similar enough; a text of no group is one by itself."""
+def _meetings(shared: DataFrame, sketches: DataFrame, groups: DataFrame, pairs_of, similarity: float, heavy: int) -> DataFrame:
+    """Pairs (a, b) of different groups (vertex, root) that meet under a shingle and can be similar enough; a text of no group is one by itself.
+
+    Bitmaps travel with the rows, so that pairs which they rule out are never rows.
+    """
     labelled = shared.join(groups.withColumnRenamed("vertex", "_leaf"), "_leaf", "left").withColumn("_label", F.coalesce("root", "_leaf")).drop("root")
     # how many rows a shingle has, and whether groups meet there at all; combined before the shuffle
     live = labelled.groupBy("_key").agg(F.count("*").alias("_n"), F.min("_label").alias("_x"), F.max("_label").alias("_y")).where("_x != _y")
     rows = labelled.join(live.select("_key", (1 + F.floor(F.col("_n") / heavy)).cast("int").alias("_parts")), "_key")
+    rows = rows.join(sketches.select("_leaf", "_bits"), "_leaf")
     part = F.pmod(F.xxhash64("_leaf"), F.col("_parts")).cast("int")
     subs = F.transform(F.sequence(F.lit(0), F.col("_parts") - 1), lambda x: F.least(x, part) * F.col("_parts") + F.greatest(x, part))
-    rows = rows.select("_key", F.explode(F.when(F.col("_parts") == 1, F.array(F.lit(0))).otherwise(subs)).alias("_sub"), "_leaf", "_label", "_size", "_pos")
+    rows = rows.select("_key", F.explode(F.when(F.col("_parts") == 1, F.array(F.lit(0))).otherwise(subs)).alias("_sub"), "_leaf", "_label", "_size", "_pos", "_bits")
     rows = rows.repartition("_key", "_sub").sortWithinPartitions("_key", "_sub", "_leaf")
     return rows.mapInArrow(_met(pairs_of, similarity), "a long, b long").distinct()
 
@@ -343,7 +385,7 @@ def _linked(docs: DataFrame, similarity: float, words_each: int, budget: int, bl
     shared = materialise(_shared_keys(sketches), "shared")
     groups = components(found)
     for pairs_of in (_star, _all_pairs):
-        met = materialise(_meetings(shared, groups, pairs_of, similarity, heavy), "meetings")
+        met = materialise(_meetings(shared, sketches, groups, pairs_of, similarity, heavy), "meetings")
         far = materialise(_checked(met, sketches, rows, similarity, words_each), "far-links")
         if not far.isEmpty():
             found = found.unionByName(far)
