@@ -3,6 +3,8 @@
 from __future__ import annotations
 
 import ctypes
+import gc
+from collections.abc import Callable
 
 import pandas as pd
 import pyarrow as pa
@@ -48,6 +50,23 @@ def bounded_sample(rows: DataFrame, taken: DataFrame, key: str, column: str, mos
     return got.merge(wanted, on=key).sort_values(key).reset_index(drop=True)
 
 
+_kept: dict[object, object] = {}
+
+
+def kept(name: object, make: Callable[[], object]) -> object:
+    """What this worker process keeps between tasks under a name.
+
+    Another name takes its place, so that a worker, which lives on from one
+    operator to the next, holds one memory of words at a time.
+    """
+    if name not in _kept:
+        _kept.clear()
+        gc.collect()
+        release()
+        _kept[name] = make()
+    return _kept[name]
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 

@@ -21,7 +21,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidegraph.llm.common import bounded_sample, content, materialise, release, table
+from tidegraph.llm.common import bounded_sample, content, kept, materialise, release, table
 
 BAD, NONE, GOOD = -1, 0, 1
 #: Rows of the scorer's weight table.
@@ -138,14 +138,9 @@ class Words:
         return np.concatenate([_row(word), _row(shape)]), pairs
 
 
-_words: list[Words] = []
-
-
 def remembered() -> Words:
     """The memory of this worker process, kept between tasks."""
-    if not _words:
-        _words.append(Words())
-    return _words[0]
+    return kept("words", Words)
 
 
 @dataclass

@@ -24,7 +24,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidegraph.llm.common import content, release, table
+from tidegraph.llm.common import content, kept, release, table
 
 #: Bytes of text that are encoded in one call.
 BATCH_BYTES = 256 << 10
@@ -248,15 +248,9 @@ def cuts_before_spaces(rules: dict) -> bool:
     return bool(usual and plain and _normalisers(rules) <= {"NFC", "NFD", "NFKC", "NFKD"})
 
 
-_encoders: dict[tuple[str, str], Encoder] = {}
-
-
 def encoder(path: str, value: Callable[[list[int]], object] = len) -> Encoder:
     """One encoder for each worker process, kept between tasks."""
-    key = (path, value.__name__)
-    if key not in _encoders:
-        _encoders[key] = Encoder(path, value)
-    return _encoders[key]
+    return kept(("tokens", path, value.__name__), lambda: Encoder(path, value))
 
 
 def _counts(path: str):

@@ -23,7 +23,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidegraph.llm.common import bounded_sample, release, table, unused
+from tidegraph.llm.common import bounded_sample, kept, release, table, unused
 
 #: Rows of the embedding table, and their width.
 ROWS, WIDTH = 1 << 17, 8
@@ -217,16 +217,10 @@ def fit(docs: DataFrame, labels: DataFrame, *, id_col: str = "doc_id", text_col:
     return train(rows["_text"].tolist(), [int(y > 0) for y in rows["_y"]], toxic_share=share, **options)
 
 
-_scorers: dict[str, Scorer] = {}
-
-
 def scorer_of(model: Model) -> Scorer:
     """This worker's scorer of a model, whose memory lasts over its tasks; one of another model takes its place."""
     name = hashlib.sha256(model.weights.tobytes() + struct.pack("<d", model.bias)).hexdigest()
-    if name not in _scorers:
-        _scorers.clear()
-        _scorers[name] = Scorer(model)
-    return _scorers[name]
+    return kept(("toxicity", name), lambda: Scorer(model))
 
 
 def score(docs: DataFrame, model: Model, *, into: str, text_col: str = "text") -> DataFrame:
