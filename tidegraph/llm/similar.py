@@ -32,28 +32,23 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tidegraph.llm import simhash
-from tidegraph.llm.common import content, materialise, release, settled, unused
+from tidegraph.llm.common import content, kept, materialise, release, settled, unused
 from tidegraph.llm.components import components
 
 WORDS_EACH, SIMILARITY = 5, 0.8
 #: Bits by which fingerprints that the tries join may differ. Texts with more between them are left to the prefix filter.
 BUDGET, BLOCKS = 3, 5
-#: Texts that tell which shingles are frequent, and how many of these are told, each found at least so often.
-SAMPLE, FREQUENT, OFTEN = 5_000, 100_000, 4
+#: Texts that tell which shingles are frequent, at least, and at least every so many; how many shingles are told, each found at least so often.
+SAMPLE, EVERY, FREQUENT, OFTEN = 5_000, 50, 100_000, 4
 #: Rows under one shingle, beyond which it is dealt into parts that meet by twos.
 HEAVY = 20_000
 #: Pairs of rows under one shingle that are compared at once.
 AT_ONCE = 4_000_000
 #: Words whose hash a worker remembers.
-REMEMBERED = 500_000
+REMEMBERED = 200_000
 
-_ODD = (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9)
-
-
-def _mixed(x: np.ndarray) -> np.ndarray:
-    x = (x ^ x >> np.uint64(31)) * np.uint64(_ODD[1])
-    x = (x ^ x >> np.uint64(29)) * np.uint64(_ODD[2])
-    return x ^ x >> np.uint64(32)
+#: By what a shingle's words are weighed, one after the other; all odd.
+_ODD = (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0xD6E8FEB86659FD93, 0xA0761D6478BD642F)
 
 
 class Shingler:
@@ -80,13 +75,19 @@ class Shingler:
             return np.zeros(1, np.int64)
         hashed = np.zeros(len(words) - each + 1, np.uint64)
         for i in range(each):
-            hashed = _mixed(hashed * np.uint64(_ODD[0]) + words[i : len(words) - each + 1 + i])
+            # the words' hashes are even over 64 bits, and so is their weighed sum
+            hashed += words[i : len(words) - each + 1 + i] * np.uint64(_ODD[i % len(_ODD)] + 2 * (i // len(_ODD)))
         return np.unique(hashed.view(np.int64))
 
 
+def shingler(words_each: int) -> Shingler:
+    """This worker's, whose memory of words lasts over its tasks."""
+    return kept(("shingles", words_each), lambda: Shingler(words_each))
+
+
 def _shingled(words_each: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        of = Shingler(words_each)
+        of = shingler(words_each)
         for batch in batches:
             sets = [of.shingles(of.words(x.as_py())) for x in batch.column("_content")]
             yield pa.RecordBatch.from_arrays([batch.column("_leaf"), pa.array(sets, pa.list_(pa.int64()))], ["_leaf", "_set"])
@@ -97,7 +98,7 @@ def _shingled(words_each: int):
 
 def _frequent(rows: DataFrame, texts: int, words_each: int) -> tuple[np.ndarray, np.ndarray]:
     """Frequent shingles in order and how many texts have them, told from some texts. They decide only about the order of shingles."""
-    step = max(1, texts // SAMPLE)
+    step = min(EVERY, max(1, texts // SAMPLE))
     some = rows.where(F.pmod(F.xxhash64("_who"), F.lit(step)) == 0).select(F.lit(0).cast("long").alias("_leaf"), "_content").mapInArrow(_shingled(words_each), "_leaf long, _set array<long>")
     counts = some.select(F.explode("_set").alias("_key")).groupBy("_key").agg(F.count("*").alias("_n")).where(F.col("_n") >= OFTEN)
     found = counts.orderBy(F.desc("_n"), "_key").limit(FREQUENT).toPandas().sort_values("_key")
@@ -138,7 +139,7 @@ def _sketched(words_each: int, similarity: float, frequent: np.ndarray, counts:
         return (1 + many // heavy).astype(np.int32) if (many >= heavy).any() else None
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        of = Shingler(words_each)
+        of = shingler(words_each)
         for batch in batches:
             rows = []
             for text in batch.column("_content"):
