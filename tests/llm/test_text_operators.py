@@ -420,14 +420,21 @@ def test_quality_keeps_prose_and_drops_junk(spark):
     assert quality.quality(docs_of(spark, [])).count() == 0
 
 
-def test_word_counts_of_ascii_words_equal_the_general_rule():
+def test_counts_of_texts_equal_a_loop_over_words():
     dice = random.Random(1)
     for _ in range(300):
-        word = "".join(dice.choices("aZ9.,!?'\"()-$&|_\x1c", k=dice.randrange(1, 9)))
-        known = [c for c in word if c.isalnum()]
-        signs = sum(not c.isalnum() and c not in ".,;:!?'\"()-" for c in word)
-        ends = word.rstrip("\"')")[-1:] in (".", "!", "?") and bool(known)
-        assert quality.counts_of(word.encode()) == (1, len(word), signs, sum(c.isupper() for c in known), sum(c.isdigit() for c in known), not known, ends)
+        text = "".join(dice.choices("aaZé9.,!?'\"()-$&|_ß日  \n\t\x1c", k=dice.randrange(0, 60)))
+        words = text.encode().split()
+        want = [len(words), 0, 0, 0, 0, 0, 0, sum(a.decode().lower() == b.decode().lower() for a, b in zip(words, words[1:], strict=False)), len({w.decode().lower() for w in words})]
+        for word in (w.decode() for w in words):
+            known = [c for c in word if c.isalnum()]
+            ends = word.rstrip("\"')")[-1:] in (".", "!", "?") and bool(known)
+            own = (len(word), sum(not c.isalnum() and c not in ".,;:!?'\"()-" for c in word), sum(c.isupper() for c in known), sum(c.isdigit() for c in known), not known, ends)
+            want[1:7] = [a + b for a, b in zip(want[1:7], own, strict=True)]
+        got, hashes, shapes = quality.analysed(text.encode())
+        assert got == want and len(hashes) == len(shapes) == len(words)
+    _, one, shape = quality.analysed(b"Hello HELLO abc ab a Abc, ABc,")
+    assert one[0] == one[1] and shape[2] == shape[3] != shape[4] and len(set(shape.tolist())) == 6
 
 
 @pytest.mark.skipif(not os.path.isdir("/root/testdata/sf0.01"), reason="needs the test tables")

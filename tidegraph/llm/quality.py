@@ -12,16 +12,16 @@ pairs of neighbours, and the scorer decides which documents are kept.
 
 from __future__ import annotations
 
-import re
 from collections.abc import Iterator
 from dataclasses import dataclass
+from functools import cache
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidegraph.llm.common import bounded_sample, content, kept, materialise, release, table
+from tidegraph.llm.common import bounded_sample, content, materialise, release, table
 
 BAD, NONE, GOOD = -1, 0, 1
 #: Rows of the scorer's weight table.
@@ -29,8 +29,6 @@ ROWS = 1 << 17
 #: The bound of the scorer's training sample, in documents and in bytes of one text and of all.
 SAMPLE, MOST_BYTES, TOTAL_BYTES = 4000, 1 << 18, 32 << 20
 THRESHOLD = 0.5
-#: Words that a worker remembers, over all its tasks; beyond, it starts anew.
-REMEMBERED = 300_000
 
 #: What is counted of each text; words, and characters without white space.
 COUNTS = ("words", "characters", "signs", "capitals", "digits", "separators", "stops", "repeats", "distinct")
@@ -63,84 +61,89 @@ def labellers() -> dict[str, Column]:
     }
 
 
-_PLAIN_SIGNS = frozenset(".,;:!?'\"()-")
-_CLASSES = bytes.maketrans(bytes(range(256)), bytes(97 if 97 <= b <= 122 else 65 if 65 <= b <= 90 else 48 if 48 <= b <= 57 else 46 if chr(b) in _PLAIN_SIGNS else 35 for b in range(256)))
-_SHAPES = bytes.maketrans(bytes(range(256)), bytes(97 if 97 <= b <= 122 or b >= 128 else 65 if 65 <= b <= 90 else 48 if 48 <= b <= 57 else b for b in range(256)))
-_RUNS = re.compile(rb"(.)\1+", re.DOTALL)
-_MIX = np.uint64(0x9E3779B97F4A7C15)
+_PLAIN_SIGNS, _ENDS, _AFTER_END = frozenset(".,;:!?'\"()-"), frozenset(".!?"), frozenset("\"')")
+_WHITE, _ALNUM, _UPPER, _DIGIT, _SIGN, _END, _QUOTE = (1 << i for i in range(7))
+#: Code points that are looked up; those beyond count as signs.
+_KNOWN = 1 << 16
+_MIX, _MIX2 = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xC2B2AE3D27D4EB4F)
+
+
+def _kind_of(c: str) -> int:
+    if c in " \t\n\r\x0b\x0c":
+        return _WHITE
+    kind = _ALNUM * c.isalnum() | _UPPER * (c.isalnum() and c.isupper()) | _DIGIT * c.isdigit()
+    return kind | _SIGN * (not c.isalnum() and c not in _PLAIN_SIGNS) | _END * (c in _ENDS) | _QUOTE * (c in _AFTER_END)
+
+
+def _shape_of(code: int) -> int:
+    return 97 if 97 <= code <= 122 or code >= 128 else 65 if 65 <= code <= 90 else 48 if 48 <= code <= 57 else code
+
+
+@cache
+def _tables() -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """Of each code point: what it is, its small letter, its part in a shape; and weights by place."""
+    kinds = np.array([*(_kind_of(chr(c)) for c in range(_KNOWN)), _SIGN], np.uint8)
+    lower = np.array([*(ord(x) if len(x := chr(c).lower()) == 1 else c for c in range(_KNOWN)), _KNOWN], np.uint64)
+    shapes = np.array([*map(_shape_of, range(_KNOWN)), 97], np.uint64)
+    places = np.random.default_rng(5).integers(0, 1 << 63, 64, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
+    return kinds, lower, shapes, places
+
+
+def _mixed(x: np.ndarray) -> np.ndarray:
+    x = (x + np.uint64(1)) * _MIX
+    return (x ^ x >> np.uint64(32)) * _MIX2
 
 
 def _row(hashed: np.ndarray) -> np.ndarray:
     return ((hashed ^ hashed >> np.uint64(29)) * _MIX >> np.uint64(64 - (ROWS - 1).bit_length())).astype(np.int64)
 
 
-def counts_of(word: bytes) -> tuple[int, ...]:
-    """A word's share of the first seven COUNTS."""
-    if word.isascii():
-        kinds = word.translate(_CLASSES)
-        capitals, digits = kinds.count(b"A"), kinds.count(b"0")
-        length, alphanumeric, signs = len(word), capitals + digits + kinds.count(b"a"), kinds.count(b"#")
-    else:
-        text = word.decode("utf-8", "replace")
-        known = [c for c in text if c.isalnum()]
-        capitals, digits = sum(c.isupper() for c in known), sum(c.isdigit() for c in known)
-        length, alphanumeric, signs = len(text), len(known), sum(not c.isalnum() and c not in _PLAIN_SIGNS for c in text)
-    ends = word.rstrip(b"\"')")[-1:] in (b".", b"!", b"?") and alphanumeric > 0
-    return 1, length, signs, capitals, digits, not alphanumeric, ends
-
-
-class Words:
-    """What a worker knows of words: their counts, and hashes of the word in small letters and of its shape."""
-
-    def __init__(self):
-        self._reset()
-
-    def _reset(self) -> None:
-        self.known: dict[bytes, int] = {}
-        self.counts = np.zeros((1024, 7), np.int32)
-        self.hashes = np.zeros((1024, 2), np.uint64)
-
-    def _learn(self, words: list[bytes]) -> None:
-        import xxhash
-
-        start, need = len(self.known), len(self.known) + len(words)
-        if need > len(self.counts):
-            more = max(need, 2 * len(self.counts)) - len(self.counts)
-            self.counts, self.hashes = (np.concatenate([x, np.zeros((more, x.shape[1]), x.dtype)]) for x in (self.counts, self.hashes))
-        self.counts[start:need] = [counts_of(w) for w in words]
-        hashed = xxhash.xxh64_intdigest
-        # runs of one kind of character are one
-        self.hashes[start:need] = [(hashed(w.lower(), 1), hashed(_RUNS.sub(rb"\1+", w.translate(_SHAPES)), 2)) for w in words]
-        self.known.update(zip(words, range(start, need), strict=True))
-
-    def numbers(self, text: bytes) -> np.ndarray:
-        """The number of each word of the text, in order."""
-        words = text.split()
-        new = set(words).difference(self.known)
-        if new:
-            if len(self.known) + len(new) > REMEMBERED:
-                self._reset()
-                new = set(words)
-            self._learn(list(new))
-        return np.fromiter(map(self.known.__getitem__, words), np.int64, len(words))
-
-    def count(self, numbers: np.ndarray) -> list[int]:
-        if not len(numbers):
-            return [0] * len(COUNTS)
-        return [*self.counts[numbers].sum(axis=0, dtype=np.int64).tolist(), int((numbers[1:] == numbers[:-1]).sum()), len(np.unique(numbers))]
-
-    def rows(self, numbers: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """Rows of the weight table: of each word and its shape; of each pair of words, and of their shapes with whether words come again."""
-        word, shape = self.hashes[numbers, 0], self.hashes[numbers, 1]
-        again = (numbers[1:] == numbers[:-1]).astype(np.uint64)
-        again[1:] += np.uint64(2) * (numbers[2:] == numbers[:-2]).astype(np.uint64)
-        pairs = np.concatenate([_row(word[:-1] * np.uint64(3) + word[1:]), _row(shape[:-1] * np.uint64(5) + shape[1:] * np.uint64(7) + again)])
-        return np.concatenate([_row(word), _row(shape)]), pairs
-
-
-def remembered() -> Words:
-    """The memory of this worker process, kept between tasks."""
-    return kept("words", Words)
+_NO_WORDS = np.empty(0, np.uint64)
+
+
+def analysed(text: bytes) -> tuple[list[int], np.ndarray, np.ndarray]:
+    """COUNTS of a text, and of each word in order hashes of it in small letters and of its shape.
+
+    All characters are looked at at once, so a text costs the same whether its
+    words were met before or not. In a shape, runs of one kind of character
+    are one. Words come again whatever their case.
+    """
+    kinds, lower, shapes, places = _tables()
+    codes = np.minimum(np.frombuffer(text.decode("utf-8", "replace").encode("utf-32-le"), np.uint32), _KNOWN)
+    kind = kinds[codes]
+    inside = kind != _WHITE
+    codes, kind = codes[inside], kind[inside]
+    if not len(codes):
+        return [0] * len(COUNTS), _NO_WORDS, _NO_WORDS
+    edges = np.diff(inside.astype(np.int8), prepend=0, append=0)
+    lengths = np.flatnonzero(edges < 0) - np.flatnonzero(edges > 0)
+    starts = np.cumsum(lengths) - lengths
+    known = np.add.reduceat((kind & _ALNUM) > 0, starts, dtype=np.int64) > 0
+    last = starts + lengths - 1
+    while (quoted := ((kind[last] & _QUOTE) > 0) & (last > starts)).any():
+        last = last - quoted
+    stops = ((kind[last] & _END) > 0) & known
+    place = np.arange(len(codes)) - np.repeat(starts, lengths)
+    words = np.add.reduceat(_mixed(lower[codes]) * places[place & 63], starts) + lengths.astype(np.uint64)
+    shape = shapes[codes]
+    begins = np.append(True, shape[1:] != shape[:-1])
+    begins[starts] = True
+    runs = np.flatnonzero(begins)
+    first = np.searchsorted(runs, starts)
+    several = (np.diff(np.append(runs, len(codes))) > 1).astype(np.uint64)
+    number = np.arange(len(runs)) - np.repeat(first, np.diff(np.append(first, len(runs))))
+    shaped = np.add.reduceat(_mixed(shape[runs] * np.uint64(2) + several) * places[number & 63], first)
+    count = lambda bit: int(np.count_nonzero(kind & bit))
+    totals = [len(lengths), len(codes), count(_SIGN), count(_UPPER), count(_DIGIT), int((~known).sum()), int(stops.sum()), int((words[1:] == words[:-1]).sum()), len(np.unique(words))]
+    return totals, words, shaped
+
+
+def rows_of(words: np.ndarray, shapes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Rows of the weight table: of each word and its shape; of each pair of words, and of their shapes with whether words come again."""
+    again = (words[1:] == words[:-1]).astype(np.uint64)
+    again[1:] += np.uint64(2) * (words[2:] == words[:-2]).astype(np.uint64)
+    pairs = np.concatenate([_row(words[:-1] * np.uint64(3) + words[1:]), _row(shapes[:-1] * np.uint64(5) + shapes[1:] * np.uint64(7) + again)])
+    return np.concatenate([_row(words), _row(shapes)]), pairs
 
 
 @dataclass
@@ -208,25 +211,25 @@ class Scorer:
     weights: np.ndarray
     bias: float
 
-    def __call__(self, words: Words, numbers: np.ndarray) -> float:
-        """In 0..1; a text without words has 0."""
-        if not len(numbers):
+    def __call__(self, words: np.ndarray, shapes: np.ndarray) -> float:
+        """In 0..1, of hashes by analysed(); a text without words has 0."""
+        if not len(words):
             return 0.0
-        single, pairs = words.rows(numbers)
-        z = self.bias + self.weights[single].sum(dtype=np.float64) / len(numbers) + (self.weights[pairs].sum(dtype=np.float64) / (len(numbers) - 1) if len(pairs) else 0.0)
+        single, pairs = rows_of(words, shapes)
+        z = self.bias + self.weights[single].sum(dtype=np.float64) / len(words) + (self.weights[pairs].sum(dtype=np.float64) / (len(words) - 1) if len(pairs) else 0.0)
         return float(1 / (1 + np.exp(-min(max(z, -500), 500))))
 
 
 def train(texts: list[bytes], targets: np.ndarray, *, epochs: int = 8, rate: float = 0.5, decay: float = 1e-5, seed: int = 3) -> Scorer:
     """Logistic regression on soft targets by Adagrad; texts without words are left out."""
-    words, rows, kept = Words(), [], []
+    rows, kept = [], []
     for text, target in zip(texts, targets, strict=True):
-        numbers = words.numbers(text)
-        if not len(numbers):
+        _, words, shapes = analysed(text)
+        if not len(words):
             continue
-        single, pairs = words.rows(numbers)
+        single, pairs = rows_of(words, shapes)
         index, where = np.unique(np.concatenate([single, pairs]), return_inverse=True)
-        shares = np.concatenate([np.full(len(single), 1 / len(numbers)), np.full(len(pairs), 1 / max(1, len(numbers) - 1))])
+        shares = np.concatenate([np.full(len(single), 1 / len(words)), np.full(len(pairs), 1 / max(1, len(words) - 1))])
         rows.append((index, np.bincount(where, weights=shares)))
         kept.append(target)
     weights, past, bias = np.zeros(ROWS), np.full(ROWS, 1e-6), 0.0
@@ -248,14 +251,13 @@ def _counted(scorer: Scorer | None):
     """_id, the counts, and the score if there is a scorer: one look at each text."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        words = remembered()
         for batch in batches:
             found, scores = [], []
             for text in batch.column("_content"):
-                numbers = words.numbers(text.as_py())
-                found.append(words.count(numbers))
+                counts, words, shapes = analysed(text.as_py())
+                found.append(counts)
                 if scorer:
-                    scores.append(scorer(words, numbers))
+                    scores.append(scorer(words, shapes))
             columns = np.array(found, np.int64).reshape(-1, len(COUNTS))
             out = [*(c for c in batch.columns[:-1]), *(pa.array(columns[:, i]) for i in range(len(COUNTS)))]
             if scorer:
