@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tidegraph.llm import audio, chat, exact_dedup, mixing, packing, quality, simhash, tokens, toxicity, warc
+from tidegraph.llm import audio, chat, exact_dedup, merkle, mixing, packing, quality, simhash, tokens, toxicity, warc
 
 
 def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -27,6 +27,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op8_token_counts": tokens.op8_token_counts,
         "op9_quality": quality.op9_quality,
         "op10_toxicity": toxicity.op10_toxicity,
+        "op12_merkle": merkle.op12_merkle,
         "pipeline": pipeline,
     }
 
@@ -37,4 +38,5 @@ def oracle_sql() -> dict[str, str]:
         "op2_chat_format": chat.OP2_SQL,
         "op3_mixing": mixing.OP3_SQL,
         "op4_warc": warc.OP4_SQL,
+        "op12_merkle": merkle.OP12_SQL,
     }
