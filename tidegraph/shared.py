@@ -33,14 +33,14 @@ def new_folder(spark: SparkSession, name: str) -> str:
     return path
 
 
-def materialise(df: DataFrame, name: str) -> DataFrame:
-    """Write df as Parquet in the shared folder and read it back.
+def materialise(df: DataFrame, name: str, **options: str) -> DataFrame:
+    """Write df as Parquet in the shared folder, with the writer's options, and read it back.
 
     Cuts the lineage, survives lost executors, and lets several readers share
     one computation. forget() removes the files.
     """
     path = new_folder(df.sparkSession, name)
-    df.write.parquet(path)
+    df.write.options(**options).parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
