@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tidegraph.llm import alignment, audio, chat, exact_dedup, merkle, mixing, packing, quality, simhash, tokens, toxicity, warc
+from tidegraph.llm import alignment, audio, chat, completion, exact_dedup, merkle, mixing, packing, quality, simhash, tokens, toxicity, warc
 
 
 def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -27,6 +27,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op8_token_counts": tokens.op8_token_counts,
         "op9_quality": quality.op9_quality,
         "op10_toxicity": toxicity.op10_toxicity,
+        "op11_completion": completion.op11_completion,
         "op12_merkle": merkle.op12_merkle,
         "op13_alignment": alignment.op13_alignment,
         "pipeline": pipeline,
