@@ -4,7 +4,7 @@ import random
 import pytest
 from pyspark.sql import functions as F
 
-from tidegraph.operators import entities, ontology, signals, temporal, writes
+from tidegraph.operators import entities, intervals, ontology, signals, temporal, writes
 from tidegraph.operators.entities import neighbourhood
 from tidegraph.operators.ontology import Ontology, Relation, RestrictiveChange
 from tidegraph.sources.star import Graph
@@ -146,12 +146,12 @@ def test_interval_and_range_joins_equal_nested_loops(spark):
     one, other = frame.where("id < 30"), frame.where("id >= 30")
     end = lambda x: x[3] or dt.datetime.max
     want = {(x[0], y[0]) for x in made[:30] for y in made[30:] if x[1] == y[1] and x[2] < end(x) and y[2] < end(y) and x[2] < end(y) and y[2] < end(x)}
-    got = [(r.id, r.r_id) for r in temporal.interval_join(one, other, ["k"]).collect()]
+    got = [(r.id, r.r_id) for r in intervals.interval_join(one, other, ["k"]).collect()]
     assert len(got) == len(set(got)) and set(got) == want
     values = spark.createDataFrame([(dice.uniform(-50, 50),) for _ in range(40)], "v double")
     bands = spark.createDataFrame([(a, a + dice.uniform(-1, 9)) for a in (dice.uniform(-50, 50) for _ in range(30))], "low double, high double")
     brute = {(v.v, b.low) for v in values.collect() for b in bands.collect() if b.low <= v.v <= b.high}
-    assert {(r.v, r.low) for r in temporal.range_join(values, bands, "v", "low", "high", width=4.0).collect()} == brute
+    assert {(r.v, r.low) for r in intervals.range_join(values, bands, "v", "low", "high").collect()} == brute
 
 
 def test_branch_merge_compact_and_replay(log):

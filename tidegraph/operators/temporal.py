@@ -40,14 +40,15 @@ def fold(events: DataFrame) -> DataFrame:
 def state(events: DataFrame, *, commit_seq: int | Column | None = None, valid_time: object = None) -> DataFrame:
     """The state at a commit and a valid time.
 
-    Of the events visible there the last one of an edge decides; where events
-    have valid_to, an edge that ended at or before valid_time is not in the
-    state. A null valid_to has no end. Without valid_time, ended edges stay.
+    Of the events visible there that speak of the valid time, the last one of
+    an edge decides: an event speaks from valid_from up to valid_to, and
+    without an end if that is null or no column. So what a later commit says
+    of another time changes nothing. Without valid_time, ended edges stay.
     """
-    found = fold(snapshot(events, commit_seq=commit_seq, valid_time=valid_time))
-    if valid_time is None or "valid_to" not in events.columns:
-        return found
-    return found.where(F.col("valid_to").isNull() | (F.col("valid_to") > F.lit(valid_time).cast("timestamp_ntz")))
+    events = snapshot(events, commit_seq=commit_seq, valid_time=valid_time)
+    if valid_time is not None and "valid_to" in events.columns:
+        events = events.where(F.col("valid_to").isNull() | (F.col("valid_to") > F.lit(valid_time).cast("timestamp_ntz")))
+    return fold(events)
 
 
 def history(events: DataFrame) -> DataFrame:
@@ -106,43 +107,6 @@ def latest(states: DataFrame, entity: str = "src", state: str = "dst", at: str =
     return states.groupBy(entity).agg(F.max(F.struct(at, state)).alias("_s")).select(entity, F.col(f"_s.{state}").alias(state), F.col(f"_s.{at}").alias(at))
 
 
-def interval_join(left: DataFrame, right: DataFrame, on: list[str], *, width_seconds: int = 86_400, start: str = "valid_from", end: str = "valid_to") -> DataFrame:
-    """Pairs of rows with equal keys whose intervals [start, end) overlap; right's columns are prefixed r_. A null end has none.
-
-    Rows with an end are put into every bucket of the width that they touch,
-    so pairs meet by an equality of key and bucket, and a pair is told in the
-    bucket where the later one starts. Rows without an end, or over a thousand
-    buckets long, meet the others by key alone.
-    """
-    epoch = F.lit("1970-01-01").cast("timestamp_ntz")
-    at = lambda c: F.floor(F.timestamp_diff("SECOND", epoch, F.col(c)) / width_seconds).cast("long")
-    r = right.select(*(F.col(c).alias(c if c in on else f"r_{c}") for c in right.columns))
-
-    def sides(df: DataFrame, a: str, b: str, mark: str) -> tuple[DataFrame, DataFrame]:
-        df = df.where(F.col(b).isNull() | (F.col(b) > F.col(a))).withColumns({f"{mark}0": at(a), f"{mark}1": at(b)})
-        wide = F.col(b).isNull() | (F.col(f"{mark}1") - F.col(f"{mark}0") > 1000)
-        return df.where(~wide), df.where(wide)
-
-    (short, long_), (r_short, r_long) = sides(left, start, end, "_l"), sides(r, f"r_{start}", f"r_{end}", "_r")
-    overlap = lambda d: d.where((F.col(f"r_{end}").isNull() | (F.col(start) < F.col(f"r_{end}"))) & (F.col(end).isNull() | (F.col(f"r_{start}") < F.col(end))))
-    bucketed = lambda d, m: d.withColumn("_bucket", F.explode(F.sequence(f"{m}0", f"{m}1")))
-    met = bucketed(short, "_l").join(bucketed(r_short, "_r"), [*on, "_bucket"]).where(F.col("_bucket") == F.greatest("_l0", "_r0")).drop("_bucket")
-    rest = long_.join(r_short.unionByName(r_long), on).unionByName(short.join(r_long, on))
-    return overlap(met.unionByName(rest)).drop("_l0", "_l1", "_r0", "_r1")
-
-
-def range_join(left: DataFrame, right: DataFrame, value: str, low: str, high: str, *, width: float) -> DataFrame:
-    """Rows of left with rows of right whose [low, high] holds left's value, by buckets of the width.
-
-    An interval is put into each bucket that it touches, a value into one, so
-    the join is an equality of buckets with the comparison beside it and not a
-    nested loop. Ranges should span few buckets.
-    """
-    bucket_of = lambda c: F.floor(F.col(c) / width).cast("long")
-    intervals = right.where(F.col(low) <= F.col(high)).withColumn("_bucket", F.explode(F.sequence(bucket_of(low), bucket_of(high))))
-    return left.withColumn("_bucket", bucket_of(value)).join(intervals, "_bucket").where(F.col(value).between(F.col(low), F.col(high))).drop("_bucket")
-
-
 def as_of_join(left: DataFrame, right: DataFrame, on: str, left_at: str, right_at: str, value: str, *, bucket_unit: str | None = None) -> DataFrame:
     """For each row of left, right's last value at or before its time; of values at one time, the largest.
 

@@ -9,11 +9,13 @@ from pyspark.sql import functions as F
 
 from tidegraph.functions import sparql as S
 from tidegraph.operators import entities as E
+from tidegraph.operators import intervals as IV
 from tidegraph.operators import ontology as O
 from tidegraph.operators import paths as PATH
 from tidegraph.operators import patterns as P
 from tidegraph.operators import signals as SIG
 from tidegraph.operators import temporal as T
+from tidegraph.operators import timeline as TL
 from tidegraph.operators import writes as WR
 from tidegraph.plans.structured import Aggregate, Compare, DateTime, Request, run
 from tidegraph.shared import materialise, new_folder
@@ -537,7 +539,7 @@ def interval_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     e = spark.read.parquet(f"{sf_dir}/events.parquet").select("event_id", "user_id", "event_type", F.col("ts").alias("valid_from"))
     purchases = e.where("event_type = 'purchase'").withColumn("valid_to", F.expr("valid_from + INTERVAL 12 HOURS"))
     views = e.where("event_type = 'view'").withColumn("valid_to", F.expr("valid_from + make_dt_interval(0, event_id % 200)"))
-    return T.interval_join(purchases, views, ["user_id"]).select("event_id", "r_event_id")
+    return IV.interval_join(purchases, views, ["user_id"]).select("event_id", "r_event_id")
 
 
 @query("SELECT 'ORDER/' || o_orderkey AS o, band FROM orders JOIN (SELECT 'PART/' || p_partkey AS band, p_retailprice * 100 AS low, p_retailprice * 100 + 500 AS high FROM part) ON o_totalprice BETWEEN low AND high")
@@ -546,7 +548,108 @@ def range_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     g = graph(spark, sf_dir)
     bands = g.entities["PART"].select(F.col("id").alias("band"), (F.col("retailprice") * 100).alias("low"), (F.col("retailprice") * 100 + 500).alias("high"))
     orders = g.entities["ORDER"].select(F.col("id").alias("o"), "totalprice")
-    return T.range_join(orders, bands, "totalprice", "low", "high", width=1000.0).select("o", "band")
+    return IV.range_join(orders, bands, "totalprice", "low", "high").select("o", "band")
+
+
+# ------------------------------------------------------------------ valid time and intervals
+
+_SPOKEN = """WITH ev AS (
+  SELECT 'USER/' || user_id AS edge_id, event_id * 7919 % 100003 AS commit_seq, event_id AS event_ord, CASE WHEN event_type = 'error' THEN 'retract' ELSE 'assert' END AS op, ts AS f,
+         CASE WHEN event_id % 4 > 0 THEN ts + to_hours((event_id % 300)::INT) ELSE TIMESTAMP '9999-12-31 23:59:59.999999' END AS t FROM events),
+ok AS (SELECT * FROM ev WHERE f < t) """
+
+
+def _spoken(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What events say of their users, for some hours or for good; commits come in another order than the times that they speak of."""
+    e = spark.read.parquet(f"{sf_dir}/events.parquet")
+    return e.select(
+        F.concat(F.lit("USER/"), F.col("user_id").cast("string")).alias("edge_id"), (F.col("event_id") * 7919 % 100003).alias("commit_seq"), F.col("event_id").alias("event_ord"),
+        F.when(F.col("event_type") == "error", "retract").otherwise("assert").alias("op"), F.col("ts").alias("valid_from"),
+        F.when(F.col("event_id") % 4 > 0, F.expr("ts + make_dt_interval(0, event_id % 300)")).alias("valid_to"),
+    )
+
+
+@query(_SPOKEN + """, points AS (SELECT edge_id, f AS p FROM ok UNION SELECT edge_id, t FROM ok),
+seg AS (SELECT edge_id, p, lead(p) OVER (PARTITION BY edge_id ORDER BY p) AS q FROM points),
+top AS (SELECT s.edge_id, s.p, s.q, arg_max(e.event_ord, {'c': e.commit_seq, 'o': e.event_ord}) AS event_ord, arg_max(e.op, {'c': e.commit_seq, 'o': e.event_ord}) AS op
+        FROM seg s JOIN ok e ON e.edge_id = s.edge_id AND e.f <= s.p AND e.t > s.p WHERE s.q IS NOT NULL GROUP BY ALL),
+new AS (SELECT *, coalesce(lag(event_ord) OVER w <> event_ord OR lag(q) OVER w <> p, true)::INT AS new FROM top WINDOW w AS (PARTITION BY edge_id ORDER BY p)),
+runs AS (SELECT *, sum(new) OVER (PARTITION BY edge_id ORDER BY p) AS run FROM new)
+SELECT edge_id, event_ord, min(p) AS holds_from, CASE WHEN max(q) < TIMESTAMP '9999-12-31' THEN max(q) END AS holds_to FROM runs WHERE op = 'assert' GROUP BY edge_id, run, event_ord""")
+def timeline_pieces(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Each user's valid time in disjoint pieces; users with more than 32 events are dealt by time."""
+    return TL.timeline(_spoken(spark, sf_dir), most=32).select("edge_id", "event_ord", "holds_from", "holds_to")
+
+
+@query(_SPOKEN + """, asks AS (SELECT event_id, 'USER/' || user_id AS edge_id, ts + INTERVAL 36 HOURS AS "at" FROM events WHERE event_type = 'purchase')
+SELECT event_id, "at", arg_max(e.event_ord, {'c': e.commit_seq, 'o': e.event_ord}) AS decided, arg_max(e.op, {'c': e.commit_seq, 'o': e.event_ord}) AS op, count(*) AS spoken
+FROM asks a JOIN ok e ON e.edge_id = a.edge_id AND e.f <= a."at" AND e.t > a."at" GROUP BY 1, 2""")
+def timeline_asked(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What decides about each buyer a day and a half after the purchase, of how many events that speak of that time."""
+    e = spark.read.parquet(f"{sf_dir}/events.parquet").where("event_type = 'purchase'")
+    asks = e.select("event_id", F.concat(F.lit("USER/"), F.col("user_id").cast("string")).alias("edge_id"), F.expr("ts + INTERVAL 36 HOURS").alias("at"))
+    return TL.asked(_spoken(spark, sf_dir), asks, "at").select("event_id", "at", F.col("decided.event_ord").alias("decided"), F.col("decided.op").alias("op"), "spoken")
+
+
+_CORRECTED = _EVENTS.split("ev AS (")[0] + """said AS (
+  SELECT edge_id, commit_seq, 'assert' AS op, valid_from AS f, valid_from + to_days(quantity) AS t, quantity FROM lines
+  UNION ALL SELECT edge_id, commit_seq + 1000000, 'assert', valid_from - INTERVAL 400 DAYS, valid_from - INTERVAL 200 DAYS, quantity + 100 FROM lines WHERE quantity % 2 = 0
+  UNION ALL SELECT edge_id, commit_seq + 2000000, 'assert', valid_from + INTERVAL 5 DAYS, NULL, quantity + 200 FROM lines WHERE quantity % 3 = 0
+  UNION ALL SELECT edge_id, commit_seq + 3000000, 'retract', valid_from + INTERVAL 9 DAYS, valid_from + INTERVAL 20 DAYS, quantity FROM lines WHERE l_returnflag = 'R') """
+
+
+def _corrected(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Lines that hold for as many days as their quantity, then commits that speak of earlier times, of all later ones, or take back some days."""
+    log = edge_events(spark, sf_dir)
+    lines = log.where("op = 'assert'").withColumn("valid_to", F.expr("valid_from + make_dt_interval(quantity)"))
+    returned = log.where("op = 'retract'").select("edge_id").distinct()
+
+    def later(rows: DataFrame, commits: int, start: int, end: int | None, more: int, op: str = "assert") -> DataFrame:
+        to = F.expr(f"valid_from + make_dt_interval({end})") if end is not None else F.lit(None).cast("timestamp_ntz")
+        marks = {"commit_seq": F.col("commit_seq") + commits, "valid_to": to, "valid_from": F.expr(f"valid_from + make_dt_interval({start})"), "quantity": F.col("quantity") + more, "op": F.lit(op)}
+        return rows.withColumns(marks)
+
+    back, on = later(lines.where("quantity % 2 = 0"), 1_000_000, -400, -200, 100), later(lines.where("quantity % 3 = 0"), 2_000_000, 5, None, 200)
+    return lines.unionByName(back).unionByName(on).unionByName(later(lines.join(returned, "edge_id", "left_semi"), 3_000_000, 9, 20, 0, "retract"))
+
+
+@query(_CORRECTED + """SELECT edge_id, quantity FROM (SELECT *, row_number() OVER (PARTITION BY edge_id ORDER BY commit_seq DESC) AS k FROM said
+WHERE f <= TIMESTAMP '1999-06-30' AND (t IS NULL OR t > TIMESTAMP '1999-06-30')) WHERE k = 1 AND op = 'assert'""")
+def state_corrected(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The state at a time that earlier and later commits speak of, when not all of them speak of it."""
+    return T.state(_corrected(spark, sf_dir), valid_time="1999-06-30").select("edge_id", "quantity")
+
+
+@query(_CORRECTED + """SELECT edge_id, quantity FROM (SELECT *, row_number() OVER (PARTITION BY edge_id ORDER BY commit_seq DESC) AS k FROM said
+WHERE commit_seq < 2000000 AND f <= TIMESTAMP '1998-12-01' AND (t IS NULL OR t > TIMESTAMP '1998-12-01')) WHERE k = 1 AND op = 'assert'""")
+def state_corrected_asof(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What was known of a time before the later corrections came, read off the pieces."""
+    at = F.lit("1998-12-01").cast("timestamp_ntz")
+    pieces = TL.timeline(_corrected(spark, sf_dir), commit_seq=1_999_999)
+    return pieces.where((F.col("holds_from") <= at) & (F.col("holds_to").isNull() | (F.col("holds_to") > at))).select("edge_id", "quantity")
+
+
+@query("""WITH p AS (SELECT event_id, user_id, ts AS f, CASE WHEN event_id % 2 = 0 THEN ts + INTERVAL 12 HOURS END AS t FROM events WHERE event_type = 'purchase'),
+v AS (SELECT event_id, user_id, ts AS f, CASE WHEN event_id % 2 = 0 THEN ts + to_hours((event_id % 90)::INT) END AS t FROM events WHERE event_type = 'view' UNION ALL SELECT -1, min(user_id), TIMESTAMP '1990-01-01', NULL FROM events)
+SELECT p.event_id AS event_id, v.event_id AS r_event_id FROM p JOIN v ON p.user_id = v.user_id AND (v.t IS NULL OR p.f < v.t) AND (p.t IS NULL OR v.f < p.t) AND (v.t IS NULL OR v.f < v.t)""")
+def interval_join_open(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Half of the purchases and views have no end, and one view spans everything."""
+    e = spark.read.parquet(f"{sf_dir}/events.parquet").select("event_id", "user_id", "event_type", F.col("ts").alias("valid_from"))
+    even = F.col("event_id") % 2 == 0
+    purchases = e.where("event_type = 'purchase'").withColumn("valid_to", F.when(even, F.expr("valid_from + INTERVAL 12 HOURS")))
+    views = e.where("event_type = 'view'").withColumn("valid_to", F.when(even, F.expr("valid_from + make_dt_interval(0, event_id % 90)")))
+    whole = e.agg(F.lit(-1).cast("long").alias("event_id"), F.min("user_id").alias("user_id"), F.lit("view").alias("event_type"), F.lit("1990-01-01").cast("timestamp_ntz").alias("valid_from"), F.lit(None).cast("timestamp_ntz").alias("valid_to"))
+    return IV.interval_join(purchases, views.unionByName(whole), ["user_id"]).select("event_id", "r_event_id")
+
+
+@query("""SELECT 'ORDER/' || o_orderkey AS o, band FROM orders JOIN (SELECT 'PART/' || p_partkey AS band, p_retailprice * 100 AS low, CASE WHEN p_partkey = 1 THEN 1e12 ELSE p_retailprice * 100 + p_partkey % 7 END AS high FROM part) ON o_totalprice BETWEEN low AND high""")
+def range_join_wide(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Orders in bands of prices of which most are narrow and one has almost no end."""
+    g = graph(spark, sf_dir)
+    low = F.col("retailprice") * 100
+    bands = g.entities["PART"].select(F.col("id").alias("band"), low.alias("low"), F.when(F.col("partkey") == 1, F.lit(1e12)).otherwise(low + F.col("partkey") % 7).alias("high"))
+    orders = g.entities["ORDER"].select(F.col("id").alias("o"), "totalprice")
+    return IV.range_join(orders, bands, "totalprice", "low", "high").select("o", "band")
 
 
 # ------------------------------------------------------------------ writes
