@@ -21,7 +21,7 @@ from tidegraph.plans.structured import Aggregate, Compare, DateTime, Request, ru
 from tidegraph.shared import materialise, new_folder
 from tidegraph.sources import ndjson, rdf, results
 from tidegraph.sources.star import Graph, edge_events, graph
-from tidegraph.streaming import imports
+from tidegraph.streaming import imports, state
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -811,11 +811,13 @@ def observe_merge(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query(_EVENTS.replace("FROM ev)", "FROM ev WHERE commit_seq <= 120)") + "SELECT 'eventual' AS consistency, count(*) AS edges FROM cur UNION ALL SELECT 'strong', count(*) FROM (SELECT edge_id, arg_max(op, commit_seq) AS op FROM ev GROUP BY 1) WHERE op = 'assert'")
 def read_consistency(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """An eventual read sees what is published, up to commit 120; a strong one all commits."""
+    """A stream has folded the commits up to 120: an eventual read sees these, a strong one all commits of the log."""
+    source, target, checkpoint = (new_folder(spark, n) for n in ("log", "state", "stream"))
     log = edge_events(spark, sf_dir)
-    head = log.agg(F.max("commit_seq")).first()[0]
-    counts = [(c, T.state(log, commit_seq=imports.read_seq(head, 120, consistency=c)).count()) for c in ("eventual", "strong")]
-    return spark.createDataFrame(counts, "consistency string, edges long")
+    log.where("commit_seq <= 120").write.parquet(source)
+    imports.start_fold(spark.readStream.schema(log.schema).parquet(source), target, checkpoint).awaitTermination()
+    reads = [imports.read_state(log, target, consistency=c, min_indexed_seq=imports.published(spark, target)).agg(F.lit(c).alias("consistency"), F.count("*").alias("edges")) for c in ("eventual", "strong")]
+    return reads[0].unionByName(reads[1])
 
 
 @query(_EVENTS + "SELECT edge_id, src, dst FROM cur")
@@ -923,6 +925,7 @@ def stream_fold(spark: SparkSession, sf_dir: str) -> DataFrame:
     for part in ("assert", "retract"):
         log.where(F.col("op") == part).write.mode("append").parquet(source)
         imports.start_fold(spark.readStream.schema(log.schema).parquet(source), target, checkpoint).awaitTermination()
+        imports.compact_folded(spark, target)
     return imports.folded(spark, target).select("edge_id", "src", "dst", "commit_seq")
 
 
@@ -1099,6 +1102,47 @@ def stream_unique_signals(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.parquet(target).select("seq")
 
 
+_SENT = """WITH cuts AS (SELECT max(event_id) // 3 AS third FROM events),
+first AS (SELECT event_id AS seq, ts, CASE WHEN event_id % 50 = 7 THEN 2 ELSE least(event_id // third, 2) END AS batch FROM events, cuts),
+sent AS (SELECT * FROM first UNION ALL SELECT * FROM first WHERE seq % 10 = 3 UNION ALL SELECT seq, ts, 2 FROM first WHERE seq % 100 = 1 AND batch < 2),
+mark AS (SELECT max(ts) FILTER (batch < 1) AS one, max(ts) FILTER (batch < 2) AS two FROM sent),
+told AS (SELECT *, row_number() OVER (PARTITION BY seq ORDER BY batch) AS k, CASE batch WHEN 0 THEN NULL WHEN 1 THEN one - INTERVAL 10 DAYS ELSE two - INTERVAL 10 DAYS END AS behind, min(batch) OVER (PARTITION BY seq) AS met FROM sent, mark) """
+
+
+@query(_SENT + """SELECT seq, CASE WHEN k = 1 THEN CASE WHEN behind IS NULL OR ts >= behind THEN 'kept' ELSE 'late' END
+WHEN batch = met OR ts >= behind THEN 'repeated' WHEN date_trunc('millisecond', ts) + INTERVAL 10 DAYS <= behind THEN 'late' ELSE 'repeated' END AS verdict, count(*) AS n FROM told GROUP BY 1, 2""")
+def stream_sightings(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Signals in three batches, some of them delayed to the last one, some sent twice at once, some again much later: each row has its verdict."""
+    source, target, checkpoint = (new_folder(spark, n) for n in ("signals", "judged", "stream"))
+    feed = _feed(spark, sf_dir).select("seq", "ts")
+    third = feed.agg(F.max("seq")).first()[0] // 3
+    first = feed.withColumn("batch", F.when(F.col("seq") % 50 == 7, 2).otherwise(F.least(F.expr(f"seq div {third}"), F.lit(2))))
+    again = first.where("seq % 100 = 1 AND batch < 2").withColumn("batch", F.lit(2))
+    sent = first.unionByName(first.where("seq % 10 = 3")).unionByName(again)
+    for number in range(3):
+        sent.where(F.col("batch") == number).drop("batch").write.mode("append").parquet(source)
+        stream = spark.readStream.schema(feed.schema).option("maxFileAge", imports.ANY_AGE).parquet(source)
+        state.start_sightings(stream, target, checkpoint, delay_seconds=10 * 86_400).awaitTermination()
+    return state.judged(spark, target).groupBy("seq", "verdict").agg(F.count("*").alias("n"))
+
+
+@query(_SPOKEN + """, sent AS (SELECT edge_id, commit_seq, event_ord, event_ord % 3 AS batch, 0 AS other FROM ev UNION ALL SELECT edge_id, commit_seq, event_ord, 2, (event_ord % 2)::INT FROM ev WHERE event_ord % 20 = 2 OR event_ord % 20 = 5),
+best AS (SELECT edge_id, batch, max({'c': commit_seq, 'o': event_ord}) AS top FROM sent GROUP BY 1, 2),
+judged AS (SELECT s.*, (SELECT max(b.top) FROM best b WHERE b.edge_id = s.edge_id AND b.batch < s.batch) AS before, row_number() OVER (PARTITION BY s.edge_id, s.commit_seq, s.event_ord, s.batch ORDER BY s.other) AS k FROM sent s)
+SELECT edge_id, CASE WHEN k = 1 AND (before IS NULL OR {'c': commit_seq, 'o': event_ord} > before) THEN 'applied' WHEN {'c': commit_seq, 'o': event_ord} < coalesce(before, {'c': commit_seq, 'o': event_ord}) THEN 'late' ELSE 'again' END AS verdict, count(*) AS n FROM judged GROUP BY 1, 2""")
+def stream_ledger(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Events of edges in three batches that are not in the order of commits, some sent again as they were or with other content."""
+    source, target, checkpoint = (new_folder(spark, n) for n in ("events", "judged", "stream"))
+    log = _spoken(spark, sf_dir).withColumn("batch", F.col("event_ord") % 3)
+    again = log.where("event_ord % 20 IN (2, 5)").withColumns({"batch": F.lit(2).cast("long"), "op": F.when(F.col("event_ord") % 2 == 1, F.lit("other")).otherwise(F.col("op"))})
+    for number in range(3):
+        log.unionByName(again).where(F.col("batch") == number).drop("batch").write.mode("append").parquet(source)
+        stream = spark.readStream.schema(log.drop("batch").schema).option("maxFileAge", imports.ANY_AGE).parquet(source)
+        state.start_ledger(stream, target, checkpoint).awaitTermination()
+    verdict = F.when(F.col("verdict").isin("repeated", "refused"), "again").otherwise(F.col("verdict")).alias("verdict")
+    return state.judged(spark, target).groupBy("edge_id", verdict).agg(F.count("*").alias("n"))
+
+
 @query("SELECT event_type AS kind, count(*) AS accepted, CASE WHEN event_type IN ('error', 'signup') THEN 0 ELSE count(*) END AS trainable FROM events GROUP BY event_type")
 def ingest_signals(spark: SparkSession, sf_dir: str) -> DataFrame:
     feed = _feed(spark, sf_dir)

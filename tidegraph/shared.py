@@ -44,7 +44,8 @@ def materialise(df: DataFrame, name: str, **options: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
-def _delete(spark: SparkSession, paths: list[str]) -> None:
+def delete(spark: SparkSession, paths: list[str]) -> None:
+    """Deletes files and folders, whatever kind of store they are in."""
     jvm, conf = spark.sparkContext._jvm, spark.sparkContext._jsc.hadoopConfiguration()
     for name in paths:
         path = jvm.org.apache.hadoop.fs.Path(name)
@@ -58,11 +59,19 @@ def settled(spark: SparkSession, name: str, build: Callable[[], DataFrame]) -> D
     df.write.parquet(path)
     on_the_way = _written[mark:]
     del _written[mark:]
-    _delete(spark, on_the_way)
+    delete(spark, on_the_way)
     return spark.read.schema(df.schema).parquet(path)
 
 
 def forget(spark: SparkSession) -> None:
     """Delete what materialise() wrote; results read from it can't be read afterwards."""
-    _delete(spark, _written)
+    delete(spark, _written)
     _written.clear()
+
+
+def folders(spark: SparkSession, path: str) -> list[str]:
+    """Names of what lies in a folder of the shared store, whatever kind of store it is; none if there is no folder."""
+    jvm, conf = spark.sparkContext._jvm, spark.sparkContext._jsc.hadoopConfiguration()
+    where = jvm.org.apache.hadoop.fs.Path(path)
+    store = where.getFileSystem(conf)
+    return sorted(x.getPath().getName() for x in store.listStatus(where)) if store.exists(where) else []

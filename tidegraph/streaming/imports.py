@@ -9,8 +9,13 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
-from tidegraph.operators.temporal import last_events
+from tidegraph.operators.temporal import fold, last_events
+from tidegraph.shared import delete, folders
 from tidegraph.sources import ndjson
+from tidegraph.streaming.state import in_rocksdb
+
+#: Files count however old they are; Spark would pass over those that are a week older than the newest.
+ANY_AGE = "36500d"
 
 #: What an import writes, each in a folder of its own with a folder for every batch.
 FAMILIES = {"edges": ndjson.triplets, "entities": ndjson.entities, "rejected": ndjson.rejected}
@@ -35,7 +40,7 @@ def start_import(spark: SparkSession, source: str, target: str, checkpoint: str,
     entity, and keeps nothing of its batch. observed_at is a time in ISO form;
     without it, the time of the import.
     """
-    lines = spark.readStream.schema(ndjson.SCHEMA).option("maxFilesPerTrigger", files_per_trigger).option("mode", "FAILFAST" if strict else "PERMISSIVE").json(source)
+    lines = spark.readStream.schema(ndjson.SCHEMA).option("maxFilesPerTrigger", files_per_trigger).option("maxFileAge", ANY_AGE).option("mode", "FAILFAST" if strict else "PERMISSIVE").json(source)
     at = F.lit(observed_at).cast("timestamp") if observed_at else F.current_timestamp()
 
     def write(batch: DataFrame, number: int) -> None:
@@ -92,23 +97,81 @@ def cancel(job: ImportJob) -> None:
 def start_fold(events: DataFrame, target: str, checkpoint: str) -> StreamingQuery:
     """Keeps the state of a stream of events: each batch writes the last event of the edges that it changed.
 
-    The last events live in the stream's own state store, so a batch costs
-    what changed and not what there is. folded() reads the state.
+    The last events live in the stream's own state store, in RocksDB, so a
+    batch costs what changed and not what there is. Each batch also says up to
+    which commit the state has come. folded() reads the state.
     """
+    in_rocksdb(events.sparkSession)
 
     def write(batch: DataFrame, number: int) -> None:
-        batch.write.mode("overwrite").parquet(f"{target}/batch={number}")
+        path = f"{target}/batch={number}"
+        batch.write.mode("overwrite").parquet(path)
+        batch.sparkSession.read.parquet(path).agg(F.max("commit_seq").alias("commit_seq")).write.mode("overwrite").parquet(f"{target}/published/batch={number}")
 
     return last_events(events).writeStream.outputMode("update").foreachBatch(write).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
 
 
+def _generations(spark: SparkSession, target: str) -> tuple[list[int], list[int]]:
+    """The numbers of the compactions and of the batches that are written completely."""
+    names = [n.split("=") for n in folders(spark, target) if n.startswith(("upto=", "batch="))]
+    whole = [(kind, int(n)) for kind, n in names if "_SUCCESS" in folders(spark, f"{target}/{kind}={n}")]
+    return sorted(n for kind, n in whole if kind == "upto"), sorted(n for kind, n in whole if kind == "batch")
+
+
+def _paths(spark: SparkSession, target: str) -> list[str]:
+    compacted, batches = _generations(spark, target)
+    upto = compacted[-1] if compacted else -1
+    return [f"{target}/upto={upto}"] * bool(compacted) + [f"{target}/batch={n}" for n in batches if n > upto]
+
+
 def folded(spark: SparkSession, target: str) -> DataFrame:
-    """The state that start_fold() has kept: of each edge the last event, if that is an assertion."""
-    return last_events(spark.read.parquet(target).drop("batch")).where("op = 'assert'")
+    """The state that start_fold() has kept: of each edge the last event, if that is an assertion.
+
+    Reads the last compaction and the batches after it.
+    """
+    return last_events(spark.read.parquet(*_paths(spark, target))).where("op = 'assert'")
+
+
+def compact_folded(spark: SparkSession, target: str) -> int:
+    """Writes the last event of every edge so far as one generation, and gives its number.
+
+    What the generation before this one had replaced is deleted; so a reader
+    that has listed files just before still finds them.
+    """
+    compacted, batches = _generations(spark, target)
+    before, last = compacted[-1] if compacted else -1, batches[-1]
+    if last > before:
+        last_events(spark.read.parquet(*_paths(spark, target))).repartitionByRange("edge_id").write.mode("overwrite").parquet(f"{target}/upto={last}")
+        delete(spark, [f"{target}/batch={n}" for n in batches if n <= before] + [f"{target}/upto={n}" for n in compacted[:-1]])
+    return last
+
+
+def published(spark: SparkSession, target: str) -> int:
+    """The commit up to which the state of start_fold() has come; 0 before the first batch."""
+    if not folders(spark, f"{target}/published"):
+        return 0
+    return spark.read.parquet(f"{target}/published").agg(F.max("commit_seq")).first()[0] or 0
+
+
+def read_state(log: DataFrame, target: str, *, consistency: str = "eventual", min_indexed_seq: int | None = None) -> DataFrame:
+    """The state as published by start_fold(), or with all commits of the log if consistency is strong.
+
+    Raises if what is read does not reach the floor min_indexed_seq.
+    """
+    spark = log.sparkSession
+    if consistency == "strong":
+        read_seq(log.agg(F.max("commit_seq")).first()[0] or 0, 0, consistency=consistency, min_indexed_seq=min_indexed_seq)
+        return fold(log)
+    read_seq(0, published(spark, target), consistency=consistency, min_indexed_seq=min_indexed_seq)
+    return folded(spark, target)
 
 
 def unique_signals(stream: DataFrame, delay: str = "1 hour") -> DataFrame:
-    """Signals without replays: the state of a seq is kept for the watermark's delay only."""
+    """Signals without replays: the state of a seq is kept for the watermark's delay only.
+
+    Rows behind the watermark are dropped, first sightings too;
+    state.start_sightings() keeps these apart.
+    """
     return stream.withWatermark("ts", delay).dropDuplicatesWithinWatermark(["seq"])
 
 
