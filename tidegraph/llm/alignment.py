@@ -44,7 +44,7 @@ class Sides:
 
     def __init__(self, a_path: str, b_path: str):
         self.a, self.b = ByteLevel(a_path, True), Pieces(b_path)
-        self.lengths = [self._lengths(self.a.bytes), self._lengths(self.b.bytes)]
+        self.lengths = [self._lengths(self.a.bytes), self._lengths(dict(enumerate(self.b.bytes)))]
 
     @staticmethod
     def _lengths(of: dict[int, bytes]) -> np.ndarray:
@@ -55,11 +55,10 @@ class Sides:
     def read(self, text: str) -> list[np.ndarray] | None:
         """The ids of both, or None if either's bytes are not those of a space and the text."""
         data = f" {text}".encode()
-        found = [self.a.ids(f" {text}"), self.b.ids(text)]
-        for side, ids in zip((self.a, self.b), found, strict=True):
-            if b"".join(map(side.bytes.__getitem__, ids.tolist())) != data:
-                return None
-        return found
+        a, b = self.a.ids(f" {text}"), self.b.list(text)
+        # a byte-level reading of Latin text is the text's bytes cut up, so their number tells
+        same = int(self.lengths[0][a].sum()) == len(data) if self.a.reads_bytes(text) else b"".join(map(self.a.bytes.__getitem__, a.tolist())) == data
+        return [a, np.array(b, np.uint32)] if same and b"".join(map(self.b.bytes.__getitem__, b)) == data else None
 
 
 def sides(a_path: str, b_path: str) -> Sides:

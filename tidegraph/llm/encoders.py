@@ -82,8 +82,12 @@ class ByteLevel:
         found = [self._ids(x) for x in cut(text)] if self.safe and len(text) > PIECE else [self._ids(text)]
         return found[0] if len(found) == 1 else np.concatenate(found)
 
+    def reads_bytes(self, text: str) -> bool:
+        """Whether the faster library reads it, of which each id is a run of the text's bytes."""
+        return self.fast is not None and not _LATIN.search(text)
+
     def _ids(self, text: str) -> np.ndarray:
-        if self.fast and not _LATIN.search(text):
+        if self.reads_bytes(text):
             return self.fast(text, allowed_special=self.allowed, disallowed_special=())
         return np.array(self.model.encode(text, add_special_tokens=False).ids, np.uint32)
 
@@ -97,14 +101,17 @@ class Pieces:
         self.model = sentencepiece.SentencePieceProcessor(model_file=path)
         names = [self.model.id_to_piece(i) for i in range(self.model.vocab_size())]
         self.safe = not any("▁" in n.lstrip("▁") for n in names) and self.model.encode("x", out_type=str)[0][:1] == "▁"
-        self.bytes = {i: bytes([int(n[3:5], 16)]) if self.model.is_byte(i) else n.replace("▁", " ").encode() for i, n in enumerate(names)}
+        self.bytes = [bytes([int(n[3:5], 16)]) if self.model.is_byte(i) else n.replace("▁", " ").encode() for i, n in enumerate(names)]
 
-    def ids(self, text: str) -> np.ndarray:
+    def list(self, text: str) -> list[int]:
         if not self.safe or len(text) <= PIECE:
-            return np.array(self.model.encode(text, num_threads=1), np.uint32)
+            return self.model.encode(text, num_threads=1)
         # a later piece begins with the space that the model adds
         first, *others = cut(text)
-        return np.concatenate([np.array(self.model.encode(x, num_threads=1), np.uint32) for x in (first, *(o[1:] for o in others))])
+        return [i for x in (first, *(o[1:] for o in others)) for i in self.model.encode(x, num_threads=1)]
+
+    def ids(self, text: str) -> np.ndarray:
+        return np.array(self.list(text), np.uint32)
 
 
 def byte_level(path: str, *, plain_specials: bool) -> ByteLevel:
