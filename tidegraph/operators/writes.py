@@ -10,10 +10,11 @@ from collections.abc import Sequence
 from dataclasses import dataclass
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidegraph.operators.temporal import last_events
+from tidegraph.shared import folders, materialise
 
 EVENT_COLUMNS = ["edge_id", "src", "relation", "dst", "commit_seq", "valid_from", "op", "event_ord", "quantity"]
 
@@ -34,21 +35,25 @@ class Ack:
     idempotent_replay: bool
 
 
-def commit(events: DataFrame, log: DataFrame, path: str, *, key: Sequence[str] = ("edge_id", "commit_seq", "op"), skip_unchanged: bool = False) -> Ack:
+#: What names an event: an edge may have several in one commit, in an order.
+EVENT_KEY = ("edge_id", "commit_seq", "event_ord")
+
+
+def commit(events: DataFrame, log: DataFrame, path: str, *, key: Sequence[str] = EVENT_KEY, skip_unchanged: bool = False) -> Ack:
     """Appends the events that the log lacks to path, and says what was done.
 
     With skip_unchanged, assertions of edges that the log's state has with the
-    same content are left out. An event of a known key with other content
-    raises, since a key is bound to its content.
+    same content are left out. A key is bound to its content: one that comes
+    with another than the log's, or with two contents at once, raises.
     """
     if not conflicts(events, log, key).isEmpty():
-        raise ValueError("a key of the log comes again with other content")
+        raise ValueError("a key comes with more than one content")
     # what the log has is read before anything is appended, since path may be the log
     fresh = new_events(events, log, key)
     wanted = skip_current(fresh, log) if skip_unchanged else fresh
     wanted = wanted.persist()
     try:
-        given, lacking, appended = events.dropDuplicates(list(key)).count(), fresh.count(), wanted.count()
+        given, lacking, appended = events.distinct().count(), fresh.count(), wanted.count()
         head = max(x or 0 for x in (log.agg(F.max("commit_seq")).first()[0], wanted.agg(F.max("commit_seq")).first()[0]))
         if appended:
             append(wanted, path)
@@ -120,17 +125,81 @@ def branch(trunk: DataFrame, own: DataFrame, fork_seq: int | Column) -> DataFram
 
 
 def merge(trunk: DataFrame, own: DataFrame, fork_seq: int | Column, commit_seq: int | Column, *, rules: DataFrame | None = None) -> DataFrame:
-    """The branch's commits since the fork as one commit on the parent: the last event of each edge.
+    """The branch's commits since the fork as one commit on a parent that stood still: the last event of each edge.
 
     With rules, edges that the ontology does not allow raise before anything
-    is merged.
+    is merged. A parent that went on needs merge_three_way().
     """
     replayed = last_events(own.where(F.col("commit_seq") > fork_seq))
+    if isinstance(commit_seq, int) and (trunk.agg(F.max("commit_seq")).first()[0] or 0) >= commit_seq:
+        raise ValueError(f"the parent's head is at commit {commit_seq} or later")
     if rules is not None and not violations(replayed, rules).isEmpty():
         raise ValueError("the branch has edges that the ontology does not allow")
     return trunk.unionByName(replayed.withColumns({"commit_seq": F.lit(commit_seq).cast("long"), "event_ord": F.lit(0)}).select(*trunk.columns))
 
 
+@dataclass(frozen=True)
+class Merge:
+    """The one commit that a merge adds to the parent, how many edges were changed how, and the edges in conflict with what base, parent and branch say of them (null: no such edge)."""
+
+    events: DataFrame
+    counts: dict[str, int]
+    conflicts: DataFrame
+
+
+def merge_three_way(trunk: DataFrame, own: DataFrame, fork_seq: int, *, rules: DataFrame | None = None, prefer: str | None = None) -> Merge:
+    """Merges a branch into a parent that may have gone on since the fork.
+
+    Per edge, the states at the fork, of the parent and of the branch are held
+    against one another, all from one aggregation of both logs. What only the
+    branch changed is clean and goes in; what both changed alike is equal and
+    needs nothing; what both changed differently is a conflict, and stays as
+    the parent has it unless prefer is branch. The commit is the parent's
+    head + 1. With rules, edges that they do not allow, and sources with more
+    edges of a relation in the merged state than max_count, raise. Content is
+    all columns but commit_seq, event_ord and op.
+    """
+    if prefer not in (None, "parent", "branch"):
+        raise ValueError(f"no side {prefer}")
+    others = [c for c in trunk.columns if c not in ("edge_id", "commit_seq", "event_ord")]
+    row = F.struct("commit_seq", "event_ord", *others)
+    both = trunk.withColumn("_own", F.lit(False)).unionByName(own.where(F.col("commit_seq") > fork_seq).withColumn("_own", F.lit(True)))
+    at_fork = F.col("commit_seq") <= fork_seq
+    last = both.groupBy("edge_id").agg(
+        F.max(F.when(~F.col("_own") & at_fork, row)).alias("_b"), F.max(F.when(~F.col("_own"), row)).alias("_p"), F.max(F.when(F.col("_own") | at_fork, row)).alias("_o")
+    )
+    contents = [c for c in others if c != "op"]
+    told = lambda e: F.when(F.col(f"{e}.op") == "assert", F.struct(*(F.col(f"{e}.{c}").alias(c) for c in contents)))
+    sides = last.select("edge_id", "_o", told("_b").alias("base"), told("_p").alias("parent"), told("_o").alias("branch"))
+    moved = lambda side: ~F.col(side).eqNullSafe(F.col("base"))
+    change = F.when(~moved("branch"), F.when(moved("parent"), "parent only").otherwise("unchanged")).when(~moved("parent"), "clean").when(F.col("branch").eqNullSafe(F.col("parent")), "equal").otherwise("conflict")
+    # written once; counts, conflicts, checks and events all read it
+    sides = materialise(sides.withColumn("change", change).where("change <> 'unchanged'"), "merge")
+    counts = {"clean": 0, "equal": 0, "conflict": 0, "parent only": 0} | {r["change"]: r["n"] for r in sides.groupBy("change").agg(F.count("*").alias("n")).collect()}
+    head = trunk.agg(F.max("commit_seq")).first()[0] or 0
+    wanted = sides.where(F.col("change").isin(["clean", "conflict"] if prefer == "branch" else ["clean"]))
+    marks = {"commit_seq": F.lit(head + 1).cast("long"), "event_ord": F.lit(0).cast(trunk.schema["event_ord"].dataType)}
+    # an edge that the branch lacks is retracted, with what its last event said
+    events = wanted.select("edge_id", *(F.col(f"_o.{c}").alias(c) for c in others)).withColumns(marks | {"op": F.when(F.col("op") == "assert", "assert").otherwise("retract")}).select(*trunk.columns)
+    if rules is not None:
+        if not violations(events, rules).isEmpty():
+            raise ValueError("the branch has edges that the ontology does not allow")
+        if not _too_many(trunk, events, rules).isEmpty():
+            raise ValueError("after the merge a source has more edges of a relation than the ontology allows")
+    return Merge(events, counts, sides.where("change = 'conflict'").select("edge_id", "base", "parent", "branch"))
+
+
+def _too_many(log: DataFrame, events: DataFrame, rules: DataFrame) -> DataFrame:
+    """Sources that the events touch which have too many edges of a relation then."""
+    if "max_count" not in rules.columns:
+        return events.limit(0)
+    limits = rules.groupBy("relation").agg(F.max("max_count").alias("max_count")).where("max_count IS NOT NULL")
+    touched = events.select("src", "relation").distinct()
+    near = log.join(touched, ["src", "relation"], "left_semi").select(*events.columns).unionByName(events)
+    found = last_events(near).where("op = 'assert'").groupBy("src", "relation").agg(F.count("*").alias("n"))
+    return found.join(limits, "relation").where("n > max_count")
+
+
 def compact(events: DataFrame, *, horizon: int | None = None) -> DataFrame:
     """The log in the order of its edges, to be written to few files that prune well.
 
@@ -146,23 +215,103 @@ def compact(events: DataFrame, *, horizon: int | None = None) -> DataFrame:
 
 
 def new_events(events: DataFrame, known: DataFrame, key: Sequence[str]) -> DataFrame:
-    """Replay-safe appending: what the log has under the key is left out."""
-    return events.join(known.select(*key).distinct(), list(key), "left_anti").dropDuplicates(list(key))
+    """Replay-safe appending: what the log has under the key is left out, and of equal rows one stays."""
+    return events.join(known.select(*key).distinct(), list(key), "left_anti").distinct()
 
 
 def conflicts(events: DataFrame, known: DataFrame, key: Sequence[str]) -> DataFrame:
-    """Events whose key the log has with other content."""
+    """Events whose key the log has with other content, or the events themselves with two contents."""
     content = [c for c in events.columns if c not in key]
+    sent = events.select(*key, F.struct(*content).alias("_new"))
     old = known.select(*key, F.struct(*content).alias("_old"))
-    return events.select(*key, F.struct(*content).alias("_new")).join(old, list(key)).where(~_same(content, "_new", "_old")).select(*key, "_new.*")
+    against = sent.join(old, list(key)).where(~_same(content, "_new", "_old"))
+    twice = sent.groupBy(*key).agg(F.min("_new").alias("_one"), F.max("_new").alias("_new")).where(~_same(content, "_new", "_one"))
+    return against.unionByName(twice, allowMissingColumns=True).select(*key, "_new.*")
+
 
+def skip_current(events: DataFrame, log: DataFrame, columns: Sequence[str] | None = None) -> DataFrame:
+    """Events without those of edges that they leave as the state has them.
 
-def skip_current(events: DataFrame, log: DataFrame, columns: Sequence[str] = ("src", "relation", "dst", "quantity")) -> DataFrame:
-    """Assertions that would change nothing are left out: the state has the edge with the same columns."""
-    columns = [c for c in columns if c in events.columns]
+    Such an edge's events are all assertions of the one content that the state
+    has in the columns, without the argument in all but commit_seq, event_ord
+    and op. Where an edge is retracted too, or gets several contents, every
+    event counts and stays.
+    """
+    columns = [c for c in columns or events.columns if c in events.columns and c not in ("edge_id", "commit_seq", "event_ord", "op")]
     now = last_events(log).where("op = 'assert'").select("edge_id", F.struct(*columns).alias("_old"))
-    both = events.withColumn("_new", F.struct(*columns)).join(now, "edge_id", "left")
-    return both.where(~((F.col("op") == "assert") & F.col("_old").isNotNull() & _same(columns, "_new", "_old"))).select(*events.columns)
+    own = F.struct(*columns)
+    sent = events.groupBy("edge_id").agg(F.min(own).alias("_least"), F.max(own).alias("_new"), F.max(F.col("op") != "assert").alias("_other"))
+    same = sent.where("NOT _other").join(now, "edge_id").where(_same(columns, "_new", "_old") & _same(columns, "_least", "_old"))
+    return events.join(same.select("edge_id"), "edge_id", "left_anti").select(*events.columns)
+
+
+# ------------------------------------------------------------------ commits that are bound to a key
+
+
+class KeyReused(ValueError):
+    """A commit's key came again with other content."""
+
+
+def digests(events: DataFrame, key: str | None = None) -> DataFrame:
+    """(key, op_count, digest) of commits' events, in whatever order and partitions they come; repeated events count each.
+
+    Each event's SHA-256 is four numbers of 64 bits, and a commit's digest is
+    their sums; so it is one aggregation that combines before the shuffle.
+    """
+    columns = sorted(c for c in events.columns if c != key)
+    told = F.sha2(F.to_json(F.struct(*columns), {"ignoreNullFields": "false"}), 256)
+    number = lambda i: F.conv(F.substring("_d", 1 + 16 * i, 16), 16, 10).cast("decimal(38,0)")
+    rows = events.select(*([key] if key else []), told.alias("_d"))
+    sums = [(F.sum(number(i)) % F.lit(str(1 << 64)).cast("decimal(38,0)")).cast("string") for i in range(4)]
+    grouped = rows.groupBy(key) if key else rows.groupBy()
+    return grouped.agg(F.count("*").alias("op_count"), F.coalesce(F.concat_ws(":", *sums), F.lit("")).alias("digest"))
+
+
+def judge(sent: DataFrame, ledger: DataFrame, key: str = "commit_key") -> DataFrame:
+    """digests() of commits with a verdict each: new, replay (the ledger has the key with this content) or conflict (with another)."""
+    known = ledger.select(key, F.col("digest").alias("_digest"), F.col("op_count").alias("_count"))
+    same = F.col("digest").eqNullSafe(F.col("_digest")) & (F.col("op_count") == F.col("_count"))
+    return sent.join(known, key, "left").withColumn("verdict", F.when(F.col("_count").isNull(), "new").when(same, "replay").otherwise("conflict")).drop("_digest", "_count")
+
+
+LEDGER = "commit_key string, commit_seq long, op_count long, digest string"
+
+
+def ledger(spark: SparkSession, path: str) -> DataFrame:
+    """The commits under path, a row each."""
+    names = folders(spark, f"{path}/ledger")
+    return spark.read.schema(LEDGER).parquet(f"{path}/ledger/*") if names else spark.createDataFrame([], LEDGER)
+
+
+def committed(spark: SparkSession, path: str, schema: str) -> DataFrame:
+    """The events of all commits under path."""
+    known = sorted(r["commit_seq"] for r in ledger(spark, path).select("commit_seq").collect())
+    paths = [f"{path}/events/commit={n}" for n in known]
+    return spark.read.schema(schema).parquet(*paths) if paths else spark.createDataFrame([], schema)
+
+
+def commit_once(events: DataFrame, path: str, commit_key: str) -> Ack:
+    """Adds events (without commit_seq) as the next commit, once for each key.
+
+    The key is looked up in a ledger of a row for each commit, by content: the
+    same again is a replay and adds nothing, another raises KeyReused. The log
+    itself is not read. A commit's events are a folder that its ledger row,
+    written last, makes part of the log; what a failed commit left behind is
+    replaced by the next one. One writer at a time: the second of two that
+    meet fails on the ledger row.
+    """
+    spark = events.sparkSession
+    known, own = ledger(spark, path), digests(events).first()
+    before = known.where(F.col("commit_key") == commit_key).first()
+    if before is not None:
+        if (before["digest"], before["op_count"]) != (own["digest"], own["op_count"]):
+            raise KeyReused(f"key {commit_key} is that of commit {before['commit_seq']}, which has other content")
+        return Ack(before["commit_seq"], 0, 0, True, True)
+    seq = (known.agg(F.max("commit_seq")).first()[0] or 0) + 1
+    events.withColumn("commit_seq", F.lit(seq).cast("long")).write.mode("overwrite").parquet(f"{path}/events/commit={seq}")
+    row = [(commit_key, seq, own["op_count"], own["digest"])]
+    spark.createDataFrame(row, LEDGER).coalesce(1).write.mode("errorifexists").parquet(f"{path}/ledger/commit={seq}")
+    return Ack(seq, own["op_count"], 0, own["op_count"] == 0, False)
 
 
 def _kind(end: str) -> Column:

@@ -794,6 +794,92 @@ def commit_ack(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.createDataFrame([(a.commit_seq, a.op_count, a.skipped_edges, a.no_op, a.idempotent_replay) for a in (first, again)], "commit_seq long, op_count long, skipped_edges long, no_op boolean, idempotent_replay boolean")
 
 
+@query(_EVENTS + """SELECT edge_id, quantity, 3 * (SELECT count(*) FROM lines) - (SELECT count(*) FROM lines WHERE quantity % 2 = 0) AS op_count, true AS replayed FROM lines WHERE quantity % 2 = 1""")
+def commit_ordered(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A commit asserts every line, takes it back and, if its quantity is odd, asserts it again; sent twice, it is there once."""
+    path = new_folder(spark, "log")
+    lines = edge_events(spark, sf_dir).where("op = 'assert'").withColumn("commit_seq", F.lit(1).cast("long"))
+    place = lambda n, op, rows: rows.withColumns({"event_ord": F.lit(n), "op": F.lit(op)})
+    events = place(0, "assert", lines).unionByName(place(1, "retract", lines)).unionByName(place(2, "assert", lines.where("quantity % 2 = 1")))
+    done = WR.commit(events, events.limit(0), path)
+    log = spark.read.parquet(path).select(*events.columns)
+    again = WR.commit(events.repartition(5), log, path)
+    return T.fold(log).select("edge_id", "quantity", F.lit(done.op_count).cast("long").alias("op_count"), F.lit(again.idempotent_replay and again.no_op).alias("replayed"))
+
+
+@query(_EVENTS + """SELECT edge_id, CASE quantity % 6 WHEN 1 THEN 'quantity' WHEN 2 THEN 'valid_from' WHEN 3 THEN 'dst' WHEN 4 THEN 'retracted' ELSE 'repeated' END AS change, CASE quantity % 6 WHEN 4 THEN 2 WHEN 5 THEN 2 ELSE 1 END::BIGINT AS events
+FROM cur WHERE quantity % 6 > 0""")
+def skip_unchanged_all(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The state is sent again with a change in one column or another, retracted and asserted again, or with two contents; only what is wholly unchanged is left out."""
+    log = edge_events(spark, sf_dir)
+    now = T.fold(log).withColumns({"commit_seq": F.lit(1 << 40).cast("long"), "event_ord": F.lit(0), "op": F.lit("assert")}).select(*log.columns)
+    kind = F.col("quantity") % 6
+    changed = now.withColumn("_k", kind).withColumns({
+        "valid_from": F.when(F.col("_k") == 2, F.expr("valid_from + INTERVAL 1 DAY")).otherwise(F.col("valid_from")),
+        "dst": F.when(F.col("_k") == 3, F.lit("PART/none")).otherwise(F.col("dst")),
+        "quantity": F.when(F.col("_k").isin(1, 5), F.col("quantity") + 1).otherwise(F.col("quantity")),
+    }).drop("_k")
+    first = now.where("quantity % 6 = 4").withColumns({"op": F.lit("retract"), "event_ord": F.lit(-1)})
+    second = now.where("quantity % 6 = 5").withColumn("event_ord", F.lit(1))
+    kept = WR.skip_current(changed.unionByName(first).unionByName(second), log).groupBy("edge_id").agg(F.count("*").alias("events"))
+    names = F.get(F.array(*(F.lit(x) for x in ("same", "quantity", "valid_from", "dst", "retracted", "repeated"))), kind)
+    return kept.join(now.select("edge_id", names.alias("change")), "edge_id").select("edge_id", "change", "events")
+
+
+@query(_EVENTS + """, seqs AS (SELECT DISTINCT commit_seq FROM ev)
+SELECT 'key-' || commit_seq AS commit_key, CASE WHEN commit_seq % 4 = 0 THEN 'new' WHEN commit_seq % 4 = 1 THEN 'replay' ELSE 'conflict' END AS verdict, (SELECT count(*) FROM ev e WHERE e.commit_seq = s.commit_seq) + (commit_seq % 4 = 3)::BIGINT AS op_count FROM seqs s""")
+def commit_keys(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Three of four commits are in the ledger; all are sent again in other partitions, some with another quantity or with one event twice."""
+    log = edge_events(spark, sf_dir)
+    keyed = log.withColumn("commit_key", F.concat(F.lit("key-"), F.col("commit_seq").cast("string")))
+    known = materialise(WR.digests(keyed.where("commit_seq % 4 > 0"), "commit_key"), "ledger")
+    first = keyed.where("commit_seq % 4 = 3").groupBy("commit_seq").agg(F.min(F.struct(*(c for c in keyed.columns if c != "commit_seq"))).alias("_e")).select("commit_seq", "_e.*")
+    changed = keyed.withColumn("quantity", F.when(F.col("commit_seq") % 4 == 2, F.col("quantity") + 1).otherwise(F.col("quantity")))
+    sent = changed.unionByName(first).repartition(7, "edge_id")
+    return WR.judge(WR.digests(sent, "commit_key"), known).select("commit_key", "verdict", "op_count")
+
+
+_PARTED = _EVENTS + """, own AS (SELECT edge_id, op, quantity + (quantity % 5 = 4)::INT AS quantity FROM cur_all WHERE commit_seq > 100 AND quantity % 3 > 0),
+par AS (SELECT edge_id, op, quantity FROM cur_all WHERE commit_seq > 100 AND quantity % 3 <> 1),
+base AS (SELECT edge_id, op, quantity FROM (SELECT *, row_number() OVER (PARTITION BY edge_id ORDER BY commit_seq DESC, event_ord DESC) AS k FROM ev WHERE commit_seq <= 100) WHERE k = 1 AND op = 'assert'),
+every AS (SELECT edge_id FROM own UNION SELECT edge_id FROM par UNION SELECT edge_id FROM base),
+sides AS (SELECT e.edge_id, b.quantity AS base, CASE WHEN p.edge_id IS NULL THEN b.quantity WHEN p.op = 'assert' THEN p.quantity END AS parent, CASE WHEN o.edge_id IS NULL THEN b.quantity WHEN o.op = 'assert' THEN o.quantity END AS branch
+FROM every e LEFT JOIN base b USING (edge_id) LEFT JOIN par p USING (edge_id) LEFT JOIN own o USING (edge_id)),
+judged AS (SELECT *, CASE WHEN branch IS NOT DISTINCT FROM base THEN CASE WHEN parent IS DISTINCT FROM base THEN 'parent only' ELSE 'unchanged' END WHEN parent IS NOT DISTINCT FROM base THEN 'clean' WHEN parent IS NOT DISTINCT FROM branch THEN 'equal' ELSE 'conflict' END AS change FROM sides) """
+_PARTED = _PARTED.replace(", own AS (", ", cur_all AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY edge_id ORDER BY commit_seq DESC, event_ord DESC) AS k FROM ev) WHERE k = 1),\nown AS (", 1)
+
+
+def _parted(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
+    """After commit 100 a third of the edges changes on the parent, a third on a branch, and a third on both, some of these differently."""
+    log = edge_events(spark, sf_dir)
+    trunk = log.where("commit_seq <= 100 OR quantity % 3 <> 1")
+    own = log.where("commit_seq > 100 AND quantity % 3 > 0").withColumn("quantity", F.col("quantity") + (F.col("quantity") % 5 == 4).cast("int"))
+    return trunk, own
+
+
+@query(_PARTED + "SELECT edge_id, CASE WHEN change = 'clean' THEN branch ELSE parent END AS quantity FROM judged WHERE CASE WHEN change = 'clean' THEN branch ELSE parent END IS NOT NULL")
+def merge_three_way(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The parent's state after it has taken in what only the branch changed."""
+    trunk, own = _parted(spark, sf_dir)
+    return T.fold(trunk.unionByName(WR.merge_three_way(trunk, own, 100).events)).select("edge_id", "quantity")
+
+
+@query(_PARTED + "SELECT change, count(*) AS n FROM judged WHERE change <> 'unchanged' GROUP BY 1")
+def merge_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """How many edges a merge finds changed on one side, on both alike, or on both differently."""
+    trunk, own = _parted(spark, sf_dir)
+    found = WR.merge_three_way(trunk, own, 100).counts
+    return spark.createDataFrame(sorted((k, n) for k, n in found.items() if n), "change string, n long")
+
+
+@query(_PARTED + "SELECT edge_id, base, parent, branch FROM judged WHERE change = 'conflict'")
+def merge_conflicts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The edges that a merge leaves alone, with what all three sides say."""
+    trunk, own = _parted(spark, sf_dir)
+    of = lambda side: F.col(f"{side}.quantity").alias(side)
+    return WR.merge_three_way(trunk, own, 100).conflicts.select("edge_id", of("base"), of("parent"), of("branch"))
+
+
 @query("""WITH t AS (SELECT conv_id, min(turn) AS turn, arg_min(text, turn) AS text FROM conversations GROUP BY 1)
 SELECT 'EPISODE/' || conv_id AS src, 'TURN/' || length(text) AS dst, count(*) OVER () AS facts FROM t WHERE conv_id % 3 > 0""")
 def observe_merge(spark: SparkSession, sf_dir: str) -> DataFrame:
