@@ -44,10 +44,21 @@ def test_byte_level_ids_are_the_librarys(monkeypatch, plain):
 def test_pieces_are_the_librarys(monkeypatch):
     monkeypatch.setattr(encoders, "PIECE", 50)
     of = encoders.Pieces(public_vocabulary(PIECES))
-    for text in filter(None, ODD):
+    for text in [*filter(None, ODD), "x" * 50 + " ", "x" * 50 + "  "]:
         assert of.ids(text).tolist() == of.model.encode(text)
 
 
+def test_words_read_apart_are_the_text_read_whole(monkeypatch):
+    monkeypatch.setattr(alignment, "REMEMBERED", 40)
+    both, model = alignment.Sides(public_vocabulary(BYTES), public_vocabulary(PIECES)), tokenizer(True)
+    texts = [*ODD, "a ", "a  ", "so, so  é \t and so on.\nThen", "ends in 語 then a word", *(" ".join(random.Random(i).choices(["Gezeiten,", "über", "né", "(x)", "12", "語", " "], k=60)) for i in range(30))]
+    for text, found in zip(texts, both.read(t or "" for t in texts), strict=True):
+        if not text or "▁" in text:
+            assert found is None
+        else:
+            assert [np.frombuffer(x, k).tolist() for x, k in zip(found, both.kinds, strict=True)] == [model.encode(f" {text}", add_special_tokens=False).ids, both.b.model.encode(text)]
+
+
 # ------------------------------------------------------------------ bin completion
 
 

@@ -18,7 +18,8 @@ nearly every document has is a hot key.
 from __future__ import annotations
 
 import hashlib
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
+from itertools import pairwise
 
 import numpy as np
 import pyarrow as pa
@@ -26,7 +27,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidegraph.llm.common import content, kept, materialise, release, settled, table
-from tidegraph.llm.encoders import ByteLevel, Pieces
+from tidegraph.llm.encoders import ByteLevel, Pieces, is_plain, words_of
 from tidegraph.llm.tokens import public_vocabulary
 
 #: Bytes of a text whose events make up one row.
@@ -35,16 +36,30 @@ SPAN = 1 << 15
 HOT = 150_000
 #: Links of a group beyond which pairs are told from distinct ids, not from tokens.
 MANY = 4096
+#: Letters of texts that are looked at together, and new words that are encoded as one text.
+GROUP, TOGETHER = 1 << 20, 5_000
+#: Words that a worker remembers, and the longest of them; beyond, it starts anew.
+REMEMBERED, LONGEST = 300_000, 64
 #: Pairs that a document collects before they are counted.
 AT_ONCE = 1 << 20
 
 
 class Sides:
-    """Both tokenizers, and how many bytes each id stands for."""
+    """Both tokenizers, how many bytes each id stands for, and the ids of words that were met before.
+
+    Between a visible character and a space both tokenizers end a token, so
+    texts are taken word by word, each with the space before it. New words are
+    put together into one text for each tokenizer.
+    """
 
     def __init__(self, a_path: str, b_path: str):
         self.a, self.b = ByteLevel(a_path, True), Pieces(b_path)
-        self.lengths = [self._lengths(self.a.bytes), self._lengths(dict(enumerate(self.b.bytes)))]
+        self.bytes = [self.a.bytes, dict(enumerate(self.b.bytes))]
+        self.lengths = [self._lengths(x) for x in self.bytes]
+        self.longest = int(max(x.max() for x in self.lengths))
+        self.kinds = ["<u2" if len(x) <= 1 << 16 else "<u4" for x in self.lengths]
+        #: word -> both tokenizers' ids, or None where their bytes are not the word's
+        self.known: dict[str, tuple[bytes, bytes] | None] = {}
 
     @staticmethod
     def _lengths(of: dict[int, bytes]) -> np.ndarray:
@@ -52,13 +67,59 @@ class Sides:
         found[list(of)] = [len(x) for x in of.values()]
         return found
 
-    def read(self, text: str) -> list[np.ndarray] | None:
-        """The ids of both, or None if either's bytes are not those of a space and the text."""
-        data = f" {text}".encode()
-        a, b = self.a.ids(f" {text}"), self.b.list(text)
-        # a byte-level reading of Latin text is the text's bytes cut up, so their number tells
-        same = int(self.lengths[0][a].sum()) == len(data) if self.a.reads_bytes(text) else b"".join(map(self.a.bytes.__getitem__, a.tolist())) == data
-        return [a, np.array(b, np.uint32)] if same and b"".join(map(self.b.bytes.__getitem__, b)) == data else None
+    def _alone(self, word: str) -> tuple[bytes, bytes] | None:
+        found, data = (self.a.ids(word), self.b.ids(word[1:])), word.encode()
+        if any(b"".join(map(own.__getitem__, ids.tolist())) != data for own, ids in zip(self.bytes, found, strict=True)):
+            return None
+        return tuple(ids.astype(kind).tobytes() for ids, kind in zip(found, self.kinds, strict=True))
+
+    def _together(self, words: list[str]) -> list[tuple[bytes, bytes] | None]:
+        """The same for words that all end in a visible Latin character."""
+        text, sides = "".join(words), []
+        data = text.encode()
+        bounds = np.cumsum([len(w.encode()) for w in words])
+        for which, ids in enumerate((self.a.ids(text), self.b.ids(text[1:]))):
+            ends = np.cumsum(self.lengths[which][ids])
+            at = np.searchsorted(ends, bounds)
+            if b"".join(map(self.bytes[which].__getitem__, ids.tolist())) != data or (ends[at] != bounds).any():
+                return [self._alone(w) for w in words]
+            width = int(self.kinds[which][-1])
+            whole, cuts = ids.astype(self.kinds[which]).tobytes(), [0, *((at + 1) * width).tolist()]
+            sides.append([whole[x:y] for x, y in pairwise(cuts)])
+        return list(zip(*sides, strict=True))
+
+    def _learn(self, words: list[str]) -> None:
+        plain = [w for w in words if is_plain(w)]
+        for at in range(0, len(plain), TOGETHER):
+            some = plain[at : at + TOGETHER]
+            self.known.update(zip(some, self._together(some), strict=True))
+        self.known.update((w, self._alone(w)) for w in set(words).difference(plain))
+
+    def read(self, texts: Iterable[str]) -> Iterator[tuple[bytes, bytes] | None]:
+        """For each text both tokenizers' ids; None if it is empty, or either's bytes are not those of a space and the text."""
+        group, size = [], 0
+        for text in texts:
+            # without safe places a text is one word
+            group.append((words_of(f" {text}") if self.a.safe and self.b.safe else [f" {text}"]) if text else [])
+            size += len(text)
+            if size > GROUP:
+                yield from self._read(group)
+                group, size = [], 0
+        yield from self._read(group)
+
+    def _read(self, group: list[list[str]]) -> Iterator[tuple[bytes, bytes] | None]:
+        every = set().union(*group)
+        new = every.difference(self.known)
+        if len(self.known) + len(new) > REMEMBERED:
+            self.known.clear()
+            new = every
+        self._learn(list(new))
+        for words in group:
+            found = [self.known[w] for w in words]
+            yield tuple(map(b"".join, zip(*found, strict=True))) if found and None not in found else None
+        for word in new:
+            if len(word) > LONGEST:
+                del self.known[word]
 
 
 def sides(a_path: str, b_path: str) -> Sides:
@@ -70,20 +131,21 @@ def _events(a_path: str, b_path: str, span: int):
         both = sides(a_path, b_path)
         for batch in batches:
             rows, at, side, ids = [], [], [], []
-            for row, text in enumerate(batch.column("_content")):
-                text = text.as_py().decode("utf-8", "replace")
-                found = both.read(text) if text else None
-                if found is None:
-                    # one row, so that the document is told of
-                    found = [np.zeros(0, np.uint32)]
-                for which, own in enumerate(found):
-                    spans = (np.cumsum(both.lengths[which][own]) - 1) // span
-                    bounds = np.flatnonzero(np.diff(spans)) + 1
-                    for part in np.split(np.arange(len(own)), bounds) if len(own) else [own]:
+            texts = (x.as_py().decode("utf-8", "replace") for x in batch.column("_content"))
+            for row, found in enumerate(both.read(texts)):
+                # without tokens one row, so that the document is told of
+                for which, whole in enumerate(found or [b""]):
+                    own, parts = np.frombuffer(whole, both.kinds[which]), [(0, whole)]
+                    # only texts that may be longer than a span
+                    if len(own) * both.longest > span:
+                        spans = (np.cumsum(both.lengths[which][own]) - 1) // span
+                        bounds = np.flatnonzero(np.diff(spans)) + 1
+                        parts = [(int(spans[low]), x.tobytes()) for low, x in zip([0, *bounds.tolist()], np.split(own, bounds), strict=True)]
+                    for number, part in parts:
                         rows.append(row)
-                        at.append(int(spans[part[0]]) if len(part) else 0)
+                        at.append(number)
                         side.append(which)
-                        ids.append(own[part].astype("<u2" if len(both.lengths[which]) <= 1 << 16 else "<u4").tobytes())
+                        ids.append(part)
             take = pa.array(rows, pa.int64())
             yield pa.RecordBatch.from_arrays(
                 [batch.column("_row").take(take), batch.column("_id").take(take), pa.array(at, pa.int64()), pa.array(side, pa.int8()), pa.array(ids, pa.binary())],
@@ -179,15 +241,23 @@ class Machine:
                 self.add((x[at : at + step, None] | y[None]).ravel(), (nx[at : at + step, None] * ny[None]).ravel())
 
     def add(self, keys: np.ndarray, times: np.ndarray | None = None) -> None:
+        """Pairs, each once if times are not given."""
+        if not len(keys):
+            return
         self.keys.append(keys)
-        self.times.append(np.ones(len(keys), np.int64) if times is None else times)
+        self.times.append(times)
         self.held += len(keys)
         if self.held > max(AT_ONCE, len(self.keys[0])):
             self.merge()
 
     def merge(self) -> None:
-        keys, where = np.unique(np.concatenate(self.keys), return_inverse=True)
-        times = np.bincount(where, np.concatenate(self.times), len(keys)).astype(np.int64)
+        every = np.concatenate(self.keys)
+        if all(x is None for x in self.times):
+            keys, times = np.unique(every, return_counts=True)
+        else:
+            times = np.concatenate([np.ones(len(k), np.int64) if x is None else x for k, x in zip(self.keys, self.times, strict=True)])
+            keys, where = np.unique(every, return_inverse=True)
+            times = np.bincount(where, times, len(keys)).astype(np.int64)
         # what is there already does not count towards the next merge
         self.keys, self.times, self.held = [keys], [times], 0
 

@@ -21,8 +21,8 @@ from tidegraph.llm.tokens import cuts_before_spaces
 #: Letters that are encoded in one call.
 PIECE = 1 << 18
 
-#: A space after what is no white space to any of the libraries.
-_SAFE = re.compile("(?<=[!-~¡-ɏ]) ")
+#: A space after what is no white space to any of the libraries, and not the last letter: alone it would be nothing.
+_SAFE = re.compile("(?<=[!-~¡-ɏ]) (?=.)", re.DOTALL)
 #: Letters about whose kinds all Unicode tables agree.
 _LATIN = re.compile("[^\0-ɏ]")
 
@@ -39,6 +39,20 @@ def cut(text: str, most: int = PIECE) -> Iterator[str]:
     yield text[start:]
 
 
+_VISIBLE = {chr(i) for i in (*range(0x21, 0x7F), *range(0xA1, 0x250))}
+_WORD = re.compile("(?<=[!-~¡-ɏ])(?= .)", re.DOTALL)
+
+
+def words_of(text: str) -> list[str]:
+    """The text cut before every safe space."""
+    return _WORD.split(text)
+
+
+def is_plain(word: str) -> bool:
+    """Whether the word has only Latin letters and common marks, and ends in a visible one."""
+    return word[-1:] in _VISIBLE and not _LATIN.search(word)
+
+
 def byte_alphabet() -> dict[str, int]:
     """The characters that stand for bytes in byte-level vocabularies: visible Latin-1 ones for themselves, the rest from U+0100 on."""
     visible = [*range(0x21, 0x7F), *range(0xA1, 0xAD), *range(0xAE, 0x100)]
