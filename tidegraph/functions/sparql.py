@@ -6,6 +6,8 @@ startswith, endswith, contains, concat, abs, md5, sha1, sha2, rlike.
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -53,17 +55,25 @@ def replace(s: Column | str, pattern: str, by: str, flags: str = "") -> Column:
     return F.regexp_replace(_c(s), f"(?{inline}){pattern}" if inline else pattern, by)
 
 
+def _whole(x: Column, to_long: Column) -> Column:
+    """to_long, but NaN, infinities and numbers of 2^52 and more, which have no fraction, stay as they are."""
+    return F.when(F.isnan(x) | (F.abs(x) >= float(1 << 52)), x).otherwise(to_long.cast("double"))
+
+
 def round_half_up(x: Column | str) -> Column:
-    """Halves go up, so -2.5 becomes -2."""
-    return F.floor(_c(x) + 0.5).cast("double")
+    """Halves go up, so -2.5 becomes -2; the fraction is looked at, since adding a half would round first."""
+    x = _c(x).cast("double")
+    return _whole(x, F.floor(x) + (x - F.floor(x) >= 0.5).cast("long"))
 
 
 def ceil(x: Column | str) -> Column:
-    return F.ceil(_c(x)).cast("double")
+    x = _c(x).cast("double")
+    return _whole(x, F.ceil(x))
 
 
 def floor(x: Column | str) -> Column:
-    return F.floor(_c(x)).cast("double")
+    x = _c(x).cast("double")
+    return _whole(x, F.floor(x))
 
 
 def equals(a: Column | str, b: Column | str) -> Column:
@@ -139,10 +149,39 @@ def lexical(term: Column | str) -> Column:
     return F.when(t.startswith("<"), unescape(F.regexp_extract(t, r"^<(.*)>$", 1))).when(t.startswith('"'), unescape(F.regexp_extract(t, _LITERAL, 1)))
 
 
+_PARTS = re.compile(r"(?:([A-Za-z][A-Za-z0-9+.-]*):)?(?://([^/?#]*))?([^?#]*)(?:\?([^#]*))?(?:#.*)?", re.DOTALL)
+
+
+def _without_dots(path: Column) -> Column:
+    """The path with its . and .. segments resolved; what they end in is a folder."""
+    parts = F.split(path, "/")
+
+    def step(done: Column, part: Column) -> Column:
+        up = F.when(F.size(done) > 1, F.slice(done, 1, F.size(done) - 1)).otherwise(done)
+        return F.when(part == ".", done).when(part == "..", up).otherwise(F.concat(done, F.array(part)))
+
+    kept = F.aggregate(parts, F.array().cast("array<string>"), step)
+    folder = F.element_at(parts, -1).isin(".", "..")
+    return F.concat(F.array_join(kept, "/"), F.when(folder, "/").otherwise(""))
+
+
+def _resolved(text: Column, base: str) -> Column:
+    """A reference against a base, part by part."""
+    scheme, authority, path, asked = _PARTS.fullmatch(base).groups()
+    root = (f"{scheme}:" if scheme else "") + (f"//{authority}" if authority is not None else "")
+    whole = root + path + (f"?{asked}" if asked is not None else "")
+    tail = F.regexp_extract(text, r"(?s)^[^?#]*(.*)$", 1)
+    own = F.regexp_extract(text, r"(?s)^([^?#]*)", 1)
+    folder = path.rpartition("/")[0] + "/" if "/" in path or authority is not None else ""
+    merged = F.when(own.startswith("/"), own).otherwise(F.concat(F.lit(folder), own))
+    found = F.when(text.startswith("//"), F.concat(F.lit(f"{scheme}:" if scheme else ""), text)).when(own != "", F.concat(F.lit(root), _without_dots(merged), tail))
+    return found.when(text.startswith("?"), F.concat(F.lit(root + path), text)).otherwise(F.concat(F.lit(whole), text))
+
+
 def iri(s: Column | str, base: str = "") -> Column:
-    """IRI of a text; one without a scheme is resolved against base, which is put before it."""
+    """IRI of a text; one without a scheme is resolved against base, if there is one."""
     text = _c(s)
-    whole = F.when(text.rlike(r"^[A-Za-z][A-Za-z0-9+.-]*:"), text).otherwise(F.concat(F.lit(base), text))
+    whole = F.when(text.rlike(r"^[A-Za-z][A-Za-z0-9+.-]*:"), text).otherwise(_resolved(text, base) if base else text)
     return F.when(~whole.rlike(r'[<>"{}|^`\\\x00-\x20]'), F.concat(F.lit("<"), whole, F.lit(">")))
 
 
@@ -191,7 +230,10 @@ def is_literal(term: Column | str) -> Column:
     return _c(term).startswith('"')
 
 
-NUMERIC = ("integer", "decimal", "double", "float", "int", "long", "short", "byte")
+NUMERIC = (
+    "integer", "decimal", "double", "float", "long", "int", "short", "byte",
+    "nonPositiveInteger", "negativeInteger", "nonNegativeInteger", "positiveInteger", "unsignedLong", "unsignedInt", "unsignedShort", "unsignedByte",
+)
 
 
 def is_numeric(term: Column | str) -> Column:

@@ -23,6 +23,10 @@ class Ontology:
     version: int = 1
     types: dict[str, str | None] = field(default_factory=dict)
     relations: dict[str, Relation] = field(default_factory=dict)
+    #: relation -> those that it is a case of
+    subproperties: dict[str, tuple[str, ...]] = field(default_factory=dict)
+    #: relation -> the one that leads back
+    inverses: dict[str, str] = field(default_factory=dict)
 
 
 class RestrictiveChange(ValueError):
@@ -60,7 +64,7 @@ def define(current: Ontology, wanted: Ontology) -> tuple[Ontology, bool]:
     for name, parent in wanted.types.items():
         if current.types.get(name) is not None and parent != current.types[name]:
             raise RestrictiveChange(f"{name} would change its parent")
-    changed = (merged.types, merged.relations) != (current.types, current.relations)
+    changed = merged.version != current.version
     return (merged, True) if changed else (current, False)
 
 
@@ -69,11 +73,14 @@ def evolve(current: Ontology, wanted: Ontology) -> tuple[Ontology, bool]:
     relations = dict(current.relations)
     for name, new in wanted.relations.items():
         old = relations.get(name)
-        most = new.max_count if old is None else None if old.max_count is None or new.max_count is None else max(old.max_count, new.max_count)
+        # a definition without a limit says nothing of the limit that there is
+        most = new.max_count if old is None else old.max_count if old.max_count is None or new.max_count is None else max(old.max_count, new.max_count)
         relations[name] = Relation(new.domains | (old.domains if old else frozenset()), new.ranges | (old.ranges if old else frozenset()), most)
     types = current.types | {k: v for k, v in wanted.types.items() if k not in current.types}
-    changed = types != current.types or relations != current.relations
-    return (Ontology(current.version + changed, types, relations), changed)
+    wider = {k: tuple(dict.fromkeys(current.subproperties.get(k, ()) + wanted.subproperties.get(k, ()))) for k in current.subproperties | wanted.subproperties}
+    inverses = wanted.inverses | current.inverses
+    changed = (types, relations, wider, inverses) != (current.types, current.relations, current.subproperties, current.inverses)
+    return (Ontology(current.version + changed, types, relations, wider, inverses), changed)
 
 
 def _kind(column: str) -> Column:

@@ -7,6 +7,7 @@ orders and executes them.
 
 from __future__ import annotations
 
+import re
 from collections.abc import Sequence
 from functools import reduce
 from itertools import combinations
@@ -32,8 +33,9 @@ def _filtered(df: DataFrame, column: str, kind: str | None, term: str) -> DataFr
     if own != kind:
         return None
     if dict(df.dtypes)[column] in ("int", "bigint"):
-        # a key that is not written as a number is written is no key of the table
-        return df.where(F.col(column) == int(key)) if key.lstrip("-").isdigit() and str(int(key)) == key else None
+        # a key that is not written as a number is written, or is larger than any, is no key of the table
+        fits = re.fullmatch("0|-?[1-9][0-9]{0,18}", key) and -(1 << 63) <= int(key) < 1 << 63
+        return df.where(F.col(column) == int(key)) if fits else None
     return df.where(F.col(column) == key)
 
 
@@ -232,17 +234,18 @@ def compatible_join(left: DataFrame, right: DataFrame, shared: Sequence[str]) ->
 
     For one variable at a time the sides are split by whether it is bound:
     bound rows meet in an equi-join, and only rows where it is unbound meet
-    all of the other side. A plain condition with OR would make every row
+    all of the other side; where nothing is bound, one side must have at most
+    PRODUCT rows, which is checked. A plain condition with OR would make every row
     meet every row.
     """
     if not shared:
-        return left.crossJoin(right)
+        return _product(left, right)
     other = reduce(lambda d, c: d.withColumnRenamed(c, f"_r_{c}"), shared, right)
 
     def joined(a: DataFrame, b: DataFrame, rest: list[str], equal: list[str]) -> DataFrame:
         if not rest:
             keys = [F.col(c) == F.col(f"_r_{c}") for c in equal]
-            return a.join(b, reduce(lambda x, y: x & y, keys)) if keys else a.crossJoin(b)
+            return a.join(b, reduce(lambda x, y: x & y, keys)) if keys else _product(a, b)
         c, *more = rest
         both = joined(a.where(F.col(c).isNotNull()), b.where(F.col(f"_r_{c}").isNotNull()), more, [*equal, c])
         unbound = joined(a.where(F.col(c).isNull()), b, more, equal)
@@ -258,9 +261,11 @@ def ask(solutions: DataFrame) -> DataFrame:
     return solutions.limit(1).agg((F.count("*") > 0).alias("answer"))
 
 
-def page(solutions: DataFrame, order: Sequence[Column | str], limit: int, offset: int = 0) -> DataFrame:
-    """LIMIT and OFFSET after a total order."""
-    return solutions.orderBy(*order).offset(offset).limit(limit)
+def page(solutions: DataFrame, order: Sequence[Column | str], limit: int | None = None, offset: int = 0) -> DataFrame:
+    """LIMIT and OFFSET after an order; without one, that of all columns, so that pages are the same whenever they are asked for."""
+    found = solutions.orderBy(*(order or solutions.columns))
+    found = found.offset(offset) if offset else found
+    return found if limit is None else found.limit(limit)
 
 
 def page_facts(total: int, limit: int, offset: int) -> dict[str, object]:

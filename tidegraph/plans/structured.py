@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 
 from tidegraph.operators import patterns as P
 from tidegraph.operators.ontology import Ontology, subclasses
+from tidegraph.operators.reasoning import reasoned
 from tidegraph.operators.temporal import bucket
 from tidegraph.sources.star import Graph
 
@@ -63,7 +64,7 @@ class Request:
     limit: int | None = None
     offset: int = 0
     max_solutions: int | None = None
-    #: An ontology by which a type stands for all types below it.
+    #: An ontology by which a type stands for all types below it, and patterns find edges that follow from its rules.
     reason: Ontology | None = None
 
 
@@ -94,6 +95,8 @@ _SUMMED = {"count": lambda c: F.count(c), "sum": lambda c: F.sum(F.col(c).cast("
 
 def run(graph: Graph, request: Request) -> DataFrame:
     below = subclasses(request.reason) if request.reason else {}
+    if request.reason:
+        graph = reasoned(graph, request.reason, [p[1] for p in request.patterns])
     kinds = {v: ([k for k in sorted(below.get(kind, {kind})) if k in graph.entities], fields) for v, (kind, fields) in request.properties.items()}
     out = P.match(graph, request.patterns, request.keep, kinds)
     default = first_variable(request.patterns)
@@ -109,6 +112,6 @@ def run(graph: Graph, request: Request) -> DataFrame:
         out = out.select(*request.select)
     if request.max_solutions is not None and out.limit(request.max_solutions + 1).count() > request.max_solutions:
         raise ValueError(f"more than {request.max_solutions} solutions")
-    if request.limit is not None:
+    if request.limit is not None or request.offset:
         return P.page(out, request.order_by, request.limit, request.offset)
     return out.orderBy(*request.order_by) if request.order_by else out

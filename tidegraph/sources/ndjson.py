@@ -16,7 +16,8 @@ def read(spark: SparkSession, path: str, *, strict: bool = False) -> DataFrame:
 
 
 def _identity(kind: Column, key: Column, name: Column) -> Column:
-    return F.concat(kind, F.lit("/"), F.coalesce(key, name))
+    # a slash within a type would look like the one after it
+    return F.concat(F.replace(F.replace(kind, F.lit("%"), F.lit("%25")), F.lit("/"), F.lit("%2F")), F.lit("/"), F.coalesce(key, name))
 
 
 def identity(end: str) -> Column:
@@ -57,8 +58,10 @@ def rejected(lines: DataFrame) -> DataFrame:
 
 def fields(found: DataFrame) -> DataFrame:
     """(id, field, kind, value) of each property, kind being what JSON says: string, long, double, boolean; null and nested values are json."""
-    each = found.select("id", F.explode(F.from_json("properties", "map<string,string>")).alias("field", "value"), "properties")
-    raw = each.withColumn("_kind", F.expr("schema_of_variant(try_variant_get(try_parse_json(properties), concat('$[\"', field, '\"]'), 'variant'))"))
+    # names are keys of a map and not parts of a path, so they may have any characters
+    typed = found.select("id", F.from_json("properties", "map<string,variant>").alias("_typed"), F.from_json("properties", "map<string,string>").alias("_texts"))
+    each = typed.select("id", "_typed", F.explode("_texts").alias("field", "value"))
+    raw = each.withColumn("_kind", F.schema_of_variant(F.element_at("_typed", F.col("field"))))
     kind = F.when(F.col("_kind") == "STRING", "string").when(F.col("_kind") == "BOOLEAN", "boolean").when(F.col("_kind") == "BIGINT", "long")
     return raw.select("id", "field", kind.when(F.col("_kind").rlike("^(DOUBLE|FLOAT|DECIMAL)"), "double").otherwise("json").alias("kind"), "value")
 
@@ -66,11 +69,11 @@ def fields(found: DataFrame) -> DataFrame:
 def _end(identity_: str, name: str, columns: list[str]) -> Column:
     """The type is what comes before the first slash, the key all after it."""
     parts = F.split(identity_, "/", 2)
-    key = parts[1]
+    kind, key = F.replace(F.replace(parts[0], F.lit("%2F"), F.lit("/")), F.lit("%25"), F.lit("%")), parts[1]
     if name not in columns:
-        return F.struct(parts[0].alias("type"), key.alias("name"))
+        return F.struct(kind.alias("type"), key.alias("name"))
     own = F.coalesce(F.col(name), key)
-    return F.struct(parts[0].alias("type"), own.alias("name"), F.when(own != key, key).alias("key"))
+    return F.struct(kind.alias("type"), own.alias("name"), F.when(own != key, key).alias("key"))
 
 
 def _properties(columns: list[str]) -> list[Column]:
