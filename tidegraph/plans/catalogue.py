@@ -15,6 +15,7 @@ from tidegraph.operators import ontology as O
 from tidegraph.operators import paths as PATH
 from tidegraph.operators import patterns as P
 from tidegraph.operators import reasoning as R
+from tidegraph.operators import segments as SEG
 from tidegraph.operators import signals as SIG
 from tidegraph.operators import temporal as T
 from tidegraph.operators import timeline as TL
@@ -914,6 +915,25 @@ def commit_keys(spark: SparkSession, sf_dir: str) -> DataFrame:
     return WR.judge(WR.digests(sent, "commit_key"), known).select("commit_key", "verdict", "op_count")
 
 
+@query(_EVENTS.replace("FROM ev)", "FROM ev WHERE commit_seq <= 100)") + "SELECT edge_id, quantity, (SELECT count(*) FROM ev e WHERE e.edge_id = cur.edge_id) AS history, true AS few FROM cur")
+def compact_tiers(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Commits in a dozen batches, compacted by tiers on the way; the state at the half, with whole histories, from the few folders that are left."""
+    path, log = new_folder(spark, "log"), edge_events(spark, sf_dir)
+    # event_ord and the real commit are told apart from the batch's number
+    named = log.withColumnsRenamed({"commit_seq": "asserted_at"})
+    schema = named.schema.simpleString().removeprefix("struct<").removesuffix(">").replace(":", " ").replace(",", ", ") + ", commit_seq bigint"
+    ends = [40, 80, 100, 105, 110, 115, 120, 125, 130, 135, 1 << 40]
+    for low, high in zip([0, *ends], ends, strict=False):
+        WR.commit_once(named.where((F.col("asserted_at") > low) & (F.col("asserted_at") <= high)), path, f"up to {high}")
+        SEG.compact_tail(spark, path, schema, max_segments=6)
+        SEG.sweep(spark, path)
+    few = len(SEG.needed(spark, path)) <= 6 and len(SEG.needed(spark, path, commit_seq=3)) <= 3
+    events = SEG.events(spark, path, schema)
+    whole = events.groupBy("edge_id").agg(F.count("*").alias("history"))
+    state = T.fold(SEG.events(spark, path, schema, commit_seq=3).drop("commit_seq").withColumnsRenamed({"asserted_at": "commit_seq"}))
+    return state.join(whole, "edge_id").select("edge_id", "quantity", "history", F.lit(few).alias("few"))
+
+
 _PARTED = _EVENTS + """, own AS (SELECT edge_id, op, quantity + (quantity % 5 = 4)::INT AS quantity FROM cur_all WHERE commit_seq > 100 AND quantity % 3 > 0),
 par AS (SELECT edge_id, op, quantity FROM cur_all WHERE commit_seq > 100 AND quantity % 3 <> 1),
 base AS (SELECT edge_id, op, quantity FROM (SELECT *, row_number() OVER (PARTITION BY edge_id ORDER BY commit_seq DESC, event_ord DESC) AS k FROM ev WHERE commit_seq <= 100) WHERE k = 1 AND op = 'assert'),
