@@ -6,6 +6,7 @@ from dataclasses import dataclass, field
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from tidegraph.sources.star import Graph
@@ -158,37 +159,94 @@ def normalised(column: str | Column) -> Column:
     return F.lower(F.regexp_replace(F.trim(F.col(column) if isinstance(column, str) else column), r"[^0-9A-Za-z]+", " "))
 
 
-def _shortened(column: str, most: int) -> Column:
-    """The text and all that is left of it after taking out up to most characters."""
+def _pieces(length: Column, most: int) -> list[tuple[Column, Column]]:
+    """Where the most + 1 pieces of a text of this length begin, from 0, and how long they are; the last ones take what is left over."""
+    each = most + 1
+    base, left = F.floor(length / each).cast("int"), (length % each).cast("int")
+    return [(base * i + F.greatest(F.lit(0), F.lit(i - each) + left), base + (F.lit(i) >= F.lit(each) - left).cast("int")) for i in range(each)]
 
-    def shorter(texts: Column) -> Column:
-        each = F.transform(texts, lambda t: F.transform(F.sequence(F.lit(1), F.greatest(F.length(t), F.lit(1))), lambda i: F.concat(F.substring(t, F.lit(1), i - 1), t.substr(i + 1, F.length(t)))))
-        return F.array_distinct(F.concat(texts, F.flatten(each)))
 
-    out = F.array(F.col(column))
-    for _ in range(most):
-        out = shorter(out)
-    return out
+def _own_pieces(text: Column, most: int) -> Column:
+    """The pieces of a name: its length, the piece's number and text."""
+    n = F.length(text)
+    return F.array(*(F.struct(n.alias("n"), F.lit(i).alias("i"), F.substring(text, start + 1, size).alias("piece")) for i, (start, size) in enumerate(_pieces(n, most))))
+
+
+def _looked_up(text: Column, most: int) -> Column:
+    """The pieces that names of about the text's length may have in common with it, at about the same place."""
+
+    def of_length(n: Column) -> Column:
+        found = []
+        for i, (start, size) in enumerate(_pieces(n, most)):
+            low, high = F.greatest(F.lit(0), start - most), F.least(F.length(text) - size, start + most)
+            found.append(F.coalesce(_cuts(text, n, i, size, low, high), F.array().cast("array<struct<n: int, i: int, piece: string>>")))
+        return F.flatten(F.array(*found))
+
+    lengths = F.sequence(F.greatest(F.lit(0), F.length(text) - most), F.length(text) + most)
+    return F.array_distinct(F.flatten(F.transform(lengths, of_length)))
+
+
+def _cuts(text: Column, n: Column, i: int, size: Column, low: Column, high: Column) -> Column:
+    return F.when(low <= high, F.transform(F.sequence(low, high), lambda at: F.struct(n.alias("n"), F.lit(i).alias("i"), F.substring(text, at + 1, size).alias("piece"))))
 
 
 def resolve(mentions: DataFrame, names: DataFrame, most: int = 2) -> DataFrame:
     """Each mention's entity by normalised name; those without one by the least edit distance up to most.
 
-    Two texts within that distance have a text in common after taking up to so
-    many characters out of each, so they meet by an equality, whichever
-    characters are wrong, the first included. Names are looked up by all that
-    is left of them, so most should stay small.
+    A name is cut into most + 1 pieces, of which so many edits leave one whole,
+    moved by at most so many places. So a name is a row for each piece,
+    however long it is, and a mention looks up a number of pieces that most
+    alone decides; they meet by an equality of length, piece and its number.
     """
     m = mentions.select("mention", normalised("mention").alias("_key")).distinct()
     n = names.select("id", normalised("name").alias("_key"))
     exact = m.join(n, "_key").groupBy("mention").agg(F.min("id").alias("id")).withColumn("distance", F.lit(0))
-    rest = m.join(exact, "mention", "left_anti").select("mention", F.col("_key").alias("_m"), F.explode(_shortened("_key", most)).alias("_short"))
-    near = rest.join(n.select("id", F.col("_key").alias("_n"), F.explode(_shortened("_key", most)).alias("_short")), "_short").drop("_short").distinct()
-    near = near.withColumn("distance", F.levenshtein("_m", "_n")).where(F.col("distance") <= most)
+    rest = m.join(exact, "mention", "left_anti").select("mention", F.col("_key").alias("_m"), F.explode(_looked_up(F.col("_key"), most)).alias("_piece"))
+    near = rest.join(n.select("id", F.col("_key").alias("_n"), F.explode(_own_pieces(F.col("_key"), most)).alias("_piece")), "_piece").drop("_piece").distinct()
+    near = near.withColumn("distance", F.levenshtein("_m", "_n", most)).where(F.col("distance").between(0, most))
     best = near.groupBy("mention").agg(F.min(F.struct("distance", "id")).alias("_b")).select("mention", "_b.id", "_b.distance")
     return exact.unionByName(best)
 
 
+#: Letters of the pieces by which names are found.
+GRAM = 3
+
+
+def _grams(text: Column) -> Column:
+    """The different runs of GRAM letters of a text with a space around it."""
+    padded = F.concat(F.lit(" "), text, F.lit(" "))
+    return F.array_distinct(F.transform(F.sequence(F.lit(1), F.greatest(F.lit(1), F.length(padded) - GRAM + 1)), lambda i: F.substring(padded, i, F.lit(GRAM))))
+
+
+def name_index(names: DataFrame) -> DataFrame:
+    """(gram, id, weight, norm): the names' runs of letters, with how much one says, in millionths, and a name's whole weight.
+
+    A run says the logarithm of how many names there are for each that has it.
+    """
+    rows = names.select("id", F.explode(_grams(normalised("name"))).alias("gram")).distinct()
+    total = names.agg(F.count("*").alias("_total"))
+    weights = rows.groupBy("gram").agg(F.count("*").alias("_n")).crossJoin(F.broadcast(total))
+    weights = weights.select("gram", F.floor(F.log(1 + F.col("_total") / F.col("_n")) * 1_000_000).cast("long").alias("weight"))
+    rows = rows.join(weights, "gram")
+    return rows.join(rows.groupBy("id").agg(F.sum("weight").alias("norm")), "id").select("gram", "id", "weight", "norm")
+
+
+def ranked_search(texts: DataFrame, index: DataFrame, most: int = 10) -> DataFrame:
+    """For each text (text), the names that share the most of its runs of letters by weight: text, id, shared, rank; at most so many, ties by id.
+
+    shared is the weight in common over the name's and the text's own. Runs
+    that no name has count nothing; texts meet names by equal runs only.
+    """
+    asked = texts.select("text", F.explode(_grams(normalised("text"))).alias("gram")).distinct()
+    known = asked.join(index.groupBy("gram").agg(F.max("weight").alias("weight")), "gram")
+    own = known.groupBy("text").agg(F.sum("weight").alias("_own"))
+    # combined by text and name before the shuffle
+    met = asked.join(index, "gram").groupBy("text", "id").agg(F.sum("weight").alias("_both"), F.max("norm").alias("_norm"))
+    scored = met.join(own, "text").withColumn("shared", F.expr("_both * 1000000 div (_norm + _own - _both)"))
+    best = W.partitionBy("text").orderBy(F.desc("shared"), "id")
+    return scored.withColumn("rank", F.row_number().over(best)).where(F.col("rank") <= most).select("text", "id", "shared", "rank")
+
+
 def search(names: DataFrame, text: str) -> DataFrame:
     """Names that contain the text, whatever the case, closest in length first."""
     key = normalised("name")

@@ -1225,6 +1225,24 @@ def ontology_induce(g: Graph) -> DataFrame:
     return O.induce(g.all_edges(), O.as_table(g.spark, O.STAR))
 
 
+_GRAMS = "list_distinct(list_transform(range(1, greatest(2, length(k) + 1)), lambda i: substr(' ' || k || ' ', i, 3)))"
+
+
+@on_graph(f"""WITH n AS (SELECT 'CUSTOMER/' || c_custkey AS id, trim(lower(regexp_replace(trim(c_name || ' ' || c_mktsegment), '[^0-9A-Za-z]+', ' ', 'g'))) AS k FROM customer),
+t AS (SELECT DISTINCT lower(c_mktsegment) || ' ' || c_custkey AS text, lower(c_mktsegment) || ' ' || c_custkey AS k FROM customer WHERE c_custkey % 50 = 0),
+g AS (SELECT id, unnest({_GRAMS}) AS gram FROM n), w AS (SELECT gram, floor(ln(1 + (SELECT count(*) FROM n) / count(*)::DOUBLE) * 1000000)::BIGINT AS weight FROM g GROUP BY 1),
+p AS (SELECT id, gram, weight, sum(weight) OVER (PARTITION BY id)::BIGINT AS norm FROM g JOIN w USING (gram)),
+a AS (SELECT text, gram, weight, sum(weight) OVER (PARTITION BY text)::BIGINT AS own FROM (SELECT text, unnest({_GRAMS}) AS gram FROM t) JOIN w USING (gram)),
+m AS (SELECT a.text, p.id, sum(p.weight)::BIGINT AS both_, max(norm) AS norm, max(own) AS own FROM a JOIN p USING (gram) GROUP BY 1, 2)
+SELECT text, id, shared, k::INT AS rank FROM (SELECT *, row_number() OVER (PARTITION BY text ORDER BY shared DESC, id) AS k FROM (SELECT text, id, both_ * 1000000 // (norm + own - both_) AS shared FROM m)) WHERE k <= 5""")
+def search_ranked(g: Graph) -> DataFrame:
+    """The five customers whose name and segment are most like each of some texts, by runs of letters that few names have."""
+    customers = g.entities["CUSTOMER"]
+    names = customers.select("id", F.concat_ws(" ", "name", "mktsegment").alias("name"))
+    texts = customers.where("custkey % 50 = 0").select(F.concat_ws(" ", F.lower("mktsegment"), F.col("custkey").cast("string")).alias("text"))
+    return O.ranked_search(texts, O.name_index(names), most=5)
+
+
 _MENTIONS = """WITH k AS (SELECT 'NATION/' || n_nationkey AS id, trim(lower(regexp_replace(trim(n_name), '[^0-9A-Za-z]+', ' ', 'g'))) AS k, n_name, n_nationkey FROM nation),
 m AS (SELECT CASE n_nationkey % 4 WHEN 0 THEN upper(n_name) WHEN 1 THEN 'x' || substr(n_name, 2) WHEN 2 THEN substr(n_name, 1, 2) || substr(n_name, 4) || 'q' ELSE 'zz' || substr(n_name, 2) || 'zzz' END AS mention FROM k),
 d AS (SELECT DISTINCT mention, lower(regexp_replace(trim(mention), '[^0-9A-Za-z]+', ' ', 'g')) AS mk FROM m),
