@@ -11,6 +11,7 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from tidegraph.operators import temporal, writes
+from tidegraph.operators.ranking import Comparison, may_be_promoted
 
 
 def signals(events: DataFrame) -> DataFrame:
@@ -135,8 +136,13 @@ def registry(runs: DataFrame, promotions: DataFrame) -> DataFrame:
     return runs.join(current, "kind", "left").withColumn("promoted", F.coalesce(F.col("run") == F.col("current"), F.lit(False))).drop("current").orderBy("kind", F.desc("run"))
 
 
-def promote(runs: DataFrame, promotions: DataFrame, kind: str, run: int, at: int, *, expected: int | None) -> DataFrame:
-    """The promotions with one more, if the run exists and expected is what is current now; a replay adds nothing."""
+def promote(runs: DataFrame, promotions: DataFrame, kind: str, run: int, at: int, *, expected: int | None, comparisons: Sequence[Comparison] | None = None) -> DataFrame:
+    """The promotions with one more, if the run exists and expected is what is current now; a replay adds nothing.
+
+    With comparisons, a run that is not better in each by its whole interval raises.
+    """
+    if comparisons is not None and not may_be_promoted(comparisons):
+        raise ValueError(f"{kind}'s run {run} is not better in every comparison")
     current = registry(runs, promotions).where((F.col("kind") == kind) & F.col("promoted")).select("run").first()
     if current and current.run == run:
         return promotions

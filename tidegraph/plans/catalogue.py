@@ -14,6 +14,7 @@ from tidegraph.operators import intervals as IV
 from tidegraph.operators import ontology as O
 from tidegraph.operators import paths as PATH
 from tidegraph.operators import patterns as P
+from tidegraph.operators import ranking as RANK
 from tidegraph.operators import reasoning as R
 from tidegraph.operators import segments as SEG
 from tidegraph.operators import signals as SIG
@@ -1493,3 +1494,32 @@ def shadow_eval(spark: SparkSession, sf_dir: str) -> DataFrame:
     queries = vectors.where("vec_id < 20")
     both = [SIG.retrieval(vectors, queries, dims).select(F.lit(name).alias("model"), "query_id", "hits") for name, dims in (("champion", 64), ("challenger", 32))]
     return both[0].unionByName(both[1])
+
+
+def _ranked(dims: str) -> str:
+    return f"""SELECT q AS query_id, count(*) FILTER (label = q_label) AS hits, round(CASE WHEN room > 0 THEN count(*) FILTER (label = q_label) / room::DOUBLE ELSE 0 END, 6) AS recall,
+round(CASE WHEN room > 0 THEN sum(CASE WHEN label = q_label THEN 1 / log2(r + 1) ELSE 0 END) / list_sum(list_transform(range(1, room + 1), lambda i: 1 / log2(i + 1))) ELSE 0 END, 6) AS ndcg
+FROM (SELECT q.vec_id AS q, q.label AS q_label, v.label, least((SELECT count(*) FROM embeddings s WHERE s.label = q.label) - 1, 10) AS room,
+row_number() OVER (PARTITION BY q.vec_id ORDER BY round(list_dot_product(v.embedding[1:{dims}]::DOUBLE[], q.embedding[1:{dims}]::DOUBLE[]), 6) DESC, v.vec_id) AS r
+FROM embeddings v JOIN embeddings q ON v.vec_id <> q.vec_id) WHERE r <= 10 GROUP BY q, q_label, room"""
+
+
+def _rankings(spark: SparkSession, sf_dir: str) -> list[DataFrame]:
+    """The measures of every vector as a query, for all dimensions and for the first half."""
+    vectors = spark.read.parquet(f"{sf_dir}/embeddings.parquet")
+    return [RANK.metrics(RANK.nearest(vectors, vectors, dims, block=200, part=300), vectors.select("vec_id", "label")) for dims in (64, 32)]
+
+
+@query(f"SELECT 'champion' AS model, * FROM ({_ranked('64')}) UNION ALL SELECT 'challenger', * FROM ({_ranked('32')})")
+def shadow_ranking(spark: SparkSession, sf_dir: str) -> DataFrame:
+    one, other = _rankings(spark, sf_dir)
+    return one.select(F.lit("champion").alias("model"), "*").unionByName(other.select(F.lit("challenger").alias("model"), "*"))
+
+
+@query(f"""WITH d AS (SELECT a.query_id, b.ndcg - a.ndcg AS d FROM ({_ranked('64')}) a JOIN ({_ranked('32')}) b USING (query_id)),
+w AS (SELECT r, d, list_sum(list_transform([{", ".join(map(repr, RANK._POISSON))}], lambda p: (('0x' || substr(md5(query_id || ':' || r), 1, 8))::BIGINT / 4294967296.0::DOUBLE >= p)::INT)) AS t FROM d, range(1, 201) x(r)),
+m AS (SELECT r, round(sum(t * d) / sum(t), 6) AS m FROM w GROUP BY r), l AS (SELECT list_sort(list(m)) AS l FROM m WHERE m IS NOT NULL)
+SELECT (SELECT count(*) FROM d) AS queries, (SELECT round(avg(d), 6) FROM d) AS difference, l[1 + floor(0.025 * (len(l) - 1))::INT] AS low, l[1 + floor(0.975 * (len(l) - 1))::INT] AS high FROM l""")
+def shadow_bootstrap(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Whether half of the dimensions rank worse than all of them, with the interval of 200 resamples of the queries."""
+    return RANK.bootstrap(*_rankings(spark, sf_dir))
