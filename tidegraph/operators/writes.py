@@ -108,7 +108,8 @@ def reload(log: DataFrame, payload: DataFrame, columns: Sequence[str], *, graph_
         raise ValueError(f"confirm must be {graph_id}")
     prior = log.agg(F.max("commit_seq")).first()[0] or 0
     state = last_events(log).where("op = 'assert'")
-    change = diff(state, payload, "edge_id", columns)
+    # written once; counts and both kinds of events read it
+    change = materialise(diff(state, payload, "edge_id", columns), "diff")
     counts = {"added": 0, "changed": 0, "removed": 0, "unchanged": 0} | {r.change: r.n for r in change.groupBy("change").agg(F.count("*").alias("n")).collect()}
     marks = {"commit_seq": F.lit(prior + 1).cast("long"), "event_ord": F.lit(0)}
     upserts = payload.join(change.where("change IN ('added', 'changed')"), "edge_id", "left_semi").withColumns(marks | {"op": F.lit("assert")})

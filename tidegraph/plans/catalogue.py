@@ -1085,6 +1085,17 @@ def stream_import(spark: SparkSession, sf_dir: str) -> DataFrame:
     return imports.imported(spark, target).select("src", "relation", "dst")
 
 
+@on_graph("""SELECT CASE o_orderkey % 4 WHEN 0 THEN 'statement' WHEN 1 THEN 'malformed' WHEN 2 THEN 'malformed' ELSE 'nothing' END AS kind, count(*) AS n FROM orders GROUP BY 1""")
+def rdf_malformed(g: Graph) -> DataFrame:
+    """Lines without an end, with a literal as subject, comments and statements: what is dropped is told."""
+    quads = rdf.from_edges(g.all_edges(["PLACED"])).withColumn("k", F.regexp_extract("o", "ORDER/([0-9]+)", 1).cast("long") % 4)
+    whole = rdf.statement()
+    lines = quads.select(F.when(F.col("k") == 0, whole).when(F.col("k") == 1, F.rtrim(F.concat(whole, F.lit("x")))).when(F.col("k") == 2, F.concat(F.lit('"text" '), whole)).otherwise(F.concat(F.lit(" # "), whole)).alias("value"))
+    kinds = {"statement": rdf.parse(lines), "malformed": rdf.malformed(lines), "nothing": lines.where(F.col("value").rlike(rdf.NOTHING))}
+    found = [d.agg(F.lit(k).alias("kind"), F.count("*").alias("n")) for k, d in kinds.items()]
+    return reduce(lambda a, b: a.unionByName(b), found)
+
+
 @query("SELECT 'edges' AS family, count(*) AS n FROM orders UNION ALL SELECT 'entities', count(*) FROM customer UNION ALL SELECT 'malformed', count(*) FROM region UNION ALL SELECT 'unknown', count(*) FROM nation")
 def stream_import_mixed(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Triplets, entities, broken lines and lines of no kind in one inbox: each is kept and counted."""

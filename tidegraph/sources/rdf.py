@@ -13,17 +13,27 @@ _LITERAL = r"\"[^\"\\\n\r]*+(?:\\.[^\"\\\n\r]*+)*+\"(?:@[A-Za-z]++(?:-[A-Za-z0-9
 STATEMENT = rf"^\s*({_IRI}|{_BLANK})\s*({_IRI})\s*({_IRI}|{_BLANK}|{_LITERAL})\s*({_IRI}|{_BLANK})?\s*\.\s*(?:#.*)?$"
 
 
+#: Lines that say nothing.
+NOTHING = r"^\s*(#.*)?$"
+
+
+def malformed(lines: DataFrame) -> DataFrame:
+    """The lines that parse() drops where it is not strict: no statements, and neither blank nor comments."""
+    return lines.where(~F.col("value").rlike(NOTHING) & ~F.col("value").rlike(STATEMENT))
+
+
 def parse(lines: DataFrame, *, strict: bool = False, scope: str | None = None, graph_uri: str | None = None) -> DataFrame:
     """Quads s, p, o, g in canonical N-Triples text from a column value; blank and comment lines are skipped.
 
     Escapes of code points are replaced, language tags are in small letters, so
     equal terms have equal texts.
 
-    A line that is no statement is dropped, or raises if strict. scope
+    A line that is no statement is dropped, and told by malformed(), or raises
+    if strict. scope
     prefixes blank-node labels, so that labels of different documents differ.
     g is null without a graph, or graph_uri.
     """
-    lines = lines.where(~F.col("value").rlike(r"^\s*(#.*)?$"))
+    lines = lines.where(~F.col("value").rlike(NOTHING))
     part = lambda i: F.regexp_extract("value", STATEMENT, i)
     good = F.col("value").rlike(STATEMENT)
     lines = lines.withColumn("value", F.when(good, F.col("value")).otherwise(F.raise_error(F.concat(F.lit("not a statement: "), F.col("value"))))) if strict else lines.where(good)
