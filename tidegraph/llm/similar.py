@@ -42,6 +42,8 @@ BUDGET, BLOCKS = 3, 5
 SAMPLE, EVERY, FREQUENT, OFTEN = 5_000, 50, 100_000, 4
 #: Rows under one shingle, beyond which it is dealt into parts that meet by twos.
 HEAVY = 20_000
+#: Places at most of the bitmap that goes with each of a text's first shingles, so that it does not grow with the text.
+WIDEST = 1024
 #: Pairs of rows under one shingle that are compared at once.
 AT_ONCE = 4_000_000
 #: Words whose hash a worker remembers.
@@ -113,9 +115,10 @@ def prefix(own: np.ndarray, frequent: np.ndarray, counts: np.ndarray, similarity
     return own[: len(own) - int(np.ceil(similarity * len(own) - 1e-9)) + 1]
 
 
-def bitmap(own: np.ndarray) -> bytes:
-    """The parity of a set's shingles in each of as many places as it has shingles, at least 64, rounded up to a power of two."""
+def bitmap(own: np.ndarray, widest: int | None = None) -> bytes:
+    """The parity of a set's shingles in each of as many places as it has shingles, rounded up to a power of two: at least 64, at most widest."""
     width = max(64, 1 << (max(1, len(own)) - 1).bit_length())
+    width = min(widest or width, width)
     return np.packbits(np.bincount(own & (width - 1), minlength=width) & 1).tobytes()
 
 
@@ -128,8 +131,8 @@ def apart(one: bytes, other: bytes) -> int:
 
 
 def _sketched(words_each: int, similarity: float, frequent: np.ndarray, counts: np.ndarray, heavy: int):
-    """Each text's fingerprint, number of shingles, first shingles, how many parts the rows of each are dealt into (null: all one), bitmap of all."""
-    kinds = {"_fp": pa.int64(), "_size": pa.int32(), "_keys": pa.list_(pa.int64()), "_salts": pa.list_(pa.int32()), "_bits": pa.binary()}
+    """Each text's fingerprint, number of shingles, first shingles, how many parts the rows of each are dealt into (null: all one), bitmap of all, and a wider one if the text is long."""
+    kinds = {"_fp": pa.int64(), "_size": pa.int32(), "_keys": pa.list_(pa.int64()), "_salts": pa.list_(pa.int32()), "_bits": pa.binary(), "_wide": pa.binary()}
 
     def salts(keys: np.ndarray) -> np.ndarray | None:
         if not len(frequent):
@@ -146,7 +149,7 @@ def _sketched(words_each: int, similarity: float, frequent: np.ndarray, counts:
                 words = of.words(text.as_py())
                 own = of.shingles(words)
                 keys = prefix(own, frequent, counts, similarity)
-                rows.append((simhash.majority(np.unique(words)), len(own), keys, salts(keys), bitmap(own)))
+                rows.append((simhash.majority(np.unique(words)), len(own), keys, salts(keys), bitmap(own, WIDEST), bitmap(own) if len(own) > WIDEST else None))
             columns = [pa.array(x, kind) for x, kind in zip(zip(*rows, strict=True) if rows else [()] * len(kinds), kinds.values(), strict=True)]
             yield pa.RecordBatch.from_arrays([batch.column("_id"), batch.column("_who"), *columns], ["_id", "_who", *kinds])
         release()
@@ -155,10 +158,10 @@ def _sketched(words_each: int, similarity: float, frequent: np.ndarray, counts:
 
 
 def _sketches(rows: DataFrame, texts: int, similarity: float, words_each: int, heavy: int) -> DataFrame:
-    """_leaf, _id, _who, _fp, _size, _keys, _salts, _bits of every row (_id, _who, _content)."""
+    """_leaf, _id, _who, _fp, _size, _keys, _salts, _bits, _wide of every row (_id, _who, _content)."""
     frequent, counts = _frequent(rows, texts, words_each)
     kind = rows.schema["_id"].dataType.simpleString()
-    found = rows.mapInArrow(_sketched(words_each, similarity, frequent, counts, heavy), f"_id {kind}, _who binary, _fp long, _size int, _keys array<long>, _salts array<int>, _bits binary")
+    found = rows.mapInArrow(_sketched(words_each, similarity, frequent, counts, heavy), f"_id {kind}, _who binary, _fp long, _size int, _keys array<long>, _salts array<int>, _bits binary, _wide binary")
     # written at once, so the numbers stay what they are
     return materialise(found.select(F.monotonically_increasing_id().alias("_leaf"), "*"), "sketches")
 
@@ -189,8 +192,8 @@ def _within(similarity: float):
 
 
 def _checked(pairs: DataFrame, sketches: DataFrame, rows: DataFrame, similarity: float, words_each: int) -> DataFrame:
-    """The pairs (a, b) that are similar enough. Bitmaps rule out most others, so the sets of few texts travel."""
-    of = lambda end, set_: sketches.select(F.col("_leaf").alias(end), F.col("_size").alias(f"_n{end}"), F.col("_bits").alias(set_))
+    """The pairs (a, b) that are similar enough. Whole bitmaps, which travel once for each pair, rule out most others, so the sets of few texts travel."""
+    of = lambda end, set_: sketches.select(F.col("_leaf").alias(end), F.col("_size").alias(f"_n{end}"), F.coalesce("_wide", "_bits").alias(set_))
     near = pairs.join(of("a", "_one"), "a").join(of("b", "_other"), "b").select("a", "b", "_one", "_other", (F.col("_na") + F.col("_nb")).alias("_sizes"))
     near = materialise(near.mapInArrow(_within(similarity), "a long, b long"), "within")
     wanted = near.select(F.explode(F.array("a", "b")).alias("_leaf")).distinct()
@@ -354,7 +357,7 @@ def _shared_keys(sketches: DataFrame) -> DataFrame:
 def _meetings(shared: DataFrame, sketches: DataFrame, groups: DataFrame, pairs_of, similarity: float, heavy: int) -> DataFrame:
     """Pairs (a, b) of different groups (vertex, root) that meet under a shingle and can be similar enough; a text of no group is one by itself.
 
-    Bitmaps travel with the rows, so that pairs which they rule out are never rows.
+    Bitmaps of bounded width travel with the rows, so that pairs which they rule out are never rows.
     """
     labelled = shared.join(groups.withColumnRenamed("vertex", "_leaf"), "_leaf", "left").withColumn("_label", F.coalesce("root", "_leaf")).drop("root")
     # how many rows a shingle has, and whether groups meet there at all; combined before the shuffle
