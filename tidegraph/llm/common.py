@@ -13,6 +13,9 @@ from pyspark.sql import functions as F
 
 from tidegraph.shared import forget, materialise, new_folder, settled, shared_folder  # noqa: F401
 
+# Arrow's own pools keep what batches have freed; a worker lives on from one stage to the next
+pa.set_memory_pool(pa.system_memory_pool())
+
 #: A word is a run of anything but ASCII white space; bytes.split() follows the same rule.
 WORD = r"[^\x20\x09-\x0D]+"
 

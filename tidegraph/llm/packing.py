@@ -36,11 +36,11 @@ def as_bytes(ids: list[int]) -> bytes:
     return struct.pack(f"<{len(ids)}I", *ids)
 
 
-def _cut(path: str, capacity: int, end_id: int, with_ids: bool):
+def _cut(path: str, capacity: int, end_id: int, with_ids: bool, remembered: int | None):
     end = struct.pack("<I", end_id)
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        of = encoder(path, as_bytes)
+        of = encoder(path, as_bytes, remembered)
         for batch in batches:
             rows, starts, lengths, crcs, totals, ids = [], [], [], [], [], []
             texts = (x.as_py() for x in batch.column("_content"))
@@ -67,15 +67,16 @@ def _cut(path: str, capacity: int, end_id: int, with_ids: bool):
     return cut
 
 
-def token_pieces(docs: DataFrame, *, vocabulary: str | None = None, capacity: int = CAPACITY, end_id: int = END_ID, with_ids: bool = False, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+def token_pieces(docs: DataFrame, *, vocabulary: str | None = None, capacity: int = CAPACITY, end_id: int = END_ID, with_ids: bool = False, remembered: int | None = None, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """Every document's ids and the end id, cut into windows and a remainder.
 
-    with_ids adds the piece's ids, little-endian unsigned 32-bit.
+    with_ids adds the piece's ids, little-endian unsigned 32-bit. remembered
+    is how many words a worker remembers, if not tokens.REMEMBERED.
     """
     rows = docs.select(F.col(id_col).alias("_id"), content(text_col).alias("_content"))
     kind = rows.schema["_id"].dataType.simpleString()
     schema = f"_id {kind}, start long, length long, ids_crc32 long, doc_tokens long" + ", ids binary" * with_ids
-    return rows.mapInArrow(_cut(vocabulary or public_vocabulary(), capacity, end_id, with_ids), schema)
+    return rows.mapInArrow(_cut(vocabulary or public_vocabulary(), capacity, end_id, with_ids, remembered), schema)
 
 
 def minimum_bin_slack(lengths: dict[int, int], capacity: int) -> Iterator[list[tuple[int, int]]]:

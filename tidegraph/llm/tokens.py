@@ -95,7 +95,8 @@ class Encoder:
     #: Plain words encoded as one text.
     TOGETHER = 500
 
-    def __init__(self, path: str, value: Callable[[list[int]], object] = len):
+    def __init__(self, path: str, value: Callable[[list[int]], object] = len, remembered: int | None = None):
+        self.remembered = remembered or REMEMBERED
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         self.value, self.known, self.ends, self.lower, self.specials = value, {}, None, False, []
         #: Whether a long text can be cut at spaces: None if not, else whether the space stays.
@@ -190,7 +191,7 @@ class Encoder:
         split = [self._split(t) for t in texts]
         new = set().union(*split).difference(self.known)
         if new:
-            if len(self.known) + len(new) > REMEMBERED:
+            if len(self.known) + len(new) > self.remembered:
                 self.known.clear()
                 new = set().union(*split)
             self._learn(new)
@@ -248,9 +249,9 @@ def cuts_before_spaces(rules: dict) -> bool:
     return bool(usual and plain and _normalisers(rules) <= {"NFC", "NFD", "NFKC", "NFKD"})
 
 
-def encoder(path: str, value: Callable[[list[int]], object] = len) -> Encoder:
+def encoder(path: str, value: Callable[[list[int]], object] = len, remembered: int | None = None) -> Encoder:
     """One encoder for each worker process, kept between tasks."""
-    return kept(("tokens", path, value.__name__), lambda: Encoder(path, value))
+    return kept(("tokens", path, value.__name__, remembered), lambda: Encoder(path, value, remembered))
 
 
 def _counts(path: str):
