@@ -59,7 +59,8 @@ def packed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     A text without words is one piece, the end id. Null ids stay null;
     repeated rows, which mixing makes, are packed each.
     """
-    return packing.pack(docs)
+    # workers of the stages before are still there, so they remember less than in packing alone
+    return packing.pack(docs, remembered=150_000)
 
 
 STAGES: list[tuple[str, Callable[[SparkSession, DataFrame, str], DataFrame]]] = [
