@@ -133,3 +133,20 @@ def test_a_plain_merge_wants_a_parent_that_stood_still(spark):
     with pytest.raises(ValueError):
         writes.merge(trunk, own, 1, 5)
     assert state(writes.merge(trunk.where("commit_seq = 1"), own, 1, 2)) == {("x", 3)}
+
+
+def test_a_commit_that_is_all_new_or_all_known_moves_no_content(spark, tmp_path, monkeypatch):
+    path = f"{tmp_path}/log"
+    events = log_of(spark, event("e", 1), event("f", 1, price=None), event("e", 2))
+    with monkeypatch.context() as m:
+        m.setattr(writes, "new_events", lambda *_: pytest.fail("content was compared"))
+        m.setattr(writes, "conflicts", lambda *_: pytest.fail("content was compared"))
+        assert writes.commit(events, events.limit(0), path) == writes.Ack(2, 3, 0, False, False)
+        stored = spark.read.parquet(path).select(*events.columns)
+        assert writes.commit(events.repartition(3), stored, path) == writes.Ack(2, 0, 0, True, True)
+    with pytest.raises(ValueError):
+        writes.commit(log_of(spark, event("f", 1, price=0)), stored, path)
+    # known, sent twice, and without a key, which nothing known is equal to
+    mixed = log_of(spark, event("e", 1), event("g", 3), event("g", 3), event(None, 3))
+    assert writes.commit(mixed, stored, path) == writes.Ack(3, 2, 0, False, False)
+    assert spark.read.parquet(path).count() == 5
