@@ -147,3 +147,19 @@ def test_places_of_a_hot_key(spark):
     rows = [("hot", i * 7 % 1009, i) for i in range(1009)] + [("cold", 1, 0), ("cold", 0, 1)]
     got = placed(spark.createDataFrame(rows, "k string, v int, n int").repartition(5), ["k"], ["v"]).collect()
     assert {(r.k, r.v): r._at for r in got} == {**{("hot", v): v for v in range(1009)}, ("cold", 0): 0, ("cold", 1): 1}
+
+
+def test_rows_on_nodes_are_never_broadcast(spark):
+    values, bands = spark.range(100).select(F.col("id").cast("double").alias("v")), spark.range(100).select(F.col("id").alias("low"), (F.col("id") + 1).alias("high"))
+    found = intervals.range_join(values, bands, "v", "low", "high")
+    assert found.count() == 199
+    assert "Broadcast" not in found._jdf.queryExecution().executedPlan().toString()
+
+
+def test_many_small_keys_need_one_cell_and_a_large_one_many(spark):
+    rows = spark.range(10_000).select((F.col("id") % 1_000).alias("k"), F.col("id").alias("at"))
+    assert intervals.domain((rows, "at"), on=["k"]) == intervals.Domain(0.0, 9_999.0, 1, 0)
+    hot = rows.withColumn("k", F.when(F.col("at") % 2 == 0, F.lit(7)).when(F.col("at") % 3 > 0, F.col("k")))
+    assert intervals.domain((hot, "at"), on=["k"]).cells == 512
+    nulls = rows.withColumn("k", F.lit(None).cast("long"))
+    assert intervals.domain((nulls, "at"), on=["k"]) == intervals.Domain(0.0, 1.0, 1)

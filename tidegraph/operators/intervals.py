@@ -1,7 +1,8 @@
 """Joins of points with the intervals that hold them, and of intervals that overlap, by dyadic nodes.
 
 The domain of the points is cut into cells, as many as there are rows, and
-cells into a tree of 8 to a node. An interval is the disjoint union of at most
+cells into a tree of 8 to a node. Where keys have to be equal too, the rows of
+the key that has most decide, so that many small keys need few cells or one. An interval is the disjoint union of at most
 14 nodes a level (and up to 64 at the top), however long it is or whether it has
 an end; a point has one node a level. A point is in an interval just if they
 share a node, and then they share one only. So the join is an equality, rows
@@ -23,6 +24,8 @@ from pyspark.sql import types as TY
 CHILD_BITS, TOP_BITS = 3, 6
 #: Levels at most: 2^39 cells.
 MOST_LEVELS = 12
+#: Rows of a key in a cell that are compared one by one.
+CELL_ROWS = 32
 
 
 def position(df: DataFrame, column: str) -> Column:
@@ -44,10 +47,11 @@ class Domain:
     low: float
     high: float
     levels: int
+    top_bits: int = TOP_BITS
 
     @property
     def cells(self) -> int:
-        return 1 << (TOP_BITS + CHILD_BITS * (self.levels - 1))
+        return 1 << (self.top_bits + CHILD_BITS * (self.levels - 1))
 
     def cell(self, at: Column) -> Column:
         """Never falls as at grows; NaN is above all, as it is in Spark's order."""
@@ -56,18 +60,25 @@ class Domain:
         return F.when(F.isnan(at) | (at == float("inf")), self.cells - 1).when(at == float("-inf"), 0).otherwise(inside).cast("long")
 
 
-def domain(*points: tuple[DataFrame, str]) -> Domain:
-    """What these columns span; as many cells as there are rows. One number of each kind a table reaches the driver."""
+def domain(*points: tuple[DataFrame, str], on: Sequence[str] = ()) -> Domain:
+    """What these columns span; as many cells as there are rows, or as the largest key of on needs. One number of each kind a table reaches the driver."""
     low, high, rows = float("inf"), float("-inf"), 0
     for df, column in points:
         at = position(df, column)
         finite = F.when(~F.isnan(at) & (F.abs(at) != float("inf")), at)
-        n, a, b = df.agg(F.count(finite), F.min(finite), F.max(finite)).first()
+        each = df.groupBy(*on).agg(F.count(finite).alias("n"), F.min(finite).alias("a"), F.max(finite).alias("b"))
+        # a key with a null meets nothing
+        n, a, b = (each.dropna(subset=list(on)) if on else each).agg(F.max("n"), F.min("a"), F.max("b")).first()
         if n:
             low, high, rows = min(low, a), max(high, b), rows + n
     if not rows:
         return Domain(0.0, 1.0, 1)
-    levels = 1 + max(0, -(-(rows.bit_length() - TOP_BITS) // CHILD_BITS))
+    bits = rows.bit_length()
+    if on:
+        bits = (-(-rows // CELL_ROWS) - 1).bit_length()
+        if bits <= TOP_BITS:
+            return Domain(low, high, 1, bits)
+    levels = 1 + max(0, -(-(bits - TOP_BITS) // CHILD_BITS))
     return Domain(low, high, min(MOST_LEVELS, levels))
 
 
@@ -118,7 +129,8 @@ def stab(points: DataFrame, at: str, intervals: DataFrame, low: str, high: str,
     p = points.where(F.col(at).isNotNull()).withColumn("_node", F.explode(above(cell(position(points, at)), spans.levels)))
     last = F.coalesce(cell(position(intervals, high)), F.lit(spans.cells - 1).cast("long"))
     i = intervals.where(F.col(low).isNotNull()).withColumn("_node", F.explode(cover(cell(position(intervals, low)), last, spans.levels)))
-    return p.join(i, [*on, "_node"]).where(where).drop("_node")
+    # never a broadcast: what Spark takes for the size of these is that of the rows before they are put on nodes
+    return p.join(i.hint("merge"), [*on, "_node"]).where(where).drop("_node")
 
 
 def interval_join(left: DataFrame, right: DataFrame, on: Sequence[str], *, start: str = "valid_from", end: str = "valid_to", spans: Domain | None = None) -> DataFrame:
@@ -132,7 +144,7 @@ def interval_join(left: DataFrame, right: DataFrame, on: Sequence[str], *, start
     some = lambda d: d.where(F.col(start).isNotNull() & (F.col(end).isNull() | (F.col(end) > F.col(start))))
     left = some(left)
     right = some(right)
-    spans = spans or domain((left, start), (right, start))
+    spans = spans or domain((left, start), (right, start), on=on)
     r = right.select(*(F.col(c).alias(c if c in on else f"r_{c}") for c in right.columns))
     starts = [F.col(start), F.col(f"r_{start}")]
     ends = [F.col(end), F.col(f"r_{end}")]
@@ -144,4 +156,4 @@ def interval_join(left: DataFrame, right: DataFrame, on: Sequence[str], *, start
 def range_join(left: DataFrame, right: DataFrame, value: str, low: str, high: str, *, on: Sequence[str] = (), spans: Domain | None = None) -> DataFrame:
     """Rows of left with rows of right whose [low, high] holds left's value, whatever the lengths of these ranges."""
     ranges = right.where(F.col(low) <= F.col(high))
-    return stab(left, value, ranges, low, high, on, F.col(value).between(F.col(low), F.col(high)), spans or domain((left, value)))
+    return stab(left, value, ranges, low, high, on, F.col(value).between(F.col(low), F.col(high)), spans or domain((left, value), *([(ranges, low)] if on else []), on=on))

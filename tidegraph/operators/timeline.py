@@ -132,6 +132,6 @@ def asked(events: DataFrame, questions: DataFrame, at: str, *, commit_seq: int |
     rows = questions.withColumn("_question", F.monotonically_increasing_id())
     rows = materialise(rows, "questions")
     inside = (F.col(at) >= F.col("_from")) & (F.col(at) < F.col("_to"))
-    met = stab(rows.select("edge_id", at, "_question"), at, told, "_from", "_to", ["edge_id"], inside, spans or domain((rows, at)))
+    met = stab(rows.select("edge_id", at, "_question"), at, told, "_from", "_to", ["edge_id"], inside, spans or domain((rows, at), (told, "_from"), on=["edge_id"]))
     latest = met.groupBy("_question").agg(F.max("_event").alias("decided"), F.count("*").alias("spoken"))
     return rows.join(latest, "_question").drop("_question")
