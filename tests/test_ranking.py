@@ -70,3 +70,8 @@ def test_promotion_wants_a_better_interval(spark):
     assert signals.promote(runs, none, "k", 1, 10, expected=None, comparisons=[Comparison(9, 0.2, 0.1, 0.3)]).count() == 1
     _, vectors = made(spark)
     assert not ranking.compare(vectors, vectors, 6, 2).better
+
+
+def test_groups_grow_before_there_are_many(spark):
+    assert [ranking._groups(n, 200) for n in (0, 1, 200, 201, 2_000, 120_000, 1_000_000)] == [1, 1, 1, 2, 8, 8, 62]
+    assert ranking._groups(40_000, 50_000) == 1

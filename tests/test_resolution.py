@@ -46,3 +46,12 @@ def test_search_ranks_by_what_few_names_have(spark):
     assert of("new zealnd")[0] == "N/1" and of("new zealnd")[1] in ("N/2", "N/3", "N/4")
     assert set(of("NEW")) == {"N/1", "N/2", "N/3"} and of("qqq") == [] == of(None)
     assert ontology.ranked_search(texts, ontology.name_index(names.limit(0))).count() == 0
+
+
+def test_copies_of_names_are_met_once_and_ranked_by_id(spark):
+    rows = [(f"n{i:03}", "Ada Byron") for i in range(100)] + [("a", "Ada"), ("z", "Ada")]
+    index = ontology.name_index(spark.createDataFrame(rows, "id string, name string"))
+    alike = [tuple(r) for r in ontology._of_equal_runs(index, 3).orderBy("_first", "id").collect()]
+    assert alike == [("a", "a"), ("a", "z"), ("n000", "n000"), ("n000", "n001"), ("n000", "n002")]
+    found = ontology.ranked_search(spark.createDataFrame([("ada",), ("byron",)], "text string"), index, most=3)
+    assert [(r.text, r.id, r["rank"]) for r in found.orderBy("text", "rank").collect()] == [("ada", "a", 1), ("ada", "z", 2), ("ada", "n000", 3), ("byron", "n000", 1), ("byron", "n001", 2), ("byron", "n002", 3)]

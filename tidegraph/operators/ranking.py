@@ -10,7 +10,7 @@ both says, so resamples are sums that combine before the shuffle.
 from __future__ import annotations
 
 import math
-from collections.abc import Sequence
+from collections.abc import Iterator, Sequence
 from dataclasses import dataclass
 
 import numpy as np
@@ -19,8 +19,12 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-#: Queries of a block, and vectors of a part.
+#: Queries of a block, and vectors of a part, where these are few.
 BLOCK, PART = 1_024, 50_000
+#: Blocks, and parts, before either grows beyond that, and the rows to which it may grow.
+DEALT, MOST_ROWS = 8, 16_384
+#: Queries whose scores a task holds at once.
+AT_ONCE = 256
 RESAMPLES = 200
 
 
@@ -30,14 +34,26 @@ def _matrix(table: pa.Table, dims: int) -> np.ndarray:
     return flat.reshape(len(rows), -1)[:, :dims].astype(np.float64) if len(rows) else np.zeros((0, dims))
 
 
+def _scored(asked: np.ndarray, queries: np.ndarray, ids: np.ndarray, vectors: np.ndarray) -> Iterator[tuple[int, np.ndarray]]:
+    """Each query with the scores of all vectors, its own being the least."""
+    for at in range(0, len(asked), AT_ONCE):
+        some = asked[at : at + AT_ONCE]
+        scores = np.round(queries[at : at + AT_ONCE] @ vectors.T, 6)
+        scores[some[:, None] == ids[None]] = -np.inf
+        yield from zip(some.tolist(), scores, strict=True)
+
+
+def _groups(rows: int, size: int) -> int:
+    """Into how many groups of that size rows are dealt; more than DEALT only where these would have more than MOST_ROWS."""
+    return max(1, min(math.ceil(rows / size), max(DEALT, math.ceil(rows / MOST_ROWS))))
+
+
 def _nearest(dims: int, most: int):
     def near(queries: pa.Table, vectors: pa.Table) -> pa.Table:
         asked, ids = queries.column("_id").to_numpy(), vectors.column("_id").to_numpy()
         found: list[list] = [[], [], []]
         if len(asked) and len(ids):
-            scores = np.round(_matrix(queries, dims) @ _matrix(vectors, dims).T, 6)
-            scores[asked[:, None] == ids[None]] = -np.inf
-            for query, own in zip(asked.tolist(), scores, strict=True):
+            for query, own in _scored(asked, _matrix(queries, dims), ids, _matrix(vectors, dims)):
                 # more than most where scores tie at the edge, then by id
                 edge = np.partition(own, -most)[-most] if len(own) > most else -np.inf
                 some = np.flatnonzero((own >= edge) & (own > -np.inf))
@@ -56,10 +72,12 @@ def nearest(vectors: DataFrame, queries: DataFrame, dims: int, most: int = 10, *
 
     Ids are whole numbers; vectors are of one length and without nulls.
     Vectors are copied for each block of queries and queries for each part of
-    vectors; what a task holds is bounded by both.
+    vectors; what a task holds is bounded by both. Groups of block and part
+    rows grow to MOST_ROWS before there are more than DEALT, so up to
+    DEALT * MOST_ROWS rows what is copied grows no faster than they do.
     """
-    blocks, parts = (max(1, math.ceil(d.count() / n)) for d, n in ((queries, block), (vectors, part)))
-    of = lambda d: d.select(F.col(id_col).cast("long").alias("_id"), F.col(vector_col).alias("_v"))
+    blocks, parts = (_groups(d.count(), n) for d, n in ((queries, block), (vectors, part)))
+    of = lambda d: d.select(F.col(id_col).cast("long").alias("_id"), F.slice(vector_col, 1, dims).alias("_v"))
     deal = lambda n: F.pmod(F.xxhash64("_id"), F.lit(n)).cast("int")
     every = lambda n: F.explode(F.sequence(F.lit(0), F.lit(n - 1)))
     asked = of(queries).withColumn("_q", deal(blocks)).withColumn("_p", every(parts))
