@@ -106,3 +106,10 @@ def test_old_files_are_imported(spark, tmp_path):
         arrive(name, days)
         assert imports.wait(imports.start_import(spark, source, target, checkpoint)) == "succeeded"
     assert imports.imported(spark, target).select(F.count_distinct("src")).first()[0] == 3
+
+
+def test_one_generation_needs_no_fold(spark, tmp_path):
+    spark.createDataFrame([("e", 1, 0, "assert")], "edge_id string, commit_seq long, event_ord int, op string").write.parquet(f"{tmp_path}/a")
+    plan = lambda paths: imports._last(spark, paths)._jdf.queryExecution().executedPlan().toString()
+    assert "Aggregate" not in plan([f"{tmp_path}/a"])
+    assert "Aggregate" in plan([f"{tmp_path}/a", f"{tmp_path}/a"])

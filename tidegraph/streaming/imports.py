@@ -105,7 +105,7 @@ def start_fold(events: DataFrame, target: str, checkpoint: str) -> StreamingQuer
 
     def write(batch: DataFrame, number: int) -> None:
         path = f"{target}/batch={number}"
-        batch.write.mode("overwrite").parquet(path)
+        batch.write.mode("overwrite").option("compression", "zstd").parquet(path)
         batch.sparkSession.read.parquet(path).agg(F.max("commit_seq").alias("commit_seq")).write.mode("overwrite").parquet(f"{target}/published/batch={number}")
 
     return last_events(events).writeStream.outputMode("update").foreachBatch(write).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
@@ -129,7 +129,13 @@ def folded(spark: SparkSession, target: str) -> DataFrame:
 
     Reads the last compaction and the batches after it.
     """
-    return last_events(spark.read.parquet(*_paths(spark, target))).where("op = 'assert'")
+    return _last(spark, _paths(spark, target)).where("op = 'assert'")
+
+
+def _last(spark: SparkSession, paths: list[str]) -> DataFrame:
+    """The last event of every edge; one generation or batch has no others."""
+    found = spark.read.parquet(*paths)
+    return found if len(paths) == 1 else last_events(found)
 
 
 def compact_folded(spark: SparkSession, target: str) -> int:
@@ -141,7 +147,8 @@ def compact_folded(spark: SparkSession, target: str) -> int:
     compacted, batches = _generations(spark, target)
     before, last = compacted[-1] if compacted else -1, batches[-1]
     if last > before:
-        last_events(spark.read.parquet(*_paths(spark, target))).repartitionByRange("edge_id").write.mode("overwrite").parquet(f"{target}/upto={last}")
+        # dealt by edge already, if there was anything to put together
+        _last(spark, _paths(spark, target)).write.mode("overwrite").option("compression", "zstd").parquet(f"{target}/upto={last}")
         delete(spark, [f"{target}/batch={n}" for n in batches if n <= before] + [f"{target}/upto={n}" for n in compacted[:-1]])
     return last
 
