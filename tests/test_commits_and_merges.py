@@ -150,3 +150,13 @@ def test_a_commit_that_is_all_new_or_all_known_moves_no_content(spark, tmp_path,
     mixed = log_of(spark, event("e", 1), event("g", 3), event("g", 3), event(None, 3))
     assert writes.commit(mixed, stored, path) == writes.Ack(3, 2, 0, False, False)
     assert spark.read.parquet(path).count() == 5
+
+
+def test_a_reload_reads_the_log_once(spark, tmp_path):
+    log_of(spark, event("same", 1), event("changed", 1), event("gone", 1)).write.parquet(f"{tmp_path}/log")
+    log = spark.read.parquet(f"{tmp_path}/log").select(*LOG.replace(",", "").split()[::2])
+    payload = log_of(spark, event("same", 1), event("changed", 1, price=2), event("added", 1)).drop("commit_seq", "event_ord", "op")
+    done = writes.reload(log, payload, ["price"], graph_id="g", confirm="g")
+    assert done.counts == {"added": 1, "changed": 1, "removed": 1, "unchanged": 1}
+    assert all("tidegraph-diff" in name for name in done.events.inputFiles())
+    assert state(log.unionByName(done.events)) == {("same", 1), ("changed", 2), ("added", 1)}
