@@ -161,3 +161,10 @@ def test_structured_request(small):
     request = Request(patterns=[("?x", "p", "?y")], max_solutions=3)
     with pytest.raises(ValueError):
         run(small, request)
+
+
+def test_an_offset_alone_is_no_single_task(spark):
+    rows = spark.range(1_000, numPartitions=4).select((F.col("id") * 7919 % 1_000).alias("v"))
+    found = patterns.page(rows, ["v"], offset=10)
+    assert [r.v for r in found.collect()] == list(range(10, 1_000))
+    assert "GlobalLimit" not in found._jdf.queryExecution().executedPlan().toString()
