@@ -227,6 +227,56 @@ def test_a_bridge_that_is_not_similar_hides_no_link(spark):
         assert kept == {i for i in range(24) if i % 3 != 1}
 
 
+def family(members, seed=5):
+    """Texts that differ from one of 150 words in a few of its words each, so that pairs are about as similar as asked."""
+    dice = random.Random(seed)
+    base, rows = [f"b{i}" for i in range(150)], []
+    for i in range(members):
+        words = list(base)
+        for place in dice.sample(range(60), 3):
+            words[place] = f"x{dice.randrange(40)}"
+        rows.append((i, " ".join(words)))
+    return rows
+
+
+def groups_of(rows):
+    """Each row's least id over links, by brute force."""
+    sets = [set(simhash.shingle_hashes(x.encode(), 5).tolist()) for _, x in rows]
+    least = [i for i, _ in rows]
+    for n, x in enumerate(sets):
+        for m, y in enumerate(sets[:n]):
+            if least[n] != least[m] and len(x & y) >= 0.8 * len(x | y):
+                one, other = sorted((least[n], least[m]))
+                least = [one if i == other else i for i in least]
+    return least
+
+
+def test_pairs_of_a_large_family_are_no_rows(spark, monkeypatch):
+    rows, made, links = family(300), [], similar._checked
+
+    def told(pairs, *others):
+        made.append(pairs.count())
+        return links(pairs, *others)
+
+    monkeypatch.setattr(similar, "_checked", told)
+    want = groups_of(rows)
+    found = {r.doc_id: r.group for r in similar.similar_groups(frame(spark, rows), heavy=200).collect()}
+    assert [found.get(i, i) for i in range(300)] == want and 1 < len(set(want)) < 300
+    # of 44,850 pairs
+    assert max(made) < 1000, made
+
+
+def test_a_spanning_forest_joins_what_links_join():
+    rows = family(60, 9)
+    sets = np.empty(60, object)
+    sets[:] = [np.unique(simhash.shingle_hashes(x.encode(), 5).view(np.int64)) for _, x in rows]
+    found = similar.spanning(np.arange(60), sets, 0.8)
+    want = np.array(groups_of(rows))
+    one, other = np.array(found).T
+    assert similar.joined(np.arange(60), one, other).tolist() == want.tolist() and len(found) == 60 - len(set(want.tolist()))
+    assert similar.spanning(want, sets, 0.8) == []
+
+
 def test_near_duplicates_of_odd_tables(spark):
     text = " ".join(f"w{i}" for i in range(60))
     rows = [(5, text, "a", 1), (5, text, "b", 2), (2, text + " more", "c", 3), (None, text, "d", 4), (9, "other", None, 5), (8, None, "e", 6), (7, " \n", "f", 7)]

@@ -15,7 +15,11 @@ rarest shingles and a bitmap of all. Then:
    texts meet under those. First each shingle's first text is held against the
    others there, which joins up families of copies. Then, where texts of two
    groups still meet, all pairs of different groups are looked at; sizes,
-   places and bitmaps rule out most, and what is left is checked.
+   places and bitmaps rule out most, and what is left is checked. Where more
+   pairs than rows are left under a shingle, as in a large family whose members
+   are about as similar as asked, no pairs are made: the texts that they
+   connect are a block, which bitmaps of all shingles split again, and a task
+   that holds a block's sets gives a spanning forest of its links.
 
 So the groups are those of all links, whatever the budget is. A row's number,
 given when the pass is written, names it; texts are found again by a digest of
@@ -28,7 +32,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tidegraph.llm import simhash
@@ -44,6 +48,8 @@ SAMPLE, EVERY, FREQUENT, OFTEN = 5_000, 50, 100_000, 4
 HEAVY = 20_000
 #: Places at most of the bitmap that goes with each of a text's first shingles, so that it does not grow with the text.
 WIDEST = 1024
+#: Bytes of a block of texts, beyond which it is dealt into parts that meet by twos.
+BLOCK_BYTES = 64_000_000
 #: Pairs of rows under one shingle that are compared at once.
 AT_ONCE = 4_000_000
 #: Words whose hash a worker remembers.
@@ -191,14 +197,18 @@ def _within(similarity: float):
     return run
 
 
+def _sets(leaves: DataFrame, sketches: DataFrame, rows: DataFrame, words_each: int) -> DataFrame:
+    """(_leaf, _set) of the leaves named."""
+    wanted = materialise(sketches.select("_leaf", "_who").join(leaves, "_leaf", "left_semi"), "wanted")
+    return materialise(rows.select("_who", "_content").join(wanted, "_who").select("_leaf", "_content").mapInArrow(_shingled(words_each), "_leaf long, _set array<long>").dropDuplicates(["_leaf"]), "shingles")
+
+
 def _checked(pairs: DataFrame, sketches: DataFrame, rows: DataFrame, similarity: float, words_each: int) -> DataFrame:
     """The pairs (a, b) that are similar enough. Whole bitmaps, which travel once for each pair, rule out most others, so the sets of few texts travel."""
     of = lambda end, set_: sketches.select(F.col("_leaf").alias(end), F.col("_size").alias(f"_n{end}"), F.coalesce("_wide", "_bits").alias(set_))
     near = pairs.join(of("a", "_one"), "a").join(of("b", "_other"), "b").select("a", "b", "_one", "_other", (F.col("_na") + F.col("_nb")).alias("_sizes"))
     near = materialise(near.mapInArrow(_within(similarity), "a long, b long"), "within")
-    wanted = near.select(F.explode(F.array("a", "b")).alias("_leaf")).distinct()
-    wanted = materialise(sketches.select("_leaf", "_who").join(wanted, "_leaf", "left_semi"), "wanted")
-    sets = materialise(rows.select("_who", "_content").join(wanted, "_who").select("_leaf", "_content").mapInArrow(_shingled(words_each), "_leaf long, _set array<long>").dropDuplicates(["_leaf"]), "shingles")
+    sets = _sets(near.select(F.explode(F.array("a", "b")).alias("_leaf")).distinct(), sketches, rows, words_each)
     full = near.join(sets.select(F.col("_leaf").alias("a"), F.col("_set").alias("_one")), "a").join(sets.select(F.col("_leaf").alias("b"), F.col("_set").alias("_other")), "b")
     return full.select("a", "b", "_one", "_other").mapInArrow(_jaccard(similarity), "a long, b long")
 
@@ -271,45 +281,96 @@ class Bitmaps:
         return keep
 
 
-def _plausible(rows: Rows, bitmaps: Bitmaps, one: np.ndarray, other: np.ndarray, similarity: float) -> tuple[np.ndarray, np.ndarray]:
-    """Leaves of those pairs of rows that their bitmaps leave."""
-    leaf, size = rows[2], rows[4]
+def _plausible(size: np.ndarray, bitmaps: Bitmaps, one: np.ndarray, other: np.ndarray, similarity: float) -> tuple[np.ndarray, np.ndarray]:
+    """Those pairs of rows that their bitmaps leave."""
     keep = bitmaps.within(one, other, (1 - similarity) / (1 + similarity) * (size[one] + size[other]) + 1e-9)
-    return leaf[one[keep]], leaf[other[keep]]
+    return one[keep], other[keep]
+
+
+def joined(roots: np.ndarray, one: np.ndarray, other: np.ndarray) -> np.ndarray:
+    """The least row that each one leads to, by roots so far and by these pairs of rows."""
+    while (roots[one] != roots[other]).any():
+        roots = roots.copy()
+        ends, least = (roots[one], roots[other]), np.minimum(roots[one], roots[other])
+        for end in ends:
+            np.minimum.at(roots, end, least)
+        while (roots != roots[roots]).any():
+            roots = roots[roots]
+    return roots
+
 
+Met = tuple[np.ndarray, np.ndarray, bool]
 
-def _star(rows: Rows, bounds: np.ndarray, similarity: float) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+
+def _star(rows: Rows, bounds: np.ndarray, similarity: float) -> Iterator[Met]:
     """Of each key, its first row with the rows of other labels."""
     leaf, label, size, pos, bits = rows[2:]
     first, each = np.repeat(bounds[:-1], np.diff(bounds)), np.arange(len(leaf))
     near = np.flatnonzero((label[first] != label[each]) & can_be_similar(size[first], pos[first], size, pos, similarity))
-    yield _plausible(rows, Bitmaps(bits), first[near], near, similarity)
+    one, other = _plausible(size, Bitmaps(bits), first[near], near, similarity)
+    yield leaf[one], leaf[other], False
 
 
-def _all_pairs(rows: Rows, bounds: np.ndarray, similarity: float) -> Iterator[tuple[np.ndarray, np.ndarray]]:
-    """Of each key, all pairs of rows of different labels, so many at once."""
-    label, size, pos, bits = rows[3:]
+def _all_pairs(rows: Rows, bounds: np.ndarray, similarity: float) -> Iterator[Met]:
+    """Of each key, all pairs of rows of different labels; if these are more than its rows, then, marked so, each row with the least that they lead to."""
+    leaf, label, size, pos, bits = rows[2:]
     bitmaps = Bitmaps(bits)
     for low, high in zip(bounds[:-1][np.diff(bounds) > 1].tolist(), bounds[1:][np.diff(bounds) > 1].tolist(), strict=True):
         own = slice(low, high)
         if (label[own] == label[low]).all():
             continue
-        step = max(1, AT_ONCE // (high - low))
+        step, found, roots = max(1, AT_ONCE // (high - low)), [], None
         for at in range(low, high, step):
             to = slice(at, min(high, at + step))
             near = (label[to, None] < label[None, own]) & can_be_similar(size[to, None], pos[to, None], size[None, own], pos[None, own], similarity)
             i, j = np.nonzero(near)
-            yield _plausible(rows, bitmaps, at + i, low + j, similarity)
+            found.append(_plausible(size, bitmaps, at + i, low + j, similarity))
+            if roots is not None or sum(len(one) for one, _ in found) > high - low:
+                one, other = (np.concatenate(x) - low for x in zip(*found, strict=True))
+                roots, found = joined(np.arange(high - low) if roots is None else roots, one, other), []
+        if roots is None:
+            yield from ((leaf[one], leaf[other], False) for one, other in found)
+        else:
+            led = np.flatnonzero(roots != np.arange(high - low))
+            yield leaf[low + led], leaf[low + roots[led]], True
+
+
+def spanning(labels: np.ndarray, sets: np.ndarray, similarity: float) -> list[tuple[int, int]]:
+    """Links between rows of different labels, as many as join up all labels that links join."""
+    sizes = np.array([len(x) for x in sets])
+    _, codes = np.unique(np.concatenate(sets), return_inverse=True)
+    bounds = np.concatenate([[0], np.cumsum(sizes)])
+    order = np.argsort(codes, kind="stable")
+    # the rows that have a shingle, for every shingle
+    having, starts = np.repeat(np.arange(len(sets)), sizes)[order], np.concatenate([[0], np.cumsum(np.bincount(codes))])
+    own, found = np.unique(labels, return_inverse=True)[1], []
+    for i in range(len(sets)):
+        if (own == own[i]).all():
+            continue
+        both = np.bincount(np.concatenate([having[starts[c] : starts[c + 1]] for c in codes[bounds[i] : bounds[i + 1]].tolist()]), minlength=len(sets))
+        near = np.flatnonzero((own != own[i]) & (both >= similarity * (sizes + sizes[i] - both)))
+        _, least = np.unique(own[near], return_index=True)
+        for j in near[least].tolist():
+            found.append((i, j))
+            own[own == own[j]] = own[i]
+    return found
+
+
+def _all_links(rows: Rows, bounds: np.ndarray, similarity: float) -> Iterator[Met]:
+    """Of each key, a spanning forest of the links between labels, told from whole sets."""
+    leaf, label, sets = rows[2:]
+    for low, high in zip(bounds[:-1].tolist(), bounds[1:].tolist(), strict=True):
+        links = np.array(spanning(label[low:high], sets[low:high], similarity), np.int64).reshape(-1, 2)
+        yield leaf[low + links[:, 0]], leaf[low + links[:, 1]], False
 
 
-def _met(pairs_of, similarity: float):
-    """Pairs under one (_key, _sub), the lesser leaf first; rows arrive ordered by them."""
-    names = ("_key", "_sub", "_leaf", "_label", "_size", "_pos", "_bits")
+def _met(pairs_of, similarity: float, names: tuple[str, ...] = ("_key", "_sub", "_leaf", "_label", "_size", "_pos", "_bits")):
+    """Pairs under one (_key, _sub), the lesser leaf first, and whether they stand for more pairs than there are rows; rows arrive ordered by key and sub."""
 
     def told(rows: Rows, bounds: np.ndarray) -> Iterator[pa.RecordBatch]:
         found, size = [], 0
-        for one, other in pairs_of(rows, bounds, similarity):
-            found.append((np.minimum(one, other), np.maximum(one, other)))
+        for one, other, dense in pairs_of(rows, bounds, similarity):
+            found.append((np.minimum(one, other), np.maximum(one, other), np.full(len(one), dense)))
             size += len(one)
             if size > AT_ONCE:
                 yield batch_of(found)
@@ -317,13 +378,13 @@ def _met(pairs_of, similarity: float):
         if size:
             yield batch_of(found)
 
-    def batch_of(found: list[tuple[np.ndarray, np.ndarray]]) -> pa.RecordBatch:
+    def batch_of(found: list[Met]) -> pa.RecordBatch:
         # texts meet under many keys, so a pair is here again and again
-        a, b = (np.concatenate(x) for x in zip(*found, strict=True))
-        order = np.lexsort((b, a))
-        a, b = a[order], b[order]
-        new = np.append(True, (a[1:] != a[:-1]) | (b[1:] != b[:-1]))
-        return pa.RecordBatch.from_arrays([pa.array(a[new]), pa.array(b[new])], ["a", "b"])
+        a, b, dense = (np.concatenate(x) for x in zip(*found, strict=True))
+        order = np.lexsort((dense, b, a))
+        a, b, dense = a[order], b[order], dense[order]
+        new = np.append(True, (a[1:] != a[:-1]) | (b[1:] != b[:-1]) | (dense[1:] != dense[:-1]))
+        return pa.RecordBatch.from_arrays([pa.array(x[new]) for x in (a, b, dense)], ["a", "b", "dense"])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: list[Rows] = []
@@ -355,20 +416,53 @@ def _shared_keys(sketches: DataFrame) -> DataFrame:
 
 
 def _meetings(shared: DataFrame, sketches: DataFrame, groups: DataFrame, pairs_of, similarity: float, heavy: int) -> DataFrame:
-    """Pairs (a, b) of different groups (vertex, root) that meet under a shingle and can be similar enough; a text of no group is one by itself.
+    """Pairs (a, b, dense) of different groups (vertex, root) that meet under a shingle and can be similar enough; a text of no group is one by itself.
 
     Bitmaps of bounded width travel with the rows, so that pairs which they rule out are never rows.
     """
-    labelled = shared.join(groups.withColumnRenamed("vertex", "_leaf"), "_leaf", "left").withColumn("_label", F.coalesce("root", "_leaf")).drop("root")
+    labelled = _labelled(shared, groups)
     # how many rows a shingle has, and whether groups meet there at all; combined before the shuffle
     live = labelled.groupBy("_key").agg(F.count("*").alias("_n"), F.min("_label").alias("_x"), F.max("_label").alias("_y")).where("_x != _y")
     rows = labelled.join(live.select("_key", (1 + F.floor(F.col("_n") / heavy)).cast("int").alias("_parts")), "_key")
     rows = rows.join(sketches.select("_leaf", "_bits"), "_leaf")
+    return _dealt(rows, "_leaf", "_label", "_size", "_pos", "_bits").mapInArrow(_met(pairs_of, similarity), _MET).distinct()
+
+
+_MET = "a long, b long, dense boolean"
+
+
+def _labelled(rows: DataFrame, groups: DataFrame) -> DataFrame:
+    return rows.join(groups.withColumnRenamed("vertex", "_leaf"), "_leaf", "left").withColumn("_label", F.coalesce("root", "_leaf")).drop("root")
+
+
+def _dealt(rows: DataFrame, *columns: str) -> DataFrame:
+    """_key, _sub and the columns, ordered by key and sub; a key of several _parts has a sub for each two of them."""
     part = F.pmod(F.xxhash64("_leaf"), F.col("_parts")).cast("int")
     subs = F.transform(F.sequence(F.lit(0), F.col("_parts") - 1), lambda x: F.least(x, part) * F.col("_parts") + F.greatest(x, part))
-    rows = rows.select("_key", F.explode(F.when(F.col("_parts") == 1, F.array(F.lit(0))).otherwise(subs)).alias("_sub"), "_leaf", "_label", "_size", "_pos", "_bits")
-    rows = rows.repartition("_key", "_sub").sortWithinPartitions("_key", "_sub", "_leaf")
-    return rows.mapInArrow(_met(pairs_of, similarity), "a long, b long").distinct()
+    rows = rows.select("_key", F.explode(F.when(F.col("_parts") == 1, F.array(F.lit(0))).otherwise(subs)).alias("_sub"), *columns)
+    return rows.repartition("_key", "_sub").sortWithinPartitions("_key", "_sub", "_leaf")
+
+
+def _blocks(dense: DataFrame, held: DataFrame, size: Column, groups: DataFrame, heavy: int) -> DataFrame:
+    """The rows of held (_leaf, ...) that dense pairs (a, b) connect: _key, their block, _parts, into how many it is dealt by rows and bytes, and _label."""
+    block = components(dense.select("a", "b")).select(F.col("root").alias("_key"), F.col("vertex").alias("_leaf"))
+    rows = _labelled(held.join(block, "_leaf"), groups)
+    sums = rows.groupBy("_key").agg((1 + F.floor(F.greatest(F.count("*") / heavy, F.sum(size) / BLOCK_BYTES))).cast("int").alias("_parts"))
+    return rows.join(sums, "_key")
+
+
+def _links_of_blocks(dense: DataFrame, sketches: DataFrame, rows: DataFrame, groups: DataFrame, similarity: float, words_each: int, heavy: int) -> DataFrame:
+    """Links (a, b) of different groups among texts that dense pairs connect, as many as join up all groups that links join."""
+    whole = sketches.select("_leaf", "_size", F.lit(0).alias("_pos"), F.coalesce("_wide", "_bits").alias("_bits"))
+    split = _dealt(_blocks(dense, whole, F.length("_bits"), groups, heavy), "_leaf", "_label", "_size", "_pos", "_bits")
+    split = materialise(split.mapInArrow(_met(_all_pairs, similarity), _MET).distinct(), "split")
+    found, dense = _checked(split.where("NOT dense").select("a", "b"), sketches, rows, similarity, words_each), split.where("dense")
+    if dense.isEmpty():
+        return found
+    sets = _sets(dense.select(F.explode(F.array("a", "b")).alias("_leaf")).distinct(), sketches, rows, words_each)
+    block = _dealt(_blocks(dense, sets, 8 * F.size("_set"), groups, heavy), "_leaf", "_label", "_set")
+    linked = block.mapInArrow(_met(_all_links, similarity, ("_key", "_sub", "_leaf", "_label", "_set")), _MET)
+    return found.unionByName(linked.select("a", "b"))
 
 
 def _who(id_col: str, text_col: str):
@@ -390,7 +484,10 @@ def _linked(docs: DataFrame, similarity: float, words_each: int, budget: int, bl
     groups = components(found)
     for pairs_of in (_star, _all_pairs):
         met = materialise(_meetings(shared, sketches, groups, pairs_of, similarity, heavy), "meetings")
-        far = materialise(_checked(met, sketches, rows, similarity, words_each), "far-links")
+        far, dense = _checked(met.where("NOT dense").select("a", "b"), sketches, rows, similarity, words_each), met.where("dense")
+        if not dense.isEmpty():
+            far = far.unionByName(_links_of_blocks(dense, sketches, rows, groups, similarity, words_each, heavy))
+        far = materialise(far, "far-links")
         if not far.isEmpty():
             found = found.unionByName(far)
             groups = components(found)
