@@ -160,3 +160,13 @@ def test_a_reload_reads_the_log_once(spark, tmp_path):
     assert done.counts == {"added": 1, "changed": 1, "removed": 1, "unchanged": 1}
     assert all("tidegraph-diff" in name for name in done.events.inputFiles())
     assert state(log.unionByName(done.events)) == {("same", 1), ("changed", 2), ("added", 1)}
+
+
+def test_contents_a_microsecond_apart_are_two(spark, tmp_path):
+    path = str(tmp_path / "log")
+    log = lambda micro: spark.createDataFrame([("e", 1, 0, "CONTAINS", dt.datetime(2020, 1, 1, 0, 0, 0, micro))], "edge_id string, commit_seq long, event_ord int, relation string, valid_from timestamp_ntz")
+    writes.commit(log(1), log(1).limit(0), path)
+    stored = spark.read.parquet(path).select(*log(1).columns)
+    assert writes.commit(log(1), stored, path).idempotent_replay
+    with pytest.raises(ValueError, match="more than one content"):
+        writes.commit(log(2), stored, path)
