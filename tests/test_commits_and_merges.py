@@ -50,6 +50,17 @@ def test_only_what_is_wholly_unchanged_is_skipped(spark):
     assert {r.edge_id for r in writes.skip_current(sent, log, ["src", "dst"]).collect()} == {"d", "new"}
 
 
+def test_each_event_travels_once_when_unchanged_ones_are_skipped(spark):
+    log = log_of(spark, *(event(e, 1) for e in "abc"))
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        plan = writes.skip_current(log, log)._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+    assert plan.count("Exchange hashpartitioning(edge_id") == plan.count("Exchange ") == 2
+
+
 def test_a_digest_is_of_a_multiset(spark):
     one = spark.createDataFrame([("e", "A", "r", "B", None, "assert", 0, 1), ("f", "A", "r", "B", None, "assert", 0, None)], CONTENT)
     of = lambda df: tuple(writes.digests(df).first())
