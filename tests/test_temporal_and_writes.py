@@ -216,6 +216,21 @@ def test_entity_detail_and_why(spark, log):
     assert (reasons["e2"].evidence, reasons["e2"].evidence_total) == (None, 0)
 
 
+def test_reasons_are_counted_where_they_are_ranked(spark, log):
+    evidence = spark.createDataFrame([("e1", f"ep/{i}", "said") for i in (3, 1, 2)] + [(None, "ep/4", "said")], "edge_id string, episode string, text string")
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        found = entities.why(log, evidence, most=2)
+        plan = found._jdf.queryExecution().executedPlan().toString()
+        got = {r.edge_id: r for r in found.collect()}
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+    assert ([e.episode for e in got["e1"].evidence], got["e1"].evidence_total, len(got["e1"].lineage), got["e1"].lineage_total) == (["ep/1", "ep/2"], 3, 2, 3)
+    # one shuffle for the events and one for the evidence
+    assert plan.count("Exchange hashpartitioning") == 2
+
+
 def test_gates_promotions_and_ticks(spark):
     truth = spark.createDataFrame([("q1", "a"), ("q1", "b"), ("q2", "c")], "q string, fact string")
     score = signals.fact_scores(truth.where("fact <> 'b'").unionByName(spark.createDataFrame([("q3", "z")], truth.schema)), truth, ["q", "fact"]).first()

@@ -81,10 +81,19 @@ def detail(events: DataFrame, properties: DataFrame, *, commit_seq: int | None =
     return found.na.fill(0, [f"{n}_total" for n in names])
 
 
+def _counted(rows: DataFrame, name: str, order: list[str], most: int) -> DataFrame:
+    """What _listed() gives, for ids that have few rows each: one shuffle, since rows are counted where they are ranked; those of one id meet in one task, which spills them."""
+    others, each = [c for c in rows.columns if c != "id"], W.partitionBy("id")
+    counted = rows.where("id IS NOT NULL").withColumn("_total", F.count(F.lit(1)).over(each))
+    first = counted.withColumn("_rank", F.row_number().over(each.orderBy(*order))).where(F.col("_rank") <= most)
+    lists = first.groupBy("id").agg(F.max("_total").alias(f"{name}_total"), F.array_sort(F.collect_list(F.struct("_rank", *others))).alias("_rows"))
+    return lists.select("id", f"{name}_total", F.transform("_rows", lambda r: F.struct(*(r[c].alias(c) for c in others))).alias(name))
+
+
 def why(events: DataFrame, evidence: DataFrame, *, most: int = 1000) -> DataFrame:
     """Per edge: the events that made it what it is, oldest first, and the evidence (edge_id, episode, text) for it; lists as in detail()."""
-    lineage = _listed(events.select(F.col("edge_id").alias("id"), "commit_seq", "event_ord", "op", "valid_from"), "lineage", ["commit_seq", "event_ord"], most)
-    grounds = _listed(evidence.select(F.col("edge_id").alias("id"), "episode", "text"), "evidence", ["episode", "text"], most)
+    lineage = _counted(events.select(F.col("edge_id").alias("id"), "commit_seq", "event_ord", "op", "valid_from"), "lineage", ["commit_seq", "event_ord"], most)
+    grounds = _counted(evidence.select(F.col("edge_id").alias("id"), "episode", "text"), "evidence", ["episode", "text"], most)
     return lineage.join(grounds, "id", "left").na.fill(0, ["evidence_total"]).withColumnRenamed("id", "edge_id")
 
 
