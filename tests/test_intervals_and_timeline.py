@@ -163,3 +163,24 @@ def test_many_small_keys_need_one_cell_and_a_large_one_many(spark):
     assert intervals.domain((hot, "at"), on=["k"]).cells == 512
     nulls = rows.withColumn("k", F.lit(None).cast("long"))
     assert intervals.domain((nulls, "at"), on=["k"]) == intervals.Domain(0.0, 1.0, 1)
+
+
+def test_ranges_meet_runs_of_points_and_not_each_point(spark):
+    values = spark.range(4_000).select(F.concat(F.lit("ORDER/"), F.col("id") * 37 % 100_003).alias("o"), (F.col("id") * 7919 % 4_001 / 8).alias("v"))
+    bands = spark.range(1_000).select(F.concat(F.lit("PART/"), F.col("id") * 41 % 100_003).alias("b"), (F.col("id") / 4).alias("low"), (F.col("id") / 4 + 200.3).alias("high"))
+    found = intervals.range_join(values, bands, "v", "low", "high").select("o", "b")
+    want = values.join(bands, F.col("v").between(F.col("low"), F.col("high"))).select("o", "b")
+    told = lambda d: tuple(d.agg(F.count("*"), F.sum(F.xxhash64("o", "b").cast("decimal(38,0)"))).first())
+    assert told(found) == told(want) and told(want)[0] > 1_500_000
+    # a plan is told from its end, so pairs are unpacked after the join
+    plan = found._jdf.queryExecution().executedPlan().toString()
+    assert -1 < plan.find("Generate inline(_points") < plan.find("SortMergeJoin")
+
+
+def test_runs_keep_points_with_null_columns_and_keys_apart(spark):
+    dice = random.Random(3)
+    points = [(i, dice.choice(["a", "b", None]), dice.choice([None, "x"]), None if i % 50 == 0 else dice.randrange(40)) for i in range(900)]
+    ranges = [(i, dice.choice(["a", "b", None]), low, low + dice.randrange(-1, 9)) for i in range(60) for low in (dice.randrange(40),)]
+    p, r = spark.createDataFrame(points, "i int, k string, more string, v int"), spark.createDataFrame(ranges, "j int, k string, low int, high int")
+    got = sorted((x.i, x.more or "", x.j) for x in intervals.range_join(p, r, "v", "low", "high", on=["k"]).collect())
+    assert got == sorted((i, m or "", j) for i, k, m, v in points for j, k2, low, high in ranges if k is not None and k == k2 and v is not None and low <= v <= high)

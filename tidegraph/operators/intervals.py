@@ -9,6 +9,11 @@ share a node, and then they share one only. So the join is an equality, rows
 grow by the logarithm of their number, and no width has to be chosen. The top
 of the tree is 64 nodes and not one, so what spans everything meets the points
 of a key in 64 places and not in one.
+
+A range join gives many rows for few: each range with all points in it. There,
+points travel in runs of neighbours that share a node, so a range meets a run
+and not each point, and the rows that come out are short sequences that repeat,
+which Parquet's pages hold in a fraction of a byte a row.
 """
 
 from __future__ import annotations
@@ -26,6 +31,8 @@ CHILD_BITS, TOP_BITS = 3, 6
 MOST_LEVELS = 12
 #: Rows of a key in a cell that are compared one by one.
 CELL_ROWS = 32
+#: Bits of the number of points that a run has at most.
+RUN_BITS = 4
 
 
 def position(df: DataFrame, column: str) -> Column:
@@ -120,17 +127,32 @@ def above(cell: Column, levels: int) -> Column:
     return F.array(*(_node(level, _shift(cell, CHILD_BITS * level)) for level in range(levels)))
 
 
-def stab(points: DataFrame, at: str, intervals: DataFrame, low: str, high: str, on: Sequence[str], where: Column, spans: Domain) -> DataFrame:
+def stab(points: DataFrame, at: str, intervals: DataFrame, low: str, high: str, on: Sequence[str], where: Column, spans: Domain, *, in_runs: bool = False) -> DataFrame:
     """points with the intervals of equal on that hold them, as where says exactly; each pair once. A null high has no end.
 
-    Columns other than on must differ. Rows with a null key, point or low find nothing.
+    Columns other than on must differ. Rows with a null key, point or low find
+    nothing. in_runs pays where most points are in many intervals.
     """
     cell = spans.cell
-    p = points.where(F.col(at).isNotNull()).withColumn("_node", F.explode(above(cell(position(points, at)), spans.levels)))
+    p = points.where(F.col(at).isNotNull()).withColumn("_cell", cell(position(points, at)))
+    if in_runs:
+        # the hash deals out points of one cell; a run is of one task
+        tie = F.xxhash64(*points.columns).alias("_tie")
+        p = p.select("*", tie).repartitionByRange(*on, "_cell", "_tie").sortWithinPartitions(*on, "_cell", "_tie").drop("_tie")
+        p = p.withColumn("_run", F.shiftright(F.monotonically_increasing_id(), RUN_BITS))
+    p = p.withColumn("_node", F.explode(above(F.col("_cell"), spans.levels))).drop("_cell")
+    if in_runs:
+        own = [c for c in points.columns if c not in on]
+        p = p.groupBy(*on, "_node", "_run").agg(F.collect_list(F.struct(*own)).alias("_points")).drop("_run")
     last = F.coalesce(cell(position(intervals, high)), F.lit(spans.cells - 1).cast("long"))
-    i = intervals.where(F.col(low).isNotNull()).withColumn("_node", F.explode(cover(cell(position(intervals, low)), last, spans.levels)))
+    i = intervals.where(F.col(low).isNotNull())
+    # what comes from one small file would be put on nodes by one task
+    i = (i.repartition(*i.columns) if in_runs else i).withColumn("_node", F.explode(cover(cell(position(intervals, low)), last, spans.levels)))
     # never a broadcast: what Spark takes for the size of these is that of the rows before they are put on nodes
-    return p.join(i.hint("merge"), [*on, "_node"]).where(where).drop("_node")
+    met = p.join(i.hint("merge"), [*on, "_node"]).drop("_node")
+    if in_runs:
+        met = met.select("*", F.inline("_points")).select(*on, *own, *(c for c in intervals.columns if c not in on))
+    return met.where(where)
 
 
 def interval_join(left: DataFrame, right: DataFrame, on: Sequence[str], *, start: str = "valid_from", end: str = "valid_to", spans: Domain | None = None) -> DataFrame:
@@ -156,4 +178,5 @@ def interval_join(left: DataFrame, right: DataFrame, on: Sequence[str], *, start
 def range_join(left: DataFrame, right: DataFrame, value: str, low: str, high: str, *, on: Sequence[str] = (), spans: Domain | None = None) -> DataFrame:
     """Rows of left with rows of right whose [low, high] holds left's value, whatever the lengths of these ranges."""
     ranges = right.where(F.col(low) <= F.col(high))
-    return stab(left, value, ranges, low, high, on, F.col(value).between(F.col(low), F.col(high)), spans or domain((left, value), *([(ranges, low)] if on else []), on=on))
+    spans = spans or domain((left, value), *([(ranges, low)] if on else []), on=on)
+    return stab(left, value, ranges, low, high, on, F.col(value).between(F.col(low), F.col(high)), spans, in_runs=True)
