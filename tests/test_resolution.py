@@ -55,3 +55,32 @@ def test_copies_of_names_are_met_once_and_ranked_by_id(spark):
     assert alike == [("a", "a"), ("a", "z"), ("n000", "n000"), ("n000", "n001"), ("n000", "n002")]
     found = ontology.ranked_search(spark.createDataFrame([("ada",), ("byron",)], "text string"), index, most=3)
     assert [(r.text, r.id, r["rank"]) for r in found.orderBy("text", "rank").collect()] == [("ada", "a", 1), ("ada", "z", 2), ("ada", "n000", 3), ("byron", "n000", 1), ("byron", "n001", 2), ("byron", "n002", 3)]
+
+
+def test_no_run_of_a_name_is_broadcast(spark):
+    names = spark.createDataFrame([(f"n{i:03}", f"Ada Byron {i}") for i in range(50)], "id string, name string")
+    texts = spark.createDataFrame([("ada",)], "text string")
+    index = ontology.name_index(names)
+    plans = [d._jdf.queryExecution().optimizedPlan().toString() for d in (index, ontology.ranked_search(texts, index, most=3))]
+    # but for what letters there are, the number of names and the texts' own
+    assert all("Join" not in line or "broadcast" in line or "merge" in line or "Cross" in line for plan in plans for line in plan.splitlines())
+    assert "Join LeftSemi" not in plans[1]
+
+
+def test_names_and_texts_in_parts_and_blocks_rank_alike(spark, monkeypatch):
+    dice = random.Random(5)
+    word = lambda n: "".join(dice.choice("abc ") for _ in range(dice.randrange(1, n)))
+    index = ontology.name_index(spark.createDataFrame([(f"n{i:03}", word(8)) for i in range(200)], "id string, name string"))
+    texts = spark.createDataFrame([(word(10),) for _ in range(60)] + [("zzz",), (None,)], "text string")
+    asked = texts.select("text", F.explode(ontology._grams(ontology.normalised("text"))).alias("gram")).distinct()
+    own = asked.join(index.select("gram", "weight").distinct(), "gram").groupBy("text").agg(F.sum("weight").alias("own"))
+    met = asked.join(index, "gram").groupBy("text", "id").agg(F.sum("weight").alias("both"), F.max("norm").alias("norm")).join(own, "text")
+    told = {}
+    for r in met.withColumn("shared", F.expr("both * 1000000 div (norm + own - both)")).collect():
+        told.setdefault(r.text, []).append((-r.shared, r.id))
+    want = sorted((t, i, -s, k + 1) for t, rows in told.items() for k, (s, i) in enumerate(sorted(rows)[:4]))
+    of = lambda: sorted(tuple(r) for r in ontology.ranked_search(texts, index, most=4).collect())
+    assert of() == want
+    monkeypatch.setattr(ontology, "NAMES", 9)
+    monkeypatch.setattr(ontology, "TEXTS", 13)
+    assert of() == want
