@@ -40,6 +40,22 @@ def test_two_contents_under_one_key_raise(spark, tmp_path):
     assert writes.conflicts(known, known, writes.EVENT_KEY).count() == 0
 
 
+def test_groups_of_keys_say_what_each_key_says_or_nothing(spark):
+    old = [event("a", 1), event("a", 1, "retract", 1), event("b", 1, price=None), event("c", 1)]
+    log = log_of(spark, *old)
+    of = lambda *rows: (log_of(spark, *rows), log, writes.EVENT_KEY)
+    new = [event("a", 2), event("a", 2, "retract", 1), event("a", 2, order=2), event("d", 1)]
+    for rows in ([], old, new, new + old[2:], old[::-1]):
+        assert writes._weighed_by_group(*of(*rows)) == writes._weighed_by_key(*of(*rows)) is not None
+    # in part known, other content, twice the same, two contents, more keys than places, a null in a key
+    doubts = [old[:1], [event("b", 1)], [event("e", 1)] * 2, [event("e", 1), event("e", 1, price=2)], [event("e", 1), event("e", 1, order=32)], [event("e", 1, order=None), event("e", 1)]]
+    for rows in doubts:
+        assert writes._weighed_by_group(*of(*rows)) is None
+        assert writes._weighed(*of(*rows)) == writes._weighed_by_key(*of(*rows))
+    named = spark.createDataFrame([("x", 1), ("y", 2)], "k string, v int")
+    assert writes._weighed_by_group(named, named.limit(1), ["k"]) == {"sent": 2, "given": 2, "lacking": 1, "doubtful": 0}
+
+
 def test_only_what_is_wholly_unchanged_is_skipped(spark):
     log = log_of(spark, *(event(e, 1) for e in "abcdef"))
     sent = log_of(
