@@ -129,3 +129,19 @@ def test_one_generation_needs_no_fold(spark, tmp_path):
     plan = lambda paths: imports._last(spark, paths)._jdf.queryExecution().executedPlan().toString()
     assert "Aggregate" not in plan([f"{tmp_path}/a"])
     assert "Aggregate" in plan([f"{tmp_path}/a", f"{tmp_path}/a"])
+
+
+def test_a_folded_stream_has_no_second_copy_of_its_state(spark, tmp_path):
+    source, target, checkpoint = (f"{tmp_path}/{n}" for n in ("in", "out", "stream"))
+    # events of an edge come several at once, late ones after later ones, and a compaction between
+    batches = [[("a", 1, 0, "assert", 1), ("a", 1, 1, "assert", 2), ("b", 5, 0, "assert", 3)], [("b", 4, 0, "retract", 4), ("a", 1, 2, "retract", 5), ("c", 6, 0, "assert", 6)], [("a", 1, 0, "assert", 7), ("c", 7, 0, "retract", 8)]]
+    want = [[("a", 2), ("b", 3)], [("b", 3), ("c", 6)], [("b", 3)]]
+    for rows, state_then in zip(batches, want, strict=True):
+        spark.createDataFrame(rows, LOG).coalesce(1).write.mode("append").parquet(source)
+        query = imports.start_fold(spark.readStream.schema(LOG).parquet(source), target, checkpoint)
+        query.awaitTermination()
+        assert not any(p["stateOperators"] for p in query.recentProgress) and not os.path.exists(f"{checkpoint}/state")
+        for _ in range(2):
+            assert sorted((r.edge_id, r.n) for r in imports.folded(spark, target).collect()) == state_then
+            imports.compact_folded(spark, target)
+    assert [n for n in folders(spark, target) if "=" in n] == ["batch=2", "upto=1", "upto=2"]

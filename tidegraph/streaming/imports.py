@@ -12,7 +12,6 @@ from pyspark.sql.streaming import StreamingQuery
 from tidegraph.operators.temporal import fold, last_events
 from tidegraph.shared import delete, folders
 from tidegraph.sources import ndjson
-from tidegraph.streaming.state import in_rocksdb
 
 #: Files count however old they are; Spark would pass over those that are a week older than the newest.
 ANY_AGE = "36500d"
@@ -95,20 +94,20 @@ def cancel(job: ImportJob) -> None:
 
 
 def start_fold(events: DataFrame, target: str, checkpoint: str) -> StreamingQuery:
-    """Keeps the state of a stream of events: each batch writes the last event of the edges that it changed.
+    """Keeps the state of a stream of events: each batch is a run of its own, and runs are put together by compact_folded() or when they are read.
 
-    The last events live in the stream's own state store, in RocksDB, so a
-    batch costs what changed and not what there is. Each batch also says up to
-    which commit the state has come. folded() reads the state.
+    So a batch costs what came and not what there is, and no second copy of
+    the state lies in a state store. A batch that runs again replaces its run.
+    Each batch also says up to which commit the state has come. folded() reads
+    the state.
     """
-    in_rocksdb(events.sparkSession)
 
     def write(batch: DataFrame, number: int) -> None:
         path = f"{target}/batch={number}"
         batch.write.mode("overwrite").option("compression", "zstd").parquet(path)
         batch.sparkSession.read.parquet(path).agg(F.max("commit_seq").alias("commit_seq")).write.mode("overwrite").parquet(f"{target}/published/batch={number}")
 
-    return last_events(events).writeStream.outputMode("update").foreachBatch(write).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
+    return events.writeStream.foreachBatch(write).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
 
 
 def _generations(spark: SparkSession, target: str) -> tuple[list[int], list[int]]:
@@ -133,21 +132,20 @@ def folded(spark: SparkSession, target: str) -> DataFrame:
 
 
 def _last(spark: SparkSession, paths: list[str]) -> DataFrame:
-    """The last event of every edge; one generation or batch has no others."""
+    """The last event of every edge; one generation has no others."""
     found = spark.read.parquet(*paths)
-    return found if len(paths) == 1 else last_events(found)
+    return found if len(paths) == 1 and "/batch=" not in paths[0] else last_events(found)
 
 
 def compact_folded(spark: SparkSession, target: str) -> int:
-    """Writes the last event of every edge so far as one generation, and gives its number.
+    """Writes the last event of every edge so far as one generation, and gives the number of the last batch in it.
 
-    What the generation before this one had replaced is deleted; so a reader
+    A first batch that is alone stays as it is. What the generation before this one had replaced is deleted; so a reader
     that has listed files just before still finds them.
     """
     compacted, batches = _generations(spark, target)
     before, last = compacted[-1] if compacted else -1, batches[-1]
-    if last > before:
-        # dealt by edge already, if there was anything to put together
+    if last > before and len(_paths(spark, target)) > 1:
         _last(spark, _paths(spark, target)).write.mode("overwrite").option("compression", "zstd").parquet(f"{target}/upto={last}")
         delete(spark, [f"{target}/batch={n}" for n in batches if n <= before] + [f"{target}/upto={n}" for n in compacted[:-1]])
     return last
